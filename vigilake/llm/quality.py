@@ -129,18 +129,40 @@ def risk_cutoffs(holdout: DataFrame, risk: float = 0.05, delta: float = 0.1) ->
     return best.filter("best IS NOT NULL").select("stratum", "rule", *[f"best.{c}" for c in ("cutoff", "n", "rejected", "p_value")])
 
 
-def quality_rules(docs: DataFrame, labels: DataFrame, stratum_col: str = "lang", risk: float = 0.05, delta: float = 0.1) -> DataFrame:
-    """A row for each document: doc_id, stratum, text_metrics, base_failed, failed_rules (array), kept.
+def learn_cutoffs(metrics: DataFrame, labels: DataFrame, risk: float = 0.05, delta: float = 0.1) -> DataFrame:
+    """stratum, cuts (map of rule to cutoff), from the labelled rows of metrics (doc_id, stratum, text_metrics, base_failed).
 
-    labels: doc_id and quality (1 good). A document that has several or contradicting labels counts as
-    good if all of them say so; null labels say nothing. Where labels are few or none, no cutoff is safe and
-    only the base rules reject. Empty tables give empty results; a null doc_id is never labelled."""
-    m = materialize(text_metrics(docs, keep=("doc_id", stratum_col)).withColumnRenamed(stratum_col, "stratum").withColumn("base_failed", base_failed()), "quality")
+    labels: doc_id and quality (1 good). A document that has several or contradicting labels counts as good if all
+    of them say so; null labels say nothing; a null doc_id is never labelled. Where labels are few or none, no
+    cutoff is safe and only the base rules reject."""
     marks = labels.filter("quality IS NOT NULL").groupBy("doc_id").agg((F.min("quality") >= 1).alias("good"))
-    cuts = materialize(risk_cutoffs(m.filter(~F.col("base_failed")).join(marks, "doc_id"), risk, delta).groupBy("stratum").agg(F.map_from_entries(F.collect_list(F.struct("rule", "cutoff"))).alias("cuts")), "cutoffs")
-    cuts = cuts.withColumnRenamed("stratum", "s")
-    few = len(cuts.select("s").take(MAX_BROADCAST_STRATA + 1)) <= MAX_BROADCAST_STRATA
-    judged = m.join(F.broadcast(cuts) if few else cuts, F.col("stratum").eqNullSafe(F.col("s")), "left")
-    fails = [F.when(metric(r) > F.try_element_at("cuts", F.lit(r)), F.lit(r)) for r in RULES]
-    judged = judged.withColumn("failed_rules", F.when(F.col("base_failed"), F.array().cast("array<string>")).otherwise(F.array_compact(F.array(*fails))))
-    return judged.select(*m.columns, "failed_rules", (~F.col("base_failed") & (F.size("failed_rules") == 0)).alias("kept"))
+    cuts = risk_cutoffs(metrics.filter(~F.col("base_failed")).join(marks, "doc_id"), risk, delta)
+    return materialize(cuts.groupBy("stratum").agg(F.map_from_entries(F.collect_list(F.struct("rule", "cutoff"))).alias("cuts")), "cutoffs")
+
+
+def judge(metrics: DataFrame, cuts: DataFrame, stratum: str) -> DataFrame:
+    """metrics with base_failed, failed_rules (array of the learned rules) and kept. Column `stratum` names each row's stratum, null included."""
+    side = cuts.select(F.col("stratum").alias("__s"), F.col("cuts").alias("__cuts"))
+    few = len(side.select("__s").take(MAX_BROADCAST_STRATA + 1)) <= MAX_BROADCAST_STRATA
+    both = metrics.withColumn("base_failed", base_failed()).join(F.broadcast(side) if few else side, F.col(stratum).eqNullSafe(F.col("__s")), "left")
+    fails = [F.when(metric(r) > F.try_element_at("__cuts", F.lit(r)), F.lit(r)) for r in RULES]
+    both = both.withColumn("failed_rules", F.when(F.col("base_failed"), F.array().cast("array<string>")).otherwise(F.array_compact(F.array(*fails))))
+    return both.withColumn("kept", ~F.col("base_failed") & (F.size("failed_rules") == 0)).drop("__s", "__cuts")
+
+
+def quality_rules(docs: DataFrame, labels: DataFrame, stratum_col: str = "lang", risk: float = 0.05, delta: float = 0.1) -> DataFrame:
+    """A row for each document: doc_id, stratum, text_metrics, base_failed, failed_rules, kept. Empty tables give empty results."""
+    m = materialize(text_metrics(docs.select("doc_id", "text", F.col(stratum_col).alias("stratum")), keep=("doc_id", "stratum")).withColumn("base_failed", base_failed()), "quality")
+    return judge(m, learn_cutoffs(m, labels, risk, delta), "stratum")
+
+
+def quality_filter(docs: DataFrame, labels: DataFrame, stratum_col: str = "lang", risk: float = 0.05, delta: float = 0.1) -> DataFrame:
+    """The rows of docs that are kept, with their columns. Texts are read twice, but never shuffled or written in between."""
+    names = [f"__c{i}" for i in range(len(docs.columns))]
+    own = dict(zip(docs.columns, names))
+    m = materialize(text_metrics(docs.select("doc_id", "text", F.col(stratum_col).alias("stratum")), keep=("doc_id", "stratum")).withColumn("base_failed", base_failed()), "quality")
+    measured = text_metrics(docs.toDF(*names), own["text"], tuple(names))
+    # The optimizer may not carry the filter below this point: it would take the metrics' expressions apart and repeat them.
+    measured = measured.observe("quality_filter", F.count(F.lit(1)).alias("rows"))
+    judged = judge(measured, learn_cutoffs(m, labels, risk, delta), own[stratum_col])
+    return judged.filter("kept").select(*[F.col(n).alias(c) for c, n in own.items()])

@@ -7,8 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vigilake.llm import chat, quality, urls
-from vigilake.llm.common import table
+import public_tokenizers
+
+from vigilake.llm import chat, decontaminate, lm_score, mixing, quality, sharding, simhash, token_counts, token_files, urls
+from vigilake.llm.common import materialize, scratch_dir, table
 
 
 #: Conversation -1: both turns say what looks like the template's own control strings.
@@ -22,6 +24,11 @@ def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(formatted)
 
 
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    groups = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return groups.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 #: Rules on hosts and paths, as (host, path, verdict).
 URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
 #: Listed canonical URLs: roots of hosts that are known for unwanted pages.
@@ -33,15 +40,44 @@ def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.url_filter(table(spark, sf_dir, "pages"), listed).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    manifest = token_files.write_tokens(docs, public_tokenizers.path("word_bpe_49k.json"))
+    return token_files.read_documents(manifest, docs.schema["doc_id"].dataType, scratch_dir(spark))
+
+
+def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.layout(sharding.shard(table(spark, sf_dir, "documents")))
+
+
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality.quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", F.concat_ws(",", "failed_rules").alias("failed_rules"))
 
 
+def op8_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    counted = materialize(docs.select("doc_id", "source", mixing.count_tokens(F.col("text")).alias("n_tokens")), "counted")
+    mix = mixing.solve_mix(counted, max_repeats=4.0)
+    return mixing.realise(counted, mix).select("doc_id", "source", "n_tokens", "epoch", "block", "slot")
+
+
+def op9_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return lm_score.score(docs, *lm_score.train(docs))
+
+
+def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op1_chat_format": op1_chat_format,
-    "op3_url_filter": op3_url_filter,
-    "op7_quality_rules": op7_quality_rules,
+    f.__name__: f
+    for f in (op1_chat_format, op2_simhash, op3_url_filter, op4_token_files, op5_sharding, op6_token_counts, op7_quality_rules, op8_mix, op9_lm_score, op10_decontaminate)
 }
 
 _LISTED_SQL = ", ".join(f"'{h}'" for h in LISTED)

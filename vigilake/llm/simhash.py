@@ -109,3 +109,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     least = named.groupBy("root").agg(F.min("least").alias("component_id"))
     named = named.join(least, "root").select("fp", "component_id")
     return fps.join(named, "fp").select("doc_id", "fp", "component_id")
+
+
+def keep_representatives(docs: DataFrame, groups: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """The rows of docs without those that near_duplicates() gives another document for; rows with a null id stay."""
+    others = groups.filter("doc_id <> component_id").select(F.col("doc_id").alias(id_col)).distinct()
+    return docs.join(others, id_col, "left_anti").select(*docs.columns)
