@@ -1 +1 @@
-"""."""
+"""Datasets, reports and registered queries, made of operators."""

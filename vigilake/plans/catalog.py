@@ -1,6 +1,328 @@
-"""Registered queries of the fraud engine, and their SQL."""
+"""Registered queries of the fraud engine, and the same in SQL."""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from vigilake.functions import text, times
+from vigilake.operators import alerts, refine, scoring, watchlist, windows
+from vigilake.operators import expectations as E
+from vigilake.plans import reports, views
+from vigilake.streaming import replay
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
+
+
+def query(sql: str | None = None, name: str | None = None):
+    """Registers the decorated function under its name, with its SQL."""
+
+    def register(f: Callable[[SparkSession, str], DataFrame]):
+        key = name or f.__name__
+        QUERIES[key] = f
+        if sql is not None:
+            ORACLE_SQL[key] = sql
+        return f
+
+    return register
+
+
+AS_OF, DASHBOARD = "2024-02-01 00:00:00", "2024-01-30 12:00:00"
+_NOW = F.lit(AS_OF).cast("timestamp")
+_THEN = F.lit(DASHBOARD).cast("timestamp")
+
+_T = f"t AS ({views.SQL['transactions']})"
+_C = f"c AS ({views.SQL['customers']})"
+_W = f"""w AS (SELECT upper(watchlist_id) AS watchlist_id, watch_type, upper(entity_id) AS entity_id, upper(risk_level) AS risk_level, upper(action) AS action,
+  reason_code, reason_description, status, try_strptime(effective_from, '%d-%b-%Y %H:%M:%S') AS effective_from, reported_by, reported_source, country, city FROM ({views.SQL['watchlist']}))"""
+
+_HIGH = """SELECT 'ALERT-' || t.transaction_id AS alert_id, 'HIGH_VALUE_TRANSACTION' AS alert_type, {at} AS alert_timestamp, t.transaction_id, t.customer_id,
+  c.email AS customer_email, concat_ws(' ', c.first_name, c.last_name) AS customer_name, t.amount AS transaction_amount, c.transaction_limit,
+  t.currency, t.merchant_name, t.merchant_category, t.transaction_type, t.payment_channel, t.city, t.country, t.is_international, t.transaction_timestamp, t.status
+FROM t JOIN c ON t.customer_id = c.customer_id WHERE t.amount > c.transaction_limit"""
+_FRAUD = """SELECT concat_ws('-', 'FRAUD', t.transaction_id, w.watchlist_id) AS alert_id, 'FRAUD_CARD_TRANSACTION' AS alert_type, {at} AS alert_timestamp,
+  t.transaction_id, t.customer_id, c.email AS customer_email, concat_ws(' ', c.first_name, c.last_name) AS customer_name, t.card_number, t.amount, t.currency,
+  t.merchant_id, t.merchant_name, t.merchant_category, t.transaction_type, t.payment_channel, t.device_id, t.city AS transaction_city, t.country AS transaction_country,
+  t.transaction_timestamp, t.is_international, t.status AS transaction_status, w.watchlist_id, w.watch_type, w.risk_level, w.action, w.reason_code, w.reason_description,
+  w.effective_from AS watchlist_effective_from, w.reported_by, w.reported_source, w.city AS watchlist_city, w.country AS watchlist_country
+FROM t JOIN w ON t.card_number = w.entity_id LEFT JOIN {c} c ON t.customer_id = c.customer_id"""
+_AT = f"TIMESTAMP '{AS_OF}'"
+_OWN = "t.transaction_timestamp"
+
+
+def _silver_watchlist(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = views.watchlist(spark, sf_dir).withColumn("source_file", F.lit("watchlist"))
+    return refine.silver_watchlist(refine.bronze_watchlist(raw, _NOW), _NOW)
+
+
+def _high(spark: SparkSession, sf_dir: str, at=None) -> DataFrame:
+    return alerts.high_value_alerts(views.transactions(spark, sf_dir), views.customers(spark, sf_dir), _NOW if at is None else at)
+
+
+def _fraud(spark: SparkSession, sf_dir: str, at=None, known=None) -> DataFrame:
+    customers = views.customers(spark, sf_dir)
+    return alerts.fraud_card_alerts(views.transactions(spark, sf_dir), _silver_watchlist(spark, sf_dir), customers if known is None else customers.filter(known), _NOW if at is None else at)
+
+
+# -- alerts
+
+
+@query(f"WITH {_T}, {_C} {_HIGH.format(at=_AT)}")
+def high_value_alert(spark, sf_dir):
+    return _high(spark, sf_dir)
+
+
+@query(f"WITH {_T}, {_C}, {_W} {_FRAUD.format(at=_AT, c='c')}")
+def fraud_card_alert(spark, sf_dir):
+    return _fraud(spark, sf_dir)
+
+
+@query(f"WITH {_T}, {_C}, {_W}, half AS (SELECT * FROM c WHERE risk_score < 50) {_FRAUD.format(at=_AT, c='half')}")
+def fraud_card_alert_unmatched_customer(spark, sf_dir):
+    return _fraud(spark, sf_dir, known="risk_score < 50")
+
+
+@query(f"WITH {_T}, {_C}, {_W} SELECT * FROM ({_FRAUD.format(at=_AT, c='c')}) WHERE transaction_timestamp >= watchlist_effective_from AND transaction_timestamp <= watchlist_effective_from + INTERVAL 10 DAY")
+def fraud_card_alert_bounded(spark, sf_dir):
+    return alerts.fraud_card_alerts(views.transactions(spark, sf_dir), _silver_watchlist(spark, sf_dir), views.customers(spark, sf_dir), _NOW, retention="10 DAY")
+
+
+# -- windows
+
+_TUMBLING = f"WITH {_T} SELECT date_trunc('minute', transaction_timestamp) AS window_start, date_trunc('minute', transaction_timestamp) + INTERVAL 1 MINUTE AS window_end, count(*) AS transaction_count FROM t WHERE transaction_timestamp IS NOT NULL GROUP BY ALL"
+_SLIDING = f"WITH {_T}, s AS (SELECT date_trunc('minute', transaction_timestamp) - to_minutes(k) AS window_start FROM t, (SELECT unnest(range(5)) AS k) WHERE transaction_timestamp IS NOT NULL) SELECT window_start, window_start + INTERVAL 5 MINUTE AS window_end, count(*) AS transaction_count FROM s GROUP BY ALL"
+_CLOSED = "SELECT * FROM ({}) WHERE window_end <= (SELECT max(ts) - INTERVAL 5 MINUTE FROM events)"
+
+
+@query(_TUMBLING)
+def tx_count_tumbling_1m(spark, sf_dir):
+    return windows.per_minute(views.transactions(spark, sf_dir))
+
+
+@query(_SLIDING)
+def tx_count_sliding_5m_1m(spark, sf_dir):
+    return windows.five_minutes_sliding(views.transactions(spark, sf_dir))
+
+
+@query(f"{_SLIDING} ORDER BY window_start DESC LIMIT 10")
+def latest_10_windows(spark, sf_dir):
+    return windows.latest(tx_count_sliding_5m_1m(spark, sf_dir), 10)
+
+
+# -- dashboards
+
+
+@query(f"WITH {_T}, {_C} SELECT * FROM ({_HIGH.format(at=_OWN)}) WHERE alert_timestamp >= TIMESTAMP '{DASHBOARD}' - INTERVAL 1 HOUR ORDER BY alert_timestamp DESC")
+def recent_alerts_ordered(spark, sf_dir):
+    return reports.newest_first(reports.recent(_high(spark, sf_dir, F.col(_OWN)), _THEN))
+
+
+@query(f"WITH {_T}, {_C}, {_W} SELECT alert_type, risk_level, count(*) AS alert_count, avg(amount) AS avg_amount FROM ({_FRAUD.format(at=_OWN, c='c')}) WHERE alert_timestamp >= TIMESTAMP '{DASHBOARD}' - INTERVAL 1 HOUR GROUP BY ALL")
+def alert_summary_by_risk(spark, sf_dir):
+    return reports.summary_by_risk(_fraud(spark, sf_dir, F.col(_OWN)), _THEN)
+
+
+_BOTH = f"SELECT alert_type, alert_timestamp FROM ({_HIGH.format(at=_OWN)}) UNION ALL SELECT alert_type, alert_timestamp FROM ({_FRAUD.format(at=_OWN, c='c')})"
+
+
+@query(f"WITH {_T}, {_C}, {_W} SELECT alert_type, count(*) AS alert_count FROM ({_BOTH}) GROUP BY ALL")
+def alert_type_distribution(spark, sf_dir):
+    return reports.type_distribution([_high(spark, sf_dir), _fraud(spark, sf_dir)])
+
+
+@query(f"WITH {_T}, {_C}, {_W} SELECT count(*) AS alerts_last_hour FROM ({_BOTH}) WHERE alert_timestamp >= TIMESTAMP '{DASHBOARD}' - INTERVAL 1 HOUR")
+def alerts_last_hour(spark, sf_dir):
+    return reports.alerts_last_hour([_high(spark, sf_dir, F.col(_OWN)), _fraud(spark, sf_dir, F.col(_OWN))], _THEN)
+
+
+@query(f"WITH {_T} SELECT date_trunc('hour', transaction_timestamp) AS bucket_start, avg(amount) AS avg_amount, count(*) AS transaction_count FROM t GROUP BY ALL")
+def avg_amount_trend(spark, sf_dir):
+    return reports.amount_trend(views.transactions(spark, sf_dir))
+
+
+@query(f"WITH {_C} SELECT count(*) AS high_risk_customers FROM c WHERE risk_score >= 70")
+def high_risk_customers(spark, sf_dir):
+    return reports.high_risk_customers(views.customers(spark, sf_dir))
+
+
+@query("SELECT count(*) AS row_count FROM events")
+def bronze_count(spark, sf_dir):
+    return reports.count_rows(refine.bronze_transactions(views.messages(spark, sf_dir)))
+
+
+@query("SELECT count(*) AS row_count FROM events")
+def sql_count(spark, sf_dir):
+    return spark.sql("SELECT count(*) AS row_count FROM {t}", t=views.transactions(spark, sf_dir))
+
+
+# -- refined tables
+
+_ENVELOPE = f"SELECT CAST(event_id AS BIGINT) AS kafka_offset, event_id FROM events WHERE event_id % {views.BROKEN} <> 0 AND event_id % {views.NO_CARD} <> 0"
+_SILVER = "SELECT t.*, 'transactions' AS kafka_topic, CAST(0 AS INTEGER) AS kafka_partition, CAST(substr(transaction_id, 4) AS BIGINT) AS kafka_offset, transaction_timestamp AS kafka_timestamp, {at} AS bronze_ingestion_timestamp, {at} AS silver_ingestion_timestamp FROM t".format(at=_AT)
+
+
+def _silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return refine.silver_transactions(refine.bronze_transactions(views.messages(spark, sf_dir), _NOW), _NOW)
+
+
+@query(f"WITH {_T} SELECT * REPLACE (date_trunc('millisecond', transaction_timestamp) AS transaction_timestamp) FROM ({_SILVER}) WHERE kafka_offset % {views.BROKEN} <> 0 AND kafka_offset % {views.NO_CARD} <> 0")
+def silver_transactions(spark, sf_dir):
+    return _silver(spark, sf_dir)
+
+
+@query(
+    f"""WITH b AS (SELECT event_id % {views.BROKEN} = 0 AS broken, event_id % {views.NO_CARD} = 0 AS no_card, value FROM events)
+SELECT unnest(['valid_transaction_id', 'valid_customer_id', 'valid_card_number', 'valid_merchant_id', 'valid_amount']) AS expectation,
+  unnest([count(*) FILTER (broken), count(*) FILTER (broken), count(*) FILTER (broken OR no_card), count(*) FILTER (broken), count(*) FILTER (broken OR NOT value > 0)]) AS violations FROM b"""
+)
+def expectation_counts(spark, sf_dir):
+    from vigilake import schemas
+
+    rows = refine.bronze_transactions(views.messages(spark, sf_dir), _NOW).select(F.from_json("value", schemas.TRANSACTION).alias("d")).select("d.*")
+    return E.violation_counts(rows, refine.TRANSACTION_EXPECTATIONS)
+
+
+@query(f"WITH {_W} SELECT *, 'watchlist' AS source_file, {_AT} AS bronze_ingestion_timestamp, {_AT} AS silver_ingestion_timestamp FROM w")
+def silver_watchlist(spark, sf_dir):
+    return _silver_watchlist(spark, sf_dir)
+
+
+@query(f"WITH {_C} SELECT * REPLACE (CAST(try_strptime(account_open_date, '%Y-%m-%d') AS DATE) AS account_open_date), {_AT} AS silver_ingestion_timestamp FROM c WHERE customer_id IS NOT NULL")
+def silver_customers(spark, sf_dir):
+    return refine.silver_customers(views.customers(spark, sf_dir), _NOW)
+
+
+@query(f"WITH x AS (SELECT *, CAST(substr(upper(watchlist_id), 3) AS BIGINT) AS n FROM ({views.SQL['watchlist']})) SELECT upper(watchlist_id) AS watchlist_id, entity_id FROM x WHERE n > (SELECT coalesce(max(n), 0) FROM x WHERE risk_level = 'high' AND n < 700)")
+def watchlist_resume(spark, sf_dir):
+    rows = views.watchlist(spark, sf_dir).withColumn("watchlist_id", F.upper("watchlist_id"))
+    sent = rows.filter((F.col("risk_level") == "high") & (F.right("watchlist_id", F.lit(6)).cast("long") < 700))
+    return watchlist.still_to_send(rows, sent).select("watchlist_id", "entity_id")
+
+
+# -- functions
+
+
+@query(
+    f"""WITH {_T}, {_C} SELECT t.transaction_id, CASE WHEN coalesce(c.card_number, '') = '' THEN '****' ELSE right(c.card_number, 4) END AS card, coalesce(nullif(c.first_name, ''), 'N/A') AS first_name,
+  format('{{:,.2f}}', t.amount * 1000) AS amount, CASE WHEN t.is_international THEN 'Yes' ELSE 'No' END AS international FROM t LEFT JOIN c ON t.customer_id = c.customer_id AND c.risk_score < 50"""
+)
+def mask_and_format(spark, sf_dir):
+    t, c = views.transactions(spark, sf_dir).alias("t"), views.customers(spark, sf_dir).filter("risk_score < 50").alias("c")
+    both = t.join(c, F.col("t.customer_id") == F.col("c.customer_id"), "left")
+    return both.select("t.transaction_id", text.mask_card(F.col("c.card_number")).alias("card"), text.or_default(F.col("c.first_name")).alias("first_name"), text.money(F.col("t.amount") * 1000).alias("amount"), text.yes_no(F.col("t.is_international")).alias("international"))
+
+
+@query(
+    """SELECT event_id, printf('TXN%07d', event_id) AS transaction_id, printf('DEV%04d', event_id * 7) AS device_id, strftime(date_trunc('second', ts), '%Y-%m-%dT%H:%M:%SZ') AS iso,
+  date_trunc('second', ts) AS parsed, abs(epoch_us(ts) - epoch_us(TIMESTAMP '2024-01-15')) / 60000000.0 AS minutes, greatest(5.0, least(value, 100.0)) AS clamped FROM events"""
+)
+def ids_and_iso_time(spark, sf_dir):
+    e = spark.read.parquet(f"{sf_dir}/events.parquet").withColumn("ts", F.col("ts").cast("timestamp"))
+    iso = times.iso_seconds(F.col("ts"))
+    return e.select("event_id", text.numbered("TXN", F.col("event_id"), 7).alias("transaction_id"), text.numbered("DEV", F.col("event_id") * 7, 4).alias("device_id"), iso.alias("iso"), times.parse_iso(iso).alias("parsed"), times.minutes_between(F.col("ts"), F.lit("2024-01-15").cast("timestamp")).alias("minutes"), text.clamp(F.col("value"), F.lit(5.0), F.lit(100.0)).alias("clamped"))
+
+
+@query(
+    """WITH d AS (SELECT o_orderkey, printf('4%015d', o_orderkey * 7919 + o_custkey) AS card FROM orders),
+s AS (SELECT o_orderkey, card, sum(CASE WHEN (16 - i) % 2 = 1 THEN (2 * v) // 10 + (2 * v) % 10 ELSE v END) AS total FROM (SELECT o_orderkey, card, i, CAST(substr(card, CAST(i AS INTEGER), 1) AS INTEGER) AS v FROM d, (SELECT unnest(range(1, 17)) AS i)) GROUP BY ALL)
+SELECT o_orderkey, card, total % 10 = 0 AS valid FROM s"""
+)
+def luhn_check(spark, sf_dir):
+    o = spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey", text.numbered("4", F.col("o_orderkey") * 7919 + F.col("o_custkey"), 15).alias("card"))
+    return o.withColumn("valid", text.is_luhn(F.col("card")))
+
+
+@query("SELECT o_orderkey, CASE WHEN u < 0.6 THEN 'Regular' WHEN u < 0.8 THEN 'Gold' WHEN u < 0.9 THEN 'Platinum' ELSE 'Corporate' END AS segment FROM (SELECT o_orderkey, (o_orderkey % 1000) / 1000.0 AS u FROM orders)")
+def weighted_segments(spark, sf_dir):
+    o = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    u = (F.col("o_orderkey") % 1000) / 1000.0
+    return o.select("o_orderkey", text.weighted_choice(u, [("Regular", 6), ("Gold", 2), ("Platinum", 1), ("Corporate", 1)]).alias("segment"))
+
+
+# -- scoring: event time is compressed, so that the rules on seconds have something to find
+
+_COMPRESS = 3600
+_SCORED = f"""s AS (SELECT t.* EXCLUDE (amount), t.amount * CASE WHEN seq % 50 = 0 THEN 1000 ELSE 1 END AS amount, u, c.trusted_device_id, m.merchant_risk, m.is_blacklisted FROM
+  (SELECT *, CAST(substr(transaction_id, 4) AS BIGINT) AS seq, epoch_us(transaction_timestamp) // {_COMPRESS} AS u FROM ({views.SQL['transactions']})) t
+  LEFT JOIN ({views.SQL['customers']}) c ON t.customer_id = c.customer_id LEFT JOIN ({views.SQL['merchants']}) m ON t.merchant_id = m.merchant_id),
+r AS (SELECT transaction_id, seq,
+  coalesce(amount > 100000, false) AS high_value_transaction,
+  coalesce(lag(city) OVER w = 'Delhi' AND city = 'London' AND u - lag(u) OVER w <= 1200000000, false) AS impossible_travel,
+  device_id IS DISTINCT FROM trusted_device_id AS new_device,
+  coalesce(merchant_risk = 'HIGH', false) AS high_risk_merchant,
+  coalesce(is_blacklisted, false) AS blacklisted_merchant,
+  coalesce(is_international, false) AS international_transaction,
+  coalesce(lag(u, 5) OVER w >= u - 30000000, false) AS velocity_fraud,
+  coalesce(amount BETWEEN 5 AND 20 AND lag(u, 3) OVER w >= u - 60000000, false) AS card_testing
+  FROM s WINDOW w AS (PARTITION BY customer_id ORDER BY u, seq))"""
+_RULES = [r.lower() for r in scoring.WEIGHTS]
+
+
+def _flags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = views.transactions(spark, sf_dir).withColumn("seq", F.substring("transaction_id", 4, 19).cast("long"))
+    t = t.withColumn("transaction_timestamp", F.timestamp_micros(F.expr(f"unix_micros(transaction_timestamp) div {_COMPRESS}"))).withColumn("amount", F.col("amount") * F.when(F.col("seq") % 50 == 0, 1000).otherwise(1))
+    c = views.customers(spark, sf_dir).select("customer_id", "trusted_device_id")
+    m = views.merchants(spark, sf_dir).select("merchant_id", "merchant_risk", "is_blacklisted")
+    return scoring.rule_flags(t.join(c, "customer_id", "left").join(m, "merchant_id", "left"))
+
+
+for _rule in _RULES:
+
+    @query(f"WITH {_SCORED} SELECT transaction_id FROM r WHERE {_rule}", name=f"rule_{_rule}")
+    def _(spark, sf_dir, rule=_rule):
+        return _flags(spark, sf_dir).filter(rule).select("transaction_id")
+
+
+_SUM = " + ".join(f"CASE WHEN {r} THEN {w} ELSE 0 END" for r, w in zip(_RULES, scoring.WEIGHTS.values()))
+_FIRST = "CASE " + " ".join(f"WHEN {r} THEN '{r.upper()}'" for r in _RULES) + " ELSE 'NORMAL' END"
+_HEAVIEST = "CASE " + " ".join(f"WHEN {r.lower()} THEN '{r}'" for r, _ in sorted(scoring.WEIGHTS.items(), key=lambda x: -x[1])) + " END"
+
+
+@query(f"WITH {_SCORED} SELECT transaction_id, CAST(least(100, {_SUM}) AS INTEGER) AS fraud_score, {_FIRST} AS fraud_reason FROM r")
+def fraud_score(spark, sf_dir):
+    return scoring.fraud_scores(_flags(spark, sf_dir)).select("transaction_id", "fraud_score", "fraud_reason")
+
+
+@query(f"WITH {_SCORED} SELECT transaction_id, {_HEAVIEST} AS fraud_reason FROM r WHERE {_HEAVIEST} IS NOT NULL")
+def forced_reason(spark, sf_dir):
+    scored = scoring.fraud_scores(_flags(spark, sf_dir).filter(" OR ".join(_RULES)), forced=F.lit(True))
+    return scored.select("transaction_id", "fraud_reason")
+
+
+@query()
+def forced_score(spark, sf_dir):
+    """Every row forced: rows that trigger nothing get a rule chosen by seed and id."""
+    return scoring.fraud_scores(_flags(spark, sf_dir), forced=F.lit(True)).select("transaction_id", "fraud_score", "fraud_reason")
+
+
+@query(f"WITH {_SCORED}, x AS (SELECT r.transaction_id, {_SUM} AS score, u FROM r JOIN s USING (transaction_id)) SELECT count(*) AS produced, 100.0 * avg(CASE WHEN score > 0 THEN 1.0 ELSE 0.0 END) AS fraud_percentage, (max(u) - min(u)) / 1e6 AS runtime_seconds, count(*) / ((max(u) - min(u)) / 1e6) AS average_tps FROM x")
+def production_stats(spark, sf_dir):
+    return reports.production_stats(scoring.fraud_scores(_flags(spark, sf_dir)))
+
+
+# -- streams: drained once, then read back; windows that are still open have no row
+
+
+@query(_CLOSED.format(_TUMBLING))
+def stream_tumbling(spark, sf_dir):
+    return replay.drain(spark, {"t": views.transactions(spark, sf_dir)}, lambda t: windows.per_minute(t, watermark="5 minutes"))
+
+
+@query(_CLOSED.format(_SLIDING))
+def stream_sliding(spark, sf_dir):
+    return replay.drain(spark, {"t": views.transactions(spark, sf_dir)}, lambda t: windows.five_minutes_sliding(t, watermark="5 minutes"))
+
+
+@query(f"WITH {_T}, {_C} {_HIGH.format(at=_AT)}")
+def stream_high_value(spark, sf_dir):
+    customers = views.customers(spark, sf_dir)
+    return replay.drain(spark, {"t": views.transactions(spark, sf_dir)}, lambda t: alerts.high_value_alerts(t, customers, _NOW))
+
+
+@query(f"WITH {_T}, {_C}, {_W} {_FRAUD.format(at=_AT, c='c')}")
+def stream_fraud_card(spark, sf_dir):
+    customers = views.customers(spark, sf_dir)
+    return replay.drain(spark, {"t": views.transactions(spark, sf_dir), "w": _silver_watchlist(spark, sf_dir)}, lambda t, w: alerts.fraud_card_alerts(t, w, customers, _NOW, watermark="5 minutes"))

@@ -1 +1 @@
-"""."""
+"""Where rows come from: files, tables, Kafka."""

@@ -1 +1 @@
-"""."""
+"""Running datasets as streams, stateful scoring, sinks."""
