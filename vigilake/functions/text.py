@@ -57,7 +57,7 @@ def number_suffix(value: Column, prefix: str) -> Column:
 
 
 def is_luhn(digits: Column) -> Column:
-    return F.luhn_check(digits)
+    return F.call_function("luhn_check", digits)
 
 
 def luhn_digit(body: Column) -> Column:

@@ -31,8 +31,15 @@ def query(sql: str | None = None, name: str | None = None):
 
 
 AS_OF, DASHBOARD = "2024-02-01 00:00:00", "2024-01-30 12:00:00"
-_NOW = F.lit(AS_OF).cast("timestamp")
-_THEN = F.lit(DASHBOARD).cast("timestamp")
+
+
+def _now():
+    return F.lit(AS_OF).cast("timestamp")
+
+
+def _then():
+    return F.lit(DASHBOARD).cast("timestamp")
+
 
 _T = f"t AS ({views.SQL['transactions']})"
 _C = f"c AS ({views.SQL['customers']})"
@@ -55,16 +62,16 @@ _OWN = "t.transaction_timestamp"
 
 def _silver_watchlist(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = views.watchlist(spark, sf_dir).withColumn("source_file", F.lit("watchlist"))
-    return refine.silver_watchlist(refine.bronze_watchlist(raw, _NOW), _NOW)
+    return refine.silver_watchlist(refine.bronze_watchlist(raw, _now()), _now())
 
 
 def _high(spark: SparkSession, sf_dir: str, at=None) -> DataFrame:
-    return alerts.high_value_alerts(views.transactions(spark, sf_dir), views.customers(spark, sf_dir), _NOW if at is None else at)
+    return alerts.high_value_alerts(views.transactions(spark, sf_dir), views.customers(spark, sf_dir), _now() if at is None else at)
 
 
 def _fraud(spark: SparkSession, sf_dir: str, at=None, known=None) -> DataFrame:
     customers = views.customers(spark, sf_dir)
-    return alerts.fraud_card_alerts(views.transactions(spark, sf_dir), _silver_watchlist(spark, sf_dir), customers if known is None else customers.filter(known), _NOW if at is None else at)
+    return alerts.fraud_card_alerts(views.transactions(spark, sf_dir), _silver_watchlist(spark, sf_dir), customers if known is None else customers.filter(known), _now() if at is None else at)
 
 
 # -- alerts
@@ -87,7 +94,7 @@ def fraud_card_alert_unmatched_customer(spark, sf_dir):
 
 @query(f"WITH {_T}, {_C}, {_W} SELECT * FROM ({_FRAUD.format(at=_AT, c='c')}) WHERE transaction_timestamp >= watchlist_effective_from AND transaction_timestamp <= watchlist_effective_from + INTERVAL 10 DAY")
 def fraud_card_alert_bounded(spark, sf_dir):
-    return alerts.fraud_card_alerts(views.transactions(spark, sf_dir), _silver_watchlist(spark, sf_dir), views.customers(spark, sf_dir), _NOW, retention="10 DAY")
+    return alerts.fraud_card_alerts(views.transactions(spark, sf_dir), _silver_watchlist(spark, sf_dir), views.customers(spark, sf_dir), _now(), retention="10 DAY")
 
 
 # -- windows
@@ -117,12 +124,12 @@ def latest_10_windows(spark, sf_dir):
 
 @query(f"WITH {_T}, {_C} SELECT * FROM ({_HIGH.format(at=_OWN)}) WHERE alert_timestamp >= TIMESTAMP '{DASHBOARD}' - INTERVAL 1 HOUR ORDER BY alert_timestamp DESC")
 def recent_alerts_ordered(spark, sf_dir):
-    return reports.newest_first(reports.recent(_high(spark, sf_dir, F.col(_OWN)), _THEN))
+    return reports.newest_first(reports.recent(_high(spark, sf_dir, F.col(_OWN)), _then()))
 
 
 @query(f"WITH {_T}, {_C}, {_W} SELECT alert_type, risk_level, count(*) AS alert_count, avg(amount) AS avg_amount FROM ({_FRAUD.format(at=_OWN, c='c')}) WHERE alert_timestamp >= TIMESTAMP '{DASHBOARD}' - INTERVAL 1 HOUR GROUP BY ALL")
 def alert_summary_by_risk(spark, sf_dir):
-    return reports.summary_by_risk(_fraud(spark, sf_dir, F.col(_OWN)), _THEN)
+    return reports.summary_by_risk(_fraud(spark, sf_dir, F.col(_OWN)), _then())
 
 
 _BOTH = f"SELECT alert_type, alert_timestamp FROM ({_HIGH.format(at=_OWN)}) UNION ALL SELECT alert_type, alert_timestamp FROM ({_FRAUD.format(at=_OWN, c='c')})"
@@ -135,7 +142,7 @@ def alert_type_distribution(spark, sf_dir):
 
 @query(f"WITH {_T}, {_C}, {_W} SELECT count(*) AS alerts_last_hour FROM ({_BOTH}) WHERE alert_timestamp >= TIMESTAMP '{DASHBOARD}' - INTERVAL 1 HOUR")
 def alerts_last_hour(spark, sf_dir):
-    return reports.alerts_last_hour([_high(spark, sf_dir, F.col(_OWN)), _fraud(spark, sf_dir, F.col(_OWN))], _THEN)
+    return reports.alerts_last_hour([_high(spark, sf_dir, F.col(_OWN)), _fraud(spark, sf_dir, F.col(_OWN))], _then())
 
 
 @query(f"WITH {_T} SELECT date_trunc('hour', transaction_timestamp) AS bucket_start, avg(amount) AS avg_amount, count(*) AS transaction_count FROM t GROUP BY ALL")
@@ -165,7 +172,7 @@ _SILVER = "SELECT t.*, 'transactions' AS kafka_topic, CAST(0 AS INTEGER) AS kafk
 
 
 def _silver(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return refine.silver_transactions(refine.bronze_transactions(views.messages(spark, sf_dir), _NOW), _NOW)
+    return refine.silver_transactions(refine.bronze_transactions(views.messages(spark, sf_dir), _now()), _now())
 
 
 @query(f"WITH {_T} SELECT * REPLACE (date_trunc('millisecond', transaction_timestamp) AS transaction_timestamp) FROM ({_SILVER}) WHERE kafka_offset % {views.BROKEN} <> 0 AND kafka_offset % {views.NO_CARD} <> 0")
@@ -181,7 +188,7 @@ SELECT unnest(['valid_transaction_id', 'valid_customer_id', 'valid_card_number',
 def expectation_counts(spark, sf_dir):
     from vigilake import schemas
 
-    rows = refine.bronze_transactions(views.messages(spark, sf_dir), _NOW).select(F.from_json("value", schemas.TRANSACTION).alias("d")).select("d.*")
+    rows = refine.bronze_transactions(views.messages(spark, sf_dir), _now()).select(F.from_json("value", schemas.TRANSACTION).alias("d")).select("d.*")
     return E.violation_counts(rows, refine.TRANSACTION_EXPECTATIONS)
 
 
@@ -192,7 +199,7 @@ def silver_watchlist(spark, sf_dir):
 
 @query(f"WITH {_C} SELECT * REPLACE (CAST(try_strptime(account_open_date, '%Y-%m-%d') AS DATE) AS account_open_date), {_AT} AS silver_ingestion_timestamp FROM c WHERE customer_id IS NOT NULL")
 def silver_customers(spark, sf_dir):
-    return refine.silver_customers(views.customers(spark, sf_dir), _NOW)
+    return refine.silver_customers(views.customers(spark, sf_dir), _now())
 
 
 @query(f"WITH x AS (SELECT *, CAST(substr(upper(watchlist_id), 3) AS BIGINT) AS n FROM ({views.SQL['watchlist']})) SELECT upper(watchlist_id) AS watchlist_id, entity_id FROM x WHERE n > (SELECT coalesce(max(n), 0) FROM x WHERE risk_level = 'high' AND n < 700)")
@@ -319,10 +326,10 @@ def stream_sliding(spark, sf_dir):
 @query(f"WITH {_T}, {_C} {_HIGH.format(at=_AT)}")
 def stream_high_value(spark, sf_dir):
     customers = views.customers(spark, sf_dir)
-    return replay.drain(spark, {"t": views.transactions(spark, sf_dir)}, lambda t: alerts.high_value_alerts(t, customers, _NOW))
+    return replay.drain(spark, {"t": views.transactions(spark, sf_dir)}, lambda t: alerts.high_value_alerts(t, customers, _now()))
 
 
 @query(f"WITH {_T}, {_C}, {_W} {_FRAUD.format(at=_AT, c='c')}")
 def stream_fraud_card(spark, sf_dir):
     customers = views.customers(spark, sf_dir)
-    return replay.drain(spark, {"t": views.transactions(spark, sf_dir), "w": _silver_watchlist(spark, sf_dir)}, lambda t, w: alerts.fraud_card_alerts(t, w, customers, _NOW, watermark="5 minutes"))
+    return replay.drain(spark, {"t": views.transactions(spark, sf_dir), "w": _silver_watchlist(spark, sf_dir)}, lambda t, w: alerts.fraud_card_alerts(t, w, customers, _now(), watermark="5 minutes"))
