@@ -20,6 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from vigilake.llm.common import materialize
 from vigilake.llm.graph import components
@@ -78,15 +79,16 @@ def links(fps: DataFrame, bits: int = MAX_BITS, blocks: int = BLOCKS, hot: int =
     assert bits % 2 == 0
     keys = _keys(bits, blocks)
     choices = [F.struct(F.lit(i).cast("smallint").alias("k"), F.col("fp").bitwiseAND(_signed(m)).alias("bucket")) for i, (m, _) in enumerate(keys)]
-    # Each bucket in one place: its size decides how its members are linked.
+    # One shuffle brings the members of a bucket together; most stand alone and end there.
     dealt = fps.select("fp", F.inline(F.array(*choices)))
-    sizes = materialize(dealt.groupBy("k", "bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "buckets")
-    cold = dealt.join(sizes.filter(F.col("n") <= hot).drop("n"), ["k", "bucket"], "left_semi")
+    shared = dealt.withColumn("n", F.count(F.lit(1)).over(W.partitionBy("k", "bucket"))).filter("n > 1")
+    shared = materialize(shared, "buckets")
+    cold = shared.filter(F.col("n") <= hot)
     differ = "(a.fp ^ b.fp)"
     first = "CASE a.k " + " ".join(f"WHEN {i} THEN " + " AND ".join(["true", *(f"{differ} & {_signed(m)}L <> 0" for m in out)]) for i, (_, out) in enumerate(keys)) + " END"
     pairs = cold.alias("a").join(cold.alias("b"), F.expr(f"a.k = b.k AND a.bucket = b.bucket AND a.fp < b.fp AND bit_count({differ}) <= {bits} AND {first}"))
     pairs = pairs.select(F.col("a.fp").alias("a"), F.col("b.fp").alias("b"))
-    crowd = dealt.join(sizes.filter(F.col("n") > hot).drop("n"), ["k", "bucket"], "left_semi").select("fp").distinct()
+    crowd = shared.filter(F.col("n") > hot).select("fp").distinct()
     near = [0, *(sum(1 << i for i in c) for r in range(1, bits // 2 + 1) for c in combinations(range(64), r))]
     values = F.expr(f"transform(array({', '.join(f'{_signed(x)}L' if x < 1 << 63 or x > 1 << 63 else '(-9223372036854775807L - 1L)' for x in near)}), x -> fp ^ x)")
     around = crowd.select("fp", F.explode(values).alias("v"))
