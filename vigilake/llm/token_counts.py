@@ -15,7 +15,6 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -64,8 +63,12 @@ def _block(ids: pa.Array, texts: list[str], buckets: int) -> Iterator[tuple[int,
 
     found = [pretokens(t) for t in texts]
     sizes = np.fromiter(map(len, found), np.int64, len(found))
-    codes, distinct = pd.factorize(np.array([x for f in found for x in f], object)) if sizes.sum() else (np.empty(0, np.int64), np.empty(0, object))
+    flat = [x for f in found for x in f]
     found.clear()
+    # Python's own hash, as texts may hold NUL characters, which C strings end at.
+    index = {x: i for i, x in enumerate(dict.fromkeys(flat))}
+    codes, distinct = np.fromiter(map(index.__getitem__, flat), np.int64, len(flat)), np.array([*index, None], object)[:-1]
+    del flat
     yield -1, _pack(ids=ids, n_bytes=pa.array([len(t.encode("utf-8", "surrogatepass")) for t in texts], pa.int64())), None
     pairs, freq = np.unique(codes * len(texts) + np.repeat(np.arange(len(texts)), sizes), return_counts=True)
     code, doc = np.divmod(pairs, len(texts))
