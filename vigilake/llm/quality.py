@@ -118,11 +118,11 @@ def risk_cutoffs(holdout: DataFrame, risk: float = 0.05, delta: float = 0.1) ->
     steps = [(r, i, float(c)) for r, (_, cuts) in RULES.items() for i, c in enumerate(cuts)]
     falls = lambda r, c, good: F.sum((F.col("good") == good).cast("long") * F.coalesce(metric(r) > c, F.lit(False)).cast("long"))
     counts = [falls(r, c, g).alias(f"{r}_{i}_{g}") for r, i, c in steps for g in (True, False)]
-    by = holdout.groupBy("stratum").agg(F.count(F.when(F.col("good"), 1)).alias("n"), *counts)
-    strata = F.broadcast(by.agg(F.count(F.lit(1)).alias("strata")))  # a single row
+    by = materialize(holdout.groupBy("stratum").agg(F.count(F.when(F.col("good"), 1)).alias("n"), *counts), "holdout")
+    strata = by.count()
     rows = [F.struct(F.lit(r).alias("rule"), F.lit(i).alias("step"), F.lit(c).alias("cutoff"), F.col(f"{r}_{i}_True").alias("rejected"), F.col(f"{r}_{i}_False").alias("bad")) for r, i, c in steps]
-    tests = by.join(strata).select("stratum", "n", "strata", F.inline(F.array(*rows))).withColumn("p_value", binomial_tail(F.col("rejected"), F.col("n"), each))
-    tests = tests.withColumn("safe", F.col("p_value") <= delta / len(RULES) / F.col("strata"))
+    tests = by.select("stratum", "n", F.inline(F.array(*rows))).withColumn("p_value", binomial_tail(F.col("rejected"), F.col("n"), each))
+    tests = tests.withColumn("safe", F.col("p_value") <= delta / len(RULES) / max(1, strata))
     case = F.struct((F.col("bad") - F.col("rejected")).alias("gain"), (-F.col("step")).alias("mild"), "step", "cutoff", "n", "rejected", "p_value")
     best = tests.groupBy("stratum", "rule").agg(F.min(F.when(~F.col("safe"), F.col("step"))).alias("stop"), F.collect_list(case).alias("all"))
     best = best.withColumn("best", F.array_max(F.filter("all", lambda x: (F.col("stop").isNull() | (x["step"] < F.col("stop"))) & (x["gain"] > 0))))
