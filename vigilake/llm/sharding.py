@@ -1,7 +1,7 @@
 """Sharding (operator 5): a two-pass external shuffle.
 
 Pass 1 scatters records into buckets by a seeded hash of their id; there are as many buckets as it takes for
-each to fit a task's memory. Pass 2 shuffles each bucket by Fisher-Yates, seeded by the bucket, and cuts
+each to fit a task's memory, and as many as shards at least, so that small inputs spread over tasks too. Pass 2 shuffles each bucket by Fisher-Yates, seeded by the bucket, and cuts
 the buckets in their order into shards of equal row counts (at most one apart). The order depends on the seed,
 the ids and the texts alone: a lost task gives the same rows again.
 """
@@ -39,7 +39,7 @@ def shard(docs: DataFrame, shards: int = SHARDS, seed: int = 5, id_col: str = "d
     some shards stay empty. Columns named size, shard or slot are replaced."""
     rows = docs.drop("size", "shard", "slot").withColumn("size", F.coalesce(F.octet_length(text_col), F.lit(0)).cast("long") + ROW_BYTES)
     total = rows.agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("bytes")).first()
-    buckets = min(MAX_BUCKETS, max(1, -(-(total.bytes or 0) // bucket_bytes)))
+    buckets = min(MAX_BUCKETS, max(shards, -(-(total.bytes or 0) // bucket_bytes)))
     bucket = F.pmod(F.xxhash64(F.lit(seed), id_col), F.lit(buckets)).cast("int")
     counts = rows.groupBy(bucket.alias("__bucket")).agg(F.count(F.lit(1)).alias("n"))
     starts, at = [], 0
