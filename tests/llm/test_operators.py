@@ -122,3 +122,18 @@ def test_scores(spark, edge):
     ctx, target = np.zeros((1, 2 * lm_score.SIDE), np.int64), np.arange(lm_score.PAD)
     assert np.exp(one.log_probs(np.repeat(ctx, len(target), 0), target)).sum() == pytest.approx(1, abs=1e-3)
     lm_score.train(docs.limit(0))
+
+
+def test_encoder_equals_the_tokenizer_on_whole_texts():
+    import public_tokenizers
+
+    from vigilake.llm.token_files import Encoder
+
+    e = Encoder(public_tokenizers.path("word_bpe_49k.json"))
+    assert e.folds
+    texts = [
+        "<|endoftext|> a<|startoftext|>b", "É é É́ x́", "İstanbul ΑΣ ΣΑΣ. don't DON'T it's's", "a\tb\r\nc\x0bd", "", "  ", "ab½ 12.5% naïve—x", "ÿÿ×÷ª", "ſ K Å fi ’s",
+        "a'Sb ab's, x.'s", " x   y", "a\x00b .. ,a", "Word wORD word. WORD!? word$$$ straße STRASSE ẞ", "é ́e .́",
+    ]
+    for _ in range(2):  # new words, then known ones
+        assert e.encode(texts) == e._ids(texts)

@@ -14,9 +14,11 @@ attempts that counted, so lost executors leave nothing wrong behind.
 from __future__ import annotations
 
 import os
+import re
 import uuid
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -29,15 +31,21 @@ from vigilake.llm.common import materialize, scratch_path
 
 SEQUENCE, BATCH = 2048, 256
 END_ID = 1
-#: Words that the encoder keeps, per task.
-CACHE_WORDS = 300_000
+#: Words that the encoder keeps, per Python worker.
+CACHE_WORDS = 600_000
+#: Plain words that are encoded as one text.
+JOIN = 64
+#: A plain word: letters that are one pre-token in every spelling of A-Z, composed already, and signs after them that are another.
+PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([!\"#$%&()*+,./:;<=>?@^_{|}~-]*)")
 
 
 class Encoder:
     """Encodes texts with the tokenizers library, each distinct word once.
 
     For tokenizers whose pre-tokenizer drops white space, no token spans a space or a line end, so a text's ids
-    are those of its words in a row; for others (word_split=False) whole texts are encoded."""
+    are those of its words in a row; for others (word_split=False) whole texts are encoded. Where, besides, case
+    says nothing and the last piece of a pre-token is known by its suffix, new plain words are encoded many at a time,
+    in lower case, and their ids are cut apart at those pieces."""
 
     def __init__(self, path: str, word_split: bool = True):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -46,19 +54,33 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.word_split, self.known = word_split, {}
-        self.folds = word_split and self._ids(["A.", "a", "."]) == [self._ids(["a"])[0] + self._ids(["."])[0], *self._ids(["a", "."])]
+        suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        self.folds = False
+        if word_split and suffix:
+            self.ends = np.zeros(self.tokenizer.get_vocab_size(), bool)
+            self.ends[[i for piece, i in self.tokenizer.get_vocab(with_added_tokens=False).items() if piece.endswith(suffix)]] = True
+            probe = ["Ab", "ÉÀß", "ÿ", "zzzzqqqxj"]
+            self.folds = self._ids([f"{w}.%" for w in probe]) == [x + self._ids([".%"])[0] for x in self._plain([w.lower() for w in probe])]
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         return [np.array(x.ids, self.dtype).tobytes() for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _core(self, word: str) -> tuple[str, str]:
-        """An ASCII word in lower case, and the full stop or comma after its letters, which is a pre-token of its own."""
-        if self.folds and word.isascii():
-            if word[-1:] in (".", ",") and word[:-1].isalpha():
-                return word[:-1].lower(), word[-1]
-            if word.isalpha():
-                return word.lower(), ""
-        return word, ""
+    def _plain(self, letters: list[str]) -> list[bytes]:
+        """The ids of each run of letters."""
+        flat = b"".join(self._ids([" ".join(letters[i : i + JOIN]) for i in range(0, len(letters), JOIN)]))
+        ends = ((np.flatnonzero(self.ends[np.frombuffer(flat, self.dtype)]) + 1) * self.dtype.itemsize).tolist()
+        if len(ends) != len(letters):  # not as supposed: one by one
+            return self._ids(letters)
+        return [flat[a:b] for a, b in zip([0, *ends], ends)]
+
+    def _learn(self, new: set[str]) -> None:
+        plain = {w: m.groups() for w in new if (m := PLAIN.fullmatch(w))} if self.folds else {}
+        letters = list({a.lower() for a, _ in plain.values()})
+        ids = dict(zip(letters, self._plain(letters)))
+        others = list({b for _, b in plain.values()} | (new - plain.keys()))
+        other_ids = dict(zip(others, self._ids(others)))
+        self.known.update((w, ids[a.lower()] + other_ids[b]) for w, (a, b) in plain.items())
+        self.known.update((w, other_ids[w]) for w in new - plain.keys())
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text, as little-endian bytes."""
@@ -68,16 +90,17 @@ class Encoder:
         known = self.known
         if len(known) > CACHE_WORDS:
             known.clear()
-        new = set().union(*found).difference(known)
-        if new:
-            cores = {w: self._core(w) for w in new}
-            parts = {p for c in cores.values() for p in c}.difference(known)
-            # A core may itself be a word of these texts; special strings are encoded as they are.
-            known.update(zip(parts, self._ids(list(parts))))
-            known.update((w, known[a] + known[b]) for w, (a, b) in cores.items())
+        if new := set().union(*found).difference(known):
+            self._learn(new)
         return [b"".join(map(known.__getitem__, f)) for f in found]
 
 
+@lru_cache(maxsize=1)
+def shared_encoder(path: str, word_split: bool) -> Encoder:
+    """The encoder of this Python worker; later tasks find the words that earlier ones met."""
+    return Encoder(path, word_split)
+
+
 class Writer:
     """Writes one file and its index."""
 
@@ -168,7 +191,7 @@ def write_tokens(docs: DataFrame, tokenizer: str, path: str | None = None, end_i
         part, writer, n_docs = TaskContext.get().partitionId(), None, 0
         name = f"{at}/part-{part:06d}"
         temp = f"{name}-{uuid.uuid4().hex}.part"
-        encoder = Encoder(tokenizer, word_split)
+        encoder = shared_encoder(tokenizer, word_split)
         end = np.array([end_id], encoder.dtype).tobytes()
         for b in batches:
             writer = writer or Writer(fs, temp, id_type, encoder.dtype)
