@@ -14,14 +14,15 @@ attempts that counted, so lost executors leave nothing wrong behind.
 from __future__ import annotations
 
 import os
-import re
 import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs as pafs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -31,12 +32,20 @@ from vigilake.llm.common import materialize, scratch_path
 
 SEQUENCE, BATCH = 2048, 256
 END_ID = 1
-#: Words that the encoder keeps, per Python worker.
-CACHE_WORDS = 600_000
-#: Plain words that are encoded as one text.
+#: Pieces of text that the encoder keeps, per Python worker.
+CACHE_PIECES = 600_000
+#: Runs of letters that are encoded as one text.
 JOIN = 64
+#: Bytes of text that are encoded at a time, besides the last document.
+SLICE_BYTES = 8 << 20
 #: A plain word: letters that are one pre-token in every spelling of A-Z, composed already, and signs after them that are another.
-PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([!\"#$%&()*+,./:;<=>?@^_{|}~-]*)")
+PLAIN = r"\A(?P<letters>[A-Za-zÀ-ÖØ-öø-ÿ]+)(?P<signs>[!\"#$%&()*+,./:;<=>?@^_{|}~-]*)\z"
+
+
+def _gather(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The runs of `flat` that begin at `starts` and are `sizes` long, one after another."""
+    ends = np.cumsum(sizes)
+    return flat[np.repeat(starts - ends + sizes, sizes) + np.arange(ends[-1] if len(ends) else 0)]
 
 
 class Encoder:
@@ -44,8 +53,8 @@ class Encoder:
 
     For tokenizers whose pre-tokenizer drops white space, no token spans a space or a line end, so a text's ids
     are those of its words in a row; for others (word_split=False) whole texts are encoded. Where, besides, case
-    says nothing and the last piece of a pre-token is known by its suffix, new plain words are encoded many at a time,
-    in lower case, and their ids are cut apart at those pieces."""
+    says nothing and the last token of a pre-token is known by its suffix, plain words are taken as letters and signs,
+    and new letters are encoded many at a time, in lower case, and their ids cut apart at those tokens."""
 
     def __init__(self, path: str, word_split: bool = True):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -53,51 +62,82 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-        self.word_split, self.known = word_split, {}
+        self.word_split = word_split
+        self._forget()
         suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
         self.folds = False
         if word_split and suffix:
             self.ends = np.zeros(self.tokenizer.get_vocab_size(), bool)
             self.ends[[i for piece, i in self.tokenizer.get_vocab(with_added_tokens=False).items() if piece.endswith(suffix)]] = True
             probe = ["Ab", "ÉÀß", "ÿ", "zzzzqqqxj"]
-            self.folds = self._ids([f"{w}.%" for w in probe]) == [x + self._ids([".%"])[0] for x in self._plain([w.lower() for w in probe])]
-
-    def _ids(self, texts: list[str]) -> list[bytes]:
-        return [np.array(x.ids, self.dtype).tobytes() for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def _plain(self, letters: list[str]) -> list[bytes]:
-        """The ids of each run of letters."""
-        flat = b"".join(self._ids([" ".join(letters[i : i + JOIN]) for i in range(0, len(letters), JOIN)]))
-        ends = ((np.flatnonzero(self.ends[np.frombuffer(flat, self.dtype)]) + 1) * self.dtype.itemsize).tolist()
-        if len(ends) != len(letters):  # not as supposed: one by one
-            return self._ids(letters)
-        return [flat[a:b] for a, b in zip([0, *ends], ends)]
-
-    def _learn(self, new: set[str]) -> None:
-        plain = {w: m.groups() for w in new if (m := PLAIN.fullmatch(w))} if self.folds else {}
-        letters = list({a.lower() for a, _ in plain.values()})
-        ids = dict(zip(letters, self._plain(letters)))
-        others = list({b for _, b in plain.values()} | (new - plain.keys()))
-        other_ids = dict(zip(others, self._ids(others)))
-        self.known.update((w, ids[a.lower()] + other_ids[b]) for w, (a, b) in plain.items())
-        self.known.update((w, other_ids[w]) for w in new - plain.keys())
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text, as little-endian bytes."""
+            flat, sizes = self._letters([w.lower() for w in probe])
+            own = [x.tolist() for x in np.split(flat, np.cumsum(sizes)[:-1])]
+            self.folds = self._ids([f"{w}.%" for w in probe]) == [x + self._ids([".%"])[0] for x in own]
+
+    def _forget(self) -> None:
+        """known: the place of each piece of text; its ids are size[place] of flat from start[place] on. Place 0: no ids."""
+        self.known, self.flat, self.start, self.size = {"": 0}, np.empty(0, self.dtype), np.zeros(1, np.int64), np.zeros(1, np.int64)
+
+    def _ids(self, texts: list[str]) -> list[list[int]]:
+        return [x.ids for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _each(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts in a row, and how many each has."""
+        ids = self._ids(texts)
+        return np.fromiter(chain.from_iterable(ids), self.dtype), np.fromiter(map(len, ids), np.int64, len(ids))
+
+    def _letters(self, runs: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The same for runs of letters in lower case."""
+        flat, _ = self._each([" ".join(runs[i : i + JOIN]) for i in range(0, len(runs), JOIN)])
+        ends = np.flatnonzero(self.ends[flat]) + 1
+        return (flat, np.diff(ends, prepend=0)) if len(ends) == len(runs) else self._each(runs)  # not as supposed: one by one
+
+    def _places(self, pieces: pa.Array, encode: Callable) -> np.ndarray:
+        """The place of each piece; new ones are encoded."""
+        distinct = pieces.dictionary_encode()
+        found = distinct.dictionary.to_pylist()
+        if new := [x for x in found if x not in self.known]:
+            flat, sizes = encode(new)
+            self.known.update(zip(new, range(len(self.known), len(self.known) + len(new))))
+            self.start = np.concatenate((self.start, len(self.flat) + np.cumsum(sizes) - sizes))
+            self.flat, self.size = np.concatenate((self.flat, flat)), np.concatenate((self.size, sizes))
+        return np.fromiter(map(self.known.__getitem__, found), np.int64, len(found))[distinct.indices.to_numpy()]
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts (not null) in a row, and how many each has."""
         if not self.word_split:
-            return self._ids(texts)
-        found = [t.replace("\n", " ").split(" ") for t in texts]
-        known = self.known
-        if len(known) > CACHE_WORDS:
-            known.clear()
-        if new := set().union(*found).difference(known):
-            self._learn(new)
-        return [b"".join(map(known.__getitem__, f)) for f in found]
+            return self._each(texts.to_pylist())
+        if len(self.known) > CACHE_PIECES:
+            self._forget()
+        found = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
+        words = found.flatten().dictionary_encode()
+        word, of = words.dictionary, words.indices.to_numpy()
+        first, second = np.zeros(len(word), np.int64), np.zeros(len(word), np.int64)
+        odd = np.ones(len(word), bool)
+        if self.folds:
+            plain = pc.extract_regex(word, PLAIN)
+            odd = plain.is_null().to_numpy(zero_copy_only=False)
+            plain = plain.drop_null()
+            first[~odd] = self._places(pc.utf8_lower(pc.struct_field(plain, "letters")), self._letters)
+            second[~odd] = self._places(pc.struct_field(plain, "signs"), self._each)
+        first[odd] = self._places(word.filter(pa.array(odd)), self._each)
+        place = np.column_stack((first[of], second[of])).ravel()
+        sizes = self.size[place]
+        counts = 2 * pc.list_value_length(found).to_numpy().astype(np.int64)
+        upto = np.concatenate(([0], np.cumsum(sizes)))
+        return _gather(self.flat, self.start[place], sizes), np.diff(upto[np.concatenate(([0], np.cumsum(counts)))])
+
+
+def _slices(texts: pa.Array) -> Iterator[tuple[int, int]]:
+    """From and to: runs of texts of SLICE_BYTES at most, besides their last text."""
+    block = (np.cumsum(pc.binary_length(texts).to_numpy().astype(np.int64)) - 1) // SLICE_BYTES
+    edges = np.unique(np.concatenate(([0], np.flatnonzero(np.diff(block)) + 1, [len(texts)]))).tolist()
+    yield from zip(edges, edges[1:])
 
 
 @lru_cache(maxsize=1)
 def shared_encoder(path: str, word_split: bool) -> Encoder:
-    """The encoder of this Python worker; later tasks find the words that earlier ones met."""
+    """The encoder of this Python worker; later tasks find what earlier ones encoded."""
     return Encoder(path, word_split)
 
 
@@ -110,21 +150,21 @@ class Writer:
         self.index = pa.schema([("doc_id", id_type), ("start", pa.int64()), ("n_tokens", pa.int64())])
         self.outs = [fs.open_output_stream(path), fs.open_output_stream(f"{path}.docs")]
         self.file, self.list = pa.ipc.new_file(self.outs[0], self.schema), pa.ipc.new_file(self.outs[1], self.index)
-        self.rest: list[bytes] = []
+        self.rest: list[np.ndarray] = [np.empty(0, dtype)]
         self.held = 0
 
-    def add(self, doc_ids: pa.Array, ids: list[bytes]) -> None:
-        sizes = np.array([len(x) // self.dtype.itemsize for x in ids], np.int64)
-        starts = self.total + np.concatenate(([0], np.cumsum(sizes)[:-1])).astype(np.int64)
+    def add(self, doc_ids: pa.Array, ids: np.ndarray, sizes: np.ndarray) -> None:
+        """ids: those of all these documents in a row; sizes: how many each has."""
+        starts = self.total + np.cumsum(sizes) - sizes
         self.list.write_batch(pa.RecordBatch.from_arrays([doc_ids, pa.array(starts), pa.array(sizes)], schema=self.index))
-        self.total += int(sizes.sum())
-        self.rest += ids
-        self.held += int(sizes.sum())
+        self.total += len(ids)
+        self.rest.append(ids)
+        self.held += len(ids)
         if self.held >= BATCH * SEQUENCE:
             self._flush(False)
 
     def _flush(self, last: bool) -> None:
-        flat = np.frombuffer(b"".join(self.rest), self.dtype)
+        flat = np.concatenate(self.rest)
         step = BATCH * SEQUENCE
         end = len(flat) if last else len(flat) // step * step
         for i in range(0, end, step):
@@ -134,7 +174,7 @@ class Writer:
             mask[len(own) :] = False
             own = np.concatenate((own, np.zeros(fill, self.dtype)))
             self.file.write_batch(pa.RecordBatch.from_arrays([pa.FixedSizeListArray.from_arrays(pa.array(own), SEQUENCE), pa.FixedSizeListArray.from_arrays(pa.array(mask), SEQUENCE)], schema=self.schema))
-        self.rest, self.held = [flat[end:].tobytes()], len(flat) - end
+        self.rest, self.held = [flat[end:].copy()], len(flat) - end
 
     def close(self) -> None:
         self._flush(True)
@@ -192,13 +232,13 @@ def write_tokens(docs: DataFrame, tokenizer: str, path: str | None = None, end_i
         name = f"{at}/part-{part:06d}"
         temp = f"{name}-{uuid.uuid4().hex}.part"
         encoder = shared_encoder(tokenizer, word_split)
-        end = np.array([end_id], encoder.dtype).tobytes()
         for b in batches:
             writer = writer or Writer(fs, temp, id_type, encoder.dtype)
             n_docs += b.num_rows
-            for i in range(0, b.num_rows, 64):
-                own = b.slice(i, 64)
-                writer.add(own.column(0), [x + end for x in encoder.encode([t or "" for t in own.column(1).to_pylist()])])
+            texts = pc.fill_null(b.column(1), "")
+            for i, j in _slices(texts):
+                ids, sizes = encoder.encode(texts.slice(i, j - i))
+                writer.add(b.column(0).slice(i, j - i), np.insert(ids, np.cumsum(sizes), end_id), sizes + 1)
         if writer is not None:
             writer.close()
             done = f"{temp.removesuffix('.part')}.arrow"
