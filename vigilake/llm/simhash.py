@@ -30,19 +30,26 @@ SEED = 42
 _BITS = ((np.arange(256)[:, None] >> np.arange(8)) & 1).astype(np.int64)
 
 
-def fingerprint(text: str | None) -> int:
-    """64-bit SimHash (unsigned) of one text; null or without words: 0."""
+def shingle_hashes(text: str | None, size: int = SHINGLE) -> np.ndarray:
+    """Hashes of all runs of `size` words (one of all words, if there are fewer); null or without words: none."""
     from xxhash import xxh64_intdigest
 
     found = (text or "").encode("utf-8", "surrogatepass").lower().split()  # bytes: only A-Z and ASCII white space
     if not found:
-        return 0
+        return np.empty(0, np.uint64)
     flat = b" ".join(found)
     ends = np.cumsum(np.fromiter(map(len, found), np.int64, len(found)) + 1) - 1
     starts = np.concatenate(([0], ends[:-1] + 1))
-    k = min(SHINGLE, len(found))
+    k = min(size, len(found))
     cuts = zip(starts[: len(found) - k + 1].tolist(), ends[k - 1 :].tolist())
-    hashes = np.fromiter((xxh64_intdigest(flat[a:b], SEED) for a, b in cuts), np.uint64, len(found) - k + 1)
+    return np.fromiter((xxh64_intdigest(flat[a:b], SEED) for a, b in cuts), np.uint64, len(found) - k + 1)
+
+
+def fingerprint(text: str | None) -> int:
+    """64-bit SimHash (unsigned) of one text; null or without words: 0."""
+    hashes = shingle_hashes(text)
+    if not len(hashes):
+        return 0
     lanes = hashes.view(np.uint8).reshape(-1, 8)
     set_bits = np.concatenate([np.bincount(lanes[:, i], minlength=256) @ _BITS for i in range(8)])
     return int(np.packbits(set_bits * 2 > len(hashes), bitorder="little").view("<u8")[0])
