@@ -107,6 +107,21 @@ def test_decontamination(spark, edge):
     assert decontaminate.overlaps(docs, bench.limit(0)).count() == 0
 
 
+def test_decontamination_of_short_items():
+    """Every pattern of replaced words that verify() accepts is found, for items of 5 words to a bare run of 13."""
+    from itertools import combinations
+
+    for n in range(5, 14):
+        item = [f"w{k}" for k in range(n)]
+        index = decontaminate.Index([(1, " ".join(item))])
+        for some in (c for k in range(n // 5 + 1) for c in combinations(range(n), k)):
+            text = " ".join(["before", *("other" if k in some else w for k, w in enumerate(item)), "after"])
+            assert [x[1:3] for x in decontaminate._search(index, [text])] != [], (n, some)
+    phrase = "一个没有空格的问题它的答案是什么呢谁也不知道"
+    index = decontaminate.Index([(1, phrase), (2, "yes"), (3, "Antidisestablishmentarianism matters")])
+    assert [x[:2] for x in decontaminate._search(index, [f"问。{phrase}。", "yes or no", "so antidisestablishmentarianism, matters", "antidisestablishmentarianism"])] == [(0, 1), (2, 3)]
+
+
 def test_scores(spark, edge):
     rng = random.Random(2)
     order = lambda: " ".join(w for _ in range(60) for w in rng.choice((["the", "cat", "sat"], ["a", "dog", "ran"])))

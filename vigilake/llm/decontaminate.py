@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -23,10 +24,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 #: 1: the word counts, 0: any word may stand here.
-MASKS = ("11011011", "1101011001", "111010011")
+MASKS = ("11011011", "1101011001", "111010011", "1111011")
 VERIFY, MIN_SHARE = 13, 0.8
-#: Items of fewer words than the longest mask are looked up by all their words; those below MIN_WORDS say too little and are left out.
-MIN_WORDS = 5
+#: Items of fewer than VERIFY words have masks of their own (item_masks). Those below MIN_WORDS count as exact copies only, if their words
+#: have MIN_CHARS characters (long words, scripts without spaces); others say too little and are left out.
+MIN_WORDS, MIN_CHARS = 5, 20
 MAX_WORDS = 500_000
 #: Words of documents that are hashed at a time.
 CHUNK_WORDS = 1 << 19
@@ -37,18 +39,29 @@ def words_of(text: str | None) -> list[str]:
     return WORD.findall((text or "").lower())
 
 
+def item_masks(n: int) -> list[str]:
+    """Masks for items of n < VERIFY words: whichever n // 5 words are replaced, one mask leaves them all out.
+
+    Positions are paired; each mask leaves out as many pairs as words may be replaced."""
+    pairs = [range(i, min(i + 2, n)) for i in range(0, n, 2)]
+    return ["".join("01"[all(i not in p for p in out)] for i in range(n)) for out in combinations(pairs, n // 5)]
+
+
+def says_enough(words: list[str]) -> bool:
+    return len(words) >= MIN_WORDS or sum(map(len, words)) >= MIN_CHARS
+
+
 class Index:
     """The seeds of some benchmark items, sorted by hash, for each mask."""
 
     def __init__(self, items: list[tuple[object, str | None]], masks: tuple[str, ...] = MASKS):
         self.vocab: dict[str, int] = {}
-        found = [(i, np.array([self.vocab.setdefault(w, len(self.vocab) + 1) for w in ws], np.int64)) for i, ws in ((i, words_of(t)) for i, t in items) if len(ws) >= MIN_WORDS]
+        found = [(i, np.array([self.vocab.setdefault(w, len(self.vocab) + 1) for w in ws], np.int64)) for i, ws in ((i, words_of(t)) for i, t in items) if says_enough(ws)]
         self.ids, self.words = [i for i, _ in found], [w for _, w in found]
         self.codes = np.random.Generator(np.random.PCG64(10)).integers(0, 1 << 63, len(self.vocab) + 1, np.uint64)
-        longest = max(map(len, masks))
-        short = sorted({len(w) for w in self.words if len(w) < longest})
+        short = sorted({len(w) for w in self.words if len(w) < VERIFY})
         self.masks = []
-        for mask, fits in [(m, lambda n: n >= longest) for m in masks] + [("1" * s, lambda n, s=s: n == s) for s in short]:
+        for mask, fits in [(m, lambda n: n >= VERIFY) for m in masks] + [(m, lambda n, s=s: n == s) for s in short for m in item_masks(s)]:
             own = [k for k, w in enumerate(self.words) if fits(len(w))]
             hashes = [self.hash(mask, self.words[k]) for k in own]
             if own:
