@@ -140,6 +140,13 @@ def test_scores(spark, edge):
     lm_score.train(docs.limit(0))
 
 
+def test_every_position_is_trained(spark):
+    """In the registered rounds; a text of one word gives a target as well."""
+    docs = frame(spark, ["lone"]).repartition(1)
+    start, weights = lm_score.train(docs, rounds=0)[1], lm_score.train(docs)[1]
+    assert (weights["d"] != start["d"]).any()
+
+
 def test_encoder_equals_the_tokenizer_on_whole_texts():
     e = token_files.Encoder(BPE)
     assert e.folds

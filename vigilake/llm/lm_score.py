@@ -5,8 +5,8 @@ pass one tanh layer; the output is factored, P(word) = P(class) * P(word | class
 softmaxes instead of one over the vocabulary. A document's score is the sum of the conditional
 log-probabilities of all its words, each masked in turn.
 
-Everything is taken from the whole corpus: words are counted over all documents, and every document gives
-training positions (one in TRAIN_STRIDE). Training is data-parallel: each partition starts from the same
+Everything is taken from the whole corpus: words are counted over all documents, and every position of every
+document is a training target in each round. Training is data-parallel: each partition starts from the same
 weights, goes over its own windows, and the weights are averaged by windows seen, round by round. The sums run
 in the executors, in two steps; the driver gets one set of weights, whatever the corpus's size.
 """
@@ -29,7 +29,7 @@ SIDE, DIM, HIDDEN = 2, 16, 32
 CLASSES, MEMBERS = 64, 64
 #: The last RARE_CLASSES classes hold words beyond the vocabulary, by a hash.
 RARE_CLASSES = 8
-TRAIN_STRIDE, ROUNDS, BATCH, RATE = 4, 1, 4096, 0.08
+ROUNDS, BATCH, RATE = 1, 4096, 0.08
 #: Words whose ids are kept rather than hashed anew, per Python worker; ids are the same either way.
 REMEMBERED = 400_000
 #: Words that are in memory as arrays at a time.
@@ -219,10 +219,9 @@ def train(docs: DataFrame, text_col: str = "text", rounds: int = ROUNDS, seed: i
 
             for b in batches:
                 for _, flat, at, _ in _chunks(b.column(0).to_pylist(), vocab):
-                    own = at[(at + turn) % TRAIN_STRIDE == 0]
-                    seen += len(own)
-                    ctx.append(_windows(flat, own))
-                    target.append(flat[own])
+                    seen += len(at)
+                    ctx.append(_windows(flat, at))
+                    target.append(flat[at])
                     if sum(map(len, target)) >= 16 * BATCH:
                         steps(False)
             if sum(map(len, target)):
