@@ -147,6 +147,20 @@ def test_every_position_is_trained(spark):
     assert (weights["d"] != start["d"]).any()
 
 
+def test_unseen_words_score_below_known_ones(spark):
+    rng = random.Random(3)
+    often = [f"k{i}" for i in range(lm_score.KNOWN)]
+    seldom = [f"r{i}" for i in range(4000)]
+    texts = [" ".join(rng.sample(often, len(often))) for _ in range(4)] + [" ".join(seldom[i : i + 100]) for i in range(0, 4000, 100)] + [" ".join(seldom[:100])]
+    vocab, weights = lm_score.train(frame(spark, texts), rounds=0)
+    held = [" ".join(often[:100]), " ".join(seldom[:100]), " ".join(seldom[100:200]), " ".join(f"never{i}" for i in range(100))]
+    rows = {r.doc_id: r for r in lm_score.score(frame(spark, held + ["r7", "r7 r7"]), vocab, weights).collect()}
+    known, twice, once, never = (rows[i].mean_log_prob for i in range(4))
+    assert known > twice > once > never
+    total = 4 * len(often) + 4100
+    assert abs(rows[4].log_prob - np.log(2 / total)) < 0.3 and rows[5].log_prob == pytest.approx(2 * rows[4].log_prob, abs=1e-3)
+
+
 def test_encoder_equals_the_tokenizer_on_whole_texts():
     e = token_files.Encoder(BPE)
     assert e.folds

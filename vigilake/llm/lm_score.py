@@ -2,7 +2,9 @@
 
 The network predicts a word from SIDE words on its left and SIDE on its right: their embeddings, by position,
 pass one tanh layer; the output is factored, P(word) = P(class) * P(word | class), so a word costs two small
-softmaxes instead of one over the vocabulary. A document's score is the sum of the conditional
+softmaxes instead of one over the vocabulary. Words beyond the vocabulary share ids by a hash; each has its own
+share of its id, P(word | id), from the complete table of counts, which is joined and never held in one place. Words
+that the table lacks have part of a share that is kept for them. A document's score is the sum of the conditional
 log-probabilities of all its words, each masked in turn.
 
 Everything is taken from the whole corpus: words are counted over all documents, and every position of every
@@ -19,6 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh32_intdigest
@@ -44,7 +47,13 @@ def words_of(text: str | None) -> list[str]:
 
 
 class Vocabulary(dict):
-    """Word to id; words that aren't listed get an id of the rare classes by a hash, and stay while there is room."""
+    """Word to id; words that aren't listed get an id of the rare classes by a hash, and stay while there is room.
+
+    shares: word, share (ln P(word | id)) of all counted words that aren't listed; unseen: that of any other word, by
+    id from KNOWN on. Copies (as executors get) have neither."""
+
+    shares: DataFrame | None = None
+    unseen: np.ndarray | None = None
 
     def __missing__(self, word: str) -> int:
         found = KNOWN + xxh32_intdigest(word.encode("utf-8", "surrogatepass")) % (RARE_CLASSES * MEMBERS)
@@ -146,14 +155,20 @@ def _windows(flat: np.ndarray, at: np.ndarray) -> np.ndarray:
     return np.stack([flat[at + k] for k in (*range(-SIDE, 0), *range(1, SIDE + 1))], axis=1)
 
 
-def _chunks(texts: list[str | None], vocab: Vocabulary) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
-    """(first text, padded ids, positions of words, the text of each): some whole texts at a time."""
+def _chunks(texts: list[str | None], vocab: Vocabulary, rare: list[Counter] | None = None) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    """(first text, padded ids, positions of words, the text of each): some whole texts at a time.
+
+    `rare` gets the counts of each text's words beyond the vocabulary."""
     at, pad = 0, np.full(SIDE, PAD, np.int32)
     while at < len(texts):
         first, parts, sizes, n = at, [pad], [], 0
         while at < len(texts) and n < CHUNK_WORDS:
             got = words_of(texts[at])
-            parts += [np.fromiter(map(vocab.__getitem__, got), np.int32, len(got)), pad]
+            ids = np.fromiter(map(vocab.__getitem__, got), np.int32, len(got))
+            parts += [ids, pad]
+            if rare is not None:
+                own = np.flatnonzero(ids >= KNOWN).tolist()
+                rare.append(Counter([got[k] for k in own]))
             sizes.append(len(got))
             n += len(got)
             at += 1
@@ -183,21 +198,44 @@ def count_words(docs: DataFrame, text_col: str = "text") -> DataFrame:
     return docs.select(F.col(text_col).alias("text")).mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
+def _rare_shares(counted: DataFrame, vocab: Vocabulary) -> np.ndarray:
+    """Sets shares and unseen of vocab from the table of counts; gives the counts of the ids from KNOWN on.
+
+    An id's words count once more in all than they stand: that once goes to words not seen, of which there may be
+    as many as seen ones and one."""
+    given = counted.sparkSession.sparkContext.broadcast(Vocabulary(vocab))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocab = given.value
+        for b in batches:
+            ids = pa.array([vocab[w] for w in b.column(0).to_pylist()], pa.int32())
+            yield pa.RecordBatch.from_arrays([b.column(0), ids, b.column(1)], ["word", "id", "n"]).filter(pa.compute.greater_equal(ids, KNOWN))
+
+    rare = materialize(counted.select("word", "n").mapInArrow(run, "word string, id int, n long"), "rare")
+    sums = rare.groupBy("id").agg(F.sum("n").alias("of"), F.count(F.lit(1)).alias("words"))
+    n, words = np.zeros(RARE_CLASSES * MEMBERS), np.zeros(RARE_CLASSES * MEMBERS)
+    for r in sums.collect():
+        n[r.id - KNOWN], words[r.id - KNOWN] = r.of, r.words
+    vocab.unseen = -np.log((n + 1) * (words + 1))
+    of = F.get(F.array(*[F.lit(float(x)) for x in n]), F.col("id") - KNOWN)
+    vocab.shares = materialize(rare.select("word", F.log(F.col("n") / (of + 1)).alias("share")), "shares")
+    return n
+
+
 def train(docs: DataFrame, text_col: str = "text", rounds: int = ROUNDS, seed: int = 9) -> tuple[Vocabulary, dict[str, np.ndarray]]:
-    """The vocabulary (of fixed size, so bounded) and the weights; all documents take part. No words: the starting weights."""
+    """The vocabulary (of fixed size, so bounded; the other words' shares in a table) and the weights; all documents take part. No words: the starting weights."""
     spark = docs.sparkSession
     counted = materialize(count_words(docs, text_col), "words")
     top = counted.orderBy(F.desc("n"), "word").limit(KNOWN).collect()
     vocab = Vocabulary((r.word, i) for i, r in enumerate(top))
     counts = np.zeros(PAD)
     counts[: len(top)] = [r.n for r in top]
-    rest = max(0, (counted.agg(F.sum("n")).first()[0] or 0) - counts.sum())
-    counts[KNOWN:] = rest / (RARE_CLASSES * MEMBERS)
+    counts[KNOWN:] = _rare_shares(counted, vocab)
     weights = Network.start(counts, seed).p
     names = list(weights)
 
     for turn in range(rounds):
-        given = spark.sparkContext.broadcast((vocab, weights))
+        given = spark.sparkContext.broadcast((Vocabulary(vocab), weights))
 
         def run(batches: Iterator[pa.RecordBatch], given=given, turn=turn) -> Iterator[pa.RecordBatch]:
             from pyspark import TaskContext
@@ -247,21 +285,33 @@ def score(docs: DataFrame, vocab: Vocabulary, weights: dict[str, np.ndarray], id
     """doc_id, n_words (long), log_prob (double, the sum), mean_log_prob (null without words), for each row of docs.
 
     Null and empty texts have no words and log_prob 0. Repeated rows and null ids stay; other columns are left out."""
-    given = docs.sparkSession.sparkContext.broadcast((vocab, weights))
+    given = docs.sparkSession.sparkContext.broadcast((Vocabulary(vocab), weights))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
         vocab, start = given.value
-        net = Network(start)
-        for b in batches:
+        net, row = Network(start), TaskContext.get().partitionId() << 40
+        for b in (b.slice(at, 1000) for b in batches for at in range(0, b.num_rows, 1000)):
             n, total = np.zeros(b.num_rows, np.int64), np.zeros(b.num_rows)
-            for first, flat, at, of in _chunks(b.column(1).to_pylist(), vocab):
+            rare: list[Counter] = []
+            for first, flat, at, of in _chunks(b.column(1).to_pylist(), vocab, rare):
                 for i in range(0, len(at), 1 << 14):
                     own = at[i : i + (1 << 14)]
                     lp = net.log_probs(_windows(flat, own), flat[own])
                     span = first + of[i : i + (1 << 14)]
                     total += np.bincount(span, lp, b.num_rows)
                     n += np.bincount(span, minlength=b.num_rows)
-            mean = pa.array(total / np.maximum(n, 1), mask=n == 0)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n), pa.array(total), mean], ["doc_id", "n_words", "log_prob", "mean_log_prob"])
-
-    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, f"doc_id {docs.schema[id_col].dataType.simpleString()}, n_words long, log_prob double, mean_log_prob double")
+            edges = pa.array(np.concatenate(([0], np.cumsum([len(c) for c in rare]))), pa.int32())
+            words = [w for c in rare for w in c]
+            lists = [pa.ListArray.from_arrays(edges, x) for x in (pa.array(words, pa.string()), pa.array([vocab[w] for w in words], pa.int32()), pa.array([k for c in rare for k in c.values()], pa.int32()))]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n), pa.array(total), pa.array(np.arange(row, row + b.num_rows)), *lists], ["doc_id", "n_words", "ids_log", "row", "words", "ids", "times"])
+            row += b.num_rows
+
+    kind = f"doc_id {docs.schema[id_col].dataType.simpleString()}, n_words long, ids_log double, row long, words array<string>, ids array<int>, times array<int>"
+    by_ids = materialize(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, kind), "by_ids")
+    rare = by_ids.select("row", F.inline(F.arrays_zip("words", "ids", "times"))).withColumnRenamed("words", "word")
+    unseen = F.get(F.array(*[F.lit(float(x)) for x in vocab.unseen]), F.col("ids") - KNOWN)
+    shares = rare.join(vocab.shares, "word", "left").groupBy("row").agg(F.sum(F.col("times") * F.coalesce("share", unseen)).alias("shares_log"))
+    total = by_ids.select("doc_id", "n_words", "ids_log", "row").join(shares, "row", "left").withColumn("log_prob", F.col("ids_log") + F.coalesce("shares_log", F.lit(0.0)))
+    return total.select("doc_id", "n_words", "log_prob", F.when(F.col("n_words") > 0, F.col("log_prob") / F.col("n_words")).alias("mean_log_prob"))
