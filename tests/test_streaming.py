@@ -104,6 +104,19 @@ def test_digest(spark):
     assert failing.counters.failed == 1
 
 
+def test_digest_lists_every_alert(spark):
+    notifier = sinks.MemoryNotifier()
+    alerts = high(spark, 7)
+    sinks.digest_sink(notifier, "ops@example.com", mail_rows=3)(alerts, 0)
+    assert [body.count("<tr>") - 1 for _, _, body in notifier.sent] == [3, 3, 1] and [s[-8:] for _, s, _ in notifier.sent] == ["(1 of 3)", "(2 of 3)", "(3 of 3)"]
+    assert all(sum(r.alert_id in body for _, _, body in notifier.sent) == 1 for r in alerts.select("alert_id").collect())
+    notifier.sent.clear()
+    # By default too a large batch is whole.
+    big = alerts.crossJoin(spark.range(200)).drop("id")
+    sinks.digest_sink(notifier, "ops@example.com")(big, 1)
+    assert sum(body.count("<tr>") - 1 for _, _, body in notifier.sent) == 1400
+
+
 def test_mails(spark):
     t = spark.createDataFrame([tuple((dict.fromkeys(schemas.TRANSACTION.names) | {"transaction_id": f"T{i}", "card_number": "4", "customer_id": f"C{i}", "amount": 1234.5}).values()) for i in range(4)], schemas.TRANSACTION)
     w = spark.createDataFrame([tuple((dict.fromkeys(schemas.WATCHLIST.names) | {"watchlist_id": "W", "entity_id": "4", "risk_level": "HIGH", "city": ""}).values())], schemas.WATCHLIST)

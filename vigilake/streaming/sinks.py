@@ -1,4 +1,4 @@
-"""Alert sinks for foreachBatch: one digest for each micro-batch, or one mail for each alert.
+"""Alert sinks for foreachBatch: a digest of each micro-batch, or one mail for each alert.
 
 A notifier is injected; without one a sink fails at once rather than drop alerts. Mail that a batch has sent is
 remembered by alert id, so a batch that is replayed does not send it again."""
@@ -10,6 +10,7 @@ import smtplib
 from collections.abc import Callable
 from dataclasses import dataclass, field
 from email.mime.text import MIMEText
+from itertools import islice
 from typing import Protocol
 
 from pyspark.sql import DataFrame
@@ -62,11 +63,12 @@ class Counters:
     skipped: int = 0
 
 
-def digest_sink(notifier: Notifier, recipient: str, max_rows: int = 1000, counters: Counters | None = None) -> Callable[[DataFrame, int], None]:
-    """One mail for all high-value alerts of a batch, to the operator; none for an empty batch.
+def digest_sink(notifier: Notifier, recipient: str, max_rows: int | None = None, counters: Counters | None = None, mail_rows: int = 1000) -> Callable[[DataFrame, int], None]:
+    """All high-value alerts of a batch, newest first, to the operator, in mails of at most mail_rows; none for an empty batch.
 
-    Rows are rendered on the executors. The mail lists the newest max_rows alerts and tells the number of all, so what
-    comes to the driver is bounded. A mail that fails is logged and counted: alerts stay in their table."""
+    Rows are rendered on the executors and come to the driver one partition at a time. Only if max_rows is given, one mail
+    lists that many at most and tells the number of the others. A mail that fails is logged and counted, and does not stop
+    the others: alerts stay in their table."""
     counters = counters if counters is not None else Counters()
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -74,14 +76,21 @@ def digest_sink(notifier: Notifier, recipient: str, max_rows: int = 1000, counte
         if not total:
             log.info("batch %s has no alerts", batch_id)
             return
-        rows = batch.orderBy(F.desc("transaction_timestamp"), "alert_id").limit(max_rows).select(render.digest_row().alias("row")).collect()
-        more = f"<p>and {total - len(rows)} more</p>" if total > len(rows) else ""
-        try:
-            notifier.send(recipient, render.digest_subject(total), f"<table>{render.DIGEST_HEAD}{''.join(r.row for r in rows)}</table>{more}")
-            counters.sent += 1
-        except OSError:
-            counters.failed += 1
-            log.exception("digest of batch %s not sent", batch_id)
+        rows = batch.orderBy(F.desc("transaction_timestamp"), "alert_id")
+        size = mail_rows if max_rows is None else max_rows
+        rows = (rows if max_rows is None else rows.limit(max_rows)).select(render.digest_row().alias("row")).toLocalIterator()
+        mails = -(-total // size) if max_rows is None else 1
+        turn = 0
+        while (some := [r.row for r in islice(rows, size)]) or turn == 0:
+            turn += 1
+            subject = render.digest_subject(total) + (f" ({turn} of {mails})" if mails > 1 else "")
+            more = f"<p>and {total - len(some)} more</p>" if max_rows is not None and total > len(some) else ""
+            try:
+                notifier.send(recipient, subject, f"<table>{render.DIGEST_HEAD}{''.join(some)}</table>{more}")
+                counters.sent += 1
+            except OSError:
+                counters.failed += 1
+                log.exception("digest %s of batch %s not sent", turn, batch_id)
 
     write.counters = counters
     return write
