@@ -9,7 +9,7 @@ import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
-from vigilake.llm import decontaminate, lm_score, mixing, sharding, token_counts, token_files
+from vigilake.llm import decontaminate, mixing, sharding, token_counts, token_files
 from vigilake.llm.common import scratch_dir
 
 SCHEMA = "doc_id long, text string, source string, shard string, n_tokens long, size int, count int"
@@ -122,45 +122,6 @@ def test_decontamination_of_short_items():
     assert [x[:2] for x in decontaminate._search(index, [f"问。{phrase}。", "yes or no", "so antidisestablishmentarianism, matters", "antidisestablishmentarianism"])] == [(0, 1), (2, 3)]
 
 
-def test_scores(spark, edge):
-    rng = random.Random(2)
-    order = lambda: " ".join(w for _ in range(60) for w in rng.choice((["the", "cat", "sat"], ["a", "dog", "ran"])))
-    texts = [order() for _ in range(120)]
-    docs = frame(spark, texts).repartition(2)
-    vocab, weights = lm_score.train(docs, rounds=6)
-    held = [order() for _ in range(10)]
-    mixed = [" ".join(rng.sample(t.split(), len(t.split()))) for t in held]
-    rows = {r.doc_id: r for r in lm_score.score(frame(spark, held + mixed), vocab, weights).collect()}
-    assert min(rows[i].mean_log_prob for i in range(10)) > max(rows[i].mean_log_prob for i in range(10, 20))
-    out = lm_score.score(edge, vocab, weights).collect()
-    assert len(out) == edge.count() and all((r.mean_log_prob is None) == (r.n_words == 0) for r in out)
-    one = lm_score.Network(weights)
-    ctx, target = np.zeros((1, 2 * lm_score.SIDE), np.int64), np.arange(lm_score.PAD)
-    assert np.exp(one.log_probs(np.repeat(ctx, len(target), 0), target)).sum() == pytest.approx(1, abs=1e-3)
-    lm_score.train(docs.limit(0))
-
-
-def test_every_position_is_trained(spark):
-    """In the registered rounds; a text of one word gives a target as well."""
-    docs = frame(spark, ["lone"]).repartition(1)
-    start, weights = lm_score.train(docs, rounds=0)[1], lm_score.train(docs)[1]
-    assert (weights["d"] != start["d"]).any()
-
-
-def test_unseen_words_score_below_known_ones(spark):
-    rng = random.Random(3)
-    often = [f"k{i}" for i in range(lm_score.KNOWN)]
-    seldom = [f"r{i}" for i in range(4000)]
-    texts = [" ".join(rng.sample(often, len(often))) for _ in range(4)] + [" ".join(seldom[i : i + 100]) for i in range(0, 4000, 100)] + [" ".join(seldom[:100])]
-    vocab, weights = lm_score.train(frame(spark, texts), rounds=0)
-    held = [" ".join(often[:100]), " ".join(seldom[:100]), " ".join(seldom[100:200]), " ".join(f"never{i}" for i in range(100))]
-    rows = {r.doc_id: r for r in lm_score.score(frame(spark, held + ["r7", "r7 r7"]), vocab, weights).collect()}
-    known, twice, once, never = (rows[i].mean_log_prob for i in range(4))
-    assert known > twice > once > never
-    total = 4 * len(often) + 4100
-    assert abs(rows[4].log_prob - np.log(2 / total)) < 0.3 and rows[5].log_prob == pytest.approx(2 * rows[4].log_prob, abs=1e-3)
-
-
 def test_encoder_equals_the_tokenizer_on_whole_texts():
     e = token_files.Encoder(BPE)
     assert e.folds

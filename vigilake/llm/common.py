@@ -27,9 +27,11 @@ def words(text: Column) -> Column:
 def scratch_dir(spark: SparkSession) -> str:
     """A folder of this application below spark.checkpoint.dir, which all executors share.
 
-    Only where the session has no such setting (tests on one machine) a temporary folder is set."""
+    Only where one machine does all the work (a local master) may the setting be missing; then a temporary folder is set."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         base = f"{tempfile.gettempdir()}/vigilake-checkpoints"
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/vigilake/{spark.sparkContext.applicationId}"
@@ -58,11 +60,28 @@ def drop_path(spark: SparkSession, path: str) -> None:
     at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
 
 
+#: Spark then removes the shuffle files of a query as soon as it has ended.
+CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Cuts lineage: writes df to the shared scratch folder and reads it back.
 
-    The written table outlives any executor, so later reads never recompute what led to it."""
+    The written table outlives any executor, so later reads never recompute what led to it, and what was shuffled
+    for it is not needed any more."""
     spark = df.sparkSession
-    path = scratch_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    path, before = scratch_path(spark, name), spark.conf.get(CLEAN, None)
+    spark.conf.set(CLEAN, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.unset(CLEAN) if before is None else spark.conf.set(CLEAN, before)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.scratch = path
+    return out
+
+
+def drop(*tables: DataFrame) -> None:
+    """Removes tables that materialize() gave, once nothing reads them any more."""
+    for t in tables:
+        drop_path(t.sparkSession, t.scratch)

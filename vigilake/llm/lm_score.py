@@ -8,63 +8,91 @@ that the table lacks have part of a share that is kept for them. A document's sc
 log-probabilities of all its words, each masked in turn.
 
 Everything is taken from the whole corpus: words are counted over all documents, and every position of every
-document is a training target in each round. Training is data-parallel: each partition starts from the same
-weights, goes over its own windows, and the weights are averaged by windows seen, round by round. The sums run
-in the executors, in two steps; the driver gets one set of weights, whatever the corpus's size.
+document is a training target once. Texts become words once; from then on a word is its 64-bit hash, and a document
+its ids (two bytes each). Equal texts are counted first, then dealt to logical parts of about PART_WORDS words by
+their content, so that neither the input's files nor its partitions decide anything, and one text that holds a third
+of all rows spreads over all parts. Training is data-parallel: the parts form rounds; each part of a round starts from
+the same weights and goes over its own windows, and the weights are averaged by windows seen. More data makes more
+parts and more rounds. Sums run in the executors, FAN_IN parts at a time; the driver gets one set of weights.
 """
 
 from __future__ import annotations
 
 import re
-from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute
-from pyspark.sql import DataFrame
+from pyspark import Broadcast
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from xxhash import xxh32_intdigest
+from xxhash import xxh64_intdigest
 
-from vigilake.llm.common import materialize
+from vigilake.llm.common import drop, materialize
 
 SIDE, DIM, HIDDEN = 2, 16, 32
 CLASSES, MEMBERS = 64, 64
 #: The last RARE_CLASSES classes hold words beyond the vocabulary, by a hash.
 RARE_CLASSES = 8
-ROUNDS, BATCH, RATE = 1, 4096, 0.08
-#: Words whose ids are kept rather than hashed anew, per Python worker; ids are the same either way.
+BATCH, RATE = 8192, 0.08
+#: Words of a logical part of the training data, on average.
+PART_WORDS = 1 << 22
+#: Parts that are summed up in one task, and weights of a part that are summed up together.
+FAN_IN, SLICE = 64, 1 << 14
+#: Words whose hashes a Python worker keeps; hashes are the same either way.
 REMEMBERED = 400_000
 #: Words that are in memory as arrays at a time.
 CHUNK_WORDS = 1 << 17
 WORD = re.compile(r"\w+")
 KNOWN = (CLASSES - RARE_CLASSES) * MEMBERS
+RARE = RARE_CLASSES * MEMBERS
 PAD = CLASSES * MEMBERS
+LIMIT = np.float32(60)  # of a logit, so that exp() of it is finite
 
 
 def words_of(text: str | None) -> list[str]:
     return WORD.findall((text or "").lower())
 
 
-class Vocabulary(dict):
-    """Word to id; words that aren't listed get an id of the rare classes by a hash, and stay while there is room.
-
-    shares: word, share (ln P(word | id)) of all counted words that aren't listed; unseen: that of any other word, by
-    id from KNOWN on. Copies (as executors get) have neither."""
-
-    shares: DataFrame | None = None
-    unseen: np.ndarray | None = None
+class _Hashes(dict):
+    """Word to its 64-bit hash."""
 
     def __missing__(self, word: str) -> int:
-        found = KNOWN + xxh32_intdigest(word.encode("utf-8", "surrogatepass")) % (RARE_CLASSES * MEMBERS)
+        found = xxh64_intdigest(word.encode("utf-8", "surrogatepass"))
         if len(self) < REMEMBERED:
             self[word] = found
         return found
 
 
+class Vocabulary:
+    """Hashes of the KNOWN most frequent words (their ids are their ranks), all others' ids by their hash.
+
+    counts: by id. shares: word (hash), share (ln P(word | id)) of all counted words that aren't listed; unseen: that of
+    any other word, by id from KNOWN on."""
+
+    def __init__(self, listed: np.ndarray):
+        self.order = np.argsort(listed, kind="stable")
+        self.listed = listed[self.order]
+        self.counts, self.unseen = np.zeros(PAD), np.zeros(RARE)
+        self.shares: DataFrame | None = None
+
+    def ids(self, hashes: np.ndarray) -> np.ndarray:
+        out = (KNOWN + hashes % np.uint64(RARE)).astype(np.uint16)
+        if len(self.listed):
+            at = np.minimum(np.searchsorted(self.listed, hashes), len(self.listed) - 1)
+            own = self.listed[at] == hashes
+            out[own] = self.order[at[own]]
+        return out
+
+    def of_words(self, words: list[str]) -> np.ndarray:
+        return self.ids(np.array([*map(_Hashes().__getitem__, words)], np.uint64))
+
+
 class Network:
     """Weights and both passes. Parameters: e embeddings, w and b of the hidden layer, c and d of the classes, m and n of their members."""
 
+    SHAPES = {"e": (PAD + 1, DIM), "w": (2 * SIDE * DIM, HIDDEN), "b": (HIDDEN,), "c": (CLASSES, HIDDEN), "d": (CLASSES,), "m": (CLASSES, MEMBERS, HIDDEN), "n": (CLASSES, MEMBERS)}
+
     def __init__(self, weights: dict[str, np.ndarray]):
         self.p = weights
 
@@ -72,82 +100,92 @@ class Network:
     def start(cls, counts: np.ndarray, seed: int = 9) -> Network:
         """Random weights; the output biases hold each id's frequency (counts: by id)."""
         r = np.random.Generator(np.random.PCG64(seed))
-        f = lambda *s: (r.standard_normal(s) * 0.1).astype(np.float32)
         by = (counts + 1.0).reshape(CLASSES, MEMBERS)
         share = by.sum(1)
-        return cls({"e": f(PAD + 1, DIM), "w": f(2 * SIDE * DIM, HIDDEN), "b": np.zeros(HIDDEN, np.float32), "c": np.zeros((HIDDEN, CLASSES), np.float32), "d": np.log(share / share.sum()).astype(np.float32), "m": np.zeros((CLASSES, HIDDEN, MEMBERS), np.float32), "n": np.log(by / share[:, None]).astype(np.float32)})
+        p = {k: np.zeros(s, np.float32) for k, s in cls.SHAPES.items()}
+        for k in "ew":
+            p[k] = (r.standard_normal(cls.SHAPES[k]) * 0.1).astype(np.float32)
+        return cls(p | {"d": np.log(share / share.sum()).astype(np.float32), "n": np.log(by / share[:, None]).astype(np.float32)})
+
+    @classmethod
+    def of_flat(cls, flat: np.ndarray) -> Network:
+        cuts = np.cumsum([np.prod(s) for s in cls.SHAPES.values()])[:-1]
+        return cls({k: x.reshape(s).astype(np.float32) for (k, s), x in zip(cls.SHAPES.items(), np.split(flat, cuts))})
 
-    def forward(self, ctx: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        x = self.p["e"][ctx].reshape(len(ctx), -1)
-        return x, np.tanh(x @ self.p["w"] + self.p["b"])
+    def flat(self) -> np.ndarray:
+        return np.concatenate([self.p[k].ravel() for k in self.SHAPES])
+
+    def _forward(self, ctx: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Embeddings, a row for each context, and the hidden layer, a column for each: numpy sums up columns faster than short rows."""
+        x = self.p["e"].take(ctx.ravel(), 0).reshape(len(ctx), -1)
+        return x, np.tanh(self.p["w"].T @ x.T + self.p["b"][:, None])
+
+    @staticmethod
+    def _by_class(target: np.ndarray) -> tuple[np.ndarray, list[int], np.ndarray, np.ndarray]:
+        """An order by class, where each class begins, and in that order the classes and members."""
+        kind = (target // MEMBERS).astype(np.uint8)
+        order = np.argsort(kind, kind="stable")  # by radix
+        kind, member = kind[order].astype(np.intp), (target % MEMBERS)[order].astype(np.intp)
+        return order, np.searchsorted(kind, np.arange(CLASSES + 1)).tolist(), kind, member
 
     @staticmethod
-    def _softmax(z: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Probabilities, and the logarithm of their common divisor."""
-        top = z.max(1, keepdims=True)
-        e = np.exp(z - top)
-        s = e.sum(1, keepdims=True)
-        return e / s, (top + np.log(s))[:, 0]
+    def _exp(z: np.ndarray) -> np.ndarray:
+        return np.exp(np.clip(z, -LIMIT, LIMIT, out=z), out=z)
 
     def log_probs(self, ctx: np.ndarray, target: np.ndarray) -> np.ndarray:
         """ln P(target | context), for rows of contexts (2 * SIDE ids each)."""
         p = self.p
-        kind, member = np.divmod(target, MEMBERS)
-        order = np.argsort(kind.astype(np.uint8), kind="stable")  # by radix
-        edges = np.searchsorted(kind[order], np.arange(CLASSES + 1))
-        kind, member = kind[order], member[order]
-        # A column for each row from here on: numpy sums up columns faster than short rows.
-        h = np.ascontiguousarray(self.forward(ctx[order])[1].T)
-        own_log = self._log_softmax_at(p["c"].T @ h + p["d"][:, None], kind)
+        order, edges, kind, member = self._by_class(target)
+        h, every = self._forward(ctx[order])[1], np.arange(len(target))
+        z = self._exp(p["c"] @ h + p["d"][:, None])
+        prob, total = z[kind, every], z.sum(0)
         for k in range(CLASSES):
-            own = slice(edges[k], edges[k + 1])
-            if edges[k] < edges[k + 1]:
-                own_log[own] += self._log_softmax_at(p["m"][k].T @ h[:, own] + p["n"][k][:, None], member[own])
-        out = np.empty_like(own_log)
-        out[order] = own_log
+            a, b = edges[k], edges[k + 1]
+            if a < b:
+                z = self._exp(p["m"][k] @ h[:, a:b] + p["n"][k][:, None])
+                prob[a:b] *= z[member[a:b], every[: b - a]]
+                total[a:b] *= z.sum(0)
+        out = np.empty_like(prob)
+        out[order] = np.log(prob / total)
         return out
 
-    @staticmethod
-    def _log_softmax_at(z: np.ndarray, at: np.ndarray) -> np.ndarray:
-        """For each column of z (overwritten), the logarithm of the probability of its row `at`."""
-        z -= z.max(0)
-        out = z[at, np.arange(len(at))]
-        return out - np.log(np.exp(z, out=z).sum(0))
-
-    def train(self, ctx: np.ndarray, target: np.ndarray, square: dict[str, np.ndarray]) -> None:
-        """One step of Adagrad; square holds the sums of squared gradients."""
-        p, n = self.p, np.float32(len(target))
-        x, h = self.forward(ctx)
-        kind, member = np.divmod(target, MEMBERS)
-        g, _ = self._softmax(h @ p["c"] + p["d"])
-        g[np.arange(len(g)), kind] -= 1
-        g /= n
-        grad = {"c": h.T @ g, "d": g.sum(0)}
-        dh = g @ p["c"].T
-        order = np.argsort(kind.astype(np.uint8), kind="stable")  # by radix
-        edges = np.searchsorted(kind[order], np.arange(CLASSES + 1))
+    def train(self, ctx: np.ndarray, target: np.ndarray, weight: np.ndarray, square: dict[str, np.ndarray]) -> None:
+        """One step of Adagrad; weight: of each window; square holds the sums of squared gradients."""
+        p = self.p
+        order, edges, kind, member = self._by_class(target)
+        ctx, every = ctx[order], np.arange(len(target))
+        share = (weight[order] / weight.sum()).astype(np.float32)
+        x, h = self._forward(ctx)
+        g = self._exp(p["c"] @ h + p["d"][:, None])
+        g *= share / g.sum(0)
+        g[kind, every] -= share
+        grad = {"c": g @ h.T, "d": g.sum(1), "m": np.zeros_like(p["m"]), "n": np.zeros_like(p["n"])}
+        dh = p["c"].T @ g
         for k in range(CLASSES):
-            own = order[edges[k] : edges[k + 1]]
-            if len(own):
-                g, _ = self._softmax(h[own] @ p["m"][k] + p["n"][k])
-                g[np.arange(len(own)), member[own]] -= 1
-                g /= n
-                dh[own] += g @ p["m"][k].T
-                self._step("m", h[own].T @ g, square, k)
-                self._step("n", g.sum(0), square, k)
+            a, b = edges[k], edges[k + 1]
+            if a < b:
+                own = h[:, a:b]
+                g = self._exp(p["m"][k] @ own + p["n"][k][:, None])
+                g *= share[a:b] / g.sum(0)
+                g[member[a:b], every[: b - a]] -= share[a:b]
+                dh[:, a:b] += p["m"][k].T @ g
+                grad["m"][k] = g @ own.T
+                grad["n"][k] = g.sum(1)
         dh *= 1 - h * h
-        grad |= {"w": x.T @ dh, "b": dh.sum(0)}
-        dx = (dh @ p["w"].T).reshape(-1, DIM)
-        ids, at = np.unique(ctx, return_inverse=True)
-        by = np.argsort(at.ravel(), kind="stable")
-        sums = np.add.reduceat(dx[by], np.searchsorted(at.ravel()[by], np.arange(len(ids))), axis=0)
+        grad |= {"w": x.T @ dh.T, "b": dh.sum(1)}
+        dx = (dh.T @ p["w"].T).reshape(-1, DIM)
+        ids = ctx.ravel()
+        by = np.argsort(ids, kind="stable")  # 16 bits: by radix
+        ids = ids[by]
+        first = np.flatnonzero(np.concatenate(([True], ids[1:] != ids[:-1])))
+        grad["e"] = np.zeros_like(p["e"])
+        grad["e"][ids[first]] = np.add.reduceat(dx[by], first, axis=0)
         for name, value in grad.items():
-            self._step(name, value, square, slice(None))
-        self._step("e", sums, square, ids)
-
-    def _step(self, name: str, grad: np.ndarray, square: dict[str, np.ndarray], at: object) -> None:
-        square[name][at] += grad * grad
-        self.p[name][at] -= RATE * grad / (np.sqrt(square[name][at]) + 1e-6)
+            s = square[name]
+            s += value * value
+            value *= RATE
+            value /= np.sqrt(s) + np.float32(1e-6)
+            p[name] -= value
 
 
 def _windows(flat: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -155,163 +193,234 @@ def _windows(flat: np.ndarray, at: np.ndarray) -> np.ndarray:
     return np.stack([flat[at + k] for k in (*range(-SIDE, 0), *range(1, SIDE + 1))], axis=1)
 
 
-def _chunks(texts: list[str | None], vocab: Vocabulary, rare: list[Counter] | None = None) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
-    """(first text, padded ids, positions of words, the text of each): some whole texts at a time.
+def _bytes(x: np.ndarray, sizes: list[int]) -> pa.Array:
+    """Consecutive pieces of x, `sizes` items each, as binary values."""
+    edges = np.concatenate(([0], np.cumsum(sizes, dtype=np.int64))) * x.itemsize
+    return pa.Array.from_buffers(pa.large_binary(), len(sizes), [None, pa.py_buffer(edges), pa.py_buffer(np.ascontiguousarray(x))]).cast(pa.binary())
 
-    `rare` gets the counts of each text's words beyond the vocabulary."""
-    at, pad = 0, np.full(SIDE, PAD, np.int32)
-    while at < len(texts):
+
+def _chunks(sequences: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    """(first sequence, padded ids, positions of words, the sequence of each): some whole sequences (binary, two bytes an id) at a time."""
+    at, pad = 0, np.full(SIDE, PAD, np.uint16)
+    while at < len(sequences):
         first, parts, sizes, n = at, [pad], [], 0
-        while at < len(texts) and n < CHUNK_WORDS:
-            got = words_of(texts[at])
-            ids = np.fromiter(map(vocab.__getitem__, got), np.int32, len(got))
+        while at < len(sequences) and n < CHUNK_WORDS:
+            ids = np.frombuffer(sequences[at].as_py(), np.uint16)
             parts += [ids, pad]
-            if rare is not None:
-                own = np.flatnonzero(ids >= KNOWN).tolist()
-                rare.append(Counter([got[k] for k in own]))
-            sizes.append(len(got))
-            n += len(got)
+            sizes.append(len(ids))
+            n += len(ids)
             at += 1
-        sizes = np.array(sizes)
         of = np.repeat(np.arange(len(sizes)), sizes)
         yield first, np.concatenate(parts), np.arange(n) + SIDE * (of + 1), of
 
 
-def count_words(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """word, n: how often each word stands in all texts."""
+def hash_words(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, words (binary: the 64-bit hash of each word of the text), for each row of docs."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: Counter = Counter()
+        known = _Hashes()
+        for b in (b.slice(at, 1000) for b in batches for at in range(0, b.num_rows, 1000)):
+            words, sizes = [], []
+            for t in b.column(1).to_pylist():
+                got = words_of(t)
+                words.append(np.fromiter(map(known.__getitem__, got), np.uint64, len(got)))
+                sizes.append(len(got))
+            yield pa.RecordBatch.from_arrays([b.column(0), _bytes(np.concatenate(words), sizes)], ["doc_id", "words"])
+
+    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, f"doc_id {docs.schema[id_col].dataType.simpleString()}, words binary")
+
+
+def count_words(hashed: DataFrame) -> DataFrame:
+    """word (hash), n: how often each word stands in all texts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n = [], 0
 
         def out() -> pa.RecordBatch:
-            b = pa.RecordBatch.from_arrays([pa.array(counts.keys(), pa.string()), pa.array(counts.values(), pa.int64())], ["word", "n"])
-            counts.clear()
-            return b
+            word, times = np.unique(np.concatenate([np.empty(0, np.uint64), *held]), return_counts=True)
+            held.clear()
+            return pa.RecordBatch.from_arrays([pa.array(word.view(np.int64)), pa.array(times)], ["word", "n"])
 
         for b in batches:
-            for t in b.column(0):
-                counts.update(words_of(t.as_py()))
-                if len(counts) > 400_000:
+            for x in b.column(0):
+                held.append(np.frombuffer(x.as_py(), np.uint64))
+                n += len(held[-1])
+                if n > 8 * CHUNK_WORDS:
                     yield out()
+                    n = 0
         yield out()
 
-    return docs.select(F.col(text_col).alias("text")).mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    return hashed.select("words").mapInArrow(run, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def _rare_shares(counted: DataFrame, vocab: Vocabulary) -> np.ndarray:
-    """Sets shares and unseen of vocab from the table of counts; gives the counts of the ids from KNOWN on.
+def _rare_index() -> Column:
+    """The id of a word (by its hash) beyond the vocabulary, less KNOWN; RARE is a power of two."""
+    return F.col("word").bitwiseAND(RARE - 1).cast("int")
 
-    An id's words count once more in all than they stand: that once goes to words not seen, of which there may be
-    as many as seen ones and one."""
-    given = counted.sparkSession.sparkContext.broadcast(Vocabulary(vocab))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocab = given.value
-        for b in batches:
-            ids = pa.array([vocab[w] for w in b.column(0).to_pylist()], pa.int32())
-            yield pa.RecordBatch.from_arrays([b.column(0), ids, b.column(1)], ["word", "id", "n"]).filter(pa.compute.greater_equal(ids, KNOWN))
-
-    rare = materialize(counted.select("word", "n").mapInArrow(run, "word string, id int, n long"), "rare")
-    sums = rare.groupBy("id").agg(F.sum("n").alias("of"), F.count(F.lit(1)).alias("words"))
-    n, words = np.zeros(RARE_CLASSES * MEMBERS), np.zeros(RARE_CLASSES * MEMBERS)
-    for r in sums.collect():
-        n[r.id - KNOWN], words[r.id - KNOWN] = r.of, r.words
-    vocab.unseen = -np.log((n + 1) * (words + 1))
-    of = F.get(F.array(*[F.lit(float(x)) for x in n]), F.col("id") - KNOWN)
-    vocab.shares = materialize(rare.select("word", F.log(F.col("n") / (of + 1)).alias("share")), "shares")
-    return n
-
-
-def train(docs: DataFrame, text_col: str = "text", rounds: int = ROUNDS, seed: int = 9) -> tuple[Vocabulary, dict[str, np.ndarray]]:
-    """The vocabulary (of fixed size, so bounded; the other words' shares in a table) and the weights; all documents take part. No words: the starting weights."""
-    spark = docs.sparkSession
-    counted = materialize(count_words(docs, text_col), "words")
+def vocabulary(counted: DataFrame) -> Vocabulary:
+    """The vocabulary of a table of counts. Words of equal counts go by their hash.
+
+    An id's rare words count once more in all than they stand: that once goes to words not seen, of which there may be
+    as many as seen ones and one."""
     top = counted.orderBy(F.desc("n"), "word").limit(KNOWN).collect()
-    vocab = Vocabulary((r.word, i) for i, r in enumerate(top))
-    counts = np.zeros(PAD)
-    counts[: len(top)] = [r.n for r in top]
-    counts[KNOWN:] = _rare_shares(counted, vocab)
-    weights = Network.start(counts, seed).p
-    names = list(weights)
+    vocab = Vocabulary(np.array([r.word for r in top], np.int64).view(np.uint64))
+    vocab.counts[: len(top)] = [r.n for r in top]
+    last = (top[-1].n, top[-1].word) if len(top) == KNOWN else (0, 0)
+    rare = counted.filter((F.col("n") < last[0]) | ((F.col("n") == last[0]) & (F.col("word") > last[1]))).withColumn("id", _rare_index())
+    words = np.zeros(RARE)
+    for r in rare.groupBy("id").agg(F.sum("n").alias("of"), F.count(F.lit(1)).alias("words")).collect():
+        vocab.counts[KNOWN + r.id], words[r.id] = r.of, r.words
+    vocab.unseen = -np.log((vocab.counts[KNOWN:] + 1) * (words + 1))
+    of = F.get(F.array(*[F.lit(float(x)) for x in vocab.counts[KNOWN:]]), F.col("id"))
+    vocab.shares = rare.select("word", F.log(F.col("n") / (of + 1)).alias("share"))
+    return vocab
+
+
+def encode(hashed: DataFrame, vocab: Vocabulary) -> DataFrame:
+    """doc_id, ids (binary, two bytes a word), rare and times (arrays: hashes of words beyond the vocabulary, and how often), for each row."""
+    given = hashed.sparkSession.sparkContext.broadcast((vocab.listed, vocab.order))
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocab = Vocabulary(np.empty(0, np.uint64))
+        vocab.listed, vocab.order = given.value
+        for b in (b.slice(at, 1000) for b in batches for at in range(0, b.num_rows, 1000)):
+            parts = [np.frombuffer(x.as_py(), np.uint64) for x in b.column(1)]
+            flat, sizes = np.concatenate([np.empty(0, np.uint64), *parts]), [len(x) for x in parts]
+            ids = vocab.ids(flat)
+            own = np.flatnonzero(ids >= KNOWN)
+            doc, word = np.repeat(np.arange(len(parts)), sizes)[own], flat[own]
+            order = np.lexsort((word, doc))
+            doc, word = doc[order], word[order]
+            first = np.flatnonzero(np.concatenate((np.ones(min(1, len(doc)), bool), (doc[1:] != doc[:-1]) | (word[1:] != word[:-1]))))
+            times = np.diff(np.concatenate((first, [len(doc)])))
+            edges = pa.array(np.searchsorted(doc[first], np.arange(len(parts) + 1)), pa.int32())
+            lists = [pa.ListArray.from_arrays(edges, x) for x in (pa.array(word[first].view(np.int64)), pa.array(times, pa.int32()))]
+            yield pa.RecordBatch.from_arrays([b.column(0), _bytes(ids, sizes), *lists], ["doc_id", "ids", "rare", "times"])
+
+    return hashed.select("doc_id", "words").mapInArrow(run, f"doc_id {hashed.schema['doc_id'].dataType.simpleString()}, ids binary, rare array<long>, times array<int>")
+
+
+def _average(trained: DataFrame, parts: int) -> np.ndarray | None:
+    """The weights of all parts, averaged by windows seen: a tree of sums, FAN_IN parts each."""
+
+    def add(t: pa.Table) -> pa.Table:
+        t = t.sort_by("part")
+        sums = np.zeros(len(t.column("sums")[0].as_py()) // 8)
+        for x in t.column("sums"):
+            sums += np.frombuffer(x.as_py())
+        return pa.table({"slice": t.column("slice").slice(0, 1), "part": pa.array([t.column("part")[0].as_py() // FAN_IN], pa.int64()), "seen": pa.array([sum(t.column("seen").to_pylist())], pa.float64()), "sums": pa.array([sums.tobytes()], pa.binary())})
+
+    while parts > 1:
+        trained = trained.groupBy("slice", F.floor(F.col("part") / FAN_IN)).applyInArrow(add, "slice int, part long, seen double, sums binary")
+        parts = -(-parts // FAN_IN)
+    rows = sorted(trained.collect(), key=lambda r: r.slice)
+    return np.concatenate([np.frombuffer(r.sums) / r.seen for r in rows]) if rows else None
+
+
+def _trainer(given: Broadcast, seed: int, rounds: int) -> Callable[[pa.Table], pa.Table]:
+    """Trains the given weights on the texts (ids, weight) of one part; gives them in slices, times the windows seen."""
+
+    def run(t: pa.Table) -> pa.Table:
+        part, t = t.column("part")[0].as_py(), t.sort_by("ids")
+        net = Network.of_flat(given.value)
+        square = {k: np.zeros_like(v) for k, v in net.p.items()}
+        rng, seen, held, ready = np.random.Generator(np.random.PCG64([seed, part])), 0.0, [], 0
+        t = t.take(rng.permutation(t.num_rows))
+
+        def steps(to_end: bool) -> None:
+            x, y, w = (np.concatenate(c) for c in zip(*held))
+            order = rng.permutation(len(y))
+            end = len(y) if to_end else len(y) // BATCH * BATCH
+            for i in range(0, end, BATCH):
+                own = order[i : i + BATCH]
+                net.train(x[own], y[own], w[own], square)
+            held[:] = [(x[order[end:]], y[order[end:]], w[order[end:]])]
+
+        weights = t.column("weight").to_numpy()
+        for first, flat, at, of in _chunks(t.column("ids").combine_chunks()):
+            w = weights[first + of]
+            held.append((_windows(flat, at), flat[at], w))
+            seen += float(w.sum())
+            ready += len(at)
+            if ready >= 16 * BATCH:
+                steps(False)
+                ready = len(held[0][1])
+        steps(True)
+        sums = net.flat().astype(np.float64) * seen
+        cut = [sums[i : i + SLICE].tobytes() for i in range(0, len(sums), SLICE)]
+        return pa.table({"slice": pa.array(range(len(cut)), pa.int32()), "part": pa.array([part // rounds] * len(cut), pa.int64()), "seen": pa.array([seen] * len(cut), pa.float64()), "sums": pa.array(cut, pa.binary())})
+
+    return run
+
+
+def fit(encoded: DataFrame, counts: np.ndarray, seed: int = 9, part_words: int = PART_WORDS) -> Network:
+    """The network, trained on every position of the encoded documents. Without words: the starting weights."""
+    spark, net = encoded.sparkSession, Network.start(counts, seed)
+    parts = max(1, -(-int(counts.sum()) // part_words))
+    rounds = max(1, parts.bit_length() - 2)
+    # Copies of a text go to parts in turn; a text of more copies than parts stands once in each, with their number.
+    texts = encoded.filter(F.length("ids") > 0).groupBy("ids").agg(F.count(F.lit(1)).alias("copies"))
+    each = F.explode(F.sequence(F.lit(0).cast("long"), F.least("copies", F.lit(parts).cast("long")) - 1))
+    dealt = texts.select("ids", "copies", each.alias("k")).select("ids", F.pmod(F.pmod(F.xxhash64(F.lit(seed), "ids"), F.lit(parts)) + F.col("k"), F.lit(parts)).alias("part"), F.expr(f"cast(copies div {parts} + int(k < copies % {parts}) as double)").alias("weight"))
+    dealt = materialize(dealt.withColumn("turn", F.pmod("part", F.lit(rounds)).cast("int")), "dealt")
     for turn in range(rounds):
-        given = spark.sparkContext.broadcast((Vocabulary(vocab), weights))
-
-        def run(batches: Iterator[pa.RecordBatch], given=given, turn=turn) -> Iterator[pa.RecordBatch]:
-            from pyspark import TaskContext
-
-            part = TaskContext.get().partitionId()
-            vocab, start = given.value
-            net = Network({k: v.copy() for k, v in start.items()})
-            square = {k: np.zeros_like(v) for k, v in start.items()}
-            rng, seen = np.random.Generator(np.random.PCG64([seed, turn, part])), 0
-            ctx, target = [], []
-
-            def steps(all_of_it: bool) -> None:
-                x, y = np.concatenate(ctx), np.concatenate(target)
-                order = rng.permutation(len(y))
-                end = len(y) if all_of_it else len(y) // BATCH * BATCH
-                for i in range(0, end, BATCH):
-                    net.train(x[order[i : i + BATCH]], y[order[i : i + BATCH]], square)
-                ctx[:], target[:] = [x[order[end:]]], [y[order[end:]]]
-
-            for b in batches:
-                for _, flat, at, _ in _chunks(b.column(0).to_pylist(), vocab):
-                    seen += len(at)
-                    ctx.append(_windows(flat, at))
-                    target.append(flat[at])
-                    if sum(map(len, target)) >= 16 * BATCH:
-                        steps(False)
-            if sum(map(len, target)):
-                steps(True)
-            if seen:
-                yield pa.RecordBatch.from_arrays([pa.array(names), pa.array([part % 64] * len(names), pa.int32()), pa.array([seen] * len(names), pa.int64()), pa.array([(net.p[n].astype(np.float64) * seen).tobytes() for n in names])], ["name", "salt", "seen", "sums"])
-
-        def add(t: pa.Table) -> pa.Table:
-            sums = np.zeros(len(t.column("sums")[0].as_py()) // 8)
-            for x in t.column("sums"):
-                sums += np.frombuffer(x.as_py())
-            return pa.table({"name": t.column("name").slice(0, 1), "salt": t.column("salt").slice(0, 1), "seen": pa.array([sum(t.column("seen").to_pylist())], pa.int64()), "sums": pa.array([sums.tobytes()])})
-
-        kind = "name string, salt int, seen long, sums binary"
-        local = docs.select(F.col(text_col).alias("text")).mapInArrow(run, kind)
-        total = local.groupBy("name", "salt").applyInArrow(add, kind).groupBy("name").applyInArrow(add, kind)
-        for r in total.collect():
-            weights[r.name] = (np.frombuffer(r.sums) / r.seen).astype(np.float32).reshape(weights[r.name].shape)
-    return vocab, weights
-
-
-def score(docs: DataFrame, vocab: Vocabulary, weights: dict[str, np.ndarray], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_words (long), log_prob (double, the sum), mean_log_prob (null without words), for each row of docs.
+        own = dealt.filter(F.col("turn") == turn).select("ids", "part", "weight")
+        trained = own.groupBy("part").applyInArrow(_trainer(spark.sparkContext.broadcast(net.flat()), seed, rounds), "slice int, part long, seen double, sums binary")
+        if (flat := _average(trained, -(-parts // rounds))) is not None:
+            net = Network.of_flat(flat)
+    drop(dealt)
+    return net
 
-    Null and empty texts have no words and log_prob 0. Repeated rows and null ids stay; other columns are left out."""
-    given = docs.sparkSession.sparkContext.broadcast((Vocabulary(vocab), weights))
+
+def score_ids(encoded: DataFrame, vocab: Vocabulary, net: Network) -> DataFrame:
+    """doc_id, n_words (long), log_prob (double), mean_log_prob, for each row of an encoded table that is written (it is read once only)."""
+    given = encoded.sparkSession.sparkContext.broadcast(net.flat())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        vocab, start = given.value
-        net, row = Network(start), TaskContext.get().partitionId() << 40
+        net, row = Network.of_flat(given.value), TaskContext.get().partitionId() << 40
         for b in (b.slice(at, 1000) for b in batches for at in range(0, b.num_rows, 1000)):
             n, total = np.zeros(b.num_rows, np.int64), np.zeros(b.num_rows)
-            rare: list[Counter] = []
-            for first, flat, at, of in _chunks(b.column(1).to_pylist(), vocab, rare):
+            for first, flat, at, of in _chunks(b.column(1)):
                 for i in range(0, len(at), 1 << 14):
-                    own = at[i : i + (1 << 14)]
-                    lp = net.log_probs(_windows(flat, own), flat[own])
-                    span = first + of[i : i + (1 << 14)]
-                    total += np.bincount(span, lp, b.num_rows)
+                    own, span = at[i : i + (1 << 14)], first + of[i : i + (1 << 14)]
+                    total += np.bincount(span, net.log_probs(_windows(flat, own), flat[own]), b.num_rows)
                     n += np.bincount(span, minlength=b.num_rows)
-            edges = pa.array(np.concatenate(([0], np.cumsum([len(c) for c in rare]))), pa.int32())
-            words = [w for c in rare for w in c]
-            lists = [pa.ListArray.from_arrays(edges, x) for x in (pa.array(words, pa.string()), pa.array([vocab[w] for w in words], pa.int32()), pa.array([k for c in rare for k in c.values()], pa.int32()))]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n), pa.array(total), pa.array(np.arange(row, row + b.num_rows)), *lists], ["doc_id", "n_words", "ids_log", "row", "words", "ids", "times"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n), pa.array(total), pa.array(np.arange(row, row + b.num_rows)), b.column(2), b.column(3)], ["doc_id", "n_words", "ids_log", "row", "rare", "times"])
             row += b.num_rows
 
-    kind = f"doc_id {docs.schema[id_col].dataType.simpleString()}, n_words long, ids_log double, row long, words array<string>, ids array<int>, times array<int>"
-    by_ids = materialize(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, kind), "by_ids")
-    rare = by_ids.select("row", F.inline(F.arrays_zip("words", "ids", "times"))).withColumnRenamed("words", "word")
-    unseen = F.get(F.array(*[F.lit(float(x)) for x in vocab.unseen]), F.col("ids") - KNOWN)
+    kind = f"doc_id {encoded.schema['doc_id'].dataType.simpleString()}, n_words long, ids_log double, row long, rare array<long>, times array<int>"
+    by_ids = materialize(encoded.select("doc_id", "ids", "rare", "times").mapInArrow(run, kind), "by_ids")
+    rare = by_ids.select("row", F.inline(F.arrays_zip("rare", "times"))).withColumnRenamed("rare", "word")
+    unseen = F.get(F.array(*[F.lit(float(x)) for x in vocab.unseen]), _rare_index())
     shares = rare.join(vocab.shares, "word", "left").groupBy("row").agg(F.sum(F.col("times") * F.coalesce("share", unseen)).alias("shares_log"))
     total = by_ids.select("doc_id", "n_words", "ids_log", "row").join(shares, "row", "left").withColumn("log_prob", F.col("ids_log") + F.coalesce("shares_log", F.lit(0.0)))
     return total.select("doc_id", "n_words", "log_prob", F.when(F.col("n_words") > 0, F.col("log_prob") / F.col("n_words")).alias("mean_log_prob"))
+
+
+def train(docs: DataFrame, text_col: str = "text", seed: int = 9, part_words: int = PART_WORDS) -> tuple[Vocabulary, Network]:
+    """The vocabulary (of fixed size; the other words' shares in a table) and the network; all documents take part."""
+    docs = docs.select(F.lit(0).alias("doc_id"), F.col(text_col).alias("text"))
+    hashed = materialize(hash_words(docs), "hashed")
+    vocab = vocabulary(materialize(count_words(hashed), "words"))
+    return vocab, fit(encode(hashed, vocab), vocab.counts, seed, part_words)
+
+
+def score(docs: DataFrame, vocab: Vocabulary, net: Network, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, n_words (long), log_prob (double, the sum), mean_log_prob (null without words), for each row of docs.
+
+    Null and empty texts have no words and log_prob 0. Repeated rows and null ids stay; other columns are left out."""
+    return score_ids(materialize(encode(hash_words(docs, id_col, text_col), vocab), "encoded"), vocab, net)
+
+
+def train_and_score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", seed: int = 9, part_words: int = PART_WORDS) -> DataFrame:
+    """score() of docs by what train() learns from them, with their words found once.
+
+    The same rows give the same scores, up to the rounding of float sums, in whatever files and partitions they come."""
+    hashed = materialize(hash_words(docs, id_col, text_col), "hashed")
+    vocab = vocabulary(materialize(count_words(hashed), "words"))
+    encoded = materialize(encode(hashed, vocab), "encoded")
+    drop(hashed)
+    return score_ids(encoded, vocab, fit(encoded, vocab.counts, seed, part_words))

@@ -67,8 +67,7 @@ def op8_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    return lm_score.score(docs, *lm_score.train(docs))
+    return lm_score.train_and_score(table(spark, sf_dir, "documents"))
 
 
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
