@@ -88,3 +88,10 @@ def test_sources(spark, tmp_path):
     t = T.StructType([T.StructField("entity_id", T.StringType()), T.StructField("n", T.IntegerType())])
     assert tuple(files.csv_table(spark, str(tmp_path / "w.csv"), t).first()) == ("0012", 3)
     assert files.listing(spark, str(tmp_path), "*.csv").select("length").first()[0] == 19
+
+
+def test_messages_are_parsed_once(spark):
+    from vigilake.plans import catalog
+
+    plan = catalog.QUERIES["silver_transactions"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("from_json") == 1

@@ -22,16 +22,18 @@ def bronze_transactions(envelope: DataFrame, as_of: Column | None = None) -> Dat
 
 
 def silver_transactions(bronze: DataFrame, as_of: Column | None = None, observe: str | Observation | None = None) -> DataFrame:
-    """The fields of each message, typed, with where it came from. What is no JSON object has no ids and is dropped."""
+    """The fields of each message, typed, with where it came from. What is no JSON object has no ids and is dropped.
+
+    The parse is a generator of one row, below which no filter can go: each message is parsed once."""
     parsed = bronze.select(
-        F.from_json("value", schemas.TRANSACTION).alias("data"),
+        F.inline(F.array(F.from_json("value", schemas.TRANSACTION))),
         F.col("topic").alias("kafka_topic"),
         F.col("partition").alias("kafka_partition"),
         F.col("offset").alias("kafka_offset"),
         F.col("timestamp").alias("kafka_timestamp"),
         F.col("ingestion_timestamp").alias("bronze_ingestion_timestamp"),
     )
-    rows = parsed.select("data.*", "kafka_topic", "kafka_partition", "kafka_offset", "kafka_timestamp", "bronze_ingestion_timestamp", (as_of if as_of is not None else F.current_timestamp()).alias("silver_ingestion_timestamp"))
+    rows = parsed.select(*schemas.TRANSACTION.names, "kafka_topic", "kafka_partition", "kafka_offset", "kafka_timestamp", "bronze_ingestion_timestamp", (as_of if as_of is not None else F.current_timestamp()).alias("silver_ingestion_timestamp"))
     return E.apply(rows, TRANSACTION_EXPECTATIONS, observe)
 
 
