@@ -40,9 +40,9 @@ PART_WORDS = 1 << 22
 #: Parts that are summed up in one task, and weights of a part that are summed up together.
 FAN_IN, SLICE = 64, 1 << 14
 #: Words whose hashes a Python worker keeps; hashes are the same either way.
-REMEMBERED = 400_000
-#: Words that are in memory as arrays at a time.
-CHUNK_WORDS = 1 << 17
+REMEMBERED = 60_000
+#: Words and documents of a chunk, which is in memory as arrays.
+CHUNK_WORDS, CHUNK_DOCS = 1 << 19, 5000
 WORD = re.compile(r"\w+")
 KNOWN = (CLASSES - RARE_CLASSES) * MEMBERS
 RARE = RARE_CLASSES * MEMBERS
@@ -199,19 +199,13 @@ def _bytes(x: np.ndarray, sizes: list[int]) -> pa.Array:
     return pa.Array.from_buffers(pa.large_binary(), len(sizes), [None, pa.py_buffer(edges), pa.py_buffer(np.ascontiguousarray(x))]).cast(pa.binary())
 
 
-def _chunks(sequences: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
-    """(first sequence, padded ids, positions of words, the sequence of each): some whole sequences (binary, two bytes an id) at a time."""
-    at, pad = 0, np.full(SIDE, PAD, np.uint16)
-    while at < len(sequences):
-        first, parts, sizes, n = at, [pad], [], 0
-        while at < len(sequences) and n < CHUNK_WORDS:
-            ids = np.frombuffer(sequences[at].as_py(), np.uint16)
-            parts += [ids, pad]
-            sizes.append(len(ids))
-            n += len(ids)
-            at += 1
-        of = np.repeat(np.arange(len(sizes)), sizes)
-        yield first, np.concatenate(parts), np.arange(n) + SIDE * (of + 1), of
+def _padded(flat: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Padded ids of consecutive sequences, the positions of words in them, and the sequence of each."""
+    of = np.repeat(np.arange(len(sizes)), sizes)
+    at = np.arange(len(flat)) + SIDE * (of + 1)
+    out = np.full(len(flat) + SIDE * (len(sizes) + 1), PAD, np.uint16)
+    out[at] = flat
+    return out, at, of
 
 
 def hash_words(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -245,7 +239,7 @@ def count_words(hashed: DataFrame) -> DataFrame:
             for x in b.column(0):
                 held.append(np.frombuffer(x.as_py(), np.uint64))
                 n += len(held[-1])
-                if n > 8 * CHUNK_WORDS:
+                if n > 2 * CHUNK_WORDS:
                     yield out()
                     n = 0
         yield out()
@@ -278,27 +272,55 @@ def vocabulary(counted: DataFrame) -> Vocabulary:
 
 
 def encode(hashed: DataFrame, vocab: Vocabulary) -> DataFrame:
-    """doc_id, ids (binary, two bytes a word), rare and times (arrays: hashes of words beyond the vocabulary, and how often), for each row."""
+    """A row for each chunk of documents: chunk (its number), doc_ids, sizes (words of each), ids (binary, two bytes a word), rare (the
+    distinct words beyond the vocabulary) and rare_at (binary, four bytes for each occurrence of one, in order: its place in rare)."""
     given = hashed.sparkSession.sparkContext.broadcast((vocab.listed, vocab.order))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocab = Vocabulary(np.empty(0, np.uint64))
+        from pyspark import TaskContext
+
+        vocab, number = Vocabulary(np.empty(0, np.uint64)), TaskContext.get().partitionId() << 32
         vocab.listed, vocab.order = given.value
-        for b in (b.slice(at, 1000) for b in batches for at in range(0, b.num_rows, 1000)):
-            parts = [np.frombuffer(x.as_py(), np.uint64) for x in b.column(1)]
-            flat, sizes = np.concatenate([np.empty(0, np.uint64), *parts]), [len(x) for x in parts]
+        docs, held = [], []
+
+        def out() -> pa.RecordBatch:
+            nonlocal number
+            number += 1
+            flat = np.concatenate(held)
             ids = vocab.ids(flat)
-            own = np.flatnonzero(ids >= KNOWN)
-            doc, word = np.repeat(np.arange(len(parts)), sizes)[own], flat[own]
-            order = np.lexsort((word, doc))
-            doc, word = doc[order], word[order]
-            first = np.flatnonzero(np.concatenate((np.ones(min(1, len(doc)), bool), (doc[1:] != doc[:-1]) | (word[1:] != word[:-1]))))
-            times = np.diff(np.concatenate((first, [len(doc)])))
-            edges = pa.array(np.searchsorted(doc[first], np.arange(len(parts) + 1)), pa.int32())
-            lists = [pa.ListArray.from_arrays(edges, x) for x in (pa.array(word[first].view(np.int64)), pa.array(times, pa.int32()))]
-            yield pa.RecordBatch.from_arrays([b.column(0), _bytes(ids, sizes), *lists], ["doc_id", "ids", "rare", "times"])
+            rare, at = np.unique(flat[ids >= KNOWN], return_inverse=True)
+            sizes = pa.array([len(x) for x in held], pa.int32())
+            one = lambda x: pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x)
+            row = [pa.array([number]), one(pa.concat_arrays(docs)), one(sizes), pa.array([ids.tobytes()], pa.binary()), one(pa.array(rare.view(np.int64))), pa.array([at.astype(np.uint32).tobytes()], pa.binary())]
+            docs.clear()
+            held.clear()
+            return pa.RecordBatch.from_arrays(row, ["chunk", "doc_ids", "sizes", "ids", "rare", "rare_at"])
+
+        n = 0
+        for b in batches:
+            for k, x in enumerate(b.column(1)):
+                docs.append(b.column(0).slice(k, 1))
+                held.append(np.frombuffer(x.as_py(), np.uint64))
+                n += len(held[-1])
+                if n >= CHUNK_WORDS or len(held) >= CHUNK_DOCS:
+                    yield out()
+                    n = 0
+        if held:
+            yield out()
 
-    return hashed.select("doc_id", "words").mapInArrow(run, f"doc_id {hashed.schema['doc_id'].dataType.simpleString()}, ids binary, rare array<long>, times array<int>")
+    return hashed.select("doc_id", "words").mapInArrow(run, f"chunk long, doc_ids array<{hashed.schema['doc_id'].dataType.simpleString()}>, sizes array<int>, ids binary, rare array<long>, rare_at binary")
+
+
+def _texts(encoded: DataFrame) -> DataFrame:
+    """ids (binary) of each document that has words."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for sizes, ids in zip(b.column(0), b.column(1)):
+                sizes = sizes.values.to_numpy()
+                yield pa.RecordBatch.from_arrays([_bytes(np.frombuffer(ids.as_py(), np.uint16), sizes[sizes > 0].tolist())], ["ids"])
+
+    return encoded.select("sizes", "ids").mapInArrow(run, "ids binary")
 
 
 def _average(trained: DataFrame, parts: int) -> np.ndarray | None:
@@ -337,8 +359,13 @@ def _trainer(given: Broadcast, seed: int, rounds: int) -> Callable[[pa.Table], p
                 net.train(x[own], y[own], w[own], square)
             held[:] = [(x[order[end:]], y[order[end:]], w[order[end:]])]
 
-        weights = t.column("weight").to_numpy()
-        for first, flat, at, of in _chunks(t.column("ids").combine_chunks()):
+        texts, weights = t.column("ids").to_pylist(), t.column("weight").to_numpy()
+        sizes = np.array([len(x) // 2 for x in texts])
+        edges = np.searchsorted(np.cumsum(sizes), np.arange(0, sizes.sum(), CHUNK_WORDS), "right").tolist() + [len(texts)]
+        for first, end in zip(edges, edges[1:]):
+            if first == end:
+                continue
+            flat, at, of = _padded(np.frombuffer(b"".join(texts[first:end]), np.uint16), sizes[first:end])
             w = weights[first + of]
             held.append((_windows(flat, at), flat[at], w))
             seen += float(w.sum())
@@ -360,7 +387,7 @@ def fit(encoded: DataFrame, counts: np.ndarray, seed: int = 9, part_words: int =
     parts = max(1, -(-int(counts.sum()) // part_words))
     rounds = max(1, parts.bit_length() - 2)
     # Copies of a text go to parts in turn; a text of more copies than parts stands once in each, with their number.
-    texts = encoded.filter(F.length("ids") > 0).groupBy("ids").agg(F.count(F.lit(1)).alias("copies"))
+    texts = _texts(encoded).groupBy("ids").agg(F.count(F.lit(1)).alias("copies"))
     each = F.explode(F.sequence(F.lit(0).cast("long"), F.least("copies", F.lit(parts).cast("long")) - 1))
     dealt = texts.select("ids", "copies", each.alias("k")).select("ids", F.pmod(F.pmod(F.xxhash64(F.lit(seed), "ids"), F.lit(parts)) + F.col("k"), F.lit(parts)).alias("part"), F.expr(f"cast(copies div {parts} + int(k < copies % {parts}) as double)").alias("weight"))
     dealt = materialize(dealt.withColumn("turn", F.pmod("part", F.lit(rounds)).cast("int")), "dealt")
@@ -374,30 +401,29 @@ def fit(encoded: DataFrame, counts: np.ndarray, seed: int = 9, part_words: int =
 
 
 def score_ids(encoded: DataFrame, vocab: Vocabulary, net: Network) -> DataFrame:
-    """doc_id, n_words (long), log_prob (double), mean_log_prob, for each row of an encoded table that is written (it is read once only)."""
+    """doc_id, n_words (long), log_prob (double), mean_log_prob, for each document of an encoded table, which must be written: a
+    chunk's number is that of one run. A word's share is looked up once for each chunk that has it."""
     given = encoded.sparkSession.sparkContext.broadcast(net.flat())
+    rare = encoded.select("chunk", F.posexplode("rare").alias("at", "word"))
+    unseen = F.get(F.array(*[F.lit(float(x)) for x in vocab.unseen]), _rare_index())
+    found = rare.join(vocab.shares, "word", "left").select("chunk", F.struct("at", F.coalesce("share", unseen).alias("share")).alias("s"))
+    shares = found.groupBy("chunk").agg(F.transform(F.sort_array(F.collect_list("s")), lambda x: x["share"]).alias("shares"))
+    kind = encoded.schema["doc_ids"].dataType.elementType
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
-
-        net, row = Network.of_flat(given.value), TaskContext.get().partitionId() << 40
-        for b in (b.slice(at, 1000) for b in batches for at in range(0, b.num_rows, 1000)):
-            n, total = np.zeros(b.num_rows, np.int64), np.zeros(b.num_rows)
-            for first, flat, at, of in _chunks(b.column(1)):
-                for i in range(0, len(at), 1 << 14):
-                    own, span = at[i : i + (1 << 14)], first + of[i : i + (1 << 14)]
-                    total += np.bincount(span, net.log_probs(_windows(flat, own), flat[own]), b.num_rows)
-                    n += np.bincount(span, minlength=b.num_rows)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n), pa.array(total), pa.array(np.arange(row, row + b.num_rows)), b.column(2), b.column(3)], ["doc_id", "n_words", "ids_log", "row", "rare", "times"])
-            row += b.num_rows
-
-    kind = f"doc_id {encoded.schema['doc_id'].dataType.simpleString()}, n_words long, ids_log double, row long, rare array<long>, times array<int>"
-    by_ids = materialize(encoded.select("doc_id", "ids", "rare", "times").mapInArrow(run, kind), "by_ids")
-    rare = by_ids.select("row", F.inline(F.arrays_zip("rare", "times"))).withColumnRenamed("rare", "word")
-    unseen = F.get(F.array(*[F.lit(float(x)) for x in vocab.unseen]), _rare_index())
-    shares = rare.join(vocab.shares, "word", "left").groupBy("row").agg(F.sum(F.col("times") * F.coalesce("share", unseen)).alias("shares_log"))
-    total = by_ids.select("doc_id", "n_words", "ids_log", "row").join(shares, "row", "left").withColumn("log_prob", F.col("ids_log") + F.coalesce("shares_log", F.lit(0.0)))
-    return total.select("doc_id", "n_words", "log_prob", F.when(F.col("n_words") > 0, F.col("log_prob") / F.col("n_words")).alias("mean_log_prob"))
+        net = Network.of_flat(given.value)
+        for docs, sizes, ids, rare_at, shares in (x for b in batches for x in zip(*b.columns)):
+            sizes, ids, docs = sizes.values.to_numpy(), np.frombuffer(ids.as_py(), np.uint16), docs.values
+            flat, at, of = _padded(ids, sizes)
+            lp = np.concatenate([np.empty(0), *[net.log_probs(_windows(flat, own), flat[own]) for own in (at[i : i + (1 << 14)] for i in range(0, len(at), 1 << 14))]])
+            if shares.is_valid:
+                lp[ids >= KNOWN] += shares.values.to_numpy()[np.frombuffer(rare_at.as_py(), np.uint32)]
+            total, n = np.bincount(of, lp, len(sizes)), sizes.astype(np.int64)
+            mean = pa.array(total / np.maximum(n, 1), mask=n == 0)
+            yield pa.RecordBatch.from_arrays([docs, pa.array(n), pa.array(total), mean], ["doc_id", "n_words", "log_prob", "mean_log_prob"])
+
+    both = encoded.join(shares, "chunk", "left").select("doc_ids", "sizes", "ids", "rare_at", "shares")
+    return both.mapInArrow(run, f"doc_id {kind.simpleString()}, n_words long, log_prob double, mean_log_prob double")
 
 
 def train(docs: DataFrame, text_col: str = "text", seed: int = 9, part_words: int = PART_WORDS) -> tuple[Vocabulary, Network]:
