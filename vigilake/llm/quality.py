@@ -157,12 +157,9 @@ def quality_rules(docs: DataFrame, labels: DataFrame, stratum_col: str = "lang",
 
 
 def quality_filter(docs: DataFrame, labels: DataFrame, stratum_col: str = "lang", risk: float = 0.05, delta: float = 0.1) -> DataFrame:
-    """The rows of docs that are kept, with their columns. Texts are read twice, but never shuffled or written in between."""
+    """The rows of docs that are kept, with their columns. Texts are measured once, written beside their metrics and never shuffled."""
     names = [f"__c{i}" for i in range(len(docs.columns))]
     own = dict(zip(docs.columns, names))
-    m = materialize(text_metrics(docs.select("doc_id", "text", F.col(stratum_col).alias("stratum")), keep=("doc_id", "stratum")).withColumn("base_failed", base_failed()), "quality")
-    measured = text_metrics(docs.toDF(*names), own["text"], tuple(names))
-    # The optimizer may not carry the filter below this point: it would take the metrics' expressions apart and repeat them.
-    measured = measured.observe("quality_filter", F.count(F.lit(1)).alias("rows"))
-    judged = judge(measured, learn_cutoffs(m, labels, risk, delta), own[stratum_col])
-    return judged.filter("kept").select(*[F.col(n).alias(c) for c, n in own.items()])
+    m = materialize(text_metrics(docs.toDF(*names), own["text"], tuple(names)).withColumn("base_failed", base_failed()), "quality")
+    cuts = learn_cutoffs(m.withColumnsRenamed({own["doc_id"]: "doc_id", own[stratum_col]: "stratum"}), labels, risk, delta)
+    return judge(m, cuts, own[stratum_col]).filter("kept").select(*[F.col(n).alias(c) for c, n in own.items()])
