@@ -47,23 +47,33 @@ def test_components(spark):
 
 
 def test_links_connect_what_is_near(spark):
-    """Random values with near ones, and a crowd within a few bits, both as pairs and through shared values."""
+    """Random values with near ones and crowds within a few bits, from several depths on, with few or many of a bucket compared."""
     r = np.random.default_rng(5)
     base = [int(x) for x in r.integers(0, 1 << 63, 60, np.uint64)]
     flip = lambda x, n: x ^ sum(1 << int(b) for b in r.choice(64, n, replace=False))
-    values = {*base, *[flip(x, n) for x in base[:20] for n in (1, 3, 4, 5)], *[flip(base[0], int(r.integers(1, 5))) for _ in range(60)], 0, (1 << 64) - 1, 1 << 63}
+    values = {*base, *[flip(x, n) for x in base[:20] for n in (1, 3, 4, 5)], *[flip(base[0], int(r.integers(1, 5))) for _ in range(60)], *[flip(base[1], int(r.integers(3, 9))) for _ in range(120)], 0, (1 << 64) - 1, 1 << 63}
     signed = lambda x: x - (1 << 64) if x >> 63 else x
     want = classes([(a, b) for a in values for b in values if a < b and (a ^ b).bit_count() <= 4], values)
     df = spark.createDataFrame([(signed(v),) for v in values], "fp long")
-    for hot in (1000, 5):
-        got = simhash.links(df, hot=hot).collect()
+    for few, start in ((1000, None), (1000, 3), (5, None), (1, 2), (1, 6)):
+        got = simhash.links(df, few=few, start=start).collect()
         assert all(((x.a ^ x.b) & (1 << 64) - 1).bit_count() <= 4 for x in got)
         mine = classes([(x.a % (1 << 64), x.b % (1 << 64)) for x in got], values)
-        assert mine == want
-        if hot == 1000:
+        assert mine == want, (few, start)
+        if few == 1000:
             assert len(got) == len({(x.a, x.b) for x in got})
 
 
+def test_close_values_share_a_key_at_each_depth():
+    r = np.random.default_rng(7)
+    for spare in simhash.SPARE:
+        keys = simhash._keys(4, 4 + spare)
+        for _ in range(50):
+            x = int(r.integers(0, 1 << 63, dtype=np.uint64))
+            y = x ^ sum(1 << int(b) for b in r.choice(64, 4, replace=False))
+            assert any(x & m == y & m for m, _ in keys)
+
+
 def test_near_duplicates(spark):
     r = np.random.default_rng(8)
     text = [" ".join(r.choice(list("abcdefghijklmnop"), 80)) for _ in range(30)]
