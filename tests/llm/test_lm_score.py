@@ -12,28 +12,41 @@ from vigilake.llm.common import materialize, table
 
 
 def fitted(docs, **settings):
-    hashed = materialize(lm_score.hash_words(docs), "hashed")
-    vocab = lm_score.vocabulary(materialize(lm_score.count_words(hashed), "words"))
-    return vocab, lm_score.fit(lm_score.encode(hashed, vocab), vocab.counts, **settings)
+    vocab = lm_score.vocabulary(materialize(lm_score.count_words(docs), "words"))
+    return vocab, lm_score.fit(lm_score.encode(docs, vocab), vocab.counts, **settings)
 
 
 def plain_score(text, vocab, net, shares):
     """Word by word, with both softmaxes over all of their values."""
     p = {k: v.astype(float) for k, v in net.p.items()}
-    words = lm_score.words_of(text)
-    ids = [lm_score.PAD] * 2 + vocab.of_words(words).tolist() + [lm_score.PAD] * 2 if words else []
+    words = [lm_score.hash_words([w])[0] for w in lm_score.words_of(text)]
+    ids = [lm_score.PAD] * 2 + [int(vocab.ids(w)[0]) for w in words] + [lm_score.PAD] * 2
     total = 0.0
     for k, w in enumerate(words):
         h = np.tanh(np.concatenate([p["e"][ids[k + j]] for j in (0, 1, 3, 4)]) @ p["w"] + p["b"])
         kind, member = divmod(ids[k + 2], lm_score.MEMBERS)
-        for z, at in ((p["c"] @ h + p["d"], kind), (p["m"][kind] @ h + p["n"][kind], member)):
+        for z, at in ((p["c"][:, :-1] @ h + p["c"][:, -1], kind), (p["m"][kind][:, :-1] @ h + p["m"][kind][:, -1], member)):
             total += z[at] - np.log(np.exp(z).sum())
         if ids[k + 2] >= lm_score.KNOWN:
-            code = int(np.array([lm_score._Hashes()[w]], np.uint64).view(np.int64)[0])
-            total += shares.get(code, vocab.unseen[ids[k + 2] - lm_score.KNOWN])
+            total += shares.get(int(w.view(np.int64)[0]), vocab.unseen[ids[k + 2] - lm_score.KNOWN])
     return total
 
 
+def test_hashes_of_words(monkeypatch):
+    """Words as the regular expression finds them, the same hash for the same word anywhere, none for two; in pieces of any size."""
+    rng = random.Random(1)
+    texts = [t for t in EDGE] + ["İstanbul ΑΣ ΣΑΣ. don't_x 中文 字 é́ ½² \ud800 a\u00a0b—c «d» 🙂x", "a" * 3000 + " b", "", None]
+    texts += ["".join(rng.choice("abcXYZ é—ßΣİ_1 .中\n") for _ in range(rng.randrange(200))) for _ in range(300)]
+    for piece in (1 << 18, 40):
+        monkeypatch.setattr(lm_score, "PIECE", piece)
+        hashes, sizes = lm_score.hash_words(texts)
+        words = [w for t in texts for w in lm_score.words_of(t)]
+        assert sizes.tolist() == [len(lm_score.words_of(t)) for t in texts] and len(hashes) == len(words)
+        assert len(set(zip(words, hashes.tolist()))) == len(set(words)) == len(set(hashes.tolist()))
+    many = lm_score.hash_words([" ".join(f"{a}{i}" for i in range(100_000) for a in ("w", "x_", "é"))])[0]
+    assert len(np.unique(many)) == len(many) and len(np.unique(many % 512)) == 512 and np.bincount(many % 512).max() < 800
+
+
 def test_query_is_as_plain_python(spark):
     """All documents, the registered query; and the same scores whatever the partitions."""
     docs = table(spark, SF, "documents")
@@ -97,7 +110,7 @@ def test_edges(spark):
     assert len(out) == edge.count() and all((r.mean_log_prob is None) == (r.n_words == 0) for r in out)
     assert lm_score.train_and_score(edge.limit(0)).count() == 0
     vocab, net = fitted(frame(spark, ["lone"]))
-    assert (net.p["d"] != lm_score.Network.start(vocab.counts).p["d"]).any()
+    assert (net.p["c"] != lm_score.Network.start(vocab.counts).p["c"]).any()
 
 
 def test_unseen_words_score_below_known_ones(spark):

@@ -8,7 +8,7 @@ that the table lacks have part of a share that is kept for them. A document's sc
 log-probabilities of all its words, each masked in turn.
 
 Everything is taken from the whole corpus: words are counted over all documents, and every position of every
-document is a training target once. Texts become words once; from then on a word is its 64-bit hash, and a document
+document is a training target once. A word is its 64-bit hash, and a document
 its ids (two bytes each). Equal texts are counted first, then dealt to logical parts of about PART_WORDS words by
 their content, so that neither the input's files nor its partitions decide anything, and one text that holds a third
 of all rows spreads over all parts. Training is data-parallel: the parts form rounds; each part of a round starts from
@@ -20,13 +20,13 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable, Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from xxhash import xxh64_intdigest
 
 from vigilake.llm.common import drop, materialize
 
@@ -39,29 +39,75 @@ BATCH, RATE = 8192, 0.08
 PART_WORDS = 1 << 22
 #: Parts that are summed up in one task, and weights of a part that are summed up together.
 FAN_IN, SLICE = 64, 1 << 14
-#: Words whose hashes a Python worker keeps; hashes are the same either way.
-REMEMBERED = 60_000
-#: Words and documents of a chunk, which is in memory as arrays.
-CHUNK_WORDS, CHUNK_DOCS = 1 << 19, 5000
-WORD = re.compile(r"\w+")
+#: Words of a chunk, which is in memory as arrays, and its slices of 200 documents.
+CHUNK_WORDS, CHUNK_SLICES = 1 << 19, 50
+#: Characters that are hashed at a time, and odd numbers for it.
+PIECE, FACTOR, MIX = 1 << 18, 0xD6E8FEB86659FD93, np.uint64(0x9E3779B97F4A7C15)
+WORD, GAP = re.compile(r"\w+"), re.compile(r"\W")
 KNOWN = (CLASSES - RARE_CLASSES) * MEMBERS
 RARE = RARE_CLASSES * MEMBERS
 PAD = CLASSES * MEMBERS
-LIMIT = np.float32(60)  # of a logit, so that exp() of it is finite
 
 
 def words_of(text: str | None) -> list[str]:
     return WORD.findall((text or "").lower())
 
 
-class _Hashes(dict):
-    """Word to its 64-bit hash."""
-
-    def __missing__(self, word: str) -> int:
-        found = xxh64_intdigest(word.encode("utf-8", "surrogatepass"))
-        if len(self) < REMEMBERED:
-            self[word] = found
-        return found
+@cache
+def _is_word() -> np.ndarray:
+    """Whether a code point stands in words: \\w of Python's regular expressions."""
+    found = np.fromiter((chr(i).isalnum() for i in range(0x110000)), bool, 0x110000)
+    found[ord("_")] = True
+    return found
+
+
+@cache
+def _powers(bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first 2^bits powers of FACTOR and of its inverse, modulo 2^64."""
+    ones = np.ones(1 << bits, np.uint64)
+    ones[1:], inverse = FACTOR, ones.copy()
+    inverse[1:] = pow(FACTOR, -1, 1 << 64)
+    return np.cumprod(ones), np.cumprod(inverse)
+
+
+def _pieces(texts: list[str | None]) -> Iterator[list[tuple[int, str]]]:
+    """Lower-cased texts with their places, in groups of PIECE characters; longer ones are cut where no word stands."""
+    group, n = [], 0
+    for k, t in enumerate(texts):
+        t, at = (t or "").lower(), 0
+        while at < len(t):
+            cut = GAP.search(t, at + PIECE) if len(t) - at > PIECE else None
+            end = cut.start() if cut else len(t)
+            group.append((k, t[at:end]))
+            n, at = n + end - at, end
+            if n > PIECE:
+                yield group
+                group, n = [], 0
+    if group:
+        yield group
+
+
+def hash_words(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    """The 64-bit hash of every word of the texts, in order, and each text's number of words.
+
+    A word's hash is a polynomial in FACTOR over its code points, mixed; sums over all characters give all words at once."""
+    out, sizes = [np.empty(0, np.uint64)], np.zeros(len(texts), np.int64)
+    for group in _pieces(texts):
+        codes = np.frombuffer("\n".join([t for _, t in group]).encode("utf-32-le", "surrogatepass"), np.uint32)
+        inside = np.zeros(len(codes) + 2, np.int8)
+        inside[1:-1] = _is_word()[codes]
+        edges = np.diff(inside)
+        starts, ends = np.flatnonzero(edges == 1), np.flatnonzero(edges == -1)
+        power, inverse = _powers(max(PIECE.bit_length() + 1, len(codes).bit_length()))
+        sums = np.zeros(len(codes) + 1, np.uint64)
+        np.cumsum((codes.astype(np.uint64) + np.uint64(1)) * MIX * power[: len(codes)], out=sums[1:])
+        h = (sums[ends] - sums[starts]) * inverse[starts]
+        h ^= h >> np.uint64(32)
+        h *= MIX
+        out.append(h ^ (h >> np.uint64(29)))
+        last = np.cumsum([len(t) + 1 for _, t in group])
+        sizes += np.bincount(np.array([k for k, _ in group])[np.searchsorted(last, starts, "right")], minlength=len(texts))
+    return np.concatenate(out), sizes
 
 
 class Vocabulary:
@@ -84,14 +130,13 @@ class Vocabulary:
             out[own] = self.order[at[own]]
         return out
 
-    def of_words(self, words: list[str]) -> np.ndarray:
-        return self.ids(np.array([*map(_Hashes().__getitem__, words)], np.uint64))
-
 
 class Network:
-    """Weights and both passes. Parameters: e embeddings, w and b of the hidden layer, c and d of the classes, m and n of their members."""
+    """Weights and both passes. Parameters: e embeddings, w and b of the hidden layer, c of the classes, m of their members; the last
+    column of c and m is a bias. Weights of c and m keep within BOUND and biases within BIAS, so exp() of a logit is finite."""
 
-    SHAPES = {"e": (PAD + 1, DIM), "w": (2 * SIDE * DIM, HIDDEN), "b": (HIDDEN,), "c": (CLASSES, HIDDEN), "d": (CLASSES,), "m": (CLASSES, MEMBERS, HIDDEN), "n": (CLASSES, MEMBERS)}
+    SHAPES = {"e": (PAD + 1, DIM), "w": (2 * SIDE * DIM, HIDDEN), "b": (HIDDEN,), "c": (CLASSES, HIDDEN + 1), "m": (CLASSES, MEMBERS, HIDDEN + 1)}
+    BOUND, BIAS = 1.5, 30
 
     def __init__(self, weights: dict[str, np.ndarray]):
         self.p = weights
@@ -105,7 +150,8 @@ class Network:
         p = {k: np.zeros(s, np.float32) for k, s in cls.SHAPES.items()}
         for k in "ew":
             p[k] = (r.standard_normal(cls.SHAPES[k]) * 0.1).astype(np.float32)
-        return cls(p | {"d": np.log(share / share.sum()).astype(np.float32), "n": np.log(by / share[:, None]).astype(np.float32)})
+        p["c"][:, -1], p["m"][:, :, -1] = np.log(share / share.sum()), np.log(by / share[:, None])
+        return cls(p)
 
     @classmethod
     def of_flat(cls, flat: np.ndarray) -> Network:
@@ -116,9 +162,11 @@ class Network:
         return np.concatenate([self.p[k].ravel() for k in self.SHAPES])
 
     def _forward(self, ctx: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Embeddings, a row for each context, and the hidden layer, a column for each: numpy sums up columns faster than short rows."""
+        """Embeddings, a row for each context, and the hidden layer and a 1, a column for each: numpy sums up columns faster than short rows."""
         x = self.p["e"].take(ctx.ravel(), 0).reshape(len(ctx), -1)
-        return x, np.tanh(self.p["w"].T @ x.T + self.p["b"][:, None])
+        h = np.ones((HIDDEN + 1, len(ctx)), np.float32)
+        np.tanh(self.p["w"].T @ x.T + self.p["b"][:, None], out=h[:-1])
+        return x, h
 
     @staticmethod
     def _by_class(target: np.ndarray) -> tuple[np.ndarray, list[int], np.ndarray, np.ndarray]:
@@ -128,23 +176,21 @@ class Network:
         kind, member = kind[order].astype(np.intp), (target % MEMBERS)[order].astype(np.intp)
         return order, np.searchsorted(kind, np.arange(CLASSES + 1)).tolist(), kind, member
 
-    @staticmethod
-    def _exp(z: np.ndarray) -> np.ndarray:
-        return np.exp(np.clip(z, -LIMIT, LIMIT, out=z), out=z)
-
     def log_probs(self, ctx: np.ndarray, target: np.ndarray) -> np.ndarray:
         """ln P(target | context), for rows of contexts (2 * SIDE ids each)."""
         p = self.p
         order, edges, kind, member = self._by_class(target)
         h, every = self._forward(ctx[order])[1], np.arange(len(target))
-        z = self._exp(p["c"] @ h + p["d"][:, None])
-        prob, total = z[kind, every], z.sum(0)
+        z = p["c"] @ h
+        np.exp(z, out=z)
+        prob, total = z[kind, every], np.add.reduce(z, 0)
         for k in range(CLASSES):
             a, b = edges[k], edges[k + 1]
             if a < b:
-                z = self._exp(p["m"][k] @ h[:, a:b] + p["n"][k][:, None])
+                z = p["m"][k] @ h[:, a:b]
+                np.exp(z, out=z)
                 prob[a:b] *= z[member[a:b], every[: b - a]]
-                total[a:b] *= z.sum(0)
+                total[a:b] *= np.add.reduce(z, 0)
         out = np.empty_like(prob)
         out[order] = np.log(prob / total)
         return out
@@ -156,36 +202,35 @@ class Network:
         ctx, every = ctx[order], np.arange(len(target))
         share = (weight[order] / weight.sum()).astype(np.float32)
         x, h = self._forward(ctx)
-        g = self._exp(p["c"] @ h + p["d"][:, None])
-        g *= share / g.sum(0)
+        g = p["c"] @ h
+        np.exp(g, out=g)
+        g *= share / np.add.reduce(g, 0)
         g[kind, every] -= share
-        grad = {"c": g @ h.T, "d": g.sum(1), "m": np.zeros_like(p["m"]), "n": np.zeros_like(p["n"])}
-        dh = p["c"].T @ g
+        grad = {"c": g @ h.T, "m": np.zeros_like(p["m"])}
+        dh = p["c"][:, :-1].T @ g
         for k in range(CLASSES):
             a, b = edges[k], edges[k + 1]
             if a < b:
-                own = h[:, a:b]
-                g = self._exp(p["m"][k] @ own + p["n"][k][:, None])
-                g *= share[a:b] / g.sum(0)
-                g[member[a:b], every[: b - a]] -= share[a:b]
-                dh[:, a:b] += p["m"][k].T @ g
-                grad["m"][k] = g @ own.T
-                grad["n"][k] = g.sum(1)
-        dh *= 1 - h * h
+                own, of = h[:, a:b], share[a:b]
+                g = p["m"][k] @ own
+                np.exp(g, out=g)
+                g *= of / np.add.reduce(g, 0)
+                g[member[a:b], every[: b - a]] -= of
+                dh[:, a:b] += p["m"][k, :, :-1].T @ g
+                np.matmul(g, own.T, out=grad["m"][k])
+        dh *= 1 - h[:-1] * h[:-1]
         grad |= {"w": x.T @ dh.T, "b": dh.sum(1)}
-        dx = (dh.T @ p["w"].T).reshape(-1, DIM)
-        ids = ctx.ravel()
-        by = np.argsort(ids, kind="stable")  # 16 bits: by radix
-        ids = ids[by]
-        first = np.flatnonzero(np.concatenate(([True], ids[1:] != ids[:-1])))
-        grad["e"] = np.zeros_like(p["e"])
-        grad["e"][ids[first]] = np.add.reduceat(dx[by], first, axis=0)
+        dx, at = (p["w"] @ dh).reshape(2 * SIDE, DIM, -1), ctx.T
+        grad["e"] = np.stack([sum(np.bincount(i, v[d], PAD + 1) for i, v in zip(at, dx)) for d in range(DIM)], 1).astype(np.float32)
         for name, value in grad.items():
             s = square[name]
             s += value * value
             value *= RATE
             value /= np.sqrt(s) + np.float32(1e-6)
             p[name] -= value
+        for name in "cm":
+            np.clip(p[name][..., :-1], -self.BOUND, self.BOUND, out=p[name][..., :-1])
+            np.clip(p[name][..., -1], -self.BIAS, self.BIAS, out=p[name][..., -1])
 
 
 def _windows(flat: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -208,23 +253,7 @@ def _padded(flat: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return out, at, of
 
 
-def hash_words(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, words (binary: the 64-bit hash of each word of the text), for each row of docs."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = _Hashes()
-        for b in (b.slice(at, 1000) for b in batches for at in range(0, b.num_rows, 1000)):
-            words, sizes = [], []
-            for t in b.column(1).to_pylist():
-                got = words_of(t)
-                words.append(np.fromiter(map(known.__getitem__, got), np.uint64, len(got)))
-                sizes.append(len(got))
-            yield pa.RecordBatch.from_arrays([b.column(0), _bytes(np.concatenate(words), sizes)], ["doc_id", "words"])
-
-    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, f"doc_id {docs.schema[id_col].dataType.simpleString()}, words binary")
-
-
-def count_words(hashed: DataFrame) -> DataFrame:
+def count_words(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """word (hash), n: how often each word stands in all texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -235,16 +264,15 @@ def count_words(hashed: DataFrame) -> DataFrame:
             held.clear()
             return pa.RecordBatch.from_arrays([pa.array(word.view(np.int64)), pa.array(times)], ["word", "n"])
 
-        for b in batches:
-            for x in b.column(0):
-                held.append(np.frombuffer(x.as_py(), np.uint64))
-                n += len(held[-1])
-                if n > 2 * CHUNK_WORDS:
-                    yield out()
-                    n = 0
+        for b in (b.slice(at, 1000) for b in batches for at in range(0, b.num_rows, 1000)):
+            held.append(hash_words(b.column(0).to_pylist())[0])
+            n += len(held[-1])
+            if n > 2 * CHUNK_WORDS:
+                yield out()
+                n = 0
         yield out()
 
-    return hashed.select("words").mapInArrow(run, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    return docs.select(F.col(text_col).alias("text")).mapInArrow(run, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
 def _rare_index() -> Column:
@@ -271,17 +299,17 @@ def vocabulary(counted: DataFrame) -> Vocabulary:
     return vocab
 
 
-def encode(hashed: DataFrame, vocab: Vocabulary) -> DataFrame:
+def encode(docs: DataFrame, vocab: Vocabulary, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """A row for each chunk of documents: chunk (its number), doc_ids, sizes (words of each), ids (binary, two bytes a word), rare (the
     distinct words beyond the vocabulary) and rare_at (binary, four bytes for each occurrence of one, in order: its place in rare)."""
-    given = hashed.sparkSession.sparkContext.broadcast((vocab.listed, vocab.order))
+    given = docs.sparkSession.sparkContext.broadcast((vocab.listed, vocab.order))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         vocab, number = Vocabulary(np.empty(0, np.uint64)), TaskContext.get().partitionId() << 32
         vocab.listed, vocab.order = given.value
-        docs, held = [], []
+        docs, held, counts, n = [], [], [], 0
 
         def out() -> pa.RecordBatch:
             nonlocal number
@@ -289,26 +317,26 @@ def encode(hashed: DataFrame, vocab: Vocabulary) -> DataFrame:
             flat = np.concatenate(held)
             ids = vocab.ids(flat)
             rare, at = np.unique(flat[ids >= KNOWN], return_inverse=True)
-            sizes = pa.array([len(x) for x in held], pa.int32())
             one = lambda x: pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x)
-            row = [pa.array([number]), one(pa.concat_arrays(docs)), one(sizes), pa.array([ids.tobytes()], pa.binary()), one(pa.array(rare.view(np.int64))), pa.array([at.astype(np.uint32).tobytes()], pa.binary())]
-            docs.clear()
-            held.clear()
+            row = [pa.array([number]), one(pa.concat_arrays(docs)), one(pa.array(np.concatenate(counts))), pa.array([ids.tobytes()], pa.binary()), one(pa.array(rare.view(np.int64))), pa.array([at.astype(np.uint32).tobytes()], pa.binary())]
+            for x in (docs, held, counts):
+                x.clear()
             return pa.RecordBatch.from_arrays(row, ["chunk", "doc_ids", "sizes", "ids", "rare", "rare_at"])
 
-        n = 0
-        for b in batches:
-            for k, x in enumerate(b.column(1)):
-                docs.append(b.column(0).slice(k, 1))
-                held.append(np.frombuffer(x.as_py(), np.uint64))
-                n += len(held[-1])
-                if n >= CHUNK_WORDS or len(held) >= CHUNK_DOCS:
-                    yield out()
-                    n = 0
+        for b in (b.slice(at, 200) for b in batches for at in range(0, b.num_rows, 200)):
+            words, sizes = hash_words(b.column(1).to_pylist())
+            docs.append(b.column(0))
+            held.append(words)
+            counts.append(sizes)
+            n += len(words)
+            if n >= CHUNK_WORDS or len(held) >= CHUNK_SLICES:
+                yield out()
+                n = 0
         if held:
             yield out()
 
-    return hashed.select("doc_id", "words").mapInArrow(run, f"chunk long, doc_ids array<{hashed.schema['doc_id'].dataType.simpleString()}>, sizes array<int>, ids binary, rare array<long>, rare_at binary")
+    kind = docs.schema[id_col].dataType.simpleString()
+    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, f"chunk long, doc_ids array<{kind}>, sizes array<long>, ids binary, rare array<long>, rare_at binary")
 
 
 def _texts(encoded: DataFrame) -> DataFrame:
@@ -418,7 +446,7 @@ def score_ids(encoded: DataFrame, vocab: Vocabulary, net: Network) -> DataFrame:
             lp = np.concatenate([np.empty(0), *[net.log_probs(_windows(flat, own), flat[own]) for own in (at[i : i + (1 << 14)] for i in range(0, len(at), 1 << 14))]])
             if shares.is_valid:
                 lp[ids >= KNOWN] += shares.values.to_numpy()[np.frombuffer(rare_at.as_py(), np.uint32)]
-            total, n = np.bincount(of, lp, len(sizes)), sizes.astype(np.int64)
+            total, n = np.bincount(of, lp, len(sizes)).astype(float), sizes.astype(np.int64)
             mean = pa.array(total / np.maximum(n, 1), mask=n == 0)
             yield pa.RecordBatch.from_arrays([docs, pa.array(n), pa.array(total), mean], ["doc_id", "n_words", "log_prob", "mean_log_prob"])
 
@@ -429,24 +457,21 @@ def score_ids(encoded: DataFrame, vocab: Vocabulary, net: Network) -> DataFrame:
 def train(docs: DataFrame, text_col: str = "text", seed: int = 9, part_words: int = PART_WORDS) -> tuple[Vocabulary, Network]:
     """The vocabulary (of fixed size; the other words' shares in a table) and the network; all documents take part."""
     docs = docs.select(F.lit(0).alias("doc_id"), F.col(text_col).alias("text"))
-    hashed = materialize(hash_words(docs), "hashed")
-    vocab = vocabulary(materialize(count_words(hashed), "words"))
-    return vocab, fit(encode(hashed, vocab), vocab.counts, seed, part_words)
+    vocab = vocabulary(materialize(count_words(docs), "words"))
+    return vocab, fit(encode(docs, vocab), vocab.counts, seed, part_words)
 
 
 def score(docs: DataFrame, vocab: Vocabulary, net: Network, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_words (long), log_prob (double, the sum), mean_log_prob (null without words), for each row of docs.
 
     Null and empty texts have no words and log_prob 0. Repeated rows and null ids stay; other columns are left out."""
-    return score_ids(materialize(encode(hash_words(docs, id_col, text_col), vocab), "encoded"), vocab, net)
+    return score_ids(materialize(encode(docs, vocab, id_col, text_col), "encoded"), vocab, net)
 
 
 def train_and_score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", seed: int = 9, part_words: int = PART_WORDS) -> DataFrame:
-    """score() of docs by what train() learns from them, with their words found once.
+    """score() of docs by what train() learns from them; their ids are found once.
 
     The same rows give the same scores, up to the rounding of float sums, in whatever files and partitions they come."""
-    hashed = materialize(hash_words(docs, id_col, text_col), "hashed")
-    vocab = vocabulary(materialize(count_words(hashed), "words"))
-    encoded = materialize(encode(hashed, vocab), "encoded")
-    drop(hashed)
+    vocab = vocabulary(materialize(count_words(docs, text_col), "words"))
+    encoded = materialize(encode(docs, vocab, id_col, text_col), "encoded")
     return score_ids(encoded, vocab, fit(encoded, vocab.counts, seed, part_words))
