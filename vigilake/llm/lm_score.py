@@ -435,7 +435,7 @@ def score_ids(encoded: DataFrame, vocab: Vocabulary, net: Network) -> DataFrame:
     rare = encoded.select("chunk", F.posexplode("rare").alias("at", "word"))
     unseen = F.get(F.array(*[F.lit(float(x)) for x in vocab.unseen]), _rare_index())
     found = rare.join(vocab.shares, "word", "left").select("chunk", F.struct("at", F.coalesce("share", unseen).alias("share")).alias("s"))
-    shares = found.groupBy("chunk").agg(F.transform(F.sort_array(F.collect_list("s")), lambda x: x["share"]).alias("shares"))
+    shares = materialize(found.groupBy("chunk").agg(F.transform(F.sort_array(F.collect_list("s")), lambda x: x["share"]).alias("shares")), "shares")
     kind = encoded.schema["doc_ids"].dataType.elementType
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
