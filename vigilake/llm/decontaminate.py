@@ -6,14 +6,16 @@ document, and the words around it are compared one by one. An overlap counts if
 (or the whole item, if shorter) agrees in MIN_SHARE of its words, so replaced words do not hide a passage.
 
 The benchmark's hashes go to the documents, not the reverse: documents are read once by a map and never
-shuffled. Where a benchmark has more than MAX_WORDS words, it goes in blocks of at most about that many, each
-against all documents.
+shuffled. The benchmark goes in blocks of about MAX_WORDS words, each an index of sorted hashes that every task joins
+with the hashes of its texts, one block after the other; an item of more than PIECE words is cut into pieces that overlap.
+What is found does not hang on the blocks.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator, Sequence
+from functools import partial
 from itertools import combinations
 
 import numpy as np
@@ -29,14 +31,24 @@ VERIFY, MIN_SHARE = 13, 0.8
 #: Items of fewer than VERIFY words have masks of their own (item_masks). Those below MIN_WORDS count as exact copies only, if their words
 #: have MIN_CHARS characters (long words, scripts without spaces); others say too little and are left out.
 MIN_WORDS, MIN_CHARS = 5, 20
-MAX_WORDS = 500_000
-#: Words of documents that are hashed at a time.
-CHUNK_WORDS = 1 << 19
+MAX_WORDS, PIECE = 500_000, 100_000
+#: Words of documents that are hashed at a time, and pairs of equal seeds that are held at a time.
+CHUNK_WORDS, PAIRS = 1 << 19, 1 << 20
 WORD = re.compile(r"\w+")
+#: Scripts that are written without spaces (Thai, Lao, Myanmar, Khmer, kana, Han): each letter is a word of its own.
+_BARE = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U000323af"
+BARE, MIXED = re.compile(f"[{_BARE}]"), re.compile(f"[{_BARE}]|[^\\W{_BARE}]+")
 
 
 def words_of(text: str | None) -> list[str]:
-    return WORD.findall((text or "").lower())
+    """Runs of letters, digits and underscores, in lower case; single letters of scripts without spaces."""
+    text = (text or "").lower()
+    return MIXED.findall(text) if not text.isascii() and BARE.search(text) else WORD.findall(text)
+
+
+def pieces(words: list[str]) -> list[list[str]]:
+    """The words in runs of PIECE at most; every window of VERIFY words lies in one."""
+    return [words[i : i + PIECE] for i in range(0, max(1, len(words) - VERIFY + 1), PIECE - VERIFY + 1)]
 
 
 def item_masks(n: int) -> list[str]:
@@ -54,9 +66,9 @@ def says_enough(words: list[str]) -> bool:
 class Index:
     """The seeds of some benchmark items, sorted by hash, for each mask."""
 
-    def __init__(self, items: list[tuple[object, str | None]], masks: tuple[str, ...] = MASKS):
+    def __init__(self, items: list[tuple[object, list[str]]], masks: tuple[str, ...] = MASKS):
         self.vocab: dict[str, int] = {}
-        found = [(i, np.array([self.vocab.setdefault(w, len(self.vocab) + 1) for w in ws], np.int64)) for i, ws in ((i, words_of(t)) for i, t in items) if says_enough(ws)]
+        found = [(i, np.array([self.vocab.setdefault(w, len(self.vocab) + 1) for w in ws], np.int64)) for i, ws in items]
         self.ids, self.words = [i for i, _ in found], [w for _, w in found]
         self.codes = np.random.Generator(np.random.PCG64(10)).integers(0, 1 << 63, len(self.vocab) + 1, np.uint64)
         short = sorted({len(w) for w in self.words if len(w) < VERIFY})
@@ -89,9 +101,12 @@ class Index:
             h = self.hash(mask, ids)
             where = np.flatnonzero(maybe[(h >> np.uint64(44)).astype(np.int64)])
             lo, hi = np.searchsorted(seeds, h[where], "left"), np.searchsorted(seeds, h[where], "right")
-            n = hi - lo
-            k = np.repeat(lo - np.concatenate(([0], np.cumsum(n)[:-1])), n) + np.arange(n.sum()) if len(n) else lo
-            out.append(np.column_stack([item[k], np.repeat(where, n) - at[k]]))
+            where, lo, n = where[lo < hi], lo[lo < hi], (hi - lo)[lo < hi]
+            total = np.cumsum(n)
+            cuts = np.unique(np.searchsorted(total, np.arange(0, total[-1] if len(n) else 0, PAIRS), "right")).tolist() + [len(n)]
+            for a, b in zip(cuts, cuts[1:]):
+                k = np.repeat(lo[a:b] - (total[a:b] - n[a:b]), n[a:b]) + np.arange(total[a] - n[a], total[b - 1])
+                out.append(np.unique(np.column_stack([item[k], np.repeat(where[a:b], n[a:b]) - at[k]]), axis=0))
         return np.unique(np.concatenate(out), axis=0)
 
     def verify(self, ids: np.ndarray, item: int, start: int) -> tuple[int, int, int] | None:
@@ -110,78 +125,93 @@ class Index:
         return start + lo + first, end - first, int(total[end] - total[first])
 
 
-def _search(index: Index, texts: list[str | None]) -> Iterator[tuple[int, object, int, int, int]]:
+def _search(blocks: Sequence[Callable[[], Index]], texts: list[str | None]) -> Iterator[tuple[int, object, int, int, int]]:
     """(place of the text, item id, first word, words, equal words): the best overlap of each text with each item id."""
     at = 0
     while at < len(texts):
         parts, edges, n = [], [0], 0
         begin = at
         while at < len(texts) and n < CHUNK_WORDS:
-            got = words_of(texts[at])
-            ids = np.fromiter(map(index.vocab.get, got, [0] * len(got)), np.int64, len(got))
-            parts.append(ids)
-            n += len(got)
+            parts.append(words_of(texts[at]))
+            n += len(parts[-1])
             edges.append(n)
             at += 1
-        flat, starts = np.concatenate(parts), np.array(edges)
+        starts = np.array(edges)
         best: dict[tuple[int, object], tuple[int, int, int]] = {}
-        for item, start in index.hits(flat).tolist():
-            # The seed's words lie in [start, start + len(item)); its text is found by its first word that is in range.
-            for k in range(max(0, int(np.searchsorted(starts, max(start, 0), "right")) - 1), len(parts)):
-                if starts[k] >= start + len(index.words[item]):
-                    break
-                if (v := index.verify(parts[k], item, start - int(starts[k]))) is not None:
-                    key = (k, index.ids[item])
-                    if key not in best or (v[2], -v[0]) > (best[key][2], -best[key][0]):
-                        best[key] = v
+        for block in blocks:
+            index = block()
+            flat = np.fromiter((index.vocab.get(w, 0) for got in parts for w in got), np.int64, n)
+            for item, start in index.hits(flat).tolist():
+                # The seed's words lie in [start, start + len(item)); its text is found by its first word that is in range.
+                for k in range(max(0, int(np.searchsorted(starts, max(start, 0), "right")) - 1), len(parts)):
+                    if starts[k] >= start + len(index.words[item]):
+                        break
+                    if (v := index.verify(flat[edges[k] : edges[k + 1]], item, start - edges[k])) is not None:
+                        key = (k, index.ids[item])
+                        if key not in best or (v[2], -v[0], -v[1]) > (best[key][2], -best[key][0], -best[key][1]):
+                            best[key] = v
         for (k, i), v in sorted(best.items(), key=lambda x: (x[0][0], str(x[0][1]))):
             yield begin + k, i, *v
 
 
-def _indexes(benchmark: DataFrame, item_col: str, text_col: str, max_words: int) -> Iterator[Broadcast]:
-    """The benchmark's index, in blocks of about max_words words at most, each broadcast."""
-    spark = benchmark.sparkSession
-    items = benchmark.select(F.col(item_col).alias("i"), F.col(text_col).alias("t")).filter("t IS NOT NULL")
-    size = items.agg(F.sum(F.length("t"))).first()[0] or 0
-    blocks = max(1, -(-size // (4 * max_words)))
-    for block in range(blocks):
-        own = items.filter(F.pmod(F.xxhash64("i", "t"), F.lit(blocks)) == block).distinct().collect()
-        yield spark.sparkContext.broadcast(Index([tuple(r) for r in own]))
+def _given(blocks: list[Broadcast]) -> list[Callable[[], Index]]:
+    """For a task: each block's index; of several, only the one in use stays in memory."""
+
+    def one(block: Broadcast) -> Index:
+        index = block.value
+        if len(blocks) > 1:
+            vars(block).pop("_value", None)
+        return index
+
+    return [partial(one, b) for b in blocks]
+
+
+def _blocks(benchmark: DataFrame, item_col: str, text_col: str, max_words: int) -> list[Broadcast]:
+    """The benchmark's index, in blocks of about max_words words, each broadcast. Items come to the driver a partition at a time."""
+    context, held, n, out = benchmark.sparkSession.sparkContext, [], 0, []
+    items = benchmark.select(F.col(item_col).alias("i"), F.col(text_col).alias("t")).filter("t IS NOT NULL").distinct()
+    for r in items.toLocalIterator():
+        for words in pieces(words_of(r.t)):
+            if says_enough(words):
+                held.append((r.i, words))
+                n += len(words)
+            if n >= max_words:
+                out.append(context.broadcast(Index(held)))
+                held, n = [], 0
+    return [*out, context.broadcast(Index(held))] if held or not out else out
 
 
 def overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text", max_words: int = MAX_WORDS) -> DataFrame:
     """doc_id, item_id, first_word (of the document, from 0), n_words, n_equal: the best overlap of each document and item.
 
-    Only contaminated documents have rows. Words are runs of letters, digits and underscores, in lower case.
-    Null and empty texts have none; items that repeat count once; a repeated document gives its rows again;
-    null ids stay. Other columns are left out."""
+    The best has most equal words, then the first place. Only contaminated documents have rows. Words are runs of
+    letters, digits and underscores, in lower case, and single letters of scripts without spaces. Null and empty texts
+    have none; items that repeat count once, several texts of one item id are that item; a repeated document gives its
+    rows again; null ids stay, of documents and items. Other columns are left out."""
     item_type = benchmark.schema[item_col].dataType
-    arrow_item, found = to_arrow_type(item_type), None
+    arrow_item = to_arrow_type(item_type)
     schema = f"doc_id {docs.schema[id_col].dataType.simpleString()}, item_id {item_type.simpleString()}, first_word long, n_words long, n_equal long"
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    for index in _indexes(benchmark, item_col, item_text, max_words):
+    blocks = _blocks(benchmark, item_col, item_text, max_words)
 
-        def run(batches: Iterator[pa.RecordBatch], index=index) -> Iterator[pa.RecordBatch]:
-            for b in batches:
-                cols = list(zip(*_search(index.value, b.column(1).to_pylist()))) or [()] * 5
-                yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(cols[0], pa.int64())), pa.array(cols[1], arrow_item), *[pa.array(c, pa.int64()) for c in cols[2:]]], ["doc_id", "item_id", "first_word", "n_words", "n_equal"])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        given = _given(blocks)
+        for b in batches:
+            cols = list(zip(*_search(given, b.column(1).to_pylist()))) or [()] * 5
+            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(cols[0], pa.int64())), pa.array(cols[1], arrow_item), *[pa.array(c, pa.int64()) for c in cols[2:]]], ["doc_id", "item_id", "first_word", "n_words", "n_equal"])
 
-        part = rows.mapInArrow(run, schema)
-        found = part if found is None else found.unionByName(part)
-    return found
+    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, schema)
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text: str = "text", max_words: int = MAX_WORDS) -> DataFrame:
     """The rows of docs, with all columns, whose text has no such overlap; each row is judged by itself, without a shuffle."""
-    at = docs.columns.index(text_col)
-    for index in _indexes(benchmark, item_col, item_text, max_words):
-
-        def run(batches: Iterator[pa.RecordBatch], index=index) -> Iterator[pa.RecordBatch]:
-            for b in batches:
-                bad = sorted({x[0] for x in _search(index.value, b.column(at).to_pylist())})
-                keep = np.ones(b.num_rows, bool)
-                keep[bad] = False
-                yield b.filter(pa.array(keep))
-
-        docs = docs.mapInArrow(run, docs.schema)
-    return docs
+    at, blocks = docs.columns.index(text_col), _blocks(benchmark, item_col, item_text, max_words)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        given = _given(blocks)
+        for b in batches:
+            bad = sorted({x[0] for x in _search(given, b.column(at).to_pylist())})
+            keep = np.ones(b.num_rows, bool)
+            keep[bad] = False
+            yield b.filter(pa.array(keep))
+
+    return docs.mapInArrow(run, docs.schema)
