@@ -9,6 +9,7 @@ from tests.conftest import SF
 from tests.llm.test_operators import EDGE, frame
 from vigilake.llm import lm_score, queries
 from vigilake.llm.common import materialize, table
+from vigilake.llm.word_hash import hash_words
 
 
 def fitted(docs, **settings):
@@ -19,7 +20,7 @@ def fitted(docs, **settings):
 def plain_score(text, vocab, net, shares):
     """Word by word, with both softmaxes over all of their values."""
     p = {k: v.astype(float) for k, v in net.p.items()}
-    words = [lm_score.hash_words([w])[0] for w in lm_score.words_of(text)]
+    words = [hash_words([w])[0] for w in lm_score.words_of(text)]
     ids = [lm_score.PAD] * 2 + [int(vocab.ids(w)[0]) for w in words] + [lm_score.PAD] * 2
     total = 0.0
     for k, w in enumerate(words):
@@ -32,21 +33,6 @@ def plain_score(text, vocab, net, shares):
     return total
 
 
-def test_hashes_of_words(monkeypatch):
-    """Words as the regular expression finds them, the same hash for the same word anywhere, none for two; in pieces of any size."""
-    rng = random.Random(1)
-    texts = [t for t in EDGE] + ["İstanbul ΑΣ ΣΑΣ. don't_x 中文 字 é́ ½² \ud800 a\u00a0b—c «d» 🙂x", "a" * 3000 + " b", "", None]
-    texts += ["".join(rng.choice("abcXYZ é—ßΣİ_1 .中\n") for _ in range(rng.randrange(200))) for _ in range(300)]
-    for piece in (1 << 18, 40):
-        monkeypatch.setattr(lm_score, "PIECE", piece)
-        hashes, sizes = lm_score.hash_words(texts)
-        words = [w for t in texts for w in lm_score.words_of(t)]
-        assert sizes.tolist() == [len(lm_score.words_of(t)) for t in texts] and len(hashes) == len(words)
-        assert len(set(zip(words, hashes.tolist()))) == len(set(words)) == len(set(hashes.tolist()))
-    many = lm_score.hash_words([" ".join(f"{a}{i}" for i in range(100_000) for a in ("w", "x_", "é"))])[0]
-    assert len(np.unique(many)) == len(many) and len(np.unique(many % 512)) == 512 and np.bincount(many % 512).max() < 800
-
-
 def test_query_is_as_plain_python(spark):
     """All documents, the registered query; and the same scores whatever the partitions."""
     docs = table(spark, SF, "documents")

@@ -20,7 +20,6 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable, Iterator
-from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -29,6 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vigilake.llm.common import drop, materialize
+from vigilake.llm.word_hash import hash_words
 
 SIDE, DIM, HIDDEN = 2, 16, 32
 CLASSES, MEMBERS = 64, 64
@@ -41,9 +41,7 @@ PART_WORDS = 1 << 22
 FAN_IN, SLICE = 64, 1 << 14
 #: Words of a chunk, which is in memory as arrays, and its slices of 200 documents.
 CHUNK_WORDS, CHUNK_SLICES = 1 << 19, 50
-#: Characters that are hashed at a time, and odd numbers for it.
-PIECE, FACTOR, MIX = 1 << 18, 0xD6E8FEB86659FD93, np.uint64(0x9E3779B97F4A7C15)
-WORD, GAP = re.compile(r"\w+"), re.compile(r"\W")
+WORD = re.compile(r"\w+")
 KNOWN = (CLASSES - RARE_CLASSES) * MEMBERS
 RARE = RARE_CLASSES * MEMBERS
 PAD = CLASSES * MEMBERS
@@ -53,63 +51,6 @@ def words_of(text: str | None) -> list[str]:
     return WORD.findall((text or "").lower())
 
 
-@cache
-def _is_word() -> np.ndarray:
-    """Whether a code point stands in words: \\w of Python's regular expressions."""
-    found = np.fromiter((chr(i).isalnum() for i in range(0x110000)), bool, 0x110000)
-    found[ord("_")] = True
-    return found
-
-
-@cache
-def _powers(bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """The first 2^bits powers of FACTOR and of its inverse, modulo 2^64."""
-    ones = np.ones(1 << bits, np.uint64)
-    ones[1:], inverse = FACTOR, ones.copy()
-    inverse[1:] = pow(FACTOR, -1, 1 << 64)
-    return np.cumprod(ones), np.cumprod(inverse)
-
-
-def _pieces(texts: list[str | None]) -> Iterator[list[tuple[int, str]]]:
-    """Lower-cased texts with their places, in groups of PIECE characters; longer ones are cut where no word stands."""
-    group, n = [], 0
-    for k, t in enumerate(texts):
-        t, at = (t or "").lower(), 0
-        while at < len(t):
-            cut = GAP.search(t, at + PIECE) if len(t) - at > PIECE else None
-            end = cut.start() if cut else len(t)
-            group.append((k, t[at:end]))
-            n, at = n + end - at, end
-            if n > PIECE:
-                yield group
-                group, n = [], 0
-    if group:
-        yield group
-
-
-def hash_words(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-    """The 64-bit hash of every word of the texts, in order, and each text's number of words.
-
-    A word's hash is a polynomial in FACTOR over its code points, mixed; sums over all characters give all words at once."""
-    out, sizes = [np.empty(0, np.uint64)], np.zeros(len(texts), np.int64)
-    for group in _pieces(texts):
-        codes = np.frombuffer("\n".join([t for _, t in group]).encode("utf-32-le", "surrogatepass"), np.uint32)
-        inside = np.zeros(len(codes) + 2, np.int8)
-        inside[1:-1] = _is_word()[codes]
-        edges = np.diff(inside)
-        starts, ends = np.flatnonzero(edges == 1), np.flatnonzero(edges == -1)
-        power, inverse = _powers(max(PIECE.bit_length() + 1, len(codes).bit_length()))
-        sums = np.zeros(len(codes) + 1, np.uint64)
-        np.cumsum((codes.astype(np.uint64) + np.uint64(1)) * MIX * power[: len(codes)], out=sums[1:])
-        h = (sums[ends] - sums[starts]) * inverse[starts]
-        h ^= h >> np.uint64(32)
-        h *= MIX
-        out.append(h ^ (h >> np.uint64(29)))
-        last = np.cumsum([len(t) + 1 for _, t in group])
-        sizes += np.bincount(np.array([k for k, _ in group])[np.searchsorted(last, starts, "right")], minlength=len(texts))
-    return np.concatenate(out), sizes
-
-
 class Vocabulary:
     """Hashes of the KNOWN most frequent words (their ids are their ranks), all others' ids by their hash.
 
