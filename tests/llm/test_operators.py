@@ -5,11 +5,13 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
 import public_tokenizers
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
-from vigilake.llm import decontaminate, mixing, sharding, token_counts, token_files
+from vigilake.llm import common, mixing, sharding, token_counts, token_files
 from vigilake.llm.common import scratch_dir
 
 SCHEMA = "doc_id long, text string, source string, shard string, n_tokens long, size int, count int"
@@ -49,12 +51,43 @@ def test_token_files(spark, edge):
     assert token_files.read_documents(token_files.write_tokens(edge.limit(0), BPE), edge.schema["doc_id"].dataType, scratch_dir(spark)).count() == 0
 
 
-def test_shards(spark, edge):
+def lawful(rows, shards):
+    """Shards' counts are one apart at most, slots without gaps."""
+    slots = {s: sorted(r.slot for r in rows if r.shard == s) for s in range(shards)}
+    return max(map(len, slots.values())) - min(map(len, slots.values())) <= 1 and all(x == list(range(len(x))) for x in slots.values())
+
+
+def test_shards(spark, edge, tmp_path):
     rows = sharding.shard(edge, shards=5, bucket_bytes=1 << 16).collect()
-    assert sorted(r.slot for r in rows if r.shard == 0) == list(range(sum(r.shard == 0 for r in rows)))
-    counts = Counter(r.shard for r in rows)
-    assert sum(counts.values()) == edge.count() and max(counts.values()) - min(counts.values()) <= 1
-    assert sharding.layout(sharding.shard(edge.limit(0))).count() == 0
+    assert len(rows) == edge.count() and lawful(rows, 5)
+    assert sharding.shard_and_read(edge.limit(0)).count() == 0
+    # What is written: every column, consecutive slots in each file, in order, whatever the partitions of the input.
+    read = sharding.write_shards(sharding.shard(edge.repartition(3), shards=5, bucket_bytes=1 << 16), str(tmp_path / "out"), 2)
+    assert sorted(map(str, read.drop("part").select(*sorted(rows[0].asDict())).collect())) == sorted(str(Row(**{k: r[k] for k in sorted(r.asDict())})) for r in rows)
+    for f in (tmp_path / "out").glob("shard=*/part=*/*.parquet"):
+        slots = pq.read_table(f, partitioning=None).column("slot").to_pylist()
+        part = int(f.parent.name[5:])
+        assert slots == list(range(2 * part, 2 * part + len(slots))) and len(slots) <= 2
+
+
+def test_shards_of_ties(spark):
+    """A million equal rows without an id, among others, are spread over buckets."""
+    same = spark.range(1_000_000).selectExpr("cast(null as long) AS doc_id", "'same' AS text", "map('k', 1) AS more")
+    rows = same.unionByName(spark.range(1000).selectExpr("if(id < 500, null, id) AS doc_id", "cast(id as string) AS text", "map('k', 1) AS more"))
+    out = sharding.shard(rows, shards=4, bucket_bytes=1 << 20)
+    in_shards = out.groupBy("shard").agg(F.count(F.lit(1)).alias("n"), F.max("slot").alias("top"), F.countDistinct("slot").alias("slots"), F.sum((F.col("text") == "same").cast("int")).alias("same")).collect()
+    assert {r.n for r in in_shards} == {250_250} and all(r.top == 250_249 and r.slots == 250_250 and r.same > 200_000 for r in in_shards)
+    largest = common.number_ties(rows, more_than=sharding.TIED).groupBy(F.pmod(F.xxhash64("__key", "__nth"), F.lit(20))).count().agg(F.max("count")).first()[0]
+    assert largest < 60_000
+
+
+def test_number_ties(spark, monkeypatch):
+    monkeypatch.setattr(common, "BLOCK", 3)
+    rows = spark.createDataFrame([(None, "a", {"x": 1, "y": 2})] * 8 + [(1, None, None)] * 2 + [(1, "b", {})], "doc_id long, text string, n map<string,int>")
+    got = common.number_ties(rows)
+    assert got.columns == [*rows.columns, "__key", "__nth"]
+    assert sorted((str(r.doc_id), str(r.text), str(r.n), r["__nth"]) for r in got.collect()) == sorted([("None", "a", "{'x': 1, 'y': 2}", i) for i in range(8)] + [("1", "None", "None", i) for i in range(2)] + [("1", "b", "{}", 0)])
+    assert {r["__nth"] for r in common.number_ties(rows, more_than=8).collect()} == {0}
 
 
 def test_permutation():
@@ -66,60 +99,42 @@ def test_permutation():
 
 def test_mix_weights(spark):
     docs = frame(spark, ["a b c d e f g h"] * 60, "big").unionByName(frame(spark, ["a b c d"] * 8, "small").withColumn("doc_id", F.col("doc_id") + 100)).unionByName(frame(spark, [None], None).withColumn("doc_id", F.lit(999)))
-    mix = mixing.solve_mix(docs, max_repeats=4.0)
+    counted = mixing.countable(docs)
+    mix = mixing.solve_mix(counted, max_repeats=4.0)
     by = {r.source: r for r in mix.sources.collect()}
     assert by["big"].epochs == pytest.approx(1) and by["small"].epochs == pytest.approx(4, rel=1e-6)
     assert sum(r.weight for r in by.values()) == pytest.approx(1)
-    plan = mixing.realise(docs, mix).collect()
+    plan = mixing.realise(counted, mix).collect()
     assert {r.doc_id for r in plan} == {r.doc_id for r in docs.collect()}
     small = sum(r.n_tokens for r in plan if r.source == "small")
     assert abs(small - 4 * by["small"].tokens) <= 4
-    applied = mixing.apply_mix(docs, mix, mixing.realise(docs, mix))
+    applied = mixing.apply_mix(docs, mix, mixing.realise(counted, mix))
     assert Counter(r.doc_id for r in applied.collect()) == Counter(r.doc_id for r in plan)
     assert applied.columns == docs.columns
 
 
+def test_mix_of_ties(spark):
+    """Equal rows, null ids and one id for all: a source's tokens are within one document of its budget."""
+    texts = ["a b c d e f g h i j"] * 50
+    docs = frame(spark, texts, "same").withColumn("doc_id", F.lit(5).cast("long")).unionByName(frame(spark, texts, "null").withColumn("doc_id", F.lit(None).cast("long"))).unionByName(frame(spark, [f"{i} b c" for i in range(90)], "one id").withColumn("doc_id", F.lit(7).cast("long"))).withColumnRenamed("count", "epoch")
+    counted = mixing.countable(docs)
+    mix = mixing.solve_mix(counted, budget=777)
+    plan = mixing.realise(counted, mix)
+    got, want = Counter(), {r.source: r.weight * 777 for r in mix.sources.collect()}
+    for r in plan.collect():
+        got[r.source] += r.n_tokens
+    assert all(0 <= got[s] - want[s] < 10 for s in want)
+    applied = mixing.apply_mix(docs, mix, plan)
+    assert Counter(r.source for r in applied.collect()) == Counter(r.source for r in plan.collect()) and applied.columns == docs.columns
+
+
 def test_mix_entropy(spark):
     docs = frame(spark, ["a b c"] * 50, "x").unionByName(frame(spark, ["a b c"] * 5, "y"))
     mix = mixing.solve_mix(docs, target_entropy=0.6)
     w = np.array([r.weight for r in mix.sources.collect()])
     assert -(w * np.log(w)).sum() == pytest.approx(0.6, abs=1e-3)
     empty = mixing.solve_mix(docs.limit(0), max_repeats=2.0)
-    assert mixing.realise(docs.limit(0), empty).count() == 0
-
-
-def test_decontamination(spark, edge):
-    rng = random.Random(1)
-    vocab = [f"w{i}" for i in range(3000)]
-    item = [rng.choice(vocab) for _ in range(40)]
-    changed = [("other" if k % 9 == 4 else w) for k, w in enumerate(item)]
-    clean = [" ".join(rng.choice(vocab) for _ in range(200)) for _ in range(20)]
-    leaks = [" ".join(["before"] * 50 + x + ["after"] * 50) for x in (item, changed, item[10:30])]
-    docs = frame(spark, leaks + clean + EDGE)
-    bench = spark.createDataFrame([(7, " ".join(item)), (7, " ".join(item)), (8, None), (9, "")], "item_id long, text string")
-    rows = decontaminate.overlaps(docs, bench).collect()
-    assert sorted((r.doc_id, r.item_id) for r in rows) == [(0, 7), (1, 7), (2, 7)]
-    assert {r.doc_id: (r.first_word, r.n_words, r.n_equal) for r in rows}[0] == (50, 40, 40)
-    # The same in many blocks of the benchmark.
-    assert decontaminate.overlaps(docs, bench, max_words=2).select("doc_id").distinct().count() == 3
-    left = decontaminate.decontaminate(docs, bench)
-    assert left.columns == docs.columns and {r.doc_id for r in left.collect()} == set(range(3, docs.count()))
-    assert decontaminate.overlaps(docs, bench.limit(0)).count() == 0
-
-
-def test_decontamination_of_short_items():
-    """Every pattern of replaced words that verify() accepts is found, for items of 5 words to a bare run of 13."""
-    from itertools import combinations
-
-    for n in range(5, 14):
-        item = [f"w{k}" for k in range(n)]
-        index = decontaminate.Index([(1, " ".join(item))])
-        for some in (c for k in range(n // 5 + 1) for c in combinations(range(n), k)):
-            text = " ".join(["before", *("other" if k in some else w for k, w in enumerate(item)), "after"])
-            assert [x[1:3] for x in decontaminate._search(index, [text])] != [], (n, some)
-    phrase = "一个没有空格的问题它的答案是什么呢谁也不知道"
-    index = decontaminate.Index([(1, phrase), (2, "yes"), (3, "Antidisestablishmentarianism matters")])
-    assert [x[:2] for x in decontaminate._search(index, [f"问。{phrase}。", "yes or no", "so antidisestablishmentarianism, matters", "antidisestablishmentarianism"])] == [(0, 1), (2, 3)]
+    assert mixing.realise(mixing.countable(docs.limit(0)), empty).count() == 0
 
 
 def test_encoder_equals_the_tokenizer_on_whole_texts():

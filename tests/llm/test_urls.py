@@ -1,14 +1,17 @@
 import re
+import time
 
 from pyspark.sql import functions as F
 
+from tests.conftest import SF
 from vigilake.llm import urls
-from vigilake.llm.queries import LISTED, URL_RULES
+from vigilake.llm.common import table
+from vigilake.llm.queries import LISTED, LISTED_PAGES, URL_RULES, url_list
 
 SCHEMA = "host string, path string, verdict string, is_rule boolean"
 URLS = [
     "http://a.example.net/en/1", "http://example.net/en/", "http://example.net/en", "http://notexample.net/en/x?y", "https://EXAMPLE.COM/de/x#y", "https://m.example.com/de/", "http://x.org/fr/?q=/de/", "http://org/fr/", "http://x.org", "x.net/",
-    "http://net", "http://net/", "http://", "", None, "ftp://a.b://c.net/", "http://example.net:80/en/", "http://free-bets.example.com/x", "http://m.free-bets.example.com/", "http://free-bets.example.com", "http://..net/", "http://x.net?/en/", "http://é.net/é",
+    "http://net", "http://net/", "http://", "", None, "ftp://a.b://c.net/", "http://example.net:80/en/", "http://free-bets.example.com/x", "http://m.free-bets.example.com/", "http://free-bets.example.com", "http://..net/", "http://x.net?/en/", "http://é.net/é", "https://M.ththst.example.com/en/77.html?x", "https://ththst.example.com/en/77.html", "https://tionble.example.org/en/077.html", "https://tionble.example.org/en/9999.htmlx", "https://tionble.example.org/en/10000.html", "https://x.www.ththor.example.com/en/0.html",
 ]
 
 
@@ -17,29 +20,26 @@ def brute(url):
     host, path = (re.sub("[A-Z]", lambda x: x[0].lower(), m[1]), m[2]) if m else ("", "")
     fits = lambda h, p: (host == h or host.endswith("." + h)) and path.startswith(p)
     rules = sorted(((len(h + p), h + p, v) for h, p, v in URL_RULES if fits(h, p)), reverse=True)
-    verdict = rules[0][2] if rules else "block" if any(fits(h, "/") for h in LISTED) else "allow"
+    bad = any(fits(x.lower().split("/")[2], "/") for x in LISTED) or any(fits(h, "") for h in LISTED_PAGES) and re.match(r"/en/(0|[1-9][0-9]{0,3})\.html", path)
+    verdict = rules[0][2] if rules else "block" if bad else "allow"
     return url, host, path, rules[0][1] if rules else None, verdict
 
 
-def listed(spark):
-    return spark.createDataFrame([(*r, True) for r in URL_RULES] + [(h, "/", "block", False) for h in LISTED], SCHEMA)
-
-
 def pages(spark, us):
     return spark.createDataFrame([(i, u, "clash", "clash", 0) for i, u in us], "page_id long, url string, host string, rule string, block int")
 
 
 def test_same_as_brute_force(spark):
     given = [(i, u) for i, u in enumerate(URLS)] + [(0, URLS[0])] * 2 + [(None, URLS[3]), (None, None)]
-    got = urls.url_filter(pages(spark, given), listed(spark)).collect()
+    got = urls.url_filter(pages(spark, given), url_list(spark)).collect()
     assert sorted(map(str, ((r.page_id, r.url, r.host, r.path, r.rule, r.verdict) for r in got))) == sorted(str((i, *brute(u))) for i, u in given)
 
 
 def test_shuffled_paths(spark, monkeypatch):
-    want = sorted(map(str, urls.url_filter(pages(spark, list(enumerate(URLS))), listed(spark)).collect()))
+    want = sorted(map(str, urls.url_filter(pages(spark, list(enumerate(URLS))), url_list(spark)).collect()))
     monkeypatch.setattr(urls, "MAX_BROADCAST_BLOCKS", -1)
     monkeypatch.setattr(urls, "MAX_BROADCAST_KEYS", -1)
-    assert sorted(map(str, urls.url_filter(pages(spark, list(enumerate(URLS))), listed(spark)).collect())) == want
+    assert sorted(map(str, urls.url_filter(pages(spark, list(enumerate(URLS))), url_list(spark)).collect())) == want
 
 
 def test_bloom_filter(spark):
@@ -58,4 +58,32 @@ def test_bloom_filter(spark):
 def test_empty(spark):
     none = spark.createDataFrame([], SCHEMA)
     assert {r.verdict for r in urls.url_filter(pages(spark, list(enumerate(URLS))), none).collect()} == {"allow"}
-    assert urls.url_filter(pages(spark, []), listed(spark)).count() == 0
+    assert urls.url_filter(pages(spark, []), url_list(spark)).count() == 0
+
+
+def test_false_positives_are_removed(spark):
+    """Over all pages: the filter has many blocks, passes every listed key and some others, and those are gone after the exact join."""
+    parts = table(spark, SF.replace("0.001", "0.1"), "pages").select(F.col("page_id").alias("id"), F.col("url").alias("u"), urls.host_of(F.col("url")).alias("host"), urls.path_of(F.col("url")).alias("path"))
+    keys = urls.listed_keys(url_list(spark)).cache()
+    assert keys.count() * urls.BITS_PER_KEY // 512 > 1000
+    listed = {r.key for r in keys.collect()}
+    for bits in (urls.BITS_PER_KEY, 3):
+        passed = [r.key for r in urls.passing(parts, keys, bits).collect()]
+        hits = sum(k in listed for k in passed)
+        assert hits > 500 and (len(passed) > hits if bits == 3 else len(passed) < 1.02 * hits + 20)
+    some = table(spark, SF.replace("0.001", "0.1"), "pages").select("page_id", "url")
+    for bits in (urls.BITS_PER_KEY, 3):
+        got = {r.page_id: (r.host, r.path, r.rule, r.verdict) for r in urls.url_filter(some, url_list(spark), bits_per_key=bits).collect()}
+        assert got == {r.page_id: brute(r.url)[1:] for r in some.collect()}
+
+
+def test_long_urls(spark):
+    long = ["http://" + "a." * 500_000 + "spam-farm.example.org/" + "x/" * 100_000, "http://" + "net." * 300_000, "http://net/" + "y" * 1_000_000]
+    start = time.time()
+    got = {r.page_id: r.verdict for r in urls.url_filter(pages(spark, list(enumerate(long))), url_list(spark)).collect()}
+    assert got == {0: "block", 1: "allow", 2: "block"} and time.time() - start < 30
+
+
+def test_canonical(spark):
+    raw = spark.createDataFrame([("HTTPS://A.Example.COM/B?c#d", 1), ("no url", 2), (None, 3), ("x://", 4)], "url string, n int")
+    assert [tuple(r) for r in urls.canonical(raw).select("host", "path", "n").collect()] == [("a.example.com", "/B", 1)]

@@ -5,6 +5,8 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -60,23 +62,31 @@ def drop_path(spark: SparkSession, path: str) -> None:
     at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
 
 
+#: Rows that number_ties() makes in one place.
+BLOCK = 10_000
 #: Spark then removes the shuffle files of a query as soon as it has ended.
 CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Cuts lineage: writes df to the shared scratch folder and reads it back.
-
-    The written table outlives any executor, so later reads never recompute what led to it, and what was shuffled
-    for it is not needed any more."""
-    spark = df.sparkSession
-    path, before = scratch_path(spark, name), spark.conf.get(CLEAN, None)
+@contextmanager
+def cleaning(spark: SparkSession) -> Iterator[None]:
+    """For a write after which nothing needs what was shuffled for it."""
+    before = spark.conf.get(CLEAN, None)
     spark.conf.set(CLEAN, "true")
     try:
-        df.write.parquet(path)
+        yield
     finally:
         spark.conf.unset(CLEAN) if before is None else spark.conf.set(CLEAN, before)
-    out = spark.read.schema(df.schema).parquet(path)
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Cuts lineage: writes df to the shared scratch folder and reads it back.
+
+    The written table outlives any executor, so later reads never recompute what led to it."""
+    path = scratch_path(df.sparkSession, name)
+    with cleaning(df.sparkSession):
+        df.write.parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
     out.scratch = path
     return out
 
@@ -85,3 +95,25 @@ def drop(*tables: DataFrame) -> None:
     """Removes tables that materialize() gave, once nothing reads them any more."""
     for t in tables:
         drop_path(t.sparkSession, t.scratch)
+
+
+def row_key(rows: DataFrame) -> Column:
+    """A hash of all of a row's columns (of maps: of their entries in order)."""
+    return F.xxhash64(*[F.sort_array(F.map_entries(f"`{c}`")) if kind.startswith("map") else F.col(f"`{c}`") for c, kind in rows.dtypes])
+
+
+def number_ties(rows: DataFrame, key: str = "__key", nth: str = "__nth", more_than: int = 1) -> DataFrame:
+    """rows with key (row_key()) and nth (long): 0, 1, ... for rows that are equal in all columns, where there are more than `more_than` of them; else 0.
+
+    Equal rows are counted before any shuffle and then made again from their number, BLOCK at a time, so that one row that
+    is there a billion times is spread over tasks. Which of the equal rows has which number means nothing."""
+    names, keyed = rows.columns, rows.withColumn(key, row_key(rows))
+    ties = materialize(keyed.groupBy(key).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > more_than).select(key), "ties")
+    if not ties.take(1):
+        return keyed.withColumn(nth, F.lit(0).cast("long"))
+    flat = [F.sort_array(F.map_entries(f"`{c}`")).alias(c) if kind.startswith("map") else F.col(f"`{c}`") for c, kind in rows.dtypes]
+    counted = keyed.join(ties, key, "left_semi").select(*flat, key).groupBy(*[f"`{c}`" for c in names], key).agg(F.count(F.lit(1)).alias("__n"))
+    blocks = counted.withColumn("__block", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(__n - 1) div {BLOCK}")))).repartition(key, "__block")
+    made = blocks.withColumn(nth, F.explode(F.sequence(F.col("__block") * BLOCK, F.least(F.col("__n"), (F.col("__block") + 1) * BLOCK) - 1)))
+    back = [F.map_from_entries(f"`{c}`").alias(c) if kind.startswith("map") else F.col(f"`{c}`") for c, kind in rows.dtypes]
+    return keyed.join(ties, key, "left_anti").select(*names, key, F.lit(0).cast("long").alias(nth)).unionByName(made.select(*back, key, nth))

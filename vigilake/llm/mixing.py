@@ -19,10 +19,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from vigilake.llm.common import materialize
+from vigilake.llm.common import materialize, number_ties, row_key
 
 BLOCK_TOKENS = 1 << 20
-RANGES = 1024
+RANGES = 1 << 14
 POINTS, PASSES = 31, 8
 #: The table of sources is broadcast up to so many rows; beyond, it is joined by shuffle.
 MAX_BROADCAST_SOURCES = 100_000
@@ -47,6 +47,7 @@ def count_tokens(text: Column) -> Column:
 def _solve(shares: DataFrame, wanted: float, measure: str) -> float:
     """The exponent in [0, 1] at which the measure, which falls as the exponent grows, comes down to `wanted`; an end of the range if it never does."""
     lo, hi = 0.0, 1.0
+    ends = shares.agg(F.min("l"), F.max("l")).first()
     for _ in range(PASSES):
         points = [lo + (hi - lo) * i / (POINTS + 1) for i in range(POINTS + 2)]
         if measure == "entropy":
@@ -54,8 +55,7 @@ def _solve(shares: DataFrame, wanted: float, measure: str) -> float:
             got = shares.agg(*[c.alias(f"c{i}") for i, c in enumerate(sums)]).first()
             values = [math.log(got[2 * i]) - a * got[2 * i + 1] / got[2 * i] for i, a in enumerate(points)]
         else:  # repeats: times the least source is gone over while the largest is gone over once
-            got = shares.agg(F.min("l"), F.max("l")).first()
-            values = [math.exp((got[0] - got[1]) * (a - 1)) for a in points]
+            values = [math.exp((ends[0] - ends[1]) * (a - 1)) for a in points]
         at = next((i for i, v in enumerate(values) if v <= wanted), None)
         if at is None:
             return hi
@@ -91,24 +91,29 @@ def solve_mix(docs: DataFrame, source_col: str = "source", tokens_col: str = "n_
     return Mix(exponent, float(budget), sources, count <= MAX_BROADCAST_SOURCES)
 
 
-def _place(seed: int, id_col: str) -> Column:
-    """A document's place in the permutation of an epoch: 0 to 2^63 - 1."""
-    return F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.col("epoch"), F.col(id_col)), 1)
+def countable(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
+    """doc_id, source, n_tokens, key, nth: what realise() needs of each row. key is a hash of the whole row; equal rows have numbers nth."""
+    rows = docs.withColumn("__all", row_key(docs)).select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), count_tokens(F.col(text_col)).alias("n_tokens"), F.col("__all").alias("key"))
+    return number_ties(materialize(rows, "counted"), key="__row", nth="nth").drop("__row")
+
+
+def _place(seed: int, epoch: str, key: str, nth: str) -> Column:
+    """A row's place in the permutation of an epoch: 0 to 2^63 - 1."""
+    return F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.col(epoch), F.col(key), F.col(nth)), 1)
 
 
 def _join(docs: DataFrame, side: DataFrame, small: bool, source_col: str) -> DataFrame:
-    side = side.withColumnRenamed("source", "__source")
-    return docs.join(F.broadcast(side) if small else side, F.col(source_col).eqNullSafe(F.col("__source"))).drop("__source")
+    """Rows with what the side has on their source (its __from)."""
+    return docs.join(F.broadcast(side) if small else side, F.col(source_col).eqNullSafe(F.col("__from"))).drop("__from")
 
 
-def realise(docs: DataFrame, mix: Mix, seed: int = 8, id_col: str = "doc_id", source_col: str = "source", tokens_col: str = "n_tokens", block_tokens: int = BLOCK_TOKENS) -> DataFrame:
+def realise(counted: DataFrame, mix: Mix, seed: int = 8, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
     """doc_id, source, n_tokens, epoch (from 0), block, slot (gapless from 0 in its block), place (in the epoch's permutation): a row for each copy.
 
-    A source's last epoch ends with the document at which its budget is spent. Documents that tie in their place
-    (repeated ids) are in or out together. Null ids have a place like others."""
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), F.col(tokens_col).alias("n_tokens"))
-    copies = _join(rows, mix.sources.select("source", "tokens", "epochs"), mix.small, "source")
-    copies = copies.withColumn("epoch", F.explode(F.sequence(F.lit(0), F.ceil("epochs").cast("int") - 1))).withColumn("place", _place(seed, "doc_id"))
+    counted: of countable(). A source's last epoch ends with the document at which its budget is spent. Repeated and null
+    ids have places of their own, by the rest of their row and their number among equal rows."""
+    copies = _join(counted, mix.sources.select(F.col("source").alias("__from"), "tokens", "epochs"), mix.small, "source")
+    copies = copies.withColumn("epoch", F.explode(F.sequence(F.lit(0), F.ceil("epochs").cast("int") - 1))).withColumn("place", _place(seed, "epoch", "key", "nth"))
     copies = copies.filter("epochs > 0").withColumn("range", F.shiftrightunsigned("place", 63 - RANGES.bit_length() + 1))
     sums = copies.groupBy("source", "epoch", "range").agg(F.sum("n_tokens").alias("own"))
     before = sums.withColumn("before", F.coalesce(F.sum("own").over(W.partitionBy("source", "epoch").orderBy("range").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))).drop("own")
@@ -121,17 +126,17 @@ def realise(docs: DataFrame, mix: Mix, seed: int = 8, id_col: str = "doc_id", so
     kept = c.withColumn("spent", spent).filter("spent < epochs")
     blocks = max(1, math.ceil(mix.budget / block_tokens))
     kept = kept.withColumn("block", F.least(F.floor(F.col("spent") / F.col("epochs") * blocks), F.lit(blocks - 1)))
-    slot = F.row_number().over(W.partitionBy("block").orderBy(F.xxhash64(F.lit(seed + 1), "doc_id", "epoch"), "doc_id", "epoch", "source", "n_tokens")) - 1
+    slot = F.row_number().over(W.partitionBy("block").orderBy(F.xxhash64(F.lit(seed + 1), "key", "nth", "epoch"), "key", "nth", "epoch")) - 1
     return kept.select("doc_id", "source", "n_tokens", "epoch", "block", slot.alias("slot"), "place")
 
 
-def apply_mix(docs: DataFrame, mix: Mix, plan: DataFrame, seed: int = 8, id_col: str = "doc_id", source_col: str = "source") -> DataFrame:
-    """The rows of docs, each as often as the plan (of realise()) has it, with all columns; texts are not shuffled.
+def apply_mix(docs: DataFrame, mix: Mix, plan: DataFrame, seed: int = 8, source_col: str = "source") -> DataFrame:
+    """The rows of docs, each as often as the plan (of realise(countable(docs))) has it, with all columns; only the texts of equal rows are shuffled.
 
     A copy is in the plan if its epoch is whole or its place comes before the last epoch's end, so the end of each
     source's last epoch is all that has to be known."""
     ends = plan.groupBy("source").agg(F.max_by("place", F.struct("epoch", "place")).alias("__end"), F.max("epoch").alias("__last"))
-    ends = materialize(ends, "ends")
-    rows = _join(docs, ends, mix.small, source_col)
-    rows = rows.withColumn("epoch", F.explode(F.sequence(F.lit(0), "__last"))).filter((F.col("epoch") < F.col("__last")) | (_place(seed, id_col) <= F.col("__end")))
-    return rows.select(*docs.columns)
+    ends = materialize(ends.withColumnRenamed("source", "__from"), "ends")
+    rows = _join(number_ties(docs), ends, mix.small, source_col)
+    taken = (F.col("__epoch") < F.col("__last")) | (_place(seed, "__epoch", "__key", "__nth") <= F.col("__end"))
+    return rows.withColumn("__epoch", F.explode(F.sequence(F.lit(0), "__last"))).filter(taken).select(*docs.columns)

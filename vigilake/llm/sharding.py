@@ -1,25 +1,31 @@
 """Sharding (operator 5): a two-pass external shuffle.
 
-Pass 1 scatters records into buckets by a seeded hash of their id; there are as many buckets as it takes for
-each to fit a task's memory, and as many as shards at least, so that small inputs spread over tasks too. Pass 2 shuffles each bucket by Fisher-Yates, seeded by the bucket, and cuts
-the buckets in their order into shards of equal row counts (at most one apart). The order depends on the seed,
-the ids and the texts alone: a lost task gives the same rows again.
+Pass 1 scatters records into buckets by a seeded hash of the whole record; there are as many buckets as it takes for
+each to fit a task's memory, and as many as shards at least, so that small inputs spread over tasks too. Records that are
+equal in everything, more than TIED of them, are numbered and scattered like others. Pass 2 shuffles each bucket by
+Fisher-Yates, seeded by the bucket, cuts the buckets in their order into shards of equal row counts (at most one apart),
+and writes them in parts of equal row counts. The order depends on the seed and the records alone: a lost task gives the
+same rows again.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
+from vigilake.llm.common import cleaning, materialize, number_ties, scratch_path
 
 SHARDS = 40
-BUCKET_BYTES = 16 << 20
+BUCKET_BYTES = 4 << 20
 ROW_BYTES = 16  # what a row counts besides its text
-#: The table of buckets (a row of 24 bytes each) is broadcast; larger inputs get larger buckets.
-MAX_BUCKETS = 1 << 18
+PART_BYTES = 64 << 20
+#: Equal records that may share a bucket.
+TIED = 100
+#: Buckets whose starts are summed up in one place, and up to so many of which the table of starts (24 bytes each) is broadcast.
+SUMMED, MAX_BROADCAST = 1 << 12, 1 << 18
 
 
 def fisher_yates(n: int, seed: int) -> np.ndarray:
@@ -31,46 +37,60 @@ def fisher_yates(n: int, seed: int) -> np.ndarray:
     return order
 
 
-def shard(docs: DataFrame, shards: int = SHARDS, seed: int = 5, id_col: str = "doc_id", text_col: str = "text", bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
+def _starts(counts: DataFrame, buckets: int) -> DataFrame:
+    """__bucket, __start: the rows of all buckets before it. The driver sees a sum for each SUMMED buckets."""
+    counts = materialize(counts.withColumn("__group", F.expr(f"__bucket div {SUMMED}")), "counts")
+    sums = dict(counts.groupBy("__group").agg(F.sum("n")).collect())
+    before = np.concatenate(([0], np.cumsum([sums.get(g, 0) for g in range(buckets // SUMMED + 1)]))).tolist()
+    inside = F.coalesce(F.sum("n").over(W.partitionBy("__group").orderBy("__bucket").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    return counts.select("__bucket", (F.get(F.lit(before[:-1]), F.col("__group").cast("int")) + inside).alias("__start"))
+
+
+def shard(docs: DataFrame, shards: int = SHARDS, seed: int = 5, text_col: str = "text", bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
     """All rows and columns of docs with size (long), shard (int, from 0) and slot (long, gapless from 0 in its shard).
 
-    size is the text's UTF-8 bytes (null: none) plus 16. Rows that tie in id and text are alike in what decides
-    here, so any order among them is the same result; null ids go to one bucket. With fewer rows than shards,
-    some shards stay empty. Columns named size, shard or slot are replaced."""
+    size is the text's UTF-8 bytes (null: none) plus 16. Null and repeated ids are scattered by the rest of their record.
+    Equal records are alike in what decides here, so any order among them is the same result. With fewer rows than
+    shards, some shards stay empty. Columns named size, shard or slot are replaced."""
     rows = docs.drop("size", "shard", "slot").withColumn("size", F.coalesce(F.octet_length(text_col), F.lit(0)).cast("long") + ROW_BYTES)
     total = rows.agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("bytes")).first()
-    buckets = min(MAX_BUCKETS, max(shards, -(-(total.bytes or 0) // bucket_bytes)))
-    bucket = F.pmod(F.xxhash64(F.lit(seed), id_col), F.lit(buckets)).cast("int")
-    counts = rows.groupBy(bucket.alias("__bucket")).agg(F.count(F.lit(1)).alias("n"))
-    starts, at = [], 0
-    for b, n in sorted((r["__bucket"], r.n) for r in counts.collect()):
-        starts.append((b, at))
-        at += n
-    first = F.broadcast(docs.sparkSession.createDataFrame(starts, "__bucket int, __start long"))
     total_rows, names = total.n, rows.columns
+    buckets = max(shards, -(-(total.bytes or 0) // bucket_bytes))
+    rows = number_ties(rows, more_than=TIED)
+    rows = rows.withColumn("__bucket", F.pmod(F.xxhash64(F.lit(seed), "__key", "__nth"), F.lit(buckets)))
+    first = _starts(rows.groupBy("__bucket").agg(F.count(F.lit(1)).alias("n")), buckets)
+    dealt = rows.join(F.broadcast(first) if buckets <= MAX_BROADCAST else first, "__bucket")
 
     def shuffled(t: pa.Table) -> pa.Table:
-        key = pc.struct_field(t.column("__order").combine_chunks(), [0]), pc.struct_field(t.column("__order").combine_chunks(), [1])
-        order = pc.sort_indices(pa.table({"a": key[0], "b": key[1]}), sort_keys=[("a", "ascending"), ("b", "ascending")])
-        t = t.take(order)
+        t = t.sort_by([("__key", "ascending"), ("__nth", "ascending")])
         place = fisher_yates(t.num_rows, seed * 1_000_003 + t.column("__bucket")[0].as_py())
         at = t.column("__start")[0].as_py() + place
         # Shard s takes positions from ceil(s * N / S) up to that of the next.
         to = at * shards // total_rows
         slot = at + (-to * total_rows) // shards
-        out = t.select(names).append_column("shard", pa.array(to.astype(np.int32))).append_column("slot", pa.array(slot))
-        return out
+        return t.select(names).append_column("shard", pa.array(to.astype(np.int32))).append_column("slot", pa.array(slot))
 
-    dealt = rows.withColumn("__order", F.struct(F.col(id_col).cast("string").alias("a"), F.xxhash64(text_col).alias("b"))).withColumn("__bucket", bucket).join(first, "__bucket")
-    schema = docs.sparkSession.createDataFrame([], rows.schema).withColumns({"shard": F.lit(0), "slot": F.lit(0).cast("long")}).schema
+    schema = docs.sparkSession.createDataFrame([], dealt.select(*names).schema).withColumns({"shard": F.lit(0), "slot": F.lit(0).cast("long")}).schema
     return dealt.groupBy("__bucket").applyInArrow(shuffled, schema)
 
 
-def write_shards(sharded: DataFrame, path: str) -> None:
-    """Parquet files by shard, each in the order of its slots."""
-    sharded.repartition(F.col("shard")).sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)
+def write_shards(sharded: DataFrame, path: str, part_rows: int) -> DataFrame:
+    """Writes {path}/shard=S/part=P: a Parquet file of part_rows consecutive slots, in order; gives all of them read back.
+
+    A part is a task's work, so a shard of any size is written by many."""
+    parts = sharded.withColumn("part", F.expr(f"cast(slot div {part_rows} as int)")).repartition("shard", "part")
+    with cleaning(sharded.sparkSession):
+        parts.sortWithinPartitions("shard", "part", "slot").write.partitionBy("shard", "part").parquet(path)
+    return sharded.sparkSession.read.schema(parts.schema).parquet(path)
 
 
 def layout(sharded: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, size, text_crc32, law, shard, slot, grown_shard of what shard() gives."""
     return sharded.select(F.col(id_col).alias("doc_id"), "size", F.crc32(F.encode(F.coalesce(text_col, F.lit("")), "UTF-8")).alias("text_crc32"), F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+def shard_and_read(docs: DataFrame, shards: int = SHARDS, text_col: str = "text", part_bytes: int = PART_BYTES) -> DataFrame:
+    """layout() of what stands in the files that write_shards() makes of docs, in the scratch folder; parts have part_bytes on average."""
+    n, size = docs.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length(text_col)), F.lit(0))).first()
+    part_rows = max(1, n * part_bytes // (size + n * ROW_BYTES)) if n else 1
+    return layout(write_shards(shard(docs, shards, text_col=text_col), scratch_path(docs.sparkSession, "shards"), part_rows))

@@ -1,11 +1,11 @@
 """URL filters (operator 3): a blocked Bloom filter before an exact hash join; DataFrame functions only.
 
 Listed canonical URLs are pairs of host and path; one fits its host and all subdomains, with every
-path that starts with its own. Each page's url gives its candidate keys: every suffix of its host
-in whole labels, with its path cut to each length that listed paths have. Candidates first meet the
-Bloom filter: one block of 512 bits for each key, found by one equi-join, with eight bits tested by
-shifts. What passes meets the list itself in an exact hash join, which removes false positives. Only
-then do rows shuffle, combined before the shuffle to one row for each page.
+path that starts with its own. Each page's url gives its candidate keys: for each number of labels that
+listed hosts have, that many of its own host's last labels, with its path cut to each length that listed
+paths of such hosts have. Candidates first meet the Bloom filter: one block of 512 bits for each key, found
+by one equi-join, with eight bits tested by shifts. What passes meets the list itself in an exact hash join,
+which removes false positives. Only then do rows shuffle, combined before the shuffle to one row for each page.
 """
 
 from __future__ import annotations
@@ -13,6 +13,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from vigilake.llm.common import materialize
+
 BITS_PER_KEY = 16
 LANES = 8  # words of 64 bits in a block, with one bit of each key in each
 #: Up to so many blocks (72 bytes a row) or listed keys, that side is broadcast; beyond, both sides shuffle.
@@ -47,13 +49,44 @@ def bloom_filter(keys: DataFrame, blocks: int) -> DataFrame:
     return keys.groupBy(_block(F.col("key"), blocks).alias("block")).agg(*bits)
 
 
-def _candidates(host: Column, path: Column, lengths: list[int]) -> Column:
-    labels = F.split(host, "\\.")
-    suffixes = F.transform(labels, lambda _, i: F.array_join(F.slice(labels, i + 1, F.size(labels)), "."))
-    suffixes = F.when(host != "", suffixes).otherwise(F.array().cast("array<string>"))
-    cuts = [F.when(F.length(path) >= n, F.substring(path, 1, n)) for n in lengths]
-    prefixes = F.array_compact(F.array(*cuts)) if cuts else F.array().cast("array<string>")
-    return F.flatten(F.transform(suffixes, lambda s: F.transform(prefixes, lambda p: F.struct(F.concat(s, p).alias("key"), F.length(s).alias("host_len")))))
+def canonical(urls: DataFrame, url_col: str = "url") -> DataFrame:
+    """urls with host and path in place of the URL, by the same rules as pages' URLs; those without a host are left out."""
+    return urls.withColumns({"host": host_of(F.col(url_col)), "path": path_of(F.col(url_col))}).filter("host <> ''").drop(url_col)
+
+
+def _labels(host: Column) -> Column:
+    return F.length(host) - F.length(F.replace(host, F.lit("."))) + 1
+
+
+def _candidates(shapes: list[tuple[int, int]]) -> Column:
+    """key and host_len of each candidate of columns host and path; shapes: numbers of labels and lengths of paths."""
+    host, path, some = F.col("host"), F.col("path"), []
+    for labels in sorted({n for n, _ in shapes}):
+        own = F.substring_index(host, ".", -labels)
+        for n in sorted(n for k, n in shapes if k == labels):
+            fits = (host != "") & (F.col("labels") >= labels) & (F.length(path) >= n)
+            some.append(F.when(fits, F.struct(F.concat(own, F.substring(path, 1, n)).alias("key"), F.length(own).alias("host_len"))))
+    return F.array_compact(F.array(*some)) if some else F.array().cast("array<struct<key:string,host_len:int>>")
+
+
+def listed_keys(listed: DataFrame) -> DataFrame:
+    """key (host and path), rule_verdict, list_verdict, labels (of the host), n (length of the path): a row for each key; listed twice: block."""
+    host, path = F.coalesce("host", F.lit("")), F.coalesce("path", F.lit(""))
+    keys = listed.select(F.concat(host, path).alias("key"), _labels(host).alias("labels"), F.length(path).alias("n"), host.alias("h"), "verdict", F.coalesce("is_rule", F.lit(False)).alias("is_rule")).filter("h <> ''")
+    return keys.groupBy("key", "labels", "n").agg(F.max(F.when(F.col("is_rule"), F.col("verdict"))).alias("rule_verdict"), F.max(F.when(~F.col("is_rule"), F.col("verdict"))).alias("list_verdict"))
+
+
+def passing(parts: DataFrame, keys: DataFrame, bits_per_key: int = BITS_PER_KEY) -> DataFrame:
+    """id, u, key, host_len: the candidates of parts (id, u, host, path) that the Bloom filter of the keys lets pass: all listed ones, and some others."""
+    shapes, size = [tuple(r) for r in keys.select("labels", "n").distinct().collect()], keys.count()
+    blocks = max(1, -(-size * bits_per_key // (64 * LANES)))
+    bloom = bloom_filter(keys, blocks)
+    bloom = F.broadcast(bloom) if blocks <= MAX_BROADCAST_BLOCKS else bloom
+    tried = parts.withColumn("labels", _labels(F.col("host"))).select("id", "u", F.inline(_candidates(shapes))).withColumn("block", _block(F.col("key"), blocks))
+    set_bits = F.lit(True)
+    for i in range(LANES):
+        set_bits = set_bits & (F.call_function("shiftrightunsigned", F.col(f"w{i}"), _lane_bit(F.col("key"), i)).bitwiseAND(1) == 1)
+    return tried.join(bloom, "block").filter(set_bits).select("id", "u", "key", "host_len")
 
 
 def url_filter(pages: DataFrame, listed: DataFrame, id_col: str = "page_id", url_col: str = "url", bits_per_key: int = BITS_PER_KEY) -> DataFrame:
@@ -63,23 +96,13 @@ def url_filter(pages: DataFrame, listed: DataFrame, id_col: str = "page_id", url
     (as long as another: the one with the longer host; listed twice: block); without a rule, a page is blocked
     if some listed URL with verdict block fits, else allowed. A url that is null or has no :// has no host and is
     allowed. Repeated pages give repeated rows; other columns are left out. An empty list allows all. The
-    distinct lengths of listed paths are all the driver gets of the list."""
-    keys = listed.select(F.concat(F.coalesce("host", F.lit("")), F.coalesce("path", F.lit(""))).alias("key"), F.length(F.coalesce("path", F.lit(""))).alias("n"), F.coalesce("host", F.lit("")).alias("h"), "verdict", F.coalesce("is_rule", F.lit(False)).alias("is_rule")).filter("h <> ''")
-    keys = keys.groupBy("key").agg(F.max(F.when(F.col("is_rule"), F.col("verdict"))).alias("rule_verdict"), F.max(F.when(~F.col("is_rule"), F.col("verdict"))).alias("list_verdict"), F.max("n").alias("n"))
-    lengths, size = sorted(r.n for r in keys.select("n").distinct().collect()), keys.count()
-    blocks = max(1, -(-size * bits_per_key // (64 * LANES)))
-    bloom = bloom_filter(keys, blocks)
-    bloom = F.broadcast(bloom) if blocks <= MAX_BROADCAST_BLOCKS else bloom
-    exact = F.broadcast(keys.drop("n")) if size <= MAX_BROADCAST_KEYS else keys.drop("n")
-
+    distinct shapes of listed keys (labels of the host, length of the path) are all the driver gets of the list."""
+    keys = materialize(listed_keys(listed), "listed")
+    exact = keys.select("key", "rule_verdict", "list_verdict")
+    exact = F.broadcast(exact) if keys.count() <= MAX_BROADCAST_KEYS else exact
     rows = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("u"))
     parts = rows.select("id", "u", host_of(F.col("u")).alias("host"), path_of(F.col("u")).alias("path"))
-    tried = parts.select("id", "u", F.inline(_candidates(F.col("host"), F.col("path"), lengths))).withColumn("block", _block(F.col("key"), blocks))
-    set_bits = F.lit(True)
-    for i in range(LANES):
-        set_bits = set_bits & (F.call_function("shiftrightunsigned", F.col(f"w{i}"), _lane_bit(F.col("key"), i)).bitwiseAND(1) == 1)
-    passed = tried.join(bloom, "block").filter(set_bits).select("id", "u", "key", "host_len")
-    hits = passed.join(exact, "key")
+    hits = passing(parts, keys, bits_per_key).join(exact, "key")
     best = F.when(F.col("rule_verdict").isNotNull(), F.struct(F.length("key").alias("n"), "host_len", F.col("rule_verdict").alias("verdict"), F.col("key").alias("rule")))
     found = hits.select("id", "u", best.alias("best"), (F.col("list_verdict") == "block").alias("listed"), F.lit(0).cast("long").alias("copies"))
     every = rows.select("id", "u", F.lit(None).cast(found.schema["best"].dataType).alias("best"), F.lit(None).cast("boolean").alias("listed"), F.lit(1).cast("long").alias("copies"))
