@@ -1,6 +1,7 @@
 import re
 
 import numpy as np
+import pytest
 
 from tests.conftest import SF
 from tests.llm.test_simhash import classes
@@ -22,7 +23,7 @@ def brute(texts):
 
 def test_similar_sets_share_a_key():
     r = np.random.default_rng(4)
-    tried = 0
+    tried, far = 0, []
     for _ in range(4000):
         a = np.unique(r.integers(0, 1 << 64, int(r.integers(2, 60) if r.random() < 0.7 else r.integers(60, 900)), np.uint64, endpoint=False))
         gone, new = int(r.integers(0, len(a) // 5 + 1)), int(r.integers(0, len(a) // 4 + 1))
@@ -30,15 +31,19 @@ def test_similar_sets_share_a_key():
         both = len(np.intersect1d(a, b))
         if gone + new and 10 * both >= 8 * (len(a) + len(b) - both):
             tried += 1
-            assert len(np.intersect1d(jaccard.part_keys(a), jaccard.part_keys(b)))
-    assert tried > 1000
+            assert len(np.intersect1d(jaccard.part_keys(a), jaccard.part_keys(b))) >= max(1, jaccard.must_share(a), jaccard.must_share(b))
+            if min(len(a), len(b)) >= jaccard.LARGE:
+                far.append(sum((x ^ y).bit_count() if (x ^ y) >= 0 else ((x ^ y) & (1 << 64) - 1).bit_count() for x, y in zip(jaccard.sketch(a), jaccard.sketch(b))))
+    assert tried > 1000 and len(far) > 200 and max(far) <= 40 < jaccard.FAR
 
 
-def test_stage_is_as_brute_force(spark):
+@pytest.mark.parametrize("crowd", [64, 3])
+def test_stage_is_as_brute_force(spark, monkeypatch, crowd):
     """The stage's own tables, near copies at all distances, a crowd of copies that drift apart, and short texts."""
     import corpus_pipeline
     from vigilake.llm import simhash
 
+    monkeypatch.setattr(jaccard, "CROWD", crowd)
     r = np.random.default_rng(6)
     word = lambda n: [f"w{x}" for x in r.integers(0, 5000, n)]
     made = []
