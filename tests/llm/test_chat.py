@@ -56,3 +56,21 @@ def test_round_trip(spark):
 
 def test_empty(spark):
     assert folded(spark, []).count() == 0 == chat.digests(chat.render(folded(spark, []))).count()
+
+
+def test_many_chunks_and_long_texts(spark):
+    """A conversation over several chunks, in log order at random, with a text of a million characters, through to the digests."""
+    rows = [(5, i, 2 * i, "message", ("user", "assistant", "system")[i % 3], f"turn {i} <|im_end|>" if i != 40 else "long <| " * 125_000) for i in range(100)]
+    log = rows + [(5, 98, 500, "delta", None, " and more"), (5, 97, 501, "rewrite", None, "an unknown kind starts anew")]
+    want = [(r[4], r[5]) for r in rows]
+    want[98], want[97] = (want[98][0], want[98][1] + " and more"), (want[97][0], "an unknown kind starts anew")
+    d = chat.digests(chat.render(folded(spark, log[::-1]).repartition(5))).first()
+    loss = "".join(t for r, t in want if r == "assistant")
+    assert (d.conv_id, d.n_turns, d.loss_chars) == (5, 100, len(loss))
+    assert d.turns_sha256 == hashlib.sha256("".join(f"{r}\n{t}\n" for r, t in want).encode()).hexdigest() and d.loss_sha256 == hashlib.sha256(loss.encode()).hexdigest()
+
+
+def test_repeats_null_roles_and_hot_conversations(spark):
+    rows = [(None, i % 200, i, "message", None if i % 2 else "assistant", None) for i in range(400)]
+    d = chat.digests(chat.render(folded(spark, rows))).collect()
+    assert [(r.conv_id, r.n_turns, r.loss_chars) for r in d] == [(None, 400, 0)]

@@ -100,3 +100,45 @@ def test_labels_that_say_little(spark):
     assert len(out) == 43 and sum(r.kept for r in out) == 41
     none = spark.createDataFrame([], "doc_id long, quality int")
     assert quality.quality_rules(df.limit(0), none).count() == 0
+
+
+def test_query_is_as_plain_python(spark):
+    """All documents: the cutoffs of every stratum and the verdicts, from counts and exact tails in plain Python."""
+    from tests.conftest import SF
+    from vigilake.llm import queries
+    from vigilake.llm.common import table
+
+    sf = SF.replace("0.001", "0.1")
+    docs = {r.doc_id: r for r in table(spark, sf, "documents").select("doc_id", "text", "lang").collect()}
+    metrics = {i: brute(d.text) for i, d in docs.items()}
+    failed = {i: m[0] < 20 or 100 * m[5] > 30 * m[0] for i, m in metrics.items()}
+    marks = {}
+    for r in table(spark, sf, "labels").filter("quality IS NOT NULL").collect():
+        marks[r.doc_id] = min(marks.get(r.doc_id, 1), r.quality)
+
+    def value(rule, m):
+        n, chars, symbols, lines, dups, repeats = m
+        return {"symbols": lambda: symbols / chars, "dup_lines": lambda: dups / lines, "repeats": lambda: repeats / n, "word_length": lambda: abs(math.log(chars / n / 5))}[rule]() if n else None
+
+    strata = {docs[i].lang for i in marks if i in docs and not failed[i]}
+    cutoffs = {}
+    for lang in strata:
+        held = [(metrics[i], g == 1) for i, g in marks.items() if i in docs and not failed[i] and docs[i].lang == lang]
+        n = sum(g for _, g in held)
+        for rule, (_, cuts) in quality.RULES.items():
+            best = None
+            for step, cut in enumerate(cuts):
+                good, bad = (sum(value(rule, m) > cut for m, g in held if g is want) for want in (True, False))
+                p = tail(good, n, 0.0125) if n and good < n * 0.0125 else 1
+                if p > 0.1 / len(quality.RULES) / len(strata):
+                    break
+                if bad - good > 0 and (best is None or bad - good > best[0]):
+                    best = (bad - good, cut)
+            if best:
+                cutoffs[lang, rule] = best[1]
+    got = {r.doc_id: r for r in queries.op7_quality_rules(spark, sf).collect()}
+    assert cutoffs and set(got) == set(docs)
+    for i, d in docs.items():
+        rules = [] if failed[i] else [r for r in quality.RULES if (d.lang, r) in cutoffs and metrics[i][0] and value(r, metrics[i]) > cutoffs[d.lang, r]]
+        assert (got[i].base_failed, got[i].failed_rules, got[i].kept) == (failed[i], ",".join(rules), not failed[i] and not rules), i
+    assert any(r.failed_rules for r in got.values())

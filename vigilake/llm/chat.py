@@ -41,7 +41,8 @@ def fold_events(events: DataFrame) -> DataFrame:
     """conv_id, chunk, turns (array of role and text in order): final messages, in chunks of each conversation.
 
     events: conv_id, msg (order of the message in its conversation), seq (order of the event), kind
-    (message, delta, edit, regenerate, delete; null: message), role, text; more columns are left out. A null msg
+    (message, delta, edit, regenerate, delete; null: message; any other starts the text anew, as edit does), role, text;
+    more columns are left out. A null msg
     or seq comes first; events that tie go by kind, role and text; a repeated message event gives a message of
     its own. Null texts and roles are empty; the last role that is given counts. A null conv_id is a
     conversation of its own."""
@@ -94,7 +95,10 @@ def conversation_events(rows: DataFrame) -> DataFrame:
 
 
 def digests(formatted: DataFrame) -> DataFrame:
-    """A row for each conversation, with digests of what reads back from its formatted chunks."""
+    """A row for each conversation, with digests of what reads back from its formatted chunks.
+
+    A digest is over the whole conversation, so its texts meet in one row: one conversation must fit a task here, though
+    not in what comes before."""
     back = read_back(formatted, "formatted")
     each = F.struct("chunk", F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "").alias("turns"), F.col("loss_text").alias("loss"))
     one = back.groupBy("conv_id").agg(F.sum(F.size("turns")).cast("long").alias("n_turns"), F.sum(F.length("loss_text")).cast("long").alias("loss_chars"), F.sum(F.length("formatted")).cast("long").alias("formatted_chars"), F.sort_array(F.collect_list(each)).alias("c"))

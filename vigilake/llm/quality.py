@@ -1,6 +1,7 @@
 """Quality rules with risk-controlled thresholds (operator 7); DataFrame functions only.
 
-Base metrics are taken from each whole text in its own row, without a shuffle. Cutoffs for
+Base metrics are taken from each whole text in its own row, without a shuffle; windows of words are compared by nested
+64-bit hashes, so they are exact up to a collision within one text. Cutoffs for
 the learned rules come from labelled holdout documents of good quality: for each stratum and
 rule, cutoffs are tried from the mildest to the strictest, as long as the exact binomial tail
 refutes "more than `risk` of good documents fall". Confidence is shared out over strata and

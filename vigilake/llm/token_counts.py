@@ -23,6 +23,10 @@ from pyspark.sql import functions as F
 BLOCK_CHARS = 8 << 20
 #: Spaces with the word after them, a line end, or spaces before one or at the end of the text.
 PRETOKEN = re.compile(" *[^ \\n]+|\\n| +")
+#: Distinct pre-tokens whose counts a bucket remembers.
+REMEMBERED = 4_000_000
+#: Texts that are counted whole and in pre-tokens, before a model is used.
+JOINS = ("the end of the day", "  two  spaces ", "a line\nand\n\nanother\n", " \n \n", "x=1, y(2).", "É è 中文 🙂", "▁ sign▁x", "a\tb \r\n c")
 _IPC = pa.ipc.IpcWriteOptions(compression="zstd")
 
 
@@ -44,6 +48,14 @@ def piece_counter(model: str):
     return count
 
 
+def whole_counter(model: str):
+    """A function that gives the piece count of a whole text."""
+    from sentencepiece import SentencePieceProcessor
+
+    sp = SentencePieceProcessor(model_file=model)
+    return lambda text: len(sp.encode(text))
+
+
 def _pack(**columns: object) -> bytes:
     batch = pa.RecordBatch.from_arrays([pa.array([v]) if not isinstance(v, pa.Array) else pa.ListArray.from_arrays(pa.array([0, len(v)], pa.int32()), v) for v in columns.values()], list(columns))
     out = pa.BufferOutputStream()
@@ -89,9 +101,12 @@ def token_counts(docs: DataFrame, model: str, limit: int = 4096, id_col: str = "
 
     Null and empty texts have no bytes and no tokens. Repeated rows and null ids stay as they are; other columns
     are left out. A block holds BLOCK_CHARS characters of text and one document more, so memory follows the
-    longest text. A bucket holds its share of the corpus's distinct pre-tokens: give more buckets to larger
-    vocabularies (by default, the session's shuffle partitions)."""
-    spark = docs.sparkSession
+    longest text. A bucket remembers the counts of REMEMBERED of its distinct pre-tokens; past that it begins anew, so memory
+    is bounded, and a pre-token is counted again if it comes back: give more buckets to larger vocabularies (by default,
+    the session's shuffle partitions). Where the model joins pre-tokens as this module cuts them is tried on JOINS first."""
+    spark, whole, parts = docs.sparkSession, whole_counter(model), piece_counter(model)
+    if any(whole(t) != sum(parts(pretokens(t))) for t in JOINS):
+        raise ValueError(f"{model} has pieces that span spaces or line ends, so its counts are no sums over pre-tokens")
     n_buckets = buckets or max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
     kind = docs.schema[id_col].dataType
 
@@ -122,6 +137,8 @@ def token_counts(docs: DataFrame, model: str, limit: int = 4096, id_col: str = "
                     continue
                 x = _unpack(body)
                 tokens = x["tokens"].to_pylist()
+                if len(known) > REMEMBERED:
+                    known.clear()
                 new = [t for t in tokens if t not in known]
                 known.update(zip(new, counter(new)))
                 n = np.fromiter(map(known.__getitem__, tokens), np.int64, len(tokens))

@@ -28,12 +28,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from vigilake.llm.common import materialize, scratch_path
+from vigilake.llm.common import materialize, number_ties, scratch_path
 
 SEQUENCE, BATCH = 2048, 256
 END_ID = 1
 #: Pieces of text that the encoder keeps, per Python worker.
 CACHE_PIECES = 600_000
+#: Texts whose ids are those of their words in a row, if no token spans white space.
+SPLITS = ("the end of the day", "  two  spaces and one at the end ", "a line\nand\n\nanother", "x = 1 , y ( 2 ) .", "don't stop - it's 50 % off", "É è ñ ü 中 文 🙂 a", "A b C\n d", " \n ")
+#: Equal rows that may share a range of ids.
+TIED = 1000
 #: Runs of letters that are encoded as one text.
 JOIN = 64
 #: Bytes of text that are encoded at a time, besides the last document.
@@ -52,21 +56,21 @@ class Encoder:
     """Encodes texts with the tokenizers library, each distinct word once.
 
     For tokenizers whose pre-tokenizer drops white space, no token spans a space or a line end, so a text's ids
-    are those of its words in a row; for others (word_split=False) whole texts are encoded. Where, besides, case
+    are those of its words in a row; for others whole texts are encoded. Which it is is tried on SPLITS. Where, besides, case
     says nothing and the last token of a pre-token is known by its suffix, plain words are taken as letters and signs,
     and new letters are encoded many at a time, in lower case, and their ids cut apart at those tokens."""
 
-    def __init__(self, path: str, word_split: bool = True):
+    def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-        self.word_split = word_split
+        self.word_split = all(sum(self._ids(t.replace("\n", " ").split(" ")), []) == self._ids([t])[0] for t in SPLITS)
         self._forget()
         suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
         self.folds = False
-        if word_split and suffix:
+        if self.word_split and suffix:
             self.ends = np.zeros(self.tokenizer.get_vocab_size(), bool)
             self.ends[[i for piece, i in self.tokenizer.get_vocab(with_added_tokens=False).items() if piece.endswith(suffix)]] = True
             probe = ["Ab", "ÉÀß", "ÿ", "zzzzqqqxj"]
@@ -136,9 +140,9 @@ def _slices(texts: pa.Array) -> Iterator[tuple[int, int]]:
 
 
 @lru_cache(maxsize=1)
-def shared_encoder(path: str, word_split: bool) -> Encoder:
+def shared_encoder(path: str) -> Encoder:
     """The encoder of this Python worker; later tasks find what earlier ones encoded."""
-    return Encoder(path, word_split)
+    return Encoder(path)
 
 
 class Writer:
@@ -214,11 +218,11 @@ class TokenFile:
         return 0 if last < 0 else last * BATCH * SEQUENCE + self._part(last)[1].flatten().true_count
 
 
-def write_tokens(docs: DataFrame, tokenizer: str, path: str | None = None, end_id: int = END_ID, id_col: str = "doc_id", text_col: str = "text", word_split: bool = True, partitions: int | None = None) -> DataFrame:
+def write_tokens(docs: DataFrame, tokenizer: str, path: str | None = None, end_id: int = END_ID, id_col: str = "doc_id", text_col: str = "text", partitions: int | None = None) -> DataFrame:
     """Writes the files of all rows of docs, in ascending order of doc_id; gives the manifest: part (in order), file, n_docs, n_tokens, start.
 
-    Null texts are empty: just the end id. A null id comes first; rows that repeat an id go by their text. Other
-    columns are left out. path: a folder that all executors share (default: the scratch folder)."""
+    Null texts are empty: just the end id. A null id comes first; rows that repeat an id go by a hash of their text, and
+    more than TIED equal ones by number, so ranges may part them. Other columns are left out. path: a folder that all executors share (default: the scratch folder)."""
     spark = docs.sparkSession
     fs, at = pafs.FileSystem.from_uri(path or scratch_path(spark, "tokens"))
     fs.create_dir(at)
@@ -231,7 +235,7 @@ def write_tokens(docs: DataFrame, tokenizer: str, path: str | None = None, end_i
         part, writer, n_docs = TaskContext.get().partitionId(), None, 0
         name = f"{at}/part-{part:06d}"
         temp = f"{name}-{uuid.uuid4().hex}.part"
-        encoder = shared_encoder(tokenizer, word_split)
+        encoder = shared_encoder(tokenizer)
         for b in batches:
             writer = writer or Writer(fs, temp, id_type, encoder.dtype)
             n_docs += b.num_rows
@@ -246,9 +250,9 @@ def write_tokens(docs: DataFrame, tokenizer: str, path: str | None = None, end_i
             fs.move(f"{temp}.docs", f"{done.removesuffix('.arrow')}.docs.arrow")
             yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([done]), pa.array([n_docs], pa.int64()), pa.array([writer.total], pa.int64())], ["part", "file", "n_docs", "n_tokens"])
 
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    rows = rows.repartitionByRange(n, "doc_id").sortWithinPartitions("doc_id", "text")
-    manifest = materialize(rows.mapInArrow(run, "part int, file string, n_docs long, n_tokens long"), "manifest")
+    rows = number_ties(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), more_than=TIED)
+    rows = rows.repartitionByRange(n, "doc_id", "__key", "__nth").sortWithinPartitions("doc_id", "__key", "__nth")
+    manifest = materialize(rows.select("doc_id", "text").mapInArrow(run, "part int, file string, n_docs long, n_tokens long"), "manifest")
     starts, total = [], 0
     for r in manifest.orderBy("part").collect():  # a row for each file
         starts.append((r.part, r.file, r.n_docs, r.n_tokens, total))
