@@ -15,8 +15,8 @@ def test_same_as_sql(spark, name):
     assert differences(catalog.QUERIES[name](spark, SF), SF, catalog.ORACLE_SQL[name]) == ""
 
 
-def test_all_but_the_seeded_one_have_sql():
-    assert set(catalog.QUERIES) - set(catalog.ORACLE_SQL) == {"forced_score"}
+def test_all_have_sql():
+    assert set(catalog.QUERIES) == set(catalog.ORACLE_SQL)
 
 
 def test_forced_score_never_normal(spark):

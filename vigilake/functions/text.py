@@ -31,6 +31,11 @@ def money(amount: Column) -> Column:
     return F.format_number(amount, 2)
 
 
+def cents(amount: Column) -> Column:
+    """To two decimals, halves up, in double arithmetic alone, so that any engine gives the same."""
+    return F.floor(amount * 100 + 0.5) / 100.0
+
+
 def yes_no(flag: Column) -> Column:
     return F.when(flag, "Yes").otherwise("No")
 
@@ -69,8 +74,9 @@ def luhn_digit(body: Column) -> Column:
 
 
 def uniform(seed: int, tag: str, *key: Column) -> Column:
-    """A number in [0, 1) that depends on seed, tag and key alone."""
-    return F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.lit(tag), *key), 11) / float(1 << 53)
+    """A number in [0, 1) that depends on seed, tag and key alone: 52 bits of an MD5, which any SQL engine gives alike."""
+    digest = F.md5(F.concat_ws("|", F.lit(str(seed)), F.lit(tag), *[k.cast("string") for k in key]))
+    return F.conv(F.substring(digest, 1, 13), 16, 10).cast("long") / float(1 << 52)
 
 
 def weighted_choice(u: Column, choices: list[tuple[object, float]]) -> Column:
@@ -85,3 +91,13 @@ def weighted_choice(u: Column, choices: list[tuple[object, float]]) -> Column:
 def pick(u: Column, values: list[object]) -> Column:
     """One of the values, each as likely."""
     return F.get(F.array(*map(F.lit, values)), F.floor(u * len(values)).cast("int"))
+
+
+def sorted_json(columns: list[str]) -> Column:
+    """Compact JSON of the columns, in the order of their names."""
+    return F.to_json(F.struct(*sorted(columns)))
+
+
+def is_json(value: Column) -> Column:
+    """Whether the text is JSON of any kind; null is not."""
+    return F.try_parse_json(value).isNotNull()

@@ -1,7 +1,8 @@
 """Fraud scoring: eight weighted rules over each transaction and its customer's earlier ones.
 
 A customer's rows are ordered by event time, and rows of one time by `seq`. Rules that look back are lag()
-functions of one window, so scoring costs one shuffle on the customer; the score is then plain expressions."""
+functions of one window, so scoring costs one shuffle on the customer; the score is then plain expressions. A customer's
+rows are sorted in one task, with spilling, and lag() holds five of them: the work of a hot customer is that of its rows."""
 
 from __future__ import annotations
 
@@ -9,6 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from vigilake.functions import text
+
 # Weights of the rules, in the order in which they are evaluated.
 WEIGHTS = {
     "HIGH_VALUE_TRANSACTION": 40,
@@ -79,7 +82,7 @@ def fraud_scores(flagged: DataFrame, forced: Column | None = None, seed: int = 4
     reason, score = first_reason(), _total()
     if forced is not None:
         forced = _flag(forced)
-        chosen = F.get(F.array(*map(F.lit, WEIGHTS)), F.pmod(F.xxhash64(F.lit(seed), F.col(key)), F.lit(len(WEIGHTS))).cast("int"))
+        chosen = text.pick(text.uniform(seed, "rule", F.col(key)), list(WEIGHTS))
         weight = F.coalesce(*[F.when(chosen == r, w) for r, w in WEIGHTS.items()])
         none = score == 0
         score = F.when(forced & none, weight).otherwise(score)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -22,3 +24,26 @@ def still_to_send(seed: DataFrame, sent: DataFrame, prefix: str = "WL") -> DataF
 def write_drip(rows: DataFrame, path: str, rows_per_file: int = 1) -> None:
     """JSON files of rows_per_file rows at most, in the order of ids."""
     rows.orderBy("watchlist_id").write.option("maxRecordsPerFile", rows_per_file).mode("append").json(path)
+
+
+def drip(rows: DataFrame, path: str, seconds: float = 5.0, stamp: str | None = None, first: int = 1) -> int:
+    """A JSON file for each row, in the order of ids, one every so many seconds: fraud_watchlist_{stamp}_{number}.json; how many.
+
+    Rows come to the driver a partition at a time, as a feed of one file every few seconds must. A file appears under its
+    name only when it is whole. stamp: of each file's time where none is given."""
+    spark, n = rows.sparkSession, 0
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.mkdirs(folder)
+    for r in rows.orderBy("watchlist_id").select(F.to_json(F.struct(*rows.columns)).alias("json")).toLocalIterator():
+        if n and seconds:
+            time.sleep(seconds)
+        name = f"fraud_watchlist_{stamp or time.strftime('%Y%m%d%H%M%S', time.gmtime())}_{first + n}.json"
+        part = jvm.org.apache.hadoop.fs.Path(f"{path}/_{name}.part")
+        out = fs.create(part, True)
+        out.write(bytearray(r.json + "\n", "utf-8"))
+        out.close()
+        fs.rename(part, jvm.org.apache.hadoop.fs.Path(f"{path}/{name}"))
+        n += 1
+    return n

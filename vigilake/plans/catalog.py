@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vigilake.functions import text, times
+from vigilake import schemas
+from vigilake.config import SimulatorSettings
+from vigilake.functions import render, text, times
 from vigilake.operators import alerts, refine, scoring, watchlist, windows
 from vigilake.operators import expectations as E
-from vigilake.plans import reports, views
+from vigilake.plans import registry, reports, simulate, simulate_sql, views
+from vigilake.session import scratch_path
+from vigilake.sources import files
 from vigilake.streaming import replay
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -186,8 +191,6 @@ SELECT unnest(['valid_transaction_id', 'valid_customer_id', 'valid_card_number',
   unnest([count(*) FILTER (broken), count(*) FILTER (broken), count(*) FILTER (broken OR no_card), count(*) FILTER (broken), count(*) FILTER (broken OR NOT value > 0)]) AS violations FROM b"""
 )
 def expectation_counts(spark, sf_dir):
-    from vigilake import schemas
-
     rows = refine.bronze_transactions(views.messages(spark, sf_dir), _now()).select(F.from_json("value", schemas.TRANSACTION).alias("d")).select("d.*")
     return E.violation_counts(rows, refine.TRANSACTION_EXPECTATIONS)
 
@@ -299,7 +302,11 @@ def forced_reason(spark, sf_dir):
     return scored.select("transaction_id", "fraud_reason")
 
 
-@query()
+_CHOSEN = simulate_sql.pick(simulate_sql.uniform(42, "rule", "transaction_id"), list(scoring.WEIGHTS))
+_CHOSEN_WEIGHT = f"CASE {_CHOSEN} " + " ".join(f"WHEN '{r}' THEN {w}" for r, w in scoring.WEIGHTS.items()) + " END"
+
+
+@query(f"WITH {_SCORED} SELECT transaction_id, CAST(least(100, CASE WHEN {_SUM} = 0 THEN {_CHOSEN_WEIGHT} ELSE {_SUM} END) AS INTEGER) AS fraud_score, coalesce({_HEAVIEST}, {_CHOSEN}) AS fraud_reason FROM r")
 def forced_score(spark, sf_dir):
     """Every row forced: rows that trigger nothing get a rule chosen by seed and id."""
     return scoring.fraud_scores(_flags(spark, sf_dir), forced=F.lit(True)).select("transaction_id", "fraud_score", "fraud_reason")
@@ -310,6 +317,183 @@ def production_stats(spark, sf_dir):
     return reports.production_stats(scoring.fraud_scores(_flags(spark, sf_dir)))
 
 
+# -- the simulator: a transaction for each event
+
+_NUMBERS = "SELECT event_id AS seq FROM events"
+_SIM = simulate_sql.transactions(_NUMBERS)
+_FEED = f"SELECT * REPLACE ({simulate_sql.normal_amount()} AS amount) FROM ({_SIM})"
+_LISTED_CARD = "4999999999999996"
+
+
+def _simulated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simulate.transactions(spark, spark.read.parquet(f"{sf_dir}/events.parquet").select(F.col("event_id").alias("seq")))
+
+
+@query(simulate_sql.customers())
+def sim_customers(spark, sf_dir):
+    return simulate.customers(spark)
+
+
+@query(simulate_sql.merchants())
+def sim_merchants(spark, sf_dir):
+    return simulate.merchants(spark)
+
+
+@query(_SIM)
+def sim_transactions(spark, sf_dir):
+    return _simulated(spark, sf_dir)
+
+
+@query(f"WITH s AS ({_SIM}), c AS ({simulate_sql.customers()}) SELECT customer_segment, merchant_category, count(*) AS transaction_count FROM s JOIN c USING (customer_id) GROUP BY ALL")
+def sim_categories_by_segment(spark, sf_dir):
+    people = simulate.customers(spark).select("customer_id", "customer_segment")
+    return _simulated(spark, sf_dir).join(people, "customer_id").groupBy("customer_segment", "merchant_category").agg(F.count(F.lit(1)).alias("transaction_count"))
+
+
+@query(_FEED)
+def feed_normal(spark, sf_dir):
+    return simulate.normal_feed(_simulated(spark, sf_dir))
+
+
+@query(f"SELECT * REPLACE ('TXF' || substr(transaction_id, 4) AS transaction_id, greatest(amount, 100001.0::DOUBLE) AS amount) FROM ({_SIM})")
+def feed_high_value(spark, sf_dir):
+    return simulate.high_value_feed(_simulated(spark, sf_dir))
+
+
+@query(f"SELECT * REPLACE ('TXF' || substr(transaction_id, 4) AS transaction_id, '{_LISTED_CARD}' AS card_number) FROM ({_FEED})")
+def feed_listed_card(spark, sf_dir):
+    return simulate.listed_card_feed(_simulated(spark, sf_dir), _LISTED_CARD)
+
+
+@query(f"SELECT transaction_id AS key, customer_id, amount, is_international, date_trunc('second', transaction_timestamp) AS transaction_timestamp, 16 AS fields FROM ({_FEED})")
+def feed_messages(spark, sf_dir):
+    """The normal feed as messages, parsed again."""
+    sent = simulate.as_messages(simulate.normal_feed(_simulated(spark, sf_dir)))
+    read = sent.select("key", F.from_json("value", schemas.TRANSACTION).alias("d"), F.size(F.json_object_keys("value")).alias("fields"))
+    return read.select("key", "d.customer_id", "d.amount", "d.is_international", "d.transaction_timestamp", "fields")
+
+
+@query(f"SELECT seq, {simulate_sql.uniform(42, 'forced', 'seq')} < 0.08::DOUBLE AS forced FROM ({_NUMBERS})")
+def forced_draw(spark, sf_dir):
+    return spark.read.parquet(f"{sf_dir}/events.parquet").select(F.col("event_id").alias("seq")).withColumn("forced", simulate.forced(SimulatorSettings()))
+
+
+@query("SELECT event_id, floor(value * 100 + 0.5::DOUBLE) / 100::DOUBLE AS rounded FROM events")
+def rounded_amounts(spark, sf_dir):
+    return spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", text.cents(F.col("value")).alias("rounded"))
+
+
+# -- files: written to the scratch folder, then read
+
+
+@query(f"SELECT printf('TXN%07d', event_id) AS key, event_id % {views.BROKEN} <> 0 AS valid FROM events")
+def json_validate(spark, sf_dir):
+    return refine.bronze_transactions(views.messages(spark, sf_dir), _now()).select("key", text.is_json(F.col("value")).alias("valid"))
+
+
+@query("SELECT n_nationkey, '{\"n_comment_length\":' || length(n_name) || ',\"n_name\":\"' || n_name || '\",\"n_regionkey\":' || n_regionkey || '}' AS json FROM nation")
+def json_sorted(spark, sf_dir):
+    n = spark.read.parquet(f"{sf_dir}/nation.parquet").withColumn("n_comment_length", F.length("n_name"))
+    return n.select("n_nationkey", text.sorted_json(["n_regionkey", "n_name", "n_comment_length"]).alias("json"))
+
+
+_RESCUE = """CASE WHEN event_id % 11 = 0 THEN '{"transaction_id":' ELSE '{"transaction_id":"T' || event_id || '","amount":' || CASE WHEN event_id % 7 = 0 THEN '"abc"' ELSE CAST(event_id AS @) END || CASE WHEN event_id % 5 = 0 THEN ',"extra":"x' || event_id || '"' ELSE '' END || '}' END"""
+
+
+@query(
+    """SELECT event_id, CASE WHEN event_id % 11 <> 0 THEN 'T' || event_id END AS transaction_id, CASE WHEN event_id % 11 <> 0 AND event_id % 7 <> 0 THEN CAST(event_id AS DOUBLE) END AS amount,
+  CASE WHEN event_id % 11 = 0 THEN '{"_corrupt_record":"{\\"transaction_id\\":"}' WHEN event_id % 35 = 0 THEN '{"extra":"x' || event_id || '","amount":"abc"}'
+    WHEN event_id % 5 = 0 THEN '{"extra":"x' || event_id || '"}' WHEN event_id % 7 = 0 THEN '{"amount":"abc"}' END AS _rescued_data FROM events"""
+)
+def rescued_fields(spark, sf_dir):
+    """Lines with unknown fields, values of another type, and broken ones."""
+    lines = spark.read.parquet(f"{sf_dir}/events.parquet").selectExpr("event_id", f"{_RESCUE.replace('@', 'STRING')} AS value")
+    return files.rescued(lines, schemas._struct("transaction_id:s amount:d")).select("event_id", "transaction_id", "amount", "_rescued_data")
+
+
+@query(views.SQL["customers"])
+def csv_round_trip(spark, sf_dir):
+    path = scratch_path(spark, "customers_csv")
+    simulate.write_csv(views.customers(spark, sf_dir), path)
+    return files.csv_table(spark, path, schemas.CUSTOMER)
+
+
+_DRIP = f"SELECT *, 'fraud_watchlist_20240201000000_' || row_number() OVER (ORDER BY watchlist_id) || '.json' AS file FROM ({views.SQL['watchlist']})"
+
+
+def _dripped(spark: SparkSession, sf_dir: str) -> str:
+    path = scratch_path(spark, "drip")
+    watchlist.drip(views.watchlist(spark, sf_dir), path, seconds=0, stamp="20240201000000")
+    return path
+
+
+@query(f"SELECT watchlist_id, entity_id, city, file FROM ({_DRIP})")
+def drip_lineage(spark, sf_dir):
+    """One file a row; each row names its file."""
+    rows = refine.bronze_watchlist(spark.read.schema(schemas.WATCHLIST).json(_dripped(spark, sf_dir)), _now())
+    return rows.select("watchlist_id", "entity_id", "city", F.element_at(F.split("source_file", "/"), -1).alias("file"))
+
+
+@query(f"""SELECT file, CASE WHEN ends_with(file, '_1.json') THEN '{{"watchlist_id":"' || watchlist_id END AS head FROM ({_DRIP})""")
+def listing_and_head(spark, sf_dir):
+    path = _dripped(spark, sf_dir)
+    found = files.listing(spark, path, "*.json").select(F.element_at(F.split("path", "/"), -1).alias("file"))
+    first = files.head(spark, f"{path}/fraud_watchlist_20240201000000_1.json", 25)
+    return found.withColumn("head", F.when(F.endswith("file", F.lit("_1.json")), F.lit(first)))
+
+
+@query(f"WITH {_W} SELECT * FROM w")
+def stream_json_watchlist(spark, sf_dir):
+    """The dripped files as a stream, each once, refined into a table."""
+    found = files.json_stream(spark, _dripped(spark, sf_dir), schemas.WATCHLIST, files_per_trigger=500)
+    rows = refine.silver_watchlist(refine.bronze_watchlist(found, _now()), _now())
+    return replay.to_table(spark, rows, f"watchlist_{uuid.uuid4().hex}").drop("source_file", "bronze_ingestion_timestamp", "silver_ingestion_timestamp")
+
+
+@query(f"WITH {_C} SELECT customer_id, card_number FROM c WHERE customer_id IS NOT NULL")
+def batch_table(spark, sf_dir):
+    name = f"customers_{uuid.uuid4().hex}"
+    return registry.save_table(refine.silver_customers(views.customers(spark, sf_dir), _now()).select("customer_id", "card_number"), name, scratch_path(spark, name))
+
+
+# -- mail
+
+
+def _html(value: str) -> str:
+    out = f"coalesce(CAST({value} AS VARCHAR), '')"
+    for plain, safe in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;"), ("''", "&#39;")):
+        out = f"replace({out}, '{plain}', '{safe}')"
+    return out
+
+
+_MONEY = "format('{{:,.2f}}', {})".format
+_PLACE = "concat_ws(', ', coalesce(nullif(watchlist_city, ''), 'N/A'), coalesce(nullif(watchlist_country, ''), 'N/A'))"
+_MAIL = [
+    ("Alert", "alert_id"), ("Type", "alert_type"), ("Raised", "alert_timestamp"), ("Customer", "customer_name"), ("Transaction", "transaction_id"), ("Card", "'****' || right(card_number, 4)"),
+    ("Amount", f"{_MONEY('amount')} || ' ' || currency"), ("Merchant", "merchant_name"), ("Category", "merchant_category"), ("Kind", "transaction_type"), ("Channel", "payment_channel"),
+    ("Place", "concat_ws(', ', transaction_city, transaction_country)"), ("International", "CASE WHEN is_international THEN 'Yes' ELSE 'No' END"), ("Time", "transaction_timestamp"), ("Status", "transaction_status"),
+    ("Listing", "watchlist_id"), ("Listed as", "watch_type"), ("Risk", "risk_level"), ("Action", "action"), ("Reason", "reason_description"), ("Reported by", "reported_by"), ("Source", "reported_source"),
+    ("Listed place", _PLACE), ("Effective from", "watchlist_effective_from"),
+]
+_BODY = " || ".join(f"'<tr><th>{name}</th><td>' || {_html(value)} || '</td></tr>'" for name, value in _MAIL)
+
+
+@query(f"WITH {_T}, {_C}, {_W} SELECT alert_id, customer_email AS mail_to, 'Card alert: ' || coalesce(risk_level, 'unknown') || ' risk, ' || alert_id AS mail_subject, '<table>' || {_BODY} || '</table>' AS mail_body FROM ({_FRAUD.format(at=_AT, c='c')})")
+def fraud_mails(spark, sf_dir):
+    return render.fraud_mail(_fraud(spark, sf_dir)).select("alert_id", "mail_to", "mail_subject", "mail_body")
+
+
+_ROW = [
+    "alert_id", "customer_name", "customer_email", f"concat_ws(' ', currency, {_MONEY('transaction_amount')})", f"concat_ws(' ', currency, {_MONEY('transaction_limit')})", "merchant_name", "concat_ws(', ', city, country)", "transaction_timestamp",
+]
+_DIGEST = " || ".join(f"'<td>' || {_html(v)} || '</td>'" for v in _ROW)
+
+
+@query(f"WITH {_T}, {_C} SELECT alert_id, '<tr>' || {_DIGEST} || '</tr>' AS digest_row FROM ({_HIGH.format(at=_AT)})")
+def digest_rows(spark, sf_dir):
+    return _high(spark, sf_dir).select("alert_id", render.digest_row().alias("digest_row"))
+
+
 # -- streams: drained once, then read back; windows that are still open have no row
 
 
@@ -333,3 +517,51 @@ def stream_high_value(spark, sf_dir):
 def stream_fraud_card(spark, sf_dir):
     customers = views.customers(spark, sf_dir)
     return replay.drain(spark, {"t": views.transactions(spark, sf_dir), "w": _silver_watchlist(spark, sf_dir)}, lambda t, w: alerts.fraud_card_alerts(t, w, customers, _now(), watermark="5 minutes"))
+
+
+# -- streams in several micro-batches: three in order of time, then rows that come when their windows are long closed
+
+_LATE = "event_id % 50 = 0 AND ts < (SELECT min(ts) + INTERVAL 1 DAY FROM events)"
+_PUNCTUAL = "SELECT * FROM ({}) WHERE window_end <= (SELECT max(ts) - INTERVAL 5 MINUTE FROM on_time)"
+
+
+def _late_sql(windows_sql: str) -> str:
+    """The windows of events that are not late."""
+    return f"WITH on_time AS (SELECT * FROM events WHERE NOT ({_LATE})) " + _PUNCTUAL.format(windows_sql.replace("FROM events", "FROM on_time"))
+
+
+def _slices(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, list[str]]:
+    t = views.transactions(spark, sf_dir)
+    low, high = t.agg(F.min("transaction_timestamp"), F.max("transaction_timestamp")).first()
+    cut = [low + (high - low) * k / 3 for k in (1, 2)]
+    at = "transaction_timestamp"
+    late = f"(cast(substring(transaction_id, 4) as bigint) % 50 = 0 AND {at} < timestamp'{low}' + INTERVAL 1 DAY)"
+    spans = [f"{at} < timestamp'{cut[0]}'", f"{at} >= timestamp'{cut[0]}' AND {at} < timestamp'{cut[1]}'", f"{at} >= timestamp'{cut[1]}'"]
+    return t, [f"{s} AND NOT {late}" for s in spans] + [late]
+
+
+@query(_late_sql(_TUMBLING))
+def stream_tumbling_late(spark, sf_dir):
+    t, slices = _slices(spark, sf_dir)
+    return replay.drain(spark, {"t": t}, lambda t: windows.per_minute(t, watermark="5 minutes"), files_per_trigger=1, slices={"t": slices})
+
+
+@query(_late_sql(_SLIDING))
+def stream_sliding_late(spark, sf_dir):
+    t, slices = _slices(spark, sf_dir)
+    return replay.drain(spark, {"t": t}, lambda t: windows.five_minutes_sliding(t, watermark="5 minutes"), files_per_trigger=1, slices={"t": slices})
+
+
+@query(_late_sql(_TUMBLING))
+def stream_tumbling_resumed(spark, sf_dir):
+    """Stopped after the first and the third micro-batch; offsets, state and watermark go on from the checkpoint."""
+    t, slices = _slices(spark, sf_dir)
+    return replay.drain(spark, {"t": t}, lambda t: windows.per_minute(t, watermark="5 minutes"), files_per_trigger=1, slices={"t": slices}, stops=(1, 3))
+
+
+@query(f"WITH {_T}, {_C} {_HIGH.format(at=_AT)}")
+def stream_high_value_resumed(spark, sf_dir):
+    """Each file once, over two stops."""
+    t, slices = _slices(spark, sf_dir)
+    customers = views.customers(spark, sf_dir)
+    return replay.drain(spark, {"t": t}, lambda t: alerts.high_value_alerts(t, customers, _now()), files_per_trigger=1, slices={"t": slices}, stops=(1, 2))

@@ -74,6 +74,13 @@ class Registry:
         writer = frame.writeStream.option("checkpointLocation", checkpoint).outputMode("append")
         return writer.trigger(availableNow=True) if once else writer.trigger(processingTime=every or "30 seconds")
 
+    def save_batch(self, inputs: dict[str, DataFrame], prefix: str = "") -> dict[str, DataFrame]:
+        """run_batch(), with each dataset saved as a table before the next one reads it."""
+        made = dict(inputs)
+        for d in self.order():
+            made[d.name] = save_table(d.build(*[made[x] for x in d.streams + d.statics]), f"{prefix}{d.name}")
+        return made
+
     def run_stream(self, spark: SparkSession, tables: dict[str, str], root: str, every: str | None = None, wait: bool = True) -> list[StreamingQuery]:
         """Each dataset as a stream that appends to {root}/tables/{name}, with its checkpoint beside it.
 
@@ -101,3 +108,15 @@ class Registry:
 def create_databases(spark: SparkSession, names: tuple[str, ...] = ("bronze", "silver", "gold", "alert")) -> None:
     for n in names:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {n}")
+
+
+def use_database(spark: SparkSession, name: str) -> None:
+    """Tables without a database are those of this one from now on."""
+    spark.catalog.setCurrentDatabase(name)
+
+
+def save_table(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
+    """Writes a batch as a table, at a path of its own if one is given, and reads it; a table that exists already is an error."""
+    writer = df.write.option("path", path) if path else df.write
+    writer.mode("errorifexists").saveAsTable(name)
+    return df.sparkSession.table(name)

@@ -12,9 +12,9 @@ from vigilake.functions import text
 
 # Domains of the simulated entities.
 CATEGORIES = ["Grocery", "Fuel", "Restaurant", "Hotel", "Electronics", "Jewellery", "ATM", "Pharmacy", "Shopping", "Airline", "Entertainment", "Travel"]
-INDIAN_CITIES = ["Delhi", "Mumbai", "Bengaluru", "Hyderabad", "Chennai", "Kolkata", "Pune", "Ahmedabad", "Jaipur", "Lucknow"]
-STATES = ["Delhi", "Maharashtra", "Karnataka", "Telangana", "Tamil Nadu", "West Bengal", "Maharashtra", "Gujarat"]
-FOREIGN = [("London", "United Kingdom"), ("Dubai", "UAE"), ("Singapore", "Singapore"), ("New York", "United States")]
+INDIAN_PLACES = [("Delhi", "Delhi"), ("Mumbai", "Maharashtra"), ("Bengaluru", "Karnataka"), ("Hyderabad", "Telangana"), ("Chennai", "Tamil Nadu"), ("Kolkata", "West Bengal"), ("Pune", "Maharashtra"), ("Ahmedabad", "Gujarat")]
+MERCHANT_CITIES = ["Delhi", "Mumbai", "Bengaluru", "Hyderabad", "Chennai", "Kolkata", "Pune", "Ahmedabad", "Jaipur", "Lucknow"]
+FOREIGN = [("London", "England", "United Kingdom"), ("Dubai", "Dubai", "UAE"), ("Singapore", "Singapore", "Singapore"), ("New York", "New York", "United States")]
 SEGMENTS = [("Regular", 0.60), ("Gold", 0.20), ("Platinum", 0.10), ("Corporate", 0.10)]
 INCOME = {"Regular": (250_000, 900_000), "Gold": (900_000, 2_500_000), "Platinum": (2_500_000, 8_000_000), "Corporate": (1_500_000, 5_000_000)}
 SPENDING = {"Regular": (0.02, 0.08), "Gold": (0.05, 0.15), "Platinum": (0.08, 0.22), "Corporate": (0.10, 0.30)}
@@ -23,7 +23,14 @@ CARD_TYPES, GENDERS = ["Visa", "Mastercard", "RuPay", "Amex"], ["Male", "Female"
 TRAVEL, SHOPPING = ["Hotel", "Airline", "Travel"], ["Electronics", "Jewellery", "Shopping"]
 ONLINE = ["Shopping", "Electronics", "Grocery", "Pharmacy", "Restaurant"]
 CHANNELS = ["POS", "MOBILE_APP", "INTERNET_BANKING"]
+# Invented names: of people, and of merchants by category.
 FIRST_NAMES, LAST_NAMES = ["Asha", "Ravi", "Meera", "Kiran", "Noor", "Tara", "Vik", "Lena"], ["Rao", "Shah", "Iyer", "Das", "Khan", "Bose", "Pillai", "Grey"]
+SHOPS = {
+    "Grocery": ["Green Basket", "Corner Larder", "Harvest Shelf"], "Fuel": ["Mile Pump", "Blue Tank", "Road Energy"], "Restaurant": ["Copper Spoon", "Banyan Kitchen", "Night Thali"],
+    "Hotel": ["Lake Rooms", "Palm Residency", "Station House"], "Electronics": ["Volt Store", "Circuit Bazaar", "Pixel Point"], "Jewellery": ["Lotus Jewels", "Silver Anklet", "Moon Pearl"],
+    "ATM": ["Cash Window", "Teller Box", "Note Point"], "Pharmacy": ["Tulsi Chemist", "Red Cross Road Medicines", "Remedy Shelf"], "Shopping": ["Arcade Nine", "Weekend Bazaar", "Cotton Street"],
+    "Airline": ["Monsoon Air", "Kite Airways", "Delta Wing"], "Entertainment": ["Star Screen", "Laugh Club", "Arcade Park"], "Travel": ["Compass Tours", "Long Road Travels", "Coral Trips"],
+}
 EPOCH = "2024-01-01 00:00:00"
 
 
@@ -49,13 +56,12 @@ def customers(spark: SparkSession, settings: SimulatorSettings = SimulatorSettin
     """customer_id CUST000001 and on. Every tenth lives abroad; cards begin with 4 or 5 and pass the Luhn check."""
     u = lambda tag: text.uniform(settings.seed, tag, F.col("id"))
     seg = F.col("customer_segment")
-    abroad = F.col("id") % 10 == 0
-    place = text.pick(u("home"), list(range(len(STATES))))
-    d = spark.range(1, settings.customers + 1, numPartitions=_partitions(settings.customers)).withColumn("customer_segment", text.weighted_choice(u("segment"), SEGMENTS)).withColumn("place", place)
-    d = d.withColumn("foreign", text.pick(u("abroad"), list(range(len(FOREIGN)))))
-    d = d.withColumn("city", F.when(abroad, F.get(F.array(*[F.lit(c) for c, _ in FOREIGN]), "foreign")).otherwise(F.get(F.array(*map(F.lit, INDIAN_CITIES)), "place")))
-    d = d.withColumn("country", F.when(abroad, F.get(F.array(*[F.lit(c) for _, c in FOREIGN]), "foreign")).otherwise("India"))
-    d = d.withColumn("annual_income", F.round(_between(u("income"), _by(seg, INCOME, 0), _by(seg, INCOME, 1)), 2))
+    places = lambda found: F.array(*[F.struct(*map(F.lit, p)) for p in found])
+    home = F.get(places([(c, s, "India") for c, s in INDIAN_PLACES]), F.floor(u("home") * len(INDIAN_PLACES)).cast("int"))
+    away = F.get(places(FOREIGN), F.floor(u("abroad") * len(FOREIGN)).cast("int"))
+    d = spark.range(1, settings.customers + 1, numPartitions=_partitions(settings.customers)).withColumn("customer_segment", text.weighted_choice(u("segment"), SEGMENTS))
+    d = d.withColumn("place", F.when(F.col("id") % 10 == 0, away).otherwise(home)).withColumns({"city": F.col("place.col1"), "state": F.col("place.col2"), "country": F.col("place.col3")})
+    d = d.withColumn("annual_income", text.cents(_between(u("income"), _by(seg, INCOME, 0), _by(seg, INCOME, 1))))
     body = F.concat(text.pick(u("brand"), ["4", "5"]), F.lpad(F.floor(u("card") * 10**14).cast("string"), 14, "0"))
     return d.select(
         text.numbered("CUST", F.col("id"), 6).alias("customer_id"),
@@ -64,21 +70,21 @@ def customers(spark: SparkSession, settings: SimulatorSettings = SimulatorSettin
         text.pick(u("gender"), GENDERS).alias("gender"),
         (18 + F.floor(u("age") * 58)).cast("int").alias("age"),
         "city",
-        F.when(abroad, F.col("city")).otherwise(F.get(F.array(*map(F.lit, STATES)), "place")).alias("state"),
+        "state",
         "country",
         "annual_income",
         "customer_segment",
         F.date_format(F.date_sub(F.lit(EPOCH).cast("date"), F.floor(u("opened") * 8 * 365).cast("int")), "yyyy-MM-dd").alias("account_open_date"),
         text.clamp((F.lit(35) + 18 * _normal(u("risk1"), u("risk2"))).cast("int"), F.lit(5), F.lit(100)).cast("double").alias("risk_score"),
-        F.round(F.col("annual_income") * _by(seg, SPENDING, 0) / 12, 2).alias("preferred_spending_min"),
-        F.round(F.col("annual_income") * _by(seg, SPENDING, 1) / 12, 2).alias("preferred_spending_max"),
+        text.cents(F.col("annual_income") * _by(seg, SPENDING, 0) / 12).alias("preferred_spending_min"),
+        text.cents(F.col("annual_income") * _by(seg, SPENDING, 1) / 12).alias("preferred_spending_max"),
         F.col("city").alias("preferred_city"),
         F.col("country").alias("preferred_country"),
         text.numbered("DEV", F.col("id"), 4).alias("trusted_device_id"),
         F.concat(body, text.luhn_digit(body)).alias("card_number"),
         text.pick(u("type"), CARD_TYPES).alias("card_type"),
         F.concat(F.lit("customer"), F.col("id").cast("string"), F.lit("@example.com")).alias("email"),
-        F.round(F.col("annual_income") * _by(seg, SPENDING, 1), 2).alias("transaction_limit"),
+        text.cents(F.col("annual_income") * _by(seg, SPENDING, 1)).alias("transaction_limit"),
     )
 
 
@@ -87,14 +93,15 @@ def merchants(spark: SparkSession, settings: SimulatorSettings = SimulatorSettin
     u = lambda tag: text.uniform(settings.seed, f"m-{tag}", F.col("id"))
     d = spark.range(1, settings.merchants + 1, numPartitions=_partitions(settings.merchants))
     category = F.get(F.array(*map(F.lit, CATEGORIES)), (F.col("id") % len(CATEGORIES)).cast("int"))
-    home, abroad = text.pick(u("home"), INDIAN_CITIES), text.pick(u("abroad"), [f"{c}|{n}" for c, n in FOREIGN])
+    away = F.floor(u("abroad") * len(FOREIGN)).cast("int")
     foreign = F.col("id") % 15 == 0
+    name = F.coalesce(*[F.when(category == c, text.pick(u("name"), own)) for c, own in SHOPS.items()])
     return d.select(
         text.numbered("MER", F.col("id"), 4).alias("merchant_id"),
-        F.concat_ws(" ", category, text.pick(u("name"), ["House", "Corner", "Point", "Works"]), F.col("id").cast("string")).alias("merchant_name"),
+        F.concat_ws(" ", name, F.col("id").cast("string")).alias("merchant_name"),
         category.alias("merchant_category"),
-        F.when(foreign, F.split(abroad, "\\|")[0]).otherwise(home).alias("city"),
-        F.when(foreign, F.split(abroad, "\\|")[1]).otherwise("India").alias("country"),
+        F.when(foreign, F.get(F.array(*[F.lit(p[0]) for p in FOREIGN]), away)).otherwise(text.pick(u("home"), MERCHANT_CITIES)).alias("city"),
+        F.when(foreign, F.get(F.array(*[F.lit(p[2]) for p in FOREIGN]), away)).otherwise("India").alias("country"),
         text.weighted_choice(u("risk"), [("LOW", 0.65), ("MEDIUM", 0.25), ("HIGH", 0.10)]).alias("merchant_risk"),
         (F.col("id") % 20 == 0).alias("is_blacklisted"),
     )
@@ -132,7 +139,7 @@ def transactions(spark: SparkSession, n: int | DataFrame, settings: SimulatorSet
         "merchant_id",
         "merchant_name",
         "merchant_category",
-        F.round(amount, 2).alias("amount"),
+        text.cents(amount).alias("amount"),
         F.when(foreign & (u("foreign") < 0.5), text.pick(u("currency"), ["USD", "EUR"])).otherwise("INR").alias("currency"),
         F.when(kind == "ATM", "ATM").when(kind.isin(ONLINE), text.pick(u("kind"), ["PURCHASE", "ONLINE"])).otherwise("PURCHASE").alias("transaction_type"),
         F.when(kind == "ATM", "ATM").otherwise(text.pick(u("channel"), CHANNELS)).alias("payment_channel"),
@@ -152,7 +159,7 @@ def forced(settings: SimulatorSettings, key: str = "seq") -> Column:
 
 def normal_feed(t: DataFrame, seed: int = 42) -> DataFrame:
     """Transactions as the ordinary producer sends them: amounts from 1 to 99,999.99, whatever was assembled."""
-    return t.withColumn("amount", F.round(1 + text.uniform(seed, "feed", F.col("seq")) * 99_998.99, 2))
+    return t.withColumn("amount", text.cents(1 + text.uniform(seed, "feed", F.col("seq")) * 99_998.99))
 
 
 def high_value_feed(t: DataFrame) -> DataFrame:

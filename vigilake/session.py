@@ -19,9 +19,11 @@ def session(name: str = "vigilake", master: str | None = None, **conf: str) -> S
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new path below spark.checkpoint.dir; where that is unset (one machine), below a temporary folder."""
+    """A new path below spark.checkpoint.dir; where that is unset and one machine does all, below a temporary folder."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         base = f"{tempfile.gettempdir()}/vigilake-checkpoints"
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/vigilake/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"

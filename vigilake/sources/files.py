@@ -55,3 +55,14 @@ def listing(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
     """path, length, modified of the files below a folder; no content is read."""
     found = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", "true").load(path)
     return found.select("path", "length", F.col("modificationTime").alias("modified"))
+
+
+def head(spark: SparkSession, path: str, size: int = 10_000) -> str:
+    """The first bytes of a file, as text; no more is read."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    stream = fs.open(at)
+    try:
+        return bytes(stream.readNBytes(size)).decode("utf-8", "replace")
+    finally:
+        stream.close()

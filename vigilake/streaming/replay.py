@@ -9,17 +9,35 @@ from pyspark.sql import DataFrame, SparkSession
 from vigilake.session import scratch_path
 
 
-def drain(spark: SparkSession, tables: dict[str, DataFrame], plan: Callable[..., DataFrame], mode: str = "append", files_per_trigger: int | None = None) -> DataFrame:
-    """Writes the tables where streams can read them, runs the plan until all is taken, and reads what it appended."""
-    root = scratch_path(spark, "replay")
-    streams = []
+def drain(spark: SparkSession, tables: dict[str, DataFrame], plan: Callable[..., DataFrame], mode: str = "append", files_per_trigger: int | None = None, slices: dict[str, list[str]] | None = None, stops: tuple[int, ...] = ()) -> DataFrame:
+    """Writes the tables where streams can read them, runs the plan until all is taken, and reads what it appended.
+
+    slices: for a table, conditions; the rows of each are a file of their own, in that order, which files_per_trigger=1
+    makes a micro-batch. stops: numbers of slices after which the query is run and stopped, before the next ones are
+    written; it goes on from its checkpoint."""
+    root, slices = scratch_path(spark, "replay"), slices or {}
+    readers = []
     for name, df in tables.items():
-        df.write.parquet(f"{root}/in/{name}")
+        if name not in slices:
+            df.write.parquet(f"{root}/in/{name}")
         reader = spark.readStream.schema(df.schema)
-        if files_per_trigger:
-            reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-        streams.append(reader.parquet(f"{root}/in/{name}"))
-    out = plan(*streams)
-    query = out.writeStream.format("parquet").outputMode(mode).option("path", f"{root}/out").option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start()
-    query.awaitTermination()
+        readers.append((f"{root}/in/{name}", reader.option("maxFilesPerTrigger", files_per_trigger) if files_per_trigger else reader))
+    done, most = 0, max(map(len, slices.values()), default=0)
+    for end in (*[n for n in stops if n < most], most):
+        for k in range(done, end):
+            for name, conditions in slices.items():
+                if k < len(conditions):
+                    tables[name].filter(conditions[k]).coalesce(1).write.mode("append").parquet(f"{root}/in/{name}")
+        done = end
+        out = plan(*[r.parquet(path) for path, r in readers])
+        query = out.writeStream.format("parquet").outputMode(mode).option("path", f"{root}/out").option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start()
+        query.awaitTermination()
     return spark.read.schema(out.schema).parquet(f"{root}/out")
+
+
+def to_table(spark: SparkSession, source: DataFrame, name: str) -> DataFrame:
+    """A stream, taken until its end, into a table of that name below the scratch folder; what the table holds then."""
+    root = scratch_path(spark, name)
+    query = source.writeStream.option("checkpointLocation", f"{root}/checkpoint").option("path", f"{root}/table").outputMode("append").trigger(availableNow=True).toTable(name)
+    query.awaitTermination()
+    return spark.table(name)

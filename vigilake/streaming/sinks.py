@@ -1,7 +1,7 @@
 """Alert sinks for foreachBatch: a digest of each micro-batch, or one mail for each alert.
 
-A notifier is injected; without one a sink fails at once rather than drop alerts. Mail that a batch has sent is
-remembered by alert id, so a batch that is replayed does not send it again."""
+A notifier is injected; without one a sink fails at once rather than drop alerts. Ids of alerts whose mail was sent are
+kept in a ledger, a table in a folder that outlives the driver, so that a batch that is replayed does not send them again."""
 
 from __future__ import annotations
 
@@ -16,7 +16,7 @@ from typing import Protocol
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vigilake.functions import render
+from vigilake.functions import render, text
 
 log = logging.getLogger(__name__)
 
@@ -72,6 +72,13 @@ def digest_sink(notifier: Notifier, recipient: str, max_rows: int | None = None,
     counters = counters if counters is not None else Counters()
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()  # it is counted, then sorted
+        try:
+            send(batch, batch_id)
+        finally:
+            batch.unpersist()
+
+    def send(batch: DataFrame, batch_id: int) -> None:
         total = batch.count()
         if not total:
             log.info("batch %s has no alerts", batch_id)
@@ -96,26 +103,53 @@ def digest_sink(notifier: Notifier, recipient: str, max_rows: int | None = None,
     return write
 
 
-def mail_sink(notifier: Notifier, counters: Counters | None = None, sent: set[str] | None = None) -> Callable[[DataFrame, int], None]:
+def _sent_before(batch: DataFrame, ledger: str) -> DataFrame:
+    spark = batch.sparkSession
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(ledger)
+    if not at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at):
+        return spark.createDataFrame([], "alert_id string")
+    return spark.read.schema("alert_id string").json(ledger)
+
+
+def mail_sink(notifier: Notifier, counters: Counters | None = None, ledger: str | None = None, every: int = 100) -> Callable[[DataFrame, int], None]:
     """A mail for each fraud-card alert, to its customer.
 
-    Alerts come to the driver one partition at a time. One that fails does not stop the others; customers without an
-    address and alerts that were sent before (`sent`: ids, kept by the caller if they are to outlive it) are skipped."""
-    counters, done = counters if counters is not None else Counters(), sent if sent is not None else set()
+    One mail after the other goes out from the driver, and alerts come to it a partition at a time: this is for as many
+    alerts as one mail server takes. One that fails does not stop the others; customers without an address, and alerts
+    that an earlier batch or the ledger has as sent, are skipped. ledger: a folder of JSON lines, added to every so
+    many mails: after a crash at most that many are sent twice. Without one, the sink remembers while it lives."""
+    counters, done = counters if counters is not None else Counters(), set()
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        spark, noted = batch.sparkSession, []
+
+        def note() -> None:
+            if ledger is not None and noted:
+                spark.createDataFrame([(x,) for x in noted], "alert_id string").coalesce(1).write.mode("append").json(ledger)
+            noted.clear()
+
         mails = render.fraud_mail(batch).select("alert_id", "mail_to", "mail_subject", "mail_body")
+        if ledger is not None:
+            mails = mails.join(_sent_before(batch, ledger).distinct().withColumnRenamed("alert_id", "sent_id"), F.col("alert_id") == F.col("sent_id"), "left")
+        else:
+            mails = mails.withColumn("sent_id", F.lit(None).cast("string"))
+        now: set[str] = done if ledger is None else set()
         for m in mails.toLocalIterator():
-            if not m.mail_to or m.alert_id in done:
+            if not m.mail_to or m.sent_id is not None or m.alert_id in now:
                 counters.skipped += 1
                 continue
             try:
                 notifier.send(m.mail_to, m.mail_subject, m.mail_body)
-                done.add(m.alert_id)
-                counters.sent += 1
             except Exception:
                 counters.failed += 1
                 log.exception("alert %s of batch %s not sent", m.alert_id, batch_id)
+                continue
+            counters.sent += 1
+            now.add(m.alert_id)
+            noted.append(m.alert_id)
+            if len(noted) >= every:
+                note()
+        note()
         log.info("batch %s: %s sent, %s failed, %s skipped so far", batch_id, counters.sent, counters.failed, counters.skipped)
 
     write.counters = counters
@@ -123,7 +157,6 @@ def mail_sink(notifier: Notifier, counters: Counters | None = None, sent: set[st
 
 
 def console_sink(batch: DataFrame, batch_id: int) -> None:
-    """Shows a batch as sorted JSON lines."""
-    rows = batch.select(F.to_json(F.struct(*sorted(batch.columns))).alias("json"))
-    for r in rows.limit(100).collect():
+    """Shows a batch as JSON lines with sorted fields, all of it, a partition at a time."""
+    for r in batch.select(text.sorted_json(batch.columns).alias("json")).toLocalIterator():
         print(f"batch {batch_id}: {r.json}")
