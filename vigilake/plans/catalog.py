@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,10 +14,10 @@ from vigilake.config import SimulatorSettings
 from vigilake.functions import render, text, times
 from vigilake.operators import alerts, refine, scoring, watchlist, windows
 from vigilake.operators import expectations as E
-from vigilake.plans import registry, reports, simulate, simulate_sql, views
+from vigilake.plans import medallion, registry, reports, simulate, simulate_sql, views
 from vigilake.session import scratch_path
 from vigilake.sources import files
-from vigilake.streaming import replay
+from vigilake.streaming import replay, sinks
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -565,3 +566,67 @@ def stream_high_value_resumed(spark, sf_dir):
     t, slices = _slices(spark, sf_dir)
     customers = views.customers(spark, sf_dir)
     return replay.drain(spark, {"t": t}, lambda t: alerts.high_value_alerts(t, customers, _now()), files_per_trigger=1, slices={"t": slices}, stops=(1, 2))
+
+
+# -- the whole flow, and sinks that keep what they send
+
+_SILVER_T = f"t AS (SELECT * REPLACE (date_trunc('millisecond', transaction_timestamp) AS transaction_timestamp) FROM ({views.SQL['transactions']}) WHERE CAST(substr(transaction_id, 4) AS BIGINT) % {views.BROKEN} <> 0 AND CAST(substr(transaction_id, 4) AS BIGINT) % {views.NO_CARD} <> 0)"
+_SILVER_CLOSED = "SELECT count(*) FROM ({}) WHERE window_end <= (SELECT max(transaction_timestamp) - INTERVAL 5 MINUTE FROM t)"
+
+
+@query(
+    f"""WITH {_SILVER_T}, {_C}, {_W} SELECT * FROM (VALUES ('bronze_transactions', (SELECT count(*) FROM events)), ('bronze_watchlist', (SELECT count(*) FROM w)), ('silver_transactions', (SELECT count(*) FROM t)),
+  ('silver_watchlist', (SELECT count(*) FROM w)), ('silver_customers', (SELECT count(*) FROM c)), ('high_value_alerts', (SELECT count(*) FROM ({_HIGH.format(at=_AT)}))), ('fraud_card_alerts', (SELECT count(*) FROM ({_FRAUD.format(at=_AT, c='c')}))),
+  ('transactions_per_minute', ({_SILVER_CLOSED.format(_TUMBLING.removeprefix(f'WITH {_T} '))})), ('transactions_sliding', ({_SILVER_CLOSED.format("SELECT window_start, window_start + INTERVAL 5 MINUTE AS window_end, count(*) AS n FROM (SELECT date_trunc('minute', transaction_timestamp) - to_minutes(k) AS window_start FROM t, (SELECT unnest(range(5)) AS k)) GROUP BY ALL")}))) AS v(dataset, row_count)"""
+)
+def medallion_tables(spark, sf_dir):
+    """All datasets as streams that append to tables, each reading the ones before it."""
+    root, tables = scratch_path(spark, "medallion"), {}
+    inputs = {"transaction_messages": views.messages(spark, sf_dir), "watchlist_files": views.watchlist(spark, sf_dir).withColumn("source_file", F.lit("f")), "customer_profiles": views.customers(spark, sf_dir)}
+    for name, df in inputs.items():
+        tables[name] = f"{root}/in/{name}"
+        df.write.parquet(tables[name])
+    flow = medallion.build()
+    flow.run_stream(spark, tables, root)
+    found = [spark.read.parquet(f"{root}/tables/{d.name}").agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(d.name).alias("dataset"), "row_count") for d in flow.order()]
+    return reduce(DataFrame.unionByName, found)
+
+
+def _sent(spark: SparkSession, alerts_df: DataFrame, write: Callable[[DataFrame, int], None], times: int = 1) -> None:
+    """Gives a sink the alerts in three micro-batches, by the last digit of their transaction; again and again if need be."""
+    root = scratch_path(spark, "sink")
+    for k in range(3):
+        alerts_df.filter(F.right("transaction_id", F.lit(1)).cast("int") % 3 == k).coalesce(1).write.mode("append").parquet(f"{root}/in")
+    for turn in range(times):
+        source = spark.readStream.schema(alerts_df.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/in")
+        source.writeStream.foreachBatch(write).option("checkpointLocation", f"{root}/checkpoint{turn}").trigger(availableNow=True).start().awaitTermination()
+
+
+@query(f"WITH {_T}, {_C} SELECT count(*) || ' high-value transaction alert' || CASE WHEN count(*) = 1 THEN '' ELSE 's' END AS subject, count(*) AS listed FROM ({_HIGH.format(at=_AT)}) GROUP BY CAST(right(transaction_id, 1) AS INTEGER) % 3")
+def digest_mails(spark, sf_dir):
+    """One mail for each micro-batch, with all of its alerts."""
+    notifier = sinks.MemoryNotifier()
+    _sent(spark, _high(spark, sf_dir), sinks.digest_sink(notifier, "ops@example.com", mail_rows=1_000_000))
+    return spark.createDataFrame([(subject, body.count("<tr>") - 1) for _, subject, body in notifier.sent], "subject string, listed long")
+
+
+_SENT = f"SELECT * FROM ({_FRAUD.format(at=_AT, c='half')}) WHERE customer_email IS NOT NULL"
+
+
+@query(f"WITH {_T}, {_C}, {_W}, half AS (SELECT * FROM c WHERE risk_score < 50) SELECT customer_email AS mail_to, 'Card alert: ' || risk_level || ' risk, ' || alert_id AS mail_subject FROM ({_SENT})")
+def customer_mails(spark, sf_dir):
+    """One mail for each alert whose customer is known, though all batches come twice."""
+    notifier = sinks.MemoryNotifier()
+    _sent(spark, _fraud(spark, sf_dir, known="risk_score < 50"), sinks.mail_sink(notifier, ledger=scratch_path(spark, "ledger"), every=1000), times=2)
+    return spark.createDataFrame([(to, subject) for to, subject, _ in notifier.sent], "mail_to string, mail_subject string")
+
+
+@query(f"WITH {_T}, {_C}, {_W}, half AS (SELECT * FROM c WHERE risk_score < 50), a AS ({_FRAUD.format(at=_AT, c='half')}) SELECT count(*) FILTER (customer_email IS NOT NULL AND NOT bad) AS sent, count(*) FILTER (customer_email IS NOT NULL AND bad) AS failed, count(*) FILTER (customer_email IS NULL) AS skipped FROM (SELECT *, customer_email IN (SELECT min(email) FROM half) AS bad FROM a)")
+def mail_counters(spark, sf_dir):
+    """One address fails; customers without one are skipped."""
+    known = views.customers(spark, sf_dir).filter("risk_score < 50")
+    bad = known.agg(F.min("email")).first()[0]
+    write = sinks.mail_sink(sinks.MemoryNotifier(failing=frozenset([bad])))
+    _sent(spark, _fraud(spark, sf_dir, known="risk_score < 50"), write)
+    c = write.counters
+    return spark.createDataFrame([(c.sent, c.failed, c.skipped)], "sent long, failed long, skipped long")

@@ -110,6 +110,11 @@ def create_databases(spark: SparkSession, names: tuple[str, ...] = ("bronze", "s
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {n}")
 
 
+def use_catalog(spark: SparkSession, name: str) -> None:
+    """Databases are those of this catalog from now on; the session's settings must name its implementation (spark.sql.catalog.{name})."""
+    spark.catalog.setCurrentCatalog(name)
+
+
 def use_database(spark: SparkSession, name: str) -> None:
     """Tables without a database are those of this one from now on."""
     spark.catalog.setCurrentDatabase(name)
