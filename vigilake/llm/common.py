@@ -91,6 +91,11 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return out
 
 
+def made_since(number: int) -> list[tuple[SparkSession, str]]:
+    """Scratch paths made after the first `number` ones."""
+    return _made[number:]
+
+
 def drop(*tables: DataFrame) -> None:
     """Removes tables that materialize() gave, once nothing reads them any more."""
     for t in tables:

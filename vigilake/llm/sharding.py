@@ -21,8 +21,8 @@ from vigilake.llm.common import cleaning, materialize, number_ties, scratch_path
 SHARDS = 40
 BUCKET_BYTES = 4 << 20
 ROW_BYTES = 16  # what a row counts besides its text
-#: Buckets of a part, which one task writes.
-PART_BUCKETS = 8
+#: Buckets of a part, which one task writes, and tasks at most.
+PART_BUCKETS, MAX_TASKS = 8, 100_000
 #: Equal records that may share a bucket.
 TIED = 100
 #: Buckets whose starts are summed up in one place, and up to so many of which the table of starts (24 bytes each) is broadcast.
@@ -74,8 +74,10 @@ def shard(docs: DataFrame, shards: int = SHARDS, seed: int = 5, text_col: str =
         return t.select(names).append_column("shard", pa.array(to.astype(np.int32))).append_column("slot", pa.array(slot)).append_column("part", t.column("part"))
 
     schema = docs.sparkSession.createDataFrame([], dealt.select(*names).schema).withColumns({"shard": F.lit(0), "slot": F.lit(0).cast("long"), "part": F.lit(0).cast("long")}).schema
-    # One shuffle brings a part together, and so each of its buckets.
-    return dealt.repartition("part").groupBy("part", "__bucket").applyInArrow(shuffled, schema)
+    # One shuffle brings a part together, and so each of its buckets: a task for each part, or for some parts in a row.
+    parts = -(-buckets // PART_BUCKETS)
+    tasks = min(parts, MAX_TASKS)
+    return dealt.repartitionById(tasks, F.expr(f"cast(part * {tasks} div {parts} as int)")).groupBy("part", "__bucket").applyInArrow(shuffled, schema)
 
 
 def write_shards(sharded: DataFrame, path: str) -> DataFrame:
