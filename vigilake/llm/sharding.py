@@ -75,15 +75,14 @@ def shard(docs: DataFrame, shards: int = SHARDS, seed: int = 5, text_col: str =
 
     schema = docs.sparkSession.createDataFrame([], dealt.select(*names).schema).withColumns({"shard": F.lit(0), "slot": F.lit(0).cast("long"), "part": F.lit(0).cast("long")}).schema
     # One shuffle brings a part together, and so each of its buckets: a task for each part, or for some parts in a row.
-    parts = -(-buckets // PART_BUCKETS)
-    tasks = min(parts, MAX_TASKS)
-    return dealt.repartitionById(tasks, F.expr(f"cast(part * {tasks} div {parts} as int)")).groupBy("part", "__bucket").applyInArrow(shuffled, schema)
+    tasks = min(-(-buckets // PART_BUCKETS), MAX_TASKS)
+    return dealt.repartitionByRange(tasks, "part").groupBy("part", "__bucket").applyInArrow(shuffled, schema)
 
 
 def write_shards(sharded: DataFrame, path: str) -> DataFrame:
     """Writes {path}/shard=S/part=P: a Parquet file of consecutive slots, in order, for each part of a shard; gives all of them read back."""
     with cleaning(sharded.sparkSession):
-        sharded.sortWithinPartitions("shard", "part", "slot").write.partitionBy("shard", "part").parquet(path)
+        sharded.sortWithinPartitions("shard", "part", "slot").write.partitionBy("shard", "part").option("compression", "zstd").parquet(path)
     return sharded.sparkSession.read.schema(sharded.schema).parquet(path)
 
 
