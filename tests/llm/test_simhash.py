@@ -1,6 +1,7 @@
 import re
 
 import numpy as np
+import pytest
 import xxhash
 
 from vigilake.llm import graph, simhash
@@ -35,15 +36,16 @@ def classes(links, nodes):
     return {n: find(n) for n in nodes}
 
 
-def test_components(spark):
+@pytest.mark.parametrize("few", [graph.FEW, 0])
+def test_components(spark, few):
     r = np.random.default_rng(3)
-    links = [(int(a), int(b)) for a, b in r.integers(0, 60, (40, 2))] + [(i, i + 1) for i in range(100, 160)] + [(5, 5), (200, 201), (201, 200)]
+    links = [(int(a), int(b)) for a, b in r.integers(-30, 30, (40, 2))] + [(int(a), int(b)) for a, b in r.permutation([(300 + i, 301 + i) for i in range(500)])] + [(i, i + 1) for i in range(100, 160)] + [(5, 5), (200, 201), (201, 200)]
     df = spark.createDataFrame([*links, (None, 1), (1, None)], "a long, b long")
-    got = {x.node: x.root for x in graph.components(df).collect()}
+    got = {x.node: x.root for x in graph.components(df, few=few).collect()}
     want = classes(links, {x for e in links for x in e})
     linked = {x for a, b in links if a != b for x in (a, b)}
     assert got == {k: v for k, v in want.items() if k in linked}
-    assert graph.components(df.limit(0)).count() == 0
+    assert graph.components(df.limit(0), few=few).count() == 0
 
 
 def test_links_connect_what_is_near(spark):
