@@ -22,7 +22,8 @@ from pyspark.sql import Window as W
 from vigilake.llm.common import materialize, number_ties, row_key
 
 BLOCK_TOKENS = 1 << 20
-RANGES = 1 << 14
+#: Documents of a hash range, on average, and how many ranges there are at least and at most (a power of two).
+RANGE_ROWS, LEAST_RANGES, MOST_RANGES = 1 << 13, 1 << 6, 1 << 20
 POINTS, PASSES = 31, 8
 #: The table of sources is broadcast up to so many rows; beyond, it is joined by shuffle.
 MAX_BROADCAST_SOURCES = 100_000
@@ -31,12 +32,13 @@ WORD = "[^\\x20\\x09-\\x0D]+"
 
 @dataclass(frozen=True)
 class Mix:
-    """sources: source, tokens, share, weight, epochs (times it is gone over), one row each."""
+    """sources: source, tokens, share, weight, epochs (times it is gone over), one row each. rows: documents of all sources."""
 
     exponent: float
     budget: float
     sources: DataFrame
     small: bool
+    rows: int
 
 
 def count_tokens(text: Column) -> Column:
@@ -71,8 +73,8 @@ def solve_mix(docs: DataFrame, source_col: str = "source", tokens_col: str = "n_
     target_entropy (nats) or max_repeats decides the exponent; neither: 1. budget: tokens of the mix; None: as many
     as it takes to go over every source once at least, so that no document is lost. A null source is a source
     of its own. A source without tokens is gone over once. With no rows there are no sources."""
-    by = materialize(docs.groupBy(F.col(source_col).alias("source")).agg(F.sum(tokens_col).alias("tokens")), "sources")
-    count, total = by.agg(F.count(F.lit(1)), F.coalesce(F.sum("tokens"), F.lit(0))).first()
+    by = materialize(docs.groupBy(F.col(source_col).alias("source")).agg(F.sum(tokens_col).alias("tokens"), F.count(F.lit(1)).alias("rows")), "sources")
+    count, total, rows = by.agg(F.count(F.lit(1)), F.coalesce(F.sum("tokens"), F.lit(0)), F.coalesce(F.sum("rows"), F.lit(0))).first()
     shares = by.filter("tokens > 0").withColumn("l", F.log(F.col("tokens") / float(total or 1)))
     exponent = 1.0
     if total and target_entropy is not None:
@@ -88,7 +90,7 @@ def solve_mix(docs: DataFrame, source_col: str = "source", tokens_col: str = "n_
     # A hair below a whole number is that number: the largest source's one epoch must not lose its last document.
     whole = F.when(F.abs(epochs - F.round(epochs)) < 1e-9, F.round(epochs)).otherwise(epochs)
     sources = by.select("source", "tokens", (F.col("tokens") / float(total or 1)).alias("share"), weight.alias("weight"), whole.alias("epochs"))
-    return Mix(exponent, float(budget), sources, count <= MAX_BROADCAST_SOURCES)
+    return Mix(exponent, float(budget), sources, count <= MAX_BROADCAST_SOURCES, rows)
 
 
 def countable(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
@@ -112,9 +114,10 @@ def realise(counted: DataFrame, mix: Mix, seed: int = 8, block_tokens: int = BLO
 
     counted: of countable(). A source's last epoch ends with the document at which its budget is spent. Repeated and null
     ids have places of their own, by the rest of their row and their number among equal rows."""
+    ranges = min(MOST_RANGES, max(LEAST_RANGES, 1 << (mix.rows // RANGE_ROWS).bit_length()))
     copies = _join(counted, mix.sources.select(F.col("source").alias("__from"), "tokens", "epochs"), mix.small, "source")
     copies = copies.withColumn("epoch", F.explode(F.sequence(F.lit(0), F.ceil("epochs").cast("int") - 1))).withColumn("place", _place(seed, "epoch", "key", "nth"))
-    copies = copies.filter("epochs > 0").withColumn("range", F.shiftrightunsigned("place", 63 - RANGES.bit_length() + 1))
+    copies = copies.filter("epochs > 0").withColumn("range", F.shiftrightunsigned("place", 64 - ranges.bit_length()))
     sums = copies.groupBy("source", "epoch", "range").agg(F.sum("n_tokens").alias("own"))
     before = sums.withColumn("before", F.coalesce(F.sum("own").over(W.partitionBy("source", "epoch").orderBy("range").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))).drop("own")
     inside = W.partitionBy("source", "epoch", "range").orderBy("place").rangeBetween(W.unboundedPreceding, -1)
