@@ -1,6 +1,5 @@
 """The other operators on nulls, empty and long texts, ties, repeated rows, empty tables and clashing columns."""
 
-import random
 from collections import Counter
 
 import numpy as np
