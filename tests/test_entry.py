@@ -23,11 +23,12 @@ print(sum(n.startswith("op") for n in found), "pipeline" in found, any("blocked"
 """
 
 
-@pytest.mark.parametrize("name, said", [("public_tokenizers", True), ("xxhash", True), ("vigilake.llm", False)])
-def test_without(name, said):
+@pytest.mark.parametrize("name, left, said", [("public_tokenizers", "0", True), ("xxhash", "10", True), ("vigilake.llm", "0", False)])
+def test_without(name, left, said):
+    """xxhash is imported by the pipeline's near-dedup alone."""
     pytest.importorskip("vigilake.llm")
     out = subprocess.run([sys.executable, "-c", CODE.format(name=name)], capture_output=True, text=True, check=True, timeout=120)
-    assert out.stdout.split() == ["0", "False", str(said)]
+    assert out.stdout.split() == [left, "False", str(said)]
 
 
 def test_without_the_pipeline():
