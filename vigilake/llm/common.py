@@ -122,3 +122,19 @@ def number_ties(rows: DataFrame, key: str = "__key", nth: str = "__nth", more_th
     made = blocks.withColumn(nth, F.explode(F.sequence(F.col("__block") * BLOCK, F.least(F.col("__n"), (F.col("__block") + 1) * BLOCK) - 1)))
     back = [F.map_from_entries(f"`{c}`").alias(c) if kind.startswith("map") else F.col(f"`{c}`") for c, kind in rows.dtypes]
     return keyed.join(ties, key, "left_anti").select(*names, key, F.lit(0).cast("long").alias(nth)).unionByName(made.select(*back, key, nth))
+
+
+def numbered(rows: DataFrame, nth: str, *order: Column) -> DataFrame:
+    """rows with nth (long): 0, 1, ... in this order over all rows; rows that the order leaves equal are numbered as they come.
+
+    Rows are sorted by ranges and written once; the counts of the ranges, a row each, give where each one begins."""
+    sort = rows.repartitionByRange(*order).sortWithinPartitions(*order)
+    low = (1 << 33) - 1  # Spark's numbers are 2^33 times the partition's and from there on one by one
+    place = F.monotonically_increasing_id()
+    kept = materialize(sort.select("*", F.shiftright(place, 33).alias("__range"), place.bitwiseAND(low).alias("__at")), "sorted")
+    begin, starts = 0, []
+    for r in kept.groupBy("__range").agg(F.count(F.lit(1)).alias("n")).orderBy("__range").collect():
+        starts.append((r["__range"], begin))
+        begin += r.n
+    first = F.broadcast(rows.sparkSession.createDataFrame(starts, "__range long, __begin long"))  # as many rows as the sort has partitions
+    return kept.join(first, "__range").withColumn(nth, F.col("__begin") + F.col("__at")).drop("__range", "__at", "__begin")

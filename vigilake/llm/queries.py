@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from vigilake.llm import chat, decontaminate, lm_score, mixing, quality, sharding, simhash, token_counts, token_files, urls
+from vigilake.llm import chat, decontaminate, html_text, importance, lm_score, mixing, negatives, quality, sharding, simhash, token_counts, token_files, urls
 from vigilake.llm.common import scratch_dir, table
 
 
@@ -84,9 +84,22 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
+
+
+def op12_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(negatives.whole_vectors(table(spark, sf_dir, "embeddings"), label), F.col("id") % 50 == 0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_chat_format, op2_simhash, op3_url_filter, op4_token_files, op5_sharding, op6_token_counts, op7_quality_rules, op8_mix, op9_lm_score, op10_decontaminate)
+    for f in (op1_chat_format, op2_simhash, op3_url_filter, op4_token_files, op5_sharding, op6_token_counts, op7_quality_rules, op8_mix, op9_lm_score, op10_decontaminate, op11_html_text, op12_importance, op13_hard_negatives)
 }
 
 _LISTED_SQL = ", ".join(f"'{u.lower().removeprefix('http://').split('/')[0]}'" for u in LISTED)
