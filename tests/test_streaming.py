@@ -156,7 +156,7 @@ def test_medallion_as_batch_and_as_stream(spark, tmp_path):
     batch = r.run_batch({k: spark.read.parquet(p) for k, p in paths.items()})
     for _ in range(2):
         r.run_stream(spark, paths, str(tmp_path / "lake"))
-    read = lambda n: spark.read.parquet(str(tmp_path / "lake/tables" / n))
+    read = lambda n: spark.read.option("recursiveFileLookup", True).parquet(str(tmp_path / "lake/tables" / n))
     for n in ("silver_transactions", "silver_customers", "silver_watchlist", "high_value_alerts", "fraud_card_alerts"):
         assert read(n).count() == batch[n].count() > 0, n
         assert read(n).columns == batch[n].columns

@@ -32,19 +32,37 @@ def high_value_alerts(transactions: DataFrame, customers: DataFrame, as_of: Colu
     )
 
 
-def fraud_card_alerts(transactions: DataFrame, watchlist: DataFrame, customers: DataFrame, as_of: Column | None = None, retention: str | None = None, watermark: str | None = None) -> DataFrame:
-    """Transactions whose card is a listed entity, whatever the listing's status, type or date. 32 columns.
+def card_matches(transactions: DataFrame, watchlist: DataFrame, retention: str | None = None, watermark: str | None = None, salts: int = 1) -> DataFrame:
+    """t, w: transactions with the listings of their card, whatever a listing's status, type or date.
 
-    retention: an interval such as '10 minutes'; only transactions within that time after the listing match then,
-    which bounds a stream's state. Without it (the default) every pair matches and a stream keeps all rows.
-    watermark: delay of both sides, for streams. Customers that are missing leave e-mail null and the name empty."""
+    retention: an interval such as '10 minutes'; only transactions within that time after the listing match then, which
+    bounds a stream's state: a listing goes once its time is over for both watermarks, a transaction once no listing can still
+    be early enough. Without it (the default) every pair matches and a stream keeps all rows.
+    watermark: delay of both sides, for streams. salts: into so many parts each card's transactions are dealt, by their id;
+    listings, which are few, go to each part. A card with a third of all transactions is then the work of so many tasks."""
     if watermark:
         transactions, watchlist = transactions.withWatermark("transaction_timestamp", watermark), watchlist.withWatermark("effective_from", watermark)
-    t, w, c = transactions.alias("t"), watchlist.alias("w"), customers.alias("c")
+    t, w = transactions.alias("t"), watchlist.alias("w")
     on = F.col("t.card_number") == F.col("w.entity_id")
+    names = {"t": transactions.columns, "w": watchlist.columns}
+    if salts > 1:
+        t = transactions.withColumn("__salt", F.pmod(F.xxhash64("transaction_id"), F.lit(salts)).cast("int")).alias("t")
+        w = watchlist.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))).alias("w")
+        on = on & (F.col("t.__salt") == F.col("w.__salt"))
     if retention:
         on = on & F.expr(f"t.transaction_timestamp >= w.effective_from AND t.transaction_timestamp <= w.effective_from + INTERVAL {retention}")
-    met = t.join(w, on).join(c, F.col("t.customer_id") == F.col("c.customer_id"), "left")
+    return t.join(w, on).select(*[F.struct(*[F.col(f"{side}.{n}") for n in found]).alias(side) for side, found in names.items()])
+
+
+def fraud_card_alerts(transactions: DataFrame, watchlist: DataFrame, customers: DataFrame, as_of: Column | None = None, retention: str | None = None, watermark: str | None = None, salts: int = 1) -> DataFrame:
+    """Transactions whose card is listed, with their customers: as_card_alerts() of card_matches()."""
+    return as_card_alerts(card_matches(transactions, watchlist, retention, watermark, salts), customers, as_of)
+
+
+def as_card_alerts(matches: DataFrame, customers: DataFrame, as_of: Column | None = None) -> DataFrame:
+    """32 columns for each match. Customers that are missing leave e-mail null and the name empty."""
+    c = customers.alias("c")
+    met = matches.join(c, F.col("t.customer_id") == F.col("c.customer_id"), "left")
     return met.select(
         text.tagged(F.lit("FRAUD"), F.col("t.transaction_id"), F.col("w.watchlist_id")).alias("alert_id"),
         F.lit(FRAUD_CARD).alias("alert_type"),

@@ -14,7 +14,7 @@ from vigilake.config import SimulatorSettings
 from vigilake.functions import render, text, times
 from vigilake.operators import alerts, refine, scoring, watchlist, windows
 from vigilake.operators import expectations as E
-from vigilake.plans import medallion, registry, reports, simulate, simulate_sql, views
+from vigilake.plans import medallion, pipeline, registry, reports, simulate, simulate_sql, views
 from vigilake.session import scratch_path
 from vigilake.sources import files
 from vigilake.streaming import replay, sinks
@@ -571,25 +571,46 @@ def stream_high_value_resumed(spark, sf_dir):
 # -- the whole flow, and sinks that keep what they send
 
 _SILVER_T = f"t AS (SELECT * REPLACE (date_trunc('millisecond', transaction_timestamp) AS transaction_timestamp) FROM ({views.SQL['transactions']}) WHERE CAST(substr(transaction_id, 4) AS BIGINT) % {views.BROKEN} <> 0 AND CAST(substr(transaction_id, 4) AS BIGINT) % {views.NO_CARD} <> 0)"
-_SILVER_CLOSED = "SELECT count(*) FROM ({}) WHERE window_end <= (SELECT max(transaction_timestamp) - INTERVAL 5 MINUTE FROM t)"
-
-
-@query(
-    f"""WITH {_SILVER_T}, {_C}, {_W} SELECT * FROM (VALUES ('bronze_transactions', (SELECT count(*) FROM events)), ('bronze_watchlist', (SELECT count(*) FROM w)), ('silver_transactions', (SELECT count(*) FROM t)),
-  ('silver_watchlist', (SELECT count(*) FROM w)), ('silver_customers', (SELECT count(*) FROM c)), ('high_value_alerts', (SELECT count(*) FROM ({_HIGH.format(at=_AT)}))), ('fraud_card_alerts', (SELECT count(*) FROM ({_FRAUD.format(at=_AT, c='c')}))),
-  ('transactions_per_minute', ({_SILVER_CLOSED.format(_TUMBLING.removeprefix(f'WITH {_T} '))})), ('transactions_sliding', ({_SILVER_CLOSED.format("SELECT window_start, window_start + INTERVAL 5 MINUTE AS window_end, count(*) AS n FROM (SELECT date_trunc('minute', transaction_timestamp) - to_minutes(k) AS window_start FROM t, (SELECT unnest(range(5)) AS k)) GROUP BY ALL")}))) AS v(dataset, row_count)"""
-)
+_SILVER_SLIDING = "SELECT window_start, window_start + INTERVAL 5 MINUTE AS window_end, count(*) AS transaction_count FROM (SELECT date_trunc('minute', transaction_timestamp) - to_minutes(k) AS window_start FROM t, (SELECT unnest(range(5)) AS k)) GROUP BY ALL"
+_SILVER_CLOSED = "SELECT * FROM ({}) WHERE window_end <= (SELECT max(transaction_timestamp) - INTERVAL 5 MINUTE FROM t)"
+_MEDALLION = f"""SELECT 'bronze_transactions' AS dataset, printf('TXN%07d', event_id) AS key, 'transactions' AS topic, CAST(event_id AS BIGINT) AS "offset", CAST(ts AS TIMESTAMP) AS "timestamp", event_id % {views.BROKEN} <> 0 AS valid FROM events
+UNION ALL BY NAME SELECT 'bronze_watchlist' AS dataset, * RENAME (effective_from AS listed_from), 'f' AS source_file FROM ({views.SQL['watchlist']})
+UNION ALL BY NAME SELECT 'silver_transactions' AS dataset, * FROM t
+UNION ALL BY NAME SELECT 'silver_watchlist' AS dataset, *, 'f' AS source_file FROM w
+UNION ALL BY NAME SELECT 'silver_customers' AS dataset, * REPLACE (CAST(try_strptime(account_open_date, '%Y-%m-%d') AS DATE) AS account_open_date) FROM ({views.SQL['customers']})
+UNION ALL BY NAME SELECT 'high_value_alerts' AS dataset, * EXCLUDE (alert_timestamp) FROM (@high)
+UNION ALL BY NAME SELECT 'fraud_card_alerts' AS dataset, * EXCLUDE (alert_timestamp) FROM (@fraud)
+UNION ALL BY NAME SELECT 'transactions_per_minute' AS dataset, * FROM ({_SILVER_CLOSED.format(_TUMBLING.removeprefix(f'WITH {_T} '))})
+UNION ALL BY NAME SELECT 'transactions_sliding' AS dataset, * FROM ({_SILVER_CLOSED.format(_SILVER_SLIDING)})"""
+
+
+def _medallion_rows(tables: dict[str, DataFrame]) -> DataFrame:
+    """The rows of all nine tables under one another, without the times of processing and what Kafka's are always."""
+    out = []
+    for name, rows in tables.items():
+        if name == "bronze_transactions":
+            rows = rows.select("key", "topic", "offset", "timestamp", text.is_json(F.col("value")).alias("valid"))
+        elif name == "bronze_watchlist":
+            rows = rows.withColumnRenamed("effective_from", "listed_from").drop("_rescued_data")
+        gone = [c for c in rows.columns if c == "alert_timestamp" or c.startswith("kafka_") or c.endswith("ingestion_timestamp")]
+        out.append(rows.drop(*gone).withColumn("dataset", F.lit(name)))
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), out)
+
+
+def _medallion_inputs(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    return {"transaction_messages": views.messages(spark, sf_dir), "watchlist_files": views.watchlist(spark, sf_dir).withColumn("source_file", F.lit("f")), "customer_profiles": views.customers(spark, sf_dir)}
+
+
+@query(f"WITH {_SILVER_T}, {_C}, {_W} {_MEDALLION.replace('@high', _HIGH.format(at=_AT)).replace('@fraud', _FRAUD.format(at=_AT, c='c'))}")
 def medallion_tables(spark, sf_dir):
-    """All datasets as streams that append to tables, each reading the ones before it."""
-    root, tables = scratch_path(spark, "medallion"), {}
-    inputs = {"transaction_messages": views.messages(spark, sf_dir), "watchlist_files": views.watchlist(spark, sf_dir).withColumn("source_file", F.lit("f")), "customer_profiles": views.customers(spark, sf_dir)}
-    for name, df in inputs.items():
-        tables[name] = f"{root}/in/{name}"
-        df.write.parquet(tables[name])
-    flow = medallion.build()
-    flow.run_stream(spark, tables, root)
-    found = [spark.read.parquet(f"{root}/tables/{d.name}").agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(d.name).alias("dataset"), "row_count") for d in flow.order()]
-    return reduce(DataFrame.unionByName, found)
+    """All datasets as streams that append to tables, each reading the ones before it, to the end of what is there."""
+    root, inputs = scratch_path(spark, "medallion"), {}
+    for name, df in _medallion_inputs(spark, sf_dir).items():
+        inputs[name] = (f"{root}/in/{name}", df.schema)
+        df.write.parquet(f"{root}/in/{name}")
+    line = pipeline.Pipeline(spark, medallion.build(), pipeline.Settings("medallion", root), inputs)
+    line.run()
+    return _medallion_rows({d.name: line.table(d.name) for d in line.registry.order()})
 
 
 def _sent(spark: SparkSession, alerts_df: DataFrame, write: Callable[[DataFrame, int], None], times: int = 1) -> None:
@@ -630,3 +651,6 @@ def mail_counters(spark, sf_dir):
     _sent(spark, _fraud(spark, sf_dir, known="risk_score < 50"), write)
     c = write.counters
     return spark.createDataFrame([(c.sent, c.failed, c.skipped)], "sent long, failed long, skipped long")
+
+
+from vigilake.plans import stream_catalog  # noqa: E402, F401  registers its queries here

@@ -38,9 +38,12 @@ def build() -> Registry:
     def _(transactions: DataFrame, customers: DataFrame) -> DataFrame:
         return alerts.high_value_alerts(transactions, customers)
 
-    @r.table("fraud_card_alerts", ("silver_transactions", "silver_watchlist"), ("silver_customers",), comment="Transactions of listed cards")
-    def _(transactions: DataFrame, watchlist: DataFrame, customers: DataFrame) -> DataFrame:
-        return alerts.fraud_card_alerts(transactions, watchlist, customers, watermark=WATERMARK)
+    def matches(transactions: DataFrame, watchlist: DataFrame) -> DataFrame:
+        return alerts.card_matches(transactions, watchlist, watermark=WATERMARK)
+
+    @r.table("fraud_card_alerts", ("silver_transactions", "silver_watchlist"), ("silver_customers",), comment="Transactions of listed cards", over=matches)
+    def _(matched: DataFrame, customers: DataFrame) -> DataFrame:
+        return alerts.as_card_alerts(matched, customers)
 
     @r.table("transactions_per_minute", ("silver_transactions",), comment="Transactions of each minute")
     def _(transactions: DataFrame) -> DataFrame:

@@ -15,13 +15,26 @@ from pyspark.sql.streaming import StreamingQuery
 
 @dataclass(frozen=True)
 class Dataset:
-    """streams: inputs read as streams; statics: inputs of which each micro-batch sees a snapshot."""
+    """streams: inputs read as streams; statics: inputs that each micro-batch reads anew, as they are by then.
+
+    build takes streams, then statics. With statics and more than one stream, `over` makes one stream of them first (where
+    state lives); build then takes its micro-batches, which it must treat row by row."""
 
     name: str
     build: Callable[..., DataFrame]
     streams: tuple[str, ...]
     statics: tuple[str, ...] = ()
     comment: str = ""
+    over: Callable[..., DataFrame] | None = None
+
+    def __post_init__(self):
+        if self.statics and self.over is None and len(self.streams) != 1:
+            raise ValueError(f"{self.name}: with statics, several streams need `over`")
+
+    def whole(self, frames: list[DataFrame]) -> DataFrame:
+        """Over whole inputs: streams, then statics."""
+        streams, statics = frames[: len(self.streams)], frames[len(self.streams) :]
+        return self.build(*([self.over(*streams)] if self.over else streams), *statics)
 
 
 @dataclass(frozen=True)
@@ -38,13 +51,13 @@ class Registry:
     datasets: dict[str, Dataset] = field(default_factory=dict)
     sinks: dict[str, Sink] = field(default_factory=dict)
 
-    def table(self, name: str, streams: tuple[str, ...], statics: tuple[str, ...] = (), comment: str = ""):
+    def table(self, name: str, streams: tuple[str, ...], statics: tuple[str, ...] = (), comment: str = "", over: Callable[..., DataFrame] | None = None):
         """Registers the decorated function as a dataset."""
 
         def register(build: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
             if name in self.datasets:
                 raise ValueError(f"dataset {name} is already registered")
-            self.datasets[name] = Dataset(name, build, tuple(streams), tuple(statics), comment)
+            self.datasets[name] = Dataset(name, build, tuple(streams), tuple(statics), comment, over)
             return build
 
         return register
@@ -67,42 +80,26 @@ class Registry:
         """All datasets over whole inputs, as lazy plans."""
         made = dict(inputs)
         for d in self.order():
-            made[d.name] = d.build(*[made[x] for x in d.streams + d.statics])
+            made[d.name] = d.whole([made[x] for x in d.streams + d.statics])
         return made
 
-    def _start(self, frame: DataFrame, checkpoint: str, once: bool, every: str | None):
-        writer = frame.writeStream.option("checkpointLocation", checkpoint).outputMode("append")
-        return writer.trigger(availableNow=True) if once else writer.trigger(processingTime=every or "30 seconds")
-
     def save_batch(self, inputs: dict[str, DataFrame], prefix: str = "") -> dict[str, DataFrame]:
         """run_batch(), with each dataset saved as a table before the next one reads it."""
         made = dict(inputs)
         for d in self.order():
-            made[d.name] = save_table(d.build(*[made[x] for x in d.streams + d.statics]), f"{prefix}{d.name}")
+            made[d.name] = save_table(d.whole([made[x] for x in d.streams + d.statics]), f"{prefix}{d.name}")
         return made
 
     def run_stream(self, spark: SparkSession, tables: dict[str, str], root: str, every: str | None = None, wait: bool = True) -> list[StreamingQuery]:
-        """Each dataset as a stream that appends to {root}/tables/{name}, with its checkpoint beside it.
+        """Runs all datasets as a pipeline (see vigilake.plans.pipeline) over parquet tables that are there already.
 
-        tables: paths of parquet tables that aren't datasets. wait: takes what is there, dataset by dataset, and
-        ends; a second run goes on where the first one stopped. Otherwise queries keep running, every so often."""
-        at = dict(tables)
-        queries = []
-        for d in self.order():
-            streams = [spark.readStream.schema(spark.read.parquet(at[x]).schema).parquet(at[x]) for x in d.streams]
-            frame = d.build(*streams, *[spark.read.parquet(at[x]) for x in d.statics])
-            at[d.name] = f"{root}/tables/{d.name}"
-            query = self._start(frame, f"{root}/checkpoints/{d.name}", wait, every).format("parquet").option("path", at[d.name]).start()
-            queries.append(query)
-            if wait:
-                query.awaitTermination()
-        for s in self.sinks.values():
-            source = spark.readStream.schema(spark.read.parquet(at[s.source]).schema).parquet(at[s.source])
-            query = self._start(source, f"{root}/checkpoints/{s.name}", wait, every).foreachBatch(s.write).start()
-            queries.append(query)
-            if wait:
-                query.awaitTermination()
-        return queries
+        wait: takes what is there, dataset by dataset, and ends; a second run goes on where the first one stopped.
+        Otherwise the queries keep running, every so often."""
+        from vigilake.plans.pipeline import Pipeline, Settings
+
+        inputs = {n: (p, spark.read.parquet(p).schema) for n, p in tables.items()}
+        line = Pipeline(spark, self, Settings("flow", root, continuous=not wait, every=every or "30 seconds"), inputs)
+        return list(line.run().values())
 
 
 def create_databases(spark: SparkSession, names: tuple[str, ...] = ("bronze", "silver", "gold", "alert")) -> None:

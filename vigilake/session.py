@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 
@@ -26,4 +27,19 @@ def scratch_path(spark: SparkSession, name: str) -> str:
             raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         base = f"{tempfile.gettempdir()}/vigilake-checkpoints"
         spark.conf.set("spark.checkpoint.dir", base)
-    return f"{base.rstrip('/')}/vigilake/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+    path = f"{base.rstrip('/')}/vigilake/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+    _made.append((spark, path))
+    return path
+
+
+#: Scratch paths, which are removed when the driver ends: what a query returned is read lazily until then.
+_made: list[tuple[SparkSession, str]] = []
+
+
+@atexit.register
+def _clean() -> None:
+    from vigilake import storage
+
+    for spark, path in _made:
+        if spark.sparkContext._jsc is not None:
+            storage.delete(spark, path)
