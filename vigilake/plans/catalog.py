@@ -272,12 +272,16 @@ r AS (SELECT transaction_id, seq,
 _RULES = [r.lower() for r in scoring.WEIGHTS]
 
 
-def _flags(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _to_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = views.transactions(spark, sf_dir).withColumn("seq", F.substring("transaction_id", 4, 19).cast("long"))
     t = t.withColumn("transaction_timestamp", F.timestamp_micros(F.expr(f"unix_micros(transaction_timestamp) div {_COMPRESS}"))).withColumn("amount", F.col("amount") * F.when(F.col("seq") % 50 == 0, 1000).otherwise(1))
     c = views.customers(spark, sf_dir).select("customer_id", "trusted_device_id")
     m = views.merchants(spark, sf_dir).select("merchant_id", "merchant_risk", "is_blacklisted")
-    return scoring.rule_flags(t.join(c, "customer_id", "left").join(m, "merchant_id", "left"))
+    return t.join(c, "customer_id", "left").join(m, "merchant_id", "left")
+
+
+def _flags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scoring.rule_flags(_to_score(spark, sf_dir))
 
 
 for _rule in _RULES:
@@ -544,20 +548,20 @@ def _slices(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, list[str]]:
 @query(_late_sql(_TUMBLING))
 def stream_tumbling_late(spark, sf_dir):
     t, slices = _slices(spark, sf_dir)
-    return replay.drain(spark, {"t": t}, lambda t: windows.per_minute(t, watermark="5 minutes"), files_per_trigger=1, slices={"t": slices})
+    return replay.drain(spark, {"t": t}, lambda t: windows.per_minute(t, watermark="5 minutes"), slices={"t": slices})
 
 
 @query(_late_sql(_SLIDING))
 def stream_sliding_late(spark, sf_dir):
     t, slices = _slices(spark, sf_dir)
-    return replay.drain(spark, {"t": t}, lambda t: windows.five_minutes_sliding(t, watermark="5 minutes"), files_per_trigger=1, slices={"t": slices})
+    return replay.drain(spark, {"t": t}, lambda t: windows.five_minutes_sliding(t, watermark="5 minutes"), slices={"t": slices})
 
 
 @query(_late_sql(_TUMBLING))
 def stream_tumbling_resumed(spark, sf_dir):
     """Stopped after the first and the third micro-batch; offsets, state and watermark go on from the checkpoint."""
     t, slices = _slices(spark, sf_dir)
-    return replay.drain(spark, {"t": t}, lambda t: windows.per_minute(t, watermark="5 minutes"), files_per_trigger=1, slices={"t": slices}, stops=(1, 3))
+    return replay.drain(spark, {"t": t}, lambda t: windows.per_minute(t, watermark="5 minutes"), slices={"t": slices}, stops=(1, 3))
 
 
 @query(f"WITH {_T}, {_C} {_HIGH.format(at=_AT)}")
@@ -565,7 +569,7 @@ def stream_high_value_resumed(spark, sf_dir):
     """Each file once, over two stops."""
     t, slices = _slices(spark, sf_dir)
     customers = views.customers(spark, sf_dir)
-    return replay.drain(spark, {"t": t}, lambda t: alerts.high_value_alerts(t, customers, _now()), files_per_trigger=1, slices={"t": slices}, stops=(1, 2))
+    return replay.drain(spark, {"t": t}, lambda t: alerts.high_value_alerts(t, customers, _now()), slices={"t": slices}, stops=(1, 2))
 
 
 # -- the whole flow, and sinks that keep what they send

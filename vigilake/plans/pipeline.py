@@ -111,8 +111,9 @@ class Pipeline:
     def _batches(self, d: Dataset) -> Callable[[DataFrame, int], None]:
         def write(batch: DataFrame, batch_id: int) -> None:
             spark, done = batch.sparkSession, f"{self._path(d.name)}/batch-{batch_id:09d}"
-            if storage.exists(spark, done):
-                return  # it was written, and the query ended before it could say so
+            if storage.exists(spark, done):  # it was written, and the query ended before it could say so
+                batch.write.format("noop").mode("overwrite").save()  # a stream's state must go on all the same
+                return
             staged = f"{self.settings.storage}/staged/{d.name}/batch-{batch_id:09d}"
             d.build(batch, *[self.table(x, spark) for x in d.statics]).write.mode("overwrite").parquet(staged)
             storage.move(spark, staged, done)

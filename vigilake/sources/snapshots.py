@@ -21,14 +21,19 @@ class Snapshots:
     def versions(self, spark: SparkSession) -> list[int]:
         return [int(n) for n in storage.names(spark, f"{self.path}/markers")]
 
-    def publish(self, rows: DataFrame, keep: int = 3) -> int:
+    def publish(self, rows: DataFrame, keep: int = 3, version: int | None = None) -> int:
         """Writes rows as the next version and gives its number; of the older ones the last `keep` stay, for readers that still use them.
 
-        Two that publish at once get numbers of their own: rows are written under a name of nobody else, then a number is taken."""
+        Two that publish at once get numbers of their own: rows are written under a name of nobody else, then a number is taken.
+        version: the number to take, of which only one that was never published may be there."""
         spark = rows.sparkSession
         staged = f"{self.path}/staged/{spark.sparkContext._jvm.java.util.UUID.randomUUID().toString()}"
         rows.select(*[f"`{n}`" for n in self.schema.names]).write.parquet(staged)
-        version = 1 + max([0, *[int(n) for n in storage.names(spark, f"{self.path}/versions")]])
+        if version is not None:
+            if version in self.versions(spark):
+                raise FileExistsError(f"version {version} of {self.path}")
+            storage.delete(spark, self._folder(version))
+        version = version or 1 + max([0, *[int(n) for n in storage.names(spark, f"{self.path}/versions")]])
         while True:
             try:
                 storage.move(spark, staged, self._folder(version))

@@ -1,43 +1,105 @@
-"""Running a streaming plan over tables as they stand."""
+"""Running a streaming plan over tables as they stand, at once or in turns."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import uuid
+from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
 
+from vigilake import storage
 from vigilake.session import scratch_path
 
+PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 
-def drain(spark: SparkSession, tables: dict[str, DataFrame], plan: Callable[..., DataFrame], mode: str = "append", files_per_trigger: int | None = None, slices: dict[str, list[str]] | None = None, stops: tuple[int, ...] = ()) -> DataFrame:
-    """Writes the tables where streams can read them, runs the plan until all is taken, and reads what it appended.
-
-    slices: for a table, conditions; the rows of each are a file of their own, in that order, which files_per_trigger=1
-    makes a micro-batch. stops: numbers of slices after which the query is run and stopped, before the next ones are
-    written; it goes on from its checkpoint."""
-    root, slices = scratch_path(spark, "replay"), slices or {}
-    readers = []
-    for name, df in tables.items():
-        if name not in slices:
-            df.write.parquet(f"{root}/in/{name}")
-        reader = spark.readStream.schema(df.schema)
-        readers.append((f"{root}/in/{name}", reader.option("maxFilesPerTrigger", files_per_trigger) if files_per_trigger else reader))
-    done, most = 0, max(map(len, slices.values()), default=0)
-    for end in (*[n for n in stops if n < most], most):
-        for k in range(done, end):
-            for name, conditions in slices.items():
-                if k < len(conditions):
-                    tables[name].filter(conditions[k]).coalesce(1).write.mode("append").parquet(f"{root}/in/{name}")
-        done = end
-        out = plan(*[r.parquet(path) for path, r in readers])
-        query = out.writeStream.format("parquet").outputMode(mode).option("path", f"{root}/out").option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start()
-        query.awaitTermination()
-    return spark.read.schema(out.schema).parquet(f"{root}/out")
+
+@contextmanager
+def rocksdb(spark: SparkSession) -> Iterator[None]:
+    """For queries that start inside: state that may be larger than memory, and that has timers and lists."""
+    before = spark.conf.get(PROVIDER)
+    spark.conf.set(PROVIDER, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        yield
+    finally:
+        spark.conf.set(PROVIDER, before)
+
+
+Write = Callable[[DataFrame, int], None]
+
+
+class Replay:
+    """A streaming plan that gets its inputs turn by turn; each turn is one micro-batch (and one without data, where the watermark moves on).
+
+    The rows of a turn come into view at once, in as many files as they have partitions."""
+
+    def __init__(self, spark: SparkSession, schemas: dict[str, T.StructType], plan: Callable[..., DataFrame], mode: str = "append", write: Write | None = None, name: str | None = None):
+        self.spark, self.schemas, self.plan, self.mode, self.write, self.name = spark, schemas, plan, mode, write, name
+        self.root = scratch_path(spark, "replay")
+        self.checkpoint = f"{self.root}/checkpoint"
+        for n in schemas:
+            storage.make_folder(spark, f"{self.root}/in/{n}")
+        self.query: StreamingQuery | None = None
+        self.frame: DataFrame | None = None
+
+    def start(self) -> None:
+        self.frame = self.plan(*[self.spark.readStream.schema(s).option("recursiveFileLookup", True).parquet(f"{self.root}/in/{n}") for n, s in self.schemas.items()])
+        writer = self.frame.writeStream.outputMode(self.mode).option("checkpointLocation", self.checkpoint).trigger(processingTime="0 seconds")
+        writer = writer.queryName(self.name) if self.name else writer
+        writer = writer.foreachBatch(self.write) if self.write else writer.format("parquet").option("path", f"{self.root}/out")
+        self.query = writer.start()
+
+    def arrive(self, turn: dict[str, DataFrame]) -> None:
+        """Rows of some inputs come in; the query takes them, if it runs."""
+        for n, rows in turn.items():
+            staged = f"{self.root}/arriving/{uuid.uuid4().hex}"
+            rows.write.parquet(staged)
+            storage.move(self.spark, staged, f"{self.root}/in/{n}/{uuid.uuid4().hex}")
+        if self.query and self.query.isActive:
+            self.query.processAllAvailable()
+
+    def stop(self) -> None:
+        if self.query:
+            self.query.stop()
+
+    def restart(self) -> None:
+        """Offsets, state and watermark go on from the checkpoint."""
+        self.stop()
+        self.start()
+
+    def out(self) -> DataFrame:
+        """What the plan has appended."""
+        return self.spark.read.schema(self.frame.schema).parquet(f"{self.root}/out")
+
+
+def in_turns(spark: SparkSession, schemas: dict[str, T.StructType], plan: Callable[..., DataFrame], turns: Iterable[dict[str, DataFrame]], stops: tuple[int, ...] = (), **given) -> Replay:
+    """The plan over all turns, one after the other; it is stopped and started again after those of the numbers in stops (from 1)."""
+    run = Replay(spark, schemas, plan, **given)
+    run.start()
+    for k, turn in enumerate(turns, 1):
+        run.arrive(turn)
+        if k in stops:
+            run.restart()
+    run.stop()
+    return run
+
+
+def drain(spark: SparkSession, tables: dict[str, DataFrame], plan: Callable[..., DataFrame], mode: str = "append", slices: dict[str, list[str]] | None = None, stops: tuple[int, ...] = ()) -> DataFrame:
+    """What the plan appends over the whole tables, taken at once, or in turns.
+
+    slices: for a table, conditions; the rows of each come in a turn of their own, in that order. stops: as for in_turns()."""
+    slices = slices or {}
+    most = max(map(len, slices.values()), default=1)
+    turns = [{n: df.filter(slices[n][k]) if n in slices else df for n, df in tables.items() if k < len(slices.get(n, [0]))} for k in range(most)]
+    return in_turns(spark, {n: df.schema for n, df in tables.items()}, plan, turns, stops, mode=mode).out()
 
 
 def to_table(spark: SparkSession, source: DataFrame, name: str) -> DataFrame:
-    """A stream, taken until its end, into a table of that name below the scratch folder; what the table holds then."""
+    """A stream, taken until its end, into a table below the scratch folder; what the table holds then. The catalog has it, by that name, only while it is written."""
     root = scratch_path(spark, name)
     query = source.writeStream.option("checkpointLocation", f"{root}/checkpoint").option("path", f"{root}/table").outputMode("append").trigger(availableNow=True).toTable(name)
     query.awaitTermination()
-    return spark.table(name)
+    spark.sql(f"DROP TABLE {name}")  # its files stay
+    return spark.read.schema(source.schema).parquet(f"{root}/table")

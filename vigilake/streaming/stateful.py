@@ -1,7 +1,10 @@
 """Scoring a stream: the state of a customer is the times and cities of the last transactions.
 
-The rules that look back see rows of earlier batches; within a batch a customer's rows are ordered by time and seq,
-as in the batch version. Both versions give the same where event time does not run back between batches."""
+In event time a customer's rows wait until the watermark has passed them, and are then taken in order of time and seq, so that
+the result is that of the batch version whatever order they come in; late ones are dropped by the watermark. A customer who
+goes quiet has no state once the watermark is further on than any rule looks back, which changes no result. Without a
+delay rows are scored as they come: in order within a batch, and equal to the batch version where time does not run back
+between batches."""
 
 from __future__ import annotations
 
@@ -15,8 +18,18 @@ from pyspark.sql.streaming.stateful_processor import StatefulProcessor, Stateful
 
 from vigilake.operators import scoring
 
-HISTORY = 50
 _BACK = ("impossible_travel", "velocity_fraud", "card_testing")
+#: Rows and microseconds that the rules look back.
+LOOK_BACK = max(1, scoring.VELOCITY_COUNT, scoring.TESTING_COUNT)
+HORIZON_US = max(scoring.TRAVEL_MINUTES * 60, scoring.VELOCITY_SECONDS, scoring.TESTING_SECONDS) * 1_000_000
+
+
+def _look_back(past: list[tuple[int, str | None]], us: int, city: str | None, amount: float | None) -> tuple[bool, bool, bool]:
+    """The rules of _BACK for a row, after the customer's rows before it."""
+    within = lambda n, seconds: len(past) >= n and past[-n][0] >= us - seconds * 1_000_000
+    travel = bool(past) and past[-1][1] == scoring.TRAVEL_FROM and city == scoring.TRAVEL_TO and abs(us - past[-1][0]) <= scoring.TRAVEL_MINUTES * 60_000_000
+    testing = amount is not None and scoring.TESTING_LOW <= amount <= scoring.TESTING_HIGH and within(scoring.TESTING_COUNT, scoring.TESTING_SECONDS)
+    return travel, within(scoring.VELOCITY_COUNT, scoring.VELOCITY_SECONDS), testing
 
 
 class _History(StatefulProcessor):
@@ -31,34 +44,81 @@ class _History(StatefulProcessor):
         if not parts:
             return
         batch = pd.concat(parts).sort_values(["us", "seq"], kind="stable")
-        times, cities = [], []
-        for us, city in self.past.get():
-            times.append(us)
-            cities.append(city)
+        past = [tuple(r) for r in self.past.get()]
         out = {c: [] for c in _BACK}
-        for us, city, amount in zip(batch["us"], batch["city"], batch["amount"]):
-            travel = bool(times) and cities[-1] == scoring.TRAVEL_FROM and city == scoring.TRAVEL_TO and abs(us - times[-1]) <= scoring.TRAVEL_MINUTES * 60_000_000
-            within = lambda n, seconds: len(times) >= n and times[-n] >= us - seconds * 1_000_000  # noqa: B023, E731
-            out["impossible_travel"].append(travel)
-            out["velocity_fraud"].append(within(scoring.VELOCITY_COUNT, scoring.VELOCITY_SECONDS))
-            out["card_testing"].append(scoring.TESTING_LOW <= amount <= scoring.TESTING_HIGH and within(scoring.TESTING_COUNT, scoring.TESTING_SECONDS))
-            times.append(us)
-            cities.append(city)
-        self.past.put(list(zip(times[-HISTORY:], cities[-HISTORY:])))
+        for us, city, amount in zip(batch["us"].tolist(), batch["city"], batch["amount"].tolist()):
+            for c, on in zip(_BACK, _look_back(past, us, city, amount)):
+                out[c].append(on)
+            past = [*past, (us, city)][-LOOK_BACK:]
+        self.past.put(past)
         yield batch.assign(**out)[self.columns]
 
     def close(self) -> None:
         pass
 
 
-def score_stream(transactions: DataFrame, forced=None, seed: int = 42) -> DataFrame:
+class _InOrder(StatefulProcessor):
+    """Rows wait in `open` until a timer of the watermark; `past` has the last rows that were taken."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.past = handle.getListState("past", "us long, city string")
+        self.open = handle.getListState("open", "us long, seq long, city string, amount double, row string")
+
+    def _wake(self, us: int) -> None:
+        self.handle.registerTimer(-(-us // 1000))
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        for r in rows:
+            if len(r):
+                self.open.appendList(list(r[["us", "seq", "city", "amount", "row"]].astype(object).where(r[["us", "seq", "city", "amount", "row"]].notna(), None).itertuples(index=False, name=None)))
+                self._wake(int(r["us"].min()))
+        return iter(())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        until = timerValues.getCurrentWatermarkInMs() * 1000
+        waiting = [tuple(r) for r in self.open.get()] if self.open.exists() else []
+        due = sorted((r for r in waiting if r[0] <= until), key=lambda r: (r[0], r[1] is not None, r[1] or 0))
+        past = [tuple(r) for r in self.past.get()] if self.past.exists() else []
+        if due:
+            rest = [r for r in waiting if r[0] > until]
+            flags = {c: [] for c in _BACK}
+            for us, _, city, amount, _ in due:
+                for c, on in zip(_BACK, _look_back(past, us, city, amount)):
+                    flags[c].append(on)
+                past = [*past, (us, city)][-LOOK_BACK:]
+            self.past.put(past)
+            if rest:
+                self.open.put(rest)
+                self._wake(min(r[0] for r in rest))
+            else:
+                self.open.clear()
+                self._wake(past[-1][0] + HORIZON_US + 1)
+            yield pd.DataFrame({"row": [r[4] for r in due], **flags})
+        elif past and not waiting and until > past[-1][0] + HORIZON_US:
+            self.past.clear()
+
+    def close(self) -> None:
+        pass
+
+
+def score_stream(transactions: DataFrame, forced=None, seed: int = 42, delay: str | None = None) -> DataFrame:
     """Scores of a stream that has the columns rule_flags() needs (customer and merchant already looked up).
 
-    Rows without customer or time are left out: there is no history to hold them against. State needs the RocksDB
-    provider (spark.sql.streaming.stateStore.providerClass)."""
-    plain = transactions.filter("customer_id IS NOT NULL AND transaction_timestamp IS NOT NULL").withColumn("us", F.unix_micros("transaction_timestamp"))
-    schema = T.StructType([*plain.schema.fields, *[T.StructField(c, T.BooleanType()) for c in _BACK]])
-    flagged = plain.groupBy("customer_id").transformWithStateInPandas(_History(schema.names), schema, "Append", "None").drop("us")
+    delay: rows are scored in event time, and may come that much out of order; each comes out once the watermark has
+    passed it. Rows without customer or time are left out: there is no history to hold them against. State needs the
+    RocksDB provider (spark.sql.streaming.stateStore.providerClass)."""
+    plain = transactions.filter("customer_id IS NOT NULL AND transaction_timestamp IS NOT NULL")
+    timed = plain.withColumn("us", F.unix_micros("transaction_timestamp"))
+    if delay:
+        # The row itself waits as text; what the rules need stands beside it.
+        as_text = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "ignoreNullFields": "false"}
+        rows = timed.withWatermark("transaction_timestamp", delay).select("customer_id", "transaction_timestamp", "us", F.col("seq").cast("long").alias("seq"), "city", F.col("amount").cast("double").alias("amount"), F.to_json(F.struct(*plain.columns), as_text).alias("row"))
+        taken = rows.groupBy("customer_id").transformWithStateInPandas(_InOrder(), "row string, " + ", ".join(f"{c} boolean" for c in _BACK), "Append", "EventTime")
+        flagged = taken.select(F.inline(F.array(F.from_json("row", plain.schema, as_text))), *_BACK)
+    else:
+        schema = T.StructType([*timed.schema.fields, *[T.StructField(c, T.BooleanType()) for c in _BACK]])
+        flagged = timed.groupBy("customer_id").transformWithStateInPandas(_History(schema.names), schema, "Append", "None").drop("us")
     rest = {"high_value_transaction": F.col("amount") > scoring.HIGH_VALUE_AMOUNT, "high_risk_merchant": F.col("merchant_risk") == "HIGH", "blacklisted_merchant": F.col("is_blacklisted"), "international_transaction": F.col("is_international")}
     flagged = flagged.withColumns({k: F.coalesce(v, F.lit(False)) for k, v in rest.items()}).withColumn("new_device", ~F.col("device_id").eqNullSafe(F.col("trusted_device_id")))
     return scoring.fraud_scores(flagged, forced, seed)
