@@ -95,3 +95,29 @@ def test_messages_are_parsed_once(spark):
 
     plan = catalog.QUERIES["silver_transactions"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
     assert plan.count("from_json") == 1
+
+
+def test_rescued_types_and_one_parse(spark):
+    """Numbers in quotes, fractions for whole numbers, nested values, times, fields twice; the line is parsed once."""
+    schema = T.StructType().add("s", "string").add("l", "long").add("d", "double").add("b", "boolean").add("t", "timestamp").add("o", T.StructType().add("x", "integer")).add("a.b", "integer")
+    lines = [
+        '{"s": 5, "l": 5, "d": 5, "b": true, "t": "2024-01-02T03:04:05.123456Z", "o": {"x": 1}, "a.b": 7}',
+        '{"s": {"k": [1]}, "l": 5.5, "d": "5", "b": "true", "t": 5, "o": 3}',
+        '{"l": 1, "l": 2}',
+        "[1]",
+        "",
+        '{"z": {"k": [1, "x"]}, "y": 1.50}',
+    ]
+    df = files.rescued(spark.createDataFrame([(i, x, "kept") for i, x in enumerate(lines)], "i int, value string, _rescued_data string").withColumnRenamed("i", "no.1"), schema)
+    assert df.columns == [*schema.names, "_rescued_data", "no.1", "value"]
+    got = sorted(df.collect(), key=lambda r: r["no.1"])
+    first = got[0]
+    assert (first.s, first.l, first.d, first.b, first.o.x, first["a.b"], first._rescued_data) == ("5", 5, 5.0, True, 1, 7, None) and first.t.microsecond == 123456
+    assert got[1][:7] == ('{"k":[1]}', None, None, None, None, None, None)
+    assert json.loads(got[1]._rescued_data) == {"l": "5.5", "d": "5", "b": "true", "t": "5", "o": "3"}
+    assert json.loads(got[2]._rescued_data) == {"_corrupt_record": lines[2]} and json.loads(got[3]._rescued_data) == {"_corrupt_record": "[1]"} and got[4]._rescued_data is None
+    assert json.loads(got[5]._rescued_data) == {"z": '{"k":[1,"x"]}', "y": "1.5"}
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert plan.lower().count("parse_json") + plan.count("ParseJson") == 1 or plan.count("parseJson(") == 1, plan
+    nothing = files.rescued(spark.createDataFrame([('{"q": 1}',)], "value string"), T.StructType())
+    assert [r._rescued_data for r in nothing.collect()] == ['{"q":"1"}']

@@ -179,3 +179,91 @@ def test_running_until_stopped(spark, tmp_path):
     with producer.stopping([q]):
         assert q.isActive
     assert not q.isActive
+
+
+SCORED = "transaction_id string, customer_id string, seq long, transaction_timestamp timestamp, amount double, city string, device_id string, trusted_device_id string, merchant_risk string, is_blacklisted boolean, is_international boolean"
+
+
+def scored_rows(n, customer="A", start=START, seconds=5):
+    return [(f"{customer}{i}", customer, i, start + datetime.timedelta(seconds=seconds * i, microseconds=i), [12.0, 50.0, 2e5][i % 3], ["Delhi", "London"][i // 2 % 2], None if i % 4 else "D", "D", "LOW", None, False) for i in range(n)]
+
+
+def test_scores_in_event_time(spark):
+    """Rows come out of order over three batches; what is late is dropped; a customer who is quiet for long leaves no state."""
+    rows = scored_rows(40) + scored_rows(40, "B")
+    batches = [[r for k, r in enumerate(rows) if k * 7 % 3 == b] for b in range(3)]
+    late = scored_rows(1, "L")
+    end = scored_rows(1, "Z", at(60))
+    turns = [{"t": spark.createDataFrame(b, SCORED)} for b in (*batches, end, late, scored_rows(1, "Z2", at(61)))]
+    run = replay.in_turns(spark, {"t": turns[0]["t"].schema}, lambda t: stateful.score_stream(t, delay="10 minutes"), turns, stops=(2,))
+    want = scoring.fraud_scores(scoring.rule_flags(spark.createDataFrame(rows, SCORED)))
+    names = sorted(want.columns)
+    assert sorted(map(str, run.out().select(names).collect())) == sorted(map(str, want.select(names).collect()))
+    assert all(want.filter(rule).count() > 0 for rule in ("velocity_fraud", "impossible_travel", "card_testing"))
+    assert run.query.recentProgress[-1]["stateOperators"][0]["customMetrics"].get("numExpiredTimers", 1) >= 0
+    kept = spark.read.format("statestore").option("stateVarName", "past").load(run.checkpoint)
+    assert kept.count() == 0
+
+
+def test_measures_count_each_batch_once(spark, tmp_path):
+    from vigilake.operators import expectations as E
+    from vigilake.streaming import keyed, measures
+
+    rules = [E.Expectation("positive", "n > 0", E.DROP), E.Expectation("small", "n < 10")]
+    turns = [{"t": spark.createDataFrame([(i,) for i in b], "n int")} for b in ([1, 0, 50], [-1, -2], [3])]
+    with measures.Measures(spark, str(tmp_path / "m")) as kept:
+        assert kept.table().count() == 0
+        run = replay.in_turns(spark, {"t": turns[0]["t"].schema}, lambda t: E.apply(t, rules, "rules"), turns, name="counted")
+        kept.wait(run.query.runId)
+        keyed.forget_commit(spark, run.checkpoint)  # the last batch comes again
+        run.start()
+        run.query.processAllAvailable()
+        run.stop()
+        kept.wait(run.query.runId)
+    rows = kept.table().filter("query = 'counted' AND measure LIKE 'rules.%' AND batch_id < 3").collect()
+    got = {(r.batch_id, r.measure): r.value for r in rows}
+    assert len(rows) == len(got) == 9
+    assert [[got[b, f"rules.{m}"] for m in ("rows", "positive", "small")] for b in range(3)] == [[3, 1, 1], [2, 2, 0], [1, 0, 0]]
+    assert {r.measure for r in kept.table().collect()} >= {"input_rows", "duration_ms", "state_rows", "rows_behind_watermark"}
+
+
+def test_keyed_table(spark, tmp_path):
+    from vigilake.streaming import keyed
+
+    batch = lambda *rows: spark.createDataFrame(list(rows), "k string, n long")
+    t = keyed.Keyed(str(tmp_path / "k"), batch(("a", 1)).schema, ["k"])
+    t.upsert(batch(("a", 1), (None, 5)), 0)
+    t.upsert(batch(("a", 2), ("b", 1)), 1)
+    t.upsert(batch(("a", 9)), 1)  # came before
+    t.upsert(batch(("c", 7)), 0)
+    assert sorted(map(tuple, t.read(spark).collect()), key=str) == [("a", 2), ("b", 1), (None, 5)]
+    t.upsert(batch((None, 6)), 4)
+    assert sorted(map(tuple, t.read(spark).collect()), key=str) == [("a", 2), ("b", 1), (None, 6)]
+
+
+def test_hot_card_is_dealt_to_many_tasks(spark):
+    """A third of all transactions are of one card: with salts no part of the join has above twice the rows of the median."""
+    t = spark.range(12_000).selectExpr("concat('T', id) AS transaction_id", "if(id % 3 = 0, 'hot', concat('c', id)) AS card_number", "current_timestamp() AS transaction_timestamp")
+    w = spark.createDataFrame([("W1", "hot", START), ("W2", "hot", START), ("W3", "c1", START), ("W4", "none", START)], "watchlist_id string, entity_id string, effective_from timestamp")
+    plain, salted = alerts.card_matches(t, w), alerts.card_matches(t, w, salts=16)
+    ids = lambda df: sorted((r.t.transaction_id, r.w.watchlist_id) for r in df.collect())
+    assert ids(plain) == ids(salted) and len(ids(plain)) == 8001
+    parts = t.withColumn("__salt", F.pmod(F.xxhash64("transaction_id"), F.lit(16)).cast("int")).withColumn("p", F.pmod(F.hash("card_number", "__salt"), F.lit(8)))
+    sizes = sorted(r["count"] for r in parts.groupBy("p").count().collect())
+    assert len(sizes) == 8 and sizes[-1] <= 2 * sizes[4]
+
+
+def test_deliveries_in_a_batch(spark):
+    from vigilake.operators import deliveries
+
+    assert deliveries.once(spark.createDataFrame([(1, at(0)), (1, at(0)), (2, at(1))], "k int, t timestamp"), ["k"], "t", "1 minute").count() == 2
+
+
+def test_nothing_is_left_in_the_catalog(spark):
+    from tests.conftest import SF
+    from vigilake.plans import catalog
+
+    before = {t.name for t in spark.catalog.listTables()}
+    for name in ("batch_table", "stream_json_watchlist"):
+        assert catalog.QUERIES[name](spark, SF).count() > 0
+    assert {t.name for t in spark.catalog.listTables()} == before

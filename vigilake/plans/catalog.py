@@ -458,7 +458,10 @@ def stream_json_watchlist(spark, sf_dir):
 @query(f"WITH {_C} SELECT customer_id, card_number FROM c WHERE customer_id IS NOT NULL")
 def batch_table(spark, sf_dir):
     name = f"customers_{uuid.uuid4().hex}"
-    return registry.save_table(refine.silver_customers(views.customers(spark, sf_dir), _now()).select("customer_id", "card_number"), name, scratch_path(spark, name))
+    path = scratch_path(spark, name)
+    saved = registry.save_table(refine.silver_customers(views.customers(spark, sf_dir), _now()).select("customer_id", "card_number"), name, path)
+    spark.sql(f"DROP TABLE {name}")  # its files stay, at a path of its own
+    return spark.read.schema(saved.schema).parquet(path)
 
 
 # -- mail
@@ -619,12 +622,9 @@ def medallion_tables(spark, sf_dir):
 
 def _sent(spark: SparkSession, alerts_df: DataFrame, write: Callable[[DataFrame, int], None], times: int = 1) -> None:
     """Gives a sink the alerts in three micro-batches, by the last digit of their transaction; again and again if need be."""
-    root = scratch_path(spark, "sink")
-    for k in range(3):
-        alerts_df.filter(F.right("transaction_id", F.lit(1)).cast("int") % 3 == k).coalesce(1).write.mode("append").parquet(f"{root}/in")
-    for turn in range(times):
-        source = spark.readStream.schema(alerts_df.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/in")
-        source.writeStream.foreachBatch(write).option("checkpointLocation", f"{root}/checkpoint{turn}").trigger(availableNow=True).start().awaitTermination()
+    digit = F.right("transaction_id", F.lit(1)).cast("int")
+    for _ in range(times):
+        replay.in_turns(spark, {"a": alerts_df.schema}, lambda a: a, [{"a": alerts_df.filter(digit % 3 == k)} for k in range(3)], write=write)
 
 
 @query(f"WITH {_T}, {_C} SELECT count(*) || ' high-value transaction alert' || CASE WHEN count(*) = 1 THEN '' ELSE 's' END AS subject, count(*) AS listed FROM ({_HIGH.format(at=_AT)}) GROUP BY CAST(right(transaction_id, 1) AS INTEGER) % 3")

@@ -9,11 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from vigilake import storage
+from vigilake import schemas, storage
 from vigilake.operators import alerts, deliveries, refine, windows
 from vigilake.plans import catalog as c
 from vigilake.plans import medallion, pipeline, reports, views
 from vigilake.session import scratch_path
+from vigilake.sources import evolving, files
 from vigilake.streaming import keyed, measures, replay, state, stateful
 
 # -- the whole flow, running: it starts on empty storage, gets two bursts, and is stopped and started again between them
@@ -202,3 +203,32 @@ def stream_alerts_by_customer(spark, sf_dir):
         return alerts.high_value_alerts(t, known, c._now()).groupBy("customer_id").agg(F.count(F.lit(1)).alias("alert_count"), F.max("transaction_timestamp").alias("last_alert"))
 
     return _kept(spark, sf_dir, plan, ["customer_id"])
+
+
+# -- fields that turn up: inferred from the first batch, rescued in the batch that brings them, columns from the next one on
+
+_LINE = """concat('{"event_id":', CAST(event_id AS @), ',"kind":"', event_type, '"', 
+  CASE WHEN event_id % 3 > 0 THEN concat(',"channel":"', CASE WHEN event_id % 2 = 0 THEN 'POS' ELSE 'WEB' END, '","tries":', CAST(event_id % 7 AS @)) ELSE '' END, '}')"""
+
+
+@c.query(
+    """SELECT event_id, event_type AS kind, CASE WHEN event_id % 3 = 2 THEN CASE WHEN event_id % 2 = 0 THEN 'POS' ELSE 'WEB' END END AS channel, CASE WHEN event_id % 3 = 2 THEN event_id % 7 END AS tries,
+  CASE WHEN event_id % 3 = 1 THEN '{"channel":"' || CASE WHEN event_id % 2 = 0 THEN 'POS' ELSE 'WEB' END || '","tries":"' || (event_id % 7) || '"}' END AS _rescued_data FROM events"""
+)
+def stream_schema_evolves(spark, sf_dir):
+    root = scratch_path(spark, "evolving")
+    lines = spark.read.parquet(f"{sf_dir}/events.parquet").selectExpr("event_id", f"{_LINE.replace('@', 'STRING')} AS value")
+    table = evolving.EvolvingTable(spark, f"{root}/in", root)
+    for k in range(3):
+        lines.filter(F.col("event_id") % 3 == k).select("value").write.text(f"{root}/arriving/{k}")
+        storage.move(spark, f"{root}/arriving/{k}", f"{root}/in/{k}")
+        table.take()
+    return table.read().select("event_id", "kind", "channel", "tries", "_rescued_data")
+
+
+@c.query(c.ORACLE_SQL["rescued_fields"])
+def stream_rescued_fields(spark, sf_dir):
+    """rescued_fields, line by line of a stream, in three micro-batches."""
+    lines = spark.read.parquet(f"{sf_dir}/events.parquet").selectExpr("event_id", f"{c._RESCUE.replace('@', 'STRING')} AS value")
+    plan = lambda m: files.rescued(m, schemas._struct("transaction_id:s amount:d")).select("event_id", "transaction_id", "amount", "_rescued_data")
+    return replay.in_turns(spark, {"m": lines.schema}, plan, [{"m": lines.filter(F.col("event_id") % 3 == k)} for k in range(3)]).out()

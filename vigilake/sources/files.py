@@ -28,27 +28,45 @@ def csv_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame
     return spark.read.schema(schema).option("header", True).csv(path)
 
 
-def _misfit(raw: Column, parsed: Column) -> Column:
-    return raw.isNotNull() & parsed.isNull()
+_NUMBERS = ("BIGINT", "DECIMAL", "DOUBLE", "FLOAT")
+
+
+def _typed(value: Column, kind: T.DataType) -> Column:
+    """A field's variant as a column's type, or null where it is of another: numbers in quotes are text, fractions are no whole numbers."""
+    if isinstance(kind, T.VariantType):
+        return value
+    read = F.try_variant_get(value, "$", kind.simpleString())
+    is_a = F.schema_of_variant(value)
+    if isinstance(kind, (T.IntegralType,)):
+        return F.when(is_a == "BIGINT", read)
+    if isinstance(kind, (T.FractionalType,)):
+        return F.when(F.substring_index(is_a, "(", 1).isin(*_NUMBERS), read)
+    if isinstance(kind, T.BooleanType):
+        return F.when(is_a == "BOOLEAN", read)
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType, T.DateType)):
+        return F.when(is_a == "STRING", F.try_variant_get(value, "$", "string").try_cast(kind))
+    return read
 
 
 def rescued(lines: DataFrame, schema: T.StructType, line: str = "value") -> DataFrame:
     """The schema's fields of JSON lines, and _rescued_data: JSON text of what did not fit them.
 
-    Unknown fields, and known ones whose value has another type, are rescued, so a stream never fails on them.
-    A line that is no JSON object is rescued whole, as {"_corrupt_record": line}. Null lines have no fields and
-    nothing to rescue. Other columns of lines are kept."""
-    raw, row = F.col("__raw"), F.col("__row")
-    read = lines.withColumn("__raw", F.from_json(line, "map<string,string>")).withColumn("__row", F.from_json(line, schema))
-    names = [f.name for f in schema.fields]
-    unknown = F.map_filter(raw, lambda k, _: ~k.isin(names))
-    misfits = [F.when(_misfit(F.try_element_at(raw, F.lit(n)), row[n]), F.struct(F.lit(n).alias("k"), F.try_element_at(raw, F.lit(n)).alias("v"))) for n in names]
-    known = F.map_from_entries(F.array_compact(F.array(*misfits)))
+    A line is parsed once, to a variant, from which fields and the rest are taken; batches and streams alike. Unknown fields,
+    and known ones whose value has another type, are rescued, so a stream never fails on them. A line that is no JSON object, or
+    has a field twice, is rescued whole, as {"_corrupt_record": line}. Null lines have no fields and nothing to rescue. Other
+    columns of lines are kept."""
+    others = [c for c in lines.columns if c not in schema.names and c != "_rescued_data"]
+    # A generator of one row, below which no expression is copied: the parse and each field's value stand in the plan once.
+    parsed = lines.select(*[F.col(f"`{c}`").alias(f"o{k}") for k, c in enumerate(others)], F.col(f"`{line}`").alias("line"), F.inline(F.array(F.struct(F.try_variant_get(F.try_parse_json(line), "$", "map<string,variant>").alias("m")))))
+    value = lambda n: F.try_element_at("m", F.lit(n))
+    fields = parsed.select("*", F.inline(F.array(F.struct(*[_typed(value(f.name), f.dataType).alias(f"f{k}") for k, f in enumerate(schema.fields)], F.lit(0).alias("_")))))
+    misfits = [F.when(value(f.name).isNotNull() & ~F.is_variant_null(value(f.name)) & F.col(f"f{k}").isNull(), F.struct(F.lit(f.name).alias("k"), value(f.name).cast("string").alias("v"))) for k, f in enumerate(schema.fields)]
+    known = F.map_from_entries(F.array_compact(F.array(*misfits))) if misfits else F.create_map().cast("map<string,string>")
+    unknown = F.transform_values(F.map_filter("m", lambda k, _: ~k.isin(*schema.names) if schema.names else F.lit(True)), lambda _, v: v.cast("string"))
     both = F.map_concat(unknown, known)
-    broken = F.col(line).isNotNull() & (F.trim(F.col(line)) != "") & raw.isNull()
-    extra = F.when(broken, F.to_json(F.create_map(F.lit("_corrupt_record"), F.col(line)))).when(F.size(both) > 0, F.to_json(both))
-    others = [c for c in lines.columns if c not in names and c != "_rescued_data"]
-    return read.select(*[row[n].alias(n) for n in names], extra.alias("_rescued_data"), *others)
+    broken = F.col("line").isNotNull() & (F.trim("line") != "") & F.col("m").isNull()
+    extra = F.when(broken, F.to_json(F.create_map(F.lit("_corrupt_record"), F.col("line")))).when(F.size(both) > 0, F.to_json(both))
+    return fields.select(*[F.col(f"f{k}").alias(f.name) for k, f in enumerate(schema.fields)], extra.alias("_rescued_data"), *[F.col(f"o{k}").alias(c) for k, c in enumerate(others)])
 
 
 def listing(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:

@@ -17,7 +17,7 @@ class Measures(StreamingQueryListener):
     """A listener that writes what each batch of every query of the session says about itself.
 
     A batch's measures are one small file, named by the query (whose id is in its checkpoint) and the batch: a batch that is
-    run again replaces it, so each batch id counts once. Counts of observe() are named `observation.count`."""
+    run again counts once, with the run that took more rows. Counts of observe() are named `observation.count`."""
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path.rstrip("/")
@@ -50,8 +50,13 @@ class Measures(StreamingQueryListener):
         for name, row in p.observedMetrics.items():
             found |= {f"{name}.{k}": v for k, v in row.asDict().items()}
         lines = [json.dumps({"query": p.name, "query_id": str(p.id), "batch_id": p.batchId, "measure": k, "value": float(v)}) for k, v in found.items() if isinstance(v, (int, float)) and v == v and abs(v) != float("inf")]
+        at = f"{self.path}/{p.id}/batch-{p.batchId:012d}.json"
         storage.make_folder(self.spark, f"{self.path}/{p.id}")
-        storage.replace(self.spark, f"{self.path}/{p.id}/batch-{p.batchId:012d}.json", "\n".join(lines) + "\n")
+        if storage.exists(self.spark, at):
+            before = next(r["value"] for r in map(json.loads, storage.text(self.spark, at).splitlines()) if r["measure"] == "input_rows")
+            if before >= max(1, p.numInputRows):  # run again, and maybe skipped by a sink that had it: the first run tells more
+                return
+        storage.replace(self.spark, at, "\n".join(lines) + "\n")
 
     def onQueryTerminated(self, event: QueryTerminatedEvent) -> None:
         with self._end:

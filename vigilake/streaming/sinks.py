@@ -13,9 +13,10 @@ from email.mime.text import MIMEText
 from itertools import islice
 from typing import Protocol
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from vigilake import storage
 from vigilake.functions import render, text
 
 log = logging.getLogger(__name__)
@@ -103,12 +104,10 @@ def digest_sink(notifier: Notifier, recipient: str, max_rows: int | None = None,
     return write
 
 
-def _sent_before(batch: DataFrame, ledger: str) -> DataFrame:
-    spark = batch.sparkSession
-    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(ledger)
-    if not at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at):
-        return spark.createDataFrame([], "alert_id string")
-    return spark.read.schema("alert_id string").json(ledger)
+def _sent_before(spark: SparkSession, ledger: str, batch_id: int) -> DataFrame:
+    """What an earlier run of this very batch sent: a small part of the ledger, however long the stream has run."""
+    at = f"{ledger}/batch-{batch_id:012d}"
+    return spark.read.schema("alert_id string").json(at) if storage.exists(spark, at) else spark.createDataFrame([], "alert_id string")
 
 
 def mail_sink(notifier: Notifier, counters: Counters | None = None, ledger: str | None = None, every: int = 100) -> Callable[[DataFrame, int], None]:
@@ -116,8 +115,9 @@ def mail_sink(notifier: Notifier, counters: Counters | None = None, ledger: str
 
     One mail after the other goes out from the driver, and alerts come to it a partition at a time: this is for as many
     alerts as one mail server takes. One that fails does not stop the others; customers without an address, and alerts
-    that an earlier batch or the ledger has as sent, are skipped. ledger: a folder of JSON lines, added to every so
-    many mails: after a crash at most that many are sent twice. Without one, the sink remembers while it lives."""
+    that were sent before, are skipped. ledger: a folder of JSON lines for each batch, added to every so many mails:
+    after a crash the batch is run again, and at most that many are sent twice. Without one, the sink remembers all
+    alerts of all batches while it lives."""
     counters, done = counters if counters is not None else Counters(), set()
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -125,12 +125,12 @@ def mail_sink(notifier: Notifier, counters: Counters | None = None, ledger: str
 
         def note() -> None:
             if ledger is not None and noted:
-                spark.createDataFrame([(x,) for x in noted], "alert_id string").coalesce(1).write.mode("append").json(ledger)
+                spark.createDataFrame([(x,) for x in noted], "alert_id string").coalesce(1).write.mode("append").json(f"{ledger}/batch-{batch_id:012d}")
             noted.clear()
 
         mails = render.fraud_mail(batch).select("alert_id", "mail_to", "mail_subject", "mail_body")
         if ledger is not None:
-            mails = mails.join(_sent_before(batch, ledger).distinct().withColumnRenamed("alert_id", "sent_id"), F.col("alert_id") == F.col("sent_id"), "left")
+            mails = mails.join(_sent_before(spark, ledger, batch_id).distinct().withColumnRenamed("alert_id", "sent_id"), F.col("alert_id") == F.col("sent_id"), "left")
         else:
             mails = mails.withColumn("sent_id", F.lit(None).cast("string"))
         now: set[str] = done if ledger is None else set()
