@@ -1,11 +1,12 @@
 """URL filters (operator 3): a blocked Bloom filter before an exact hash join; DataFrame functions only.
 
-Listed canonical URLs are pairs of host and path; one fits its host and all subdomains, with every
-path that starts with its own. Each page's url gives its candidate keys: for each number of labels that
-listed hosts have, that many of its own host's last labels, with its path cut to each length that listed
-paths of such hosts have. Candidates first meet the Bloom filter: one block of 512 bits for each key, found
-by one equi-join, with eight bits tested by shifts. What passes meets the list itself in an exact hash join,
-which removes false positives. Only then do rows shuffle, combined before the shuffle to one row for each page.
+Listed canonical URLs are pairs of host and path; one fits its host and all subdomains, with every path that starts with its
+own. A listed key's stem is its host with the first STEM characters of its path. Each page's url gives candidate stems: for
+each number of labels that listed hosts have, that many of its own host's last labels, with none to STEM characters of its path;
+how many there are does not grow with the list. Stems that are listed bring the lengths of their keys, which make the
+page's candidate keys. Both times candidates first meet a Bloom filter: one block of 512 bits for each key, found by one
+equi-join, with eight bits tested by shifts. What passes meets the stems, or the list itself, in an exact hash join, which
+removes false positives. Only then do rows shuffle, combined before the shuffle to one row for each page.
 """
 
 from __future__ import annotations
@@ -20,6 +21,8 @@ LANES = 8  # words of 64 bits in a block, with one bit of each key in each
 #: Up to so many blocks (72 bytes a row) or listed keys, that side is broadcast; beyond, both sides shuffle.
 MAX_BROADCAST_BLOCKS = 1 << 18
 MAX_BROADCAST_KEYS = 1 << 17
+#: Characters of a path in a stem.
+STEM = 8
 
 
 def host_of(url: Column) -> Column:
@@ -58,15 +61,14 @@ def _labels(host: Column) -> Column:
     return F.length(host) - F.length(F.replace(host, F.lit("."))) + 1
 
 
-def _candidates(shapes: list[tuple[int, int]]) -> Column:
-    """key and host_len of each candidate of columns host and path; shapes: numbers of labels and lengths of paths."""
-    host, path, some = F.col("host"), F.col("path"), []
-    for labels in sorted({n for n, _ in shapes}):
-        own = F.substring_index(host, ".", -labels)
-        for n in sorted(n for k, n in shapes if k == labels):
-            fits = (host != "") & (F.col("labels") >= labels) & (F.length(path) >= n)
-            some.append(F.when(fits, F.struct(F.concat(own, F.substring(path, 1, n)).alias("key"), F.length(own).alias("host_len"))))
-    return F.array_compact(F.array(*some)) if some else F.array().cast("array<struct<key:string,host_len:int>>")
+def _stems(shapes: list[tuple[int, int]]) -> Column:
+    """stem and own (the part of the host) of each candidate of columns host, path and labels; shapes: numbers of labels and of characters of the path."""
+    if not shapes:
+        return F.array().cast("array<struct<stem:string,own:string>>")
+    known = F.array(*[F.struct(F.lit(k).alias("k"), F.lit(n).alias("n")) for k, n in sorted(shapes)])
+    fits = F.filter(known, lambda s: (F.col("host") != "") & (s["k"] <= F.col("labels")) & (s["n"] <= F.length("path")))
+    own = F.transform(fits, lambda s: F.struct(F.call_function("substring_index", F.col("host"), F.lit("."), -s["k"]).alias("own"), s["n"].alias("n")))
+    return F.transform(own, lambda s: F.struct(F.concat(s["own"], F.substring(F.col("path"), F.lit(1), s["n"])).alias("stem"), s["own"].alias("own")))
 
 
 def listed_keys(listed: DataFrame) -> DataFrame:
@@ -76,17 +78,39 @@ def listed_keys(listed: DataFrame) -> DataFrame:
     return keys.groupBy("key", "labels", "n").agg(F.max(F.when(F.col("is_rule"), F.col("verdict"))).alias("rule_verdict"), F.max(F.when(~F.col("is_rule"), F.col("verdict"))).alias("list_verdict"))
 
 
-def passing(parts: DataFrame, keys: DataFrame, bits_per_key: int = BITS_PER_KEY) -> DataFrame:
-    """id, u, key, host_len: the candidates of parts (id, u, host, path) that the Bloom filter of the keys lets pass: all listed ones, and some others."""
-    shapes, size = [tuple(r) for r in keys.select("labels", "n").distinct().collect()], keys.count()
+def stems_of(keys: DataFrame) -> DataFrame:
+    """key (a stem), labels, n (characters of the path in it), lengths (of the paths of its keys), a row for each stem of listed_keys()."""
+    host_len, n = F.length("key") - F.col("n"), F.least(F.col("n"), F.lit(STEM))
+    return keys.groupBy(F.substring(F.col("key"), F.lit(1), host_len + n).alias("key"), "labels", n.alias("stem_n")).agg(F.sort_array(F.collect_set("n")).alias("lengths")).withColumnRenamed("stem_n", "n")
+
+
+def through_filter(tried: DataFrame, keys: DataFrame, size: int, bits_per_key: int = BITS_PER_KEY) -> DataFrame:
+    """The rows of tried whose `key` the Bloom filter of the keys lets pass: all listed ones, and some others."""
     blocks = max(1, -(-size * bits_per_key // (64 * LANES)))
     bloom = bloom_filter(keys, blocks)
     bloom = F.broadcast(bloom) if blocks <= MAX_BROADCAST_BLOCKS else bloom
-    tried = parts.withColumn("labels", _labels(F.col("host"))).select("id", "u", F.inline(_candidates(shapes))).withColumn("block", _block(F.col("key"), blocks))
     set_bits = F.lit(True)
     for i in range(LANES):
         set_bits = set_bits & (F.call_function("shiftrightunsigned", F.col(f"w{i}"), _lane_bit(F.col("key"), i)).bitwiseAND(1) == 1)
-    return tried.join(bloom, "block").filter(set_bits).select("id", "u", "key", "host_len")
+    return tried.withColumn("block", _block(F.col("key"), blocks)).join(bloom, "block").filter(set_bits).drop("block", *[f"w{i}" for i in range(LANES)])
+
+
+def _bounded(rows: DataFrame, size: int) -> DataFrame:
+    return F.broadcast(rows) if size <= MAX_BROADCAST_KEYS else rows
+
+
+def candidates(parts: DataFrame, stems: DataFrame, bits_per_key: int = BITS_PER_KEY) -> DataFrame:
+    """id, u, key, host_len: for parts (id, u, host, path) the keys that may be listed, by stems_of() the list."""
+    shapes, size = [tuple(r) for r in stems.select("labels", "n").distinct().collect()], stems.count()  # STEM + 1 shapes for each number of labels
+    tried = parts.withColumn("labels", _labels(F.col("host"))).select("id", "u", "path", F.inline(_stems(shapes))).withColumnRenamed("stem", "key")
+    met = through_filter(tried, stems, size, bits_per_key).join(_bounded(stems.select("key", "lengths"), size), "key")
+    fits = F.filter("lengths", lambda n: n <= F.length("path"))
+    return met.select("id", "u", "own", "path", F.explode(fits).alias("n")).select("id", "u", F.concat("own", F.substring(F.col("path"), F.lit(1), F.col("n"))).alias("key"), F.length("own").alias("host_len"))
+
+
+def passing(parts: DataFrame, keys: DataFrame, bits_per_key: int = BITS_PER_KEY) -> DataFrame:
+    """id, u, key, host_len: the candidates of parts that the Bloom filter of the keys lets pass."""
+    return through_filter(candidates(parts, stems_of(keys), bits_per_key), keys, keys.count(), bits_per_key)
 
 
 def url_filter(pages: DataFrame, listed: DataFrame, id_col: str = "page_id", url_col: str = "url", bits_per_key: int = BITS_PER_KEY) -> DataFrame:
@@ -96,13 +120,13 @@ def url_filter(pages: DataFrame, listed: DataFrame, id_col: str = "page_id", url
     (as long as another: the one with the longer host; listed twice: block); without a rule, a page is blocked
     if some listed URL with verdict block fits, else allowed. A url that is null or has no :// has no host and is
     allowed. Repeated pages give repeated rows; other columns are left out. An empty list allows all. The
-    distinct shapes of listed keys (labels of the host, length of the path) are all the driver gets of the list."""
+    distinct numbers of labels of listed hosts, with up to STEM characters of path, are all the driver gets of the list."""
     keys = materialize(listed_keys(listed), "listed")
-    exact = keys.select("key", "rule_verdict", "list_verdict")
-    exact = F.broadcast(exact) if keys.count() <= MAX_BROADCAST_KEYS else exact
+    stems, size = materialize(stems_of(keys), "stems"), keys.count()
+    exact = _bounded(keys.select("key", "rule_verdict", "list_verdict"), size)
     rows = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("u"))
     parts = rows.select("id", "u", host_of(F.col("u")).alias("host"), path_of(F.col("u")).alias("path"))
-    hits = passing(parts, keys, bits_per_key).join(exact, "key")
+    hits = through_filter(candidates(parts, stems, bits_per_key), keys, size, bits_per_key).join(exact, "key")
     best = F.when(F.col("rule_verdict").isNotNull(), F.struct(F.length("key").alias("n"), "host_len", F.col("rule_verdict").alias("verdict"), F.col("key").alias("rule")))
     found = hits.select("id", "u", best.alias("best"), (F.col("list_verdict") == "block").alias("listed"), F.lit(0).cast("long").alias("copies"))
     every = rows.select("id", "u", F.lit(None).cast(found.schema["best"].dataType).alias("best"), F.lit(None).cast("boolean").alias("listed"), F.lit(1).cast("long").alias("copies"))
