@@ -4,6 +4,7 @@ import random
 from itertools import combinations
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from tests.conftest import SF
 from tests.llm.test_operators import EDGE, frame
@@ -117,3 +118,50 @@ def test_repeats_are_bounded(monkeypatch):
     index = decontaminate.Index([(1, ["a"] * 60)])
     found = list(decontaminate._search([lambda: index], ["a " * 500, "b " * 500 + "a " * 20]))
     assert [(x[0], *x[2:]) for x in found] == [(0, 0, 60, 60), (1, 498, 22, 20)]
+
+
+def same(a, b):
+    return sorted(map(str, a.collect())) == sorted(map(str, b.collect()))
+
+
+def test_a_large_benchmark_goes_by_a_shuffle(spark):
+    """The whole tables, with a benchmark too large to broadcast: the rows of brute force; copies, null ids, clashing columns, edges."""
+    docs, bench = table(spark, SF, "documents"), table(spark, SF, "benchmark")
+    want = brute([(r.doc_id, r.text) for r in docs.collect()], [(r.item_id, r.text) for r in bench.collect()])
+    assert rows(decontaminate.overlaps(docs, bench, broadcast_words=0)) == want
+    leak = next(t for (d, _), _ in want.items() for t in [docs.filter(f"doc_id = {d}").first().text])
+    odd = spark.createDataFrame([(None, leak, 5, "x"), (None, leak, 5, "x"), (1, leak, 6, "k"), (2, None, 7, None), (3, "", 8, None), (4, "clean words " * 50, 9, "")], "doc_id long, text string, item_id int, k1 string")
+    marked = bench.select((F.when(F.col("item_id") % 2 == 0, F.col("item_id"))).alias("item_id"), "text")
+    for b in (bench, marked, bench.limit(0)):
+        here, there = (decontaminate.overlaps(odd, b, broadcast_words=n) for n in (0, 10**9))
+        assert same(here, there) and here.columns == there.columns
+        here, there = (decontaminate.decontaminate(odd, b, broadcast_words=n) for n in (0, 10**9))
+        assert same(here, there) and here.columns == there.columns == odd.columns and here.count() == (3 if b.count() else 6)
+    assert {r.doc_id for r in decontaminate.overlaps(odd, marked).collect()} == {None, 1}
+    assert any(r.item_id is None for r in decontaminate.overlaps(docs, marked).collect())
+
+
+def test_items_of_few_words(spark):
+    """Items of one to four words are found as exact copies where min_words allows; else they are left out, and listed as such."""
+    items = [(1, "Lima"), (2, "of Peru"), (3, "capital of Peru"), (4, "the capital of Peru"), (5, "one two three four five"), (6, ""), (7, None), (8, "Antidisestablishmentarianism")]
+    texts = [(0, "what is the capital of peru it is lima"), (1, "limap of perus capital"), (2, "one two 3 four five"), (3, "peru of capital the"), (4, "capital: of... PERU!"), (5, None), (6, "antidisestablishmentarianism")]
+    docs, bench = spark.createDataFrame(texts, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    words = {i: decontaminate.words_of(t) for i, t in (*items, )}
+
+    def expected(least):
+        out = set()
+        for i, w in words.items():
+            for d, t in texts:
+                have = decontaminate.words_of(t)
+                fits = any(sum(a == b for a, b in zip(w, have[k : k + len(w)])) >= len(w) - len(w) // 5 for k in range(len(have) - len(w) + 1))
+                if w and fits and (len(w) >= least or sum(map(len, w)) >= 20):
+                    out.add((d, i))
+        return out
+
+    for least in (1, 2, 3, 4, 5):
+        for broadcast in (0, 10**9):
+            got = rows(decontaminate.overlaps(docs, bench, min_words=least, broadcast_words=broadcast))
+            assert set(got) == expected(least), (least, broadcast)
+        used = {r.item_id: r.used for r in decontaminate.item_sizes(bench, min_words=least).collect()}
+        assert used == {i: i == 8 or len(words[i]) >= least and i != 6 for i in used} and 7 not in used
+    assert (0, 3) in expected(1) and (2, 5) in expected(5) and decontaminate.decontaminate(docs, bench, min_words=1).count() == 3
