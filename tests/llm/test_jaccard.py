@@ -72,3 +72,23 @@ def test_stage_is_as_brute_force(spark, monkeypatch, crowd):
     kept = corpus_pipeline.dedup_stage(spark, df, SF)
     assert sorted(x.doc_id for x in kept.collect()) == sorted({*root.values()})
     assert jaccard.near_duplicates(df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("size", [2_000_000, 50])
+def test_shared_keys_are_never_lost(spark, monkeypatch, size):
+    """In few ranges and in many: every key of two different sets passes the filter, and most of the others don't."""
+    from collections import defaultdict
+
+    monkeypatch.setattr(jaccard, "RANGE", size)
+    docs = table(spark, SF, "documents").select("doc_id", "text").repartition(3)
+    sets = jaccard.shingle_sets([r.text for r in docs.collect()])
+    owners = defaultdict(set)
+    for k, s in enumerate({s.tobytes(): s for s in sets if len(s)}.values()):
+        for key in jaccard.part_keys(s).tolist():
+            owners[key].add(k)
+    got = {r.key & (1 << 64) - 1 for r in jaccard._dealt(docs, jaccard.shared_bits(docs, len(owners)), 5).select("key").distinct().collect()}
+    shared = {k for k, o in owners.items() if len(o) > 1}
+    assert shared and shared <= got <= set(owners)
+    copies = len(sets) - len({s.tobytes() for s in sets})
+    assert copies and len(got) < 0.7 * len(owners)
+    assert jaccard.shared_bits(docs.limit(0), 0).any() == False  # noqa: E712
