@@ -67,12 +67,22 @@ def test_query(spark):
     assert sorted(map(tuple, queries.op12_importance(spark, SF).collect()), key=str) == expected(docs, target)
 
 
+def test_features_in_small_pieces(monkeypatch):
+    """Texts cut into pieces of 50 bytes, chunks of 30 words, a memory of two words: the buckets of whole texts, text by text."""
+    for name, value in (("PIECE", 50), ("REMEMBERED", 2), ("CHUNK_WORDS", 30)):
+        monkeypatch.setattr(importance, name, value)
+    texts = ["", "A a Ä ä 漢字 x-1", "x" * 500 + " y", "long text 7 " * 40, " ,;", "one two three"]
+    got, n_words = [], []
+    for owner, found, sizes in importance._features((t.encode() for t in texts), 3, 1000, importance._Words()):
+        got += [sorted(found[owner == k].tolist()) for k in range(len(sizes))]
+        n_words += sizes.tolist()
+    want = [features(t, 3, 1000) for t in texts]
+    assert n_words == [n for n, _ in want] and got == [sorted(f) for _, f in want]
+
+
 @pytest.mark.parametrize("ngrams", [1, 3])
-def test_edges(spark, monkeypatch, ngrams):
-    """Nulls, empty texts, ties and repeats, long texts and words, letters beyond ASCII; small pieces and a memory of two words."""
-    monkeypatch.setattr(importance, "PIECE", 50)
-    monkeypatch.setattr(importance, "REMEMBERED", 2)
-    monkeypatch.setattr(importance, "CHUNK_WORDS", 30)
+def test_edges(spark, ngrams):
+    """Nulls, empty texts, ties and repeats, long texts and words, letters beyond ASCII."""
     docs = [(1, None), (2, ""), (3, " ,;"), (4, "A a Ä ä 漢字 x-1"), (None, "one two"), (5, "again and again"), (5, "again and again"), (6, "x" * 500 + " y"), (7, "long text 7 " * 400), (8, "ß"), (9, "again and again")]
     assert run(spark, docs, ["again and", None], ngrams=ngrams, min_words=1, percent=60) == expected(docs, ["again and", None], ngrams, min_words=1, percent=60)
 

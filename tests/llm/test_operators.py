@@ -1,5 +1,6 @@
 """The other operators on nulls, empty and long texts, ties, repeated rows, empty tables and clashing columns."""
 
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -49,6 +50,50 @@ def test_token_files(spark, edge):
     assert token_files.read_documents(token_files.write_tokens(edge.limit(0), BPE), edge.schema["doc_id"].dataType, scratch_dir(spark)).count() == 0
 
 
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+def test_token_files_have_the_ids_of_whole_texts(spark, edge, name):
+    """A tokenizer whose pieces span white space encodes whole texts, one that drops it encodes words: by ids, with null and repeated doc_ids."""
+    from tokenizers import Tokenizer
+
+    path = str(public_tokenizers.path(name))
+    tokenizer = Tokenizer.from_file(path)
+    assert token_files.Encoder(path).word_split == token_files.drops_space(tokenizer) == name.startswith("word")
+    odd = edge.select("doc_id", "text").unionByName(spark.createDataFrame([(None, "no  id"), (None, None), (3, "again"), (-1, "first\n")], "doc_id long, text string"))
+    got = token_files.read_documents(token_files.write_tokens(odd, path, partitions=3), odd.schema["doc_id"].dataType, scratch_dir(spark)).collect()
+    ids = lambda t: np.array(tokenizer.encode(t or "", add_special_tokens=False).ids + [1], "<u4")
+    assert Counter((r.doc_id, r.n_tokens, r.ids_crc32) for r in got) == Counter((r.doc_id, len(x := ids(r.text)), zlib.crc32(x.tobytes())) for r in odd.collect())
+    at = 0
+    for r in sorted(got, key=lambda r: r.start):
+        assert r.start == at
+        at += r.n_tokens
+
+
+def test_token_counts_refuse_pieces_that_span_words(spark, edge, tmp_path):
+    from sentencepiece import sentencepiece_model_pb2 as pb
+
+    for piece in ("of▁the", "a\nb", "▁x▁"):
+        model = pb.ModelProto()
+        model.ParseFromString(open(PIECES, "rb").read())
+        model.pieces[500].piece = piece
+        changed = tmp_path / "changed.model"
+        changed.write_bytes(model.SerializeToString())
+        assert token_counts.spanning_pieces(str(changed)) == [piece]
+        with pytest.raises(ValueError, match="span"):
+            token_counts.token_counts(edge, str(changed))
+    assert token_counts.spanning_pieces(PIECES) == []
+
+
+def test_token_counts_that_are_forgotten(spark, edge, monkeypatch):
+    """A bucket that remembers three pre-tokens counts the same; null and repeated ids stay."""
+    from sentencepiece import SentencePieceProcessor
+
+    sp = SentencePieceProcessor(model_file=PIECES)
+    monkeypatch.setattr(token_counts, "REMEMBERED", 3)
+    odd = edge.select("doc_id", "text").unionByName(spark.createDataFrame([(None, "no id here"), (None, "no id here"), (2, None)], "doc_id long, text string"))
+    got = token_counts.token_counts(odd, PIECES, limit=5, buckets=2).collect()
+    assert Counter((r.doc_id, r.n_tokens, r.over_limit) for r in got) == Counter((r.doc_id, n := len(sp.encode(r.text or "")), n > 5) for r in odd.collect())
+
+
 def lawful(rows, shards):
     """Shards' counts are one apart at most, slots without gaps."""
     slots = {s: sorted(r.slot for r in rows if r.shard == s) for s in range(shards)}

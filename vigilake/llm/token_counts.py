@@ -35,6 +35,18 @@ def pretokens(text: str) -> list[str]:
     return PRETOKEN.findall(" " + text.replace("▁", " ")) if text else []
 
 
+#: A piece with spaces behind something else, or with a line end and something else.
+SPANS = re.compile("[^▁]▁|\n.|.\n", re.S)
+
+
+def spanning_pieces(model: str) -> list[str]:
+    """Pieces of the vocabulary that could join what pretokens() cuts apart."""
+    from sentencepiece import SentencePieceProcessor
+
+    sp = SentencePieceProcessor(model_file=model)
+    return [p for i in range(sp.get_piece_size()) if not (sp.is_control(i) or sp.is_unknown(i) or sp.is_byte(i)) and SPANS.search(p := sp.id_to_piece(i))]
+
+
 def piece_counter(model: str):
     """A function that gives the piece counts of a list of pre-tokens."""
     from sentencepiece import SentencePieceProcessor
@@ -103,9 +115,10 @@ def token_counts(docs: DataFrame, model: str, limit: int = 4096, id_col: str = "
     are left out. A block holds BLOCK_CHARS characters of text and one document more, so memory follows the
     longest text. A bucket remembers the counts of REMEMBERED of its distinct pre-tokens; past that it begins anew, so memory
     is bounded, and a pre-token is counted again if it comes back: give more buckets to larger vocabularies (by default,
-    the session's shuffle partitions). Where the model joins pre-tokens as this module cuts them is tried on JOINS first."""
+    the session's shuffle partitions). A model is refused if its vocabulary has a piece that spans pre-tokens, or if it treats
+    white space otherwise, by JOINS, than pretokens() does."""
     spark, whole, parts = docs.sparkSession, whole_counter(model), piece_counter(model)
-    if any(whole(t) != sum(parts(pretokens(t))) for t in JOINS):
+    if spanning_pieces(model) or any(whole(t) != sum(parts(pretokens(t))) for t in JOINS):
         raise ValueError(f"{model} has pieces that span spaces or line ends, so its counts are no sums over pre-tokens")
     n_buckets = buckets or max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
     kind = docs.schema[id_col].dataType

@@ -52,11 +52,25 @@ def _gather(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarr
     return flat[np.repeat(starts - ends + sizes, sizes) + np.arange(ends[-1] if len(ends) else 0)]
 
 
+#: White space as byte-level vocabularies spell it, and as others do.
+SPACES = frozenset(" \t\n\r\x0b\x0c▁ĠĉĊčċČ")
+
+
+def drops_space(tokenizer) -> bool:
+    """Whether a text's ids are those of its words in a row: no piece of the vocabulary spans white space, which has no ids itself."""
+    suffix = getattr(tokenizer.model, "end_of_word_suffix", None) or ""
+    known = tokenizer.get_vocab(with_added_tokens=True)
+    if any(SPACES.intersection(piece) and len(piece.removesuffix(suffix)) > 1 for piece in known):
+        return False
+    ids = lambda t: tokenizer.encode(t, add_special_tokens=False).ids
+    return not any(ids(c) or ids(f"a{c}b") != ids("a") + ids("b") or ids(f"{c}{c}1{c}") != ids("1") for c in " \t\n\r\x0b\x0c")
+
+
 class Encoder:
     """Encodes texts with the tokenizers library, each distinct word once.
 
     For tokenizers whose pre-tokenizer drops white space, no token spans a space or a line end, so a text's ids
-    are those of its words in a row; for others whole texts are encoded. Which it is is tried on SPLITS. Where, besides, case
+    are those of its words in a row; for others whole texts are encoded. Its vocabulary says which it is (drops_space()). Where, besides, case
     says nothing and the last token of a pre-token is known by its suffix, plain words are taken as letters and signs,
     and new letters are encoded many at a time, in lower case, and their ids cut apart at those tokens."""
 
@@ -66,7 +80,7 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-        self.word_split = all(sum(self._ids(t.replace("\n", " ").split(" ")), []) == self._ids([t])[0] for t in SPLITS)
+        self.word_split = drops_space(self.tokenizer) and all(sum(self._ids(t.replace("\n", " ").split(" ")), []) == self._ids([t])[0] for t in SPLITS)
         self._forget()
         suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
         self.folds = False
