@@ -27,7 +27,7 @@ PARTS = [
 ]
 
 
-@pytest.mark.parametrize("wrap", ["<article>{}</article>", "<main>{}</main>", "<div class='post-content'>{}</div>", "<div>{}</div>"])
+@pytest.mark.parametrize("wrap", ["<article>{}</article>", "<main>{}</main>", "<div class='post-content'>{}</div>", "<div>{}</div>", "<div class='layout has-sidebar no-comments'><div class='body'>{}</div></div>"])
 def test_main_text_only(wrap):
     body = f"<h1>The  river</h1><p>{LONG}</p><p>Short.</p><ul><li>{LONG}</li><li>so</li></ul><blockquote>{LONG}</blockquote><p>A <b>bold</b><i>er</i> word&nbsp;&amp; a<br>break.</p>"
     want = "\n".join(["The river", LONG, "Short.", LONG, "so", LONG, "A bolder word & a break."])

@@ -38,6 +38,8 @@ NOT_TEXT = frozenset("head title script style noscript template textarea select
 NAMES = frozenset("nav navbar navigation navbox menu menubar breadcrumb breadcrumbs masthead topbar banner footer bottombar sidebar aside rail ad ads adbox adsense advert adverts advertisement advertising sponsor sponsored sponsors promo promos promotion promoted cookie cookies consent gdpr notice notices notification notifications popup popups modal overlay dialog newsletter subscribe subscription signup share sharing sharebar social related recommended recommendations trending comment comments commentlist disqus replies respond reply widget widgets toolbar pagination pager login search searchbox contentinfo complementary toc".split())
 #: "header" among a class's names means the page's, unless it is that of the text itself.
 OF_TEXT = frozenset("article entry post story content section title headline".split())
+#: Beside such a word a name tells what the whole page has or lacks (has-sidebar, no-ads), not what the element is.
+OF_PAGE = frozenset("has with no without".split())
 COMMENTS = frozenset("comment comments commentlist disqus replies respond reply".split())
 TEXT_HOLDERS, HEADINGS = frozenset(("article", "main")), frozenset(("h1", "h2", "h3", "h4", "h5", "h6"))
 #: Elements too small to hold a whole text.
@@ -95,9 +97,10 @@ def _open(tag: str, attributes: str, parent: Element, paths: dict[tuple[int, str
     if tag == "main" or tag == "article" and out == "part":
         out = ""  # a sidebar that was never closed does not hold the text
     if tag not in ("html", "body", "main"):
-        if words & COMMENTS:
+        named = frozenset() if words & OF_PAGE else words
+        if named & COMMENTS:
             out = "comments"
-        elif tag != "article" and not out and (tag in NOT_TEXT or hidden or words & NAMES or "header" in words and not words & OF_TEXT or tag == "header" and not parent.holder):
+        elif tag != "article" and not out and (tag in NOT_TEXT or hidden or named & NAMES or "header" in words and not words & OF_TEXT or tag == "header" and not parent.holder):
             out = "part"
     path = paths.setdefault((parent.path, tag, kind), len(paths) + 1)
     return Element(tag, parent, path, out, parent.holder or tag in TEXT_HOLDERS or "main" in words and tag == "div", parent.link or tag == "a")
