@@ -158,10 +158,10 @@ class Pipeline:
                 if name not in due:
                     failed = self.restarts[name] = self.restarts.get(name, 0) + 1
                     if failed > self.settings.max_restarts:
-                        self.failure = query.exception() or RuntimeError(f"{name} ended")
                         log.error("%s failed %s times; all stops", name, failed)
+                        self._end()  # before wait() and drain() can tell
+                        self.failure = query.exception() or RuntimeError(f"{name} ended")
                         self._stopping.set()
-                        self._end()
                         return
                     due[name] = time.monotonic() + self.settings.back_off * 2 ** (failed - 1)
                     log.warning("%s failed and starts again: %s", name, query.exception())
