@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
@@ -58,44 +58,44 @@ class _History(StatefulProcessor):
 
 
 class _InOrder(StatefulProcessor):
-    """Rows wait in `open` until a timer of the watermark; `past` has the last rows that were taken."""
+    """Rows wait in `open` until a timer of the watermark; `past` has the last rows that were taken. A state call is a trip to the JVM, so each is made once."""
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.past = handle.getListState("past", "us long, city string")
+        self.past = handle.getValueState("past", "rows array<struct<us:bigint,city:string>>")
         self.open = handle.getListState("open", "us long, seq long, city string, amount double, row string")
 
     def _wake(self, us: int) -> None:
         self.handle.registerTimer(-(-us // 1000))
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        for r in rows:
-            if len(r):
-                self.open.appendList(list(r[["us", "seq", "city", "amount", "row"]].astype(object).where(r[["us", "seq", "city", "amount", "row"]].notna(), None).itertuples(index=False, name=None)))
-                self._wake(int(r["us"].min()))
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        came = [(r.us, r.seq, r.city, r.amount, r.row) for r in rows]
+        if came:
+            self.open.appendList(came)
+            self._wake(min(r[0] for r in came))
         return iter(())
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         until = timerValues.getCurrentWatermarkInMs() * 1000
-        waiting = [tuple(r) for r in self.open.get()] if self.open.exists() else []
+        waiting = list(self.open.get())
         due = sorted((r for r in waiting if r[0] <= until), key=lambda r: (r[0], r[1] is not None, r[1] or 0))
-        past = [tuple(r) for r in self.past.get()] if self.past.exists() else []
+        if waiting and not due:
+            return  # a timer whose rows went with an earlier one
+        found = self.past.get()
+        past = [(us, city) for us, city in found[0]] if found else []
         if due:
-            rest = [r for r in waiting if r[0] > until]
-            flags = {c: [] for c in _BACK}
-            for us, _, city, amount, _ in due:
-                for c, on in zip(_BACK, _look_back(past, us, city, amount)):
-                    flags[c].append(on)
+            for us, _, city, amount, row in due:
+                yield Row(row=row, **dict(zip(_BACK, _look_back(past, us, city, amount))))
                 past = [*past, (us, city)][-LOOK_BACK:]
-            self.past.put(past)
-            if rest:
+            self.past.update((past,))
+            if len(due) < len(waiting):
+                rest = [r for r in waiting if r[0] > until]
                 self.open.put(rest)
                 self._wake(min(r[0] for r in rest))
             else:
                 self.open.clear()
                 self._wake(past[-1][0] + HORIZON_US + 1)
-            yield pd.DataFrame({"row": [r[4] for r in due], **flags})
-        elif past and not waiting and until > past[-1][0] + HORIZON_US:
+        elif past and until > past[-1][0] + HORIZON_US:
             self.past.clear()
 
     def close(self) -> None:
@@ -114,7 +114,7 @@ def score_stream(transactions: DataFrame, forced=None, seed: int = 42, delay: st
         # The row itself waits as text; what the rules need stands beside it.
         as_text = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "ignoreNullFields": "false"}
         rows = timed.withWatermark("transaction_timestamp", delay).select("customer_id", "transaction_timestamp", "us", F.col("seq").cast("long").alias("seq"), "city", F.col("amount").cast("double").alias("amount"), F.to_json(F.struct(*plain.columns), as_text).alias("row"))
-        taken = rows.groupBy("customer_id").transformWithStateInPandas(_InOrder(), "row string, " + ", ".join(f"{c} boolean" for c in _BACK), "Append", "EventTime")
+        taken = rows.groupBy("customer_id").transformWithState(_InOrder(), "row string, " + ", ".join(f"{c} boolean" for c in _BACK), "Append", "EventTime")
         flagged = taken.select(F.inline(F.array(F.from_json("row", plain.schema, as_text))), *_BACK)
     else:
         schema = T.StructType([*timed.schema.fields, *[T.StructField(c, T.BooleanType()) for c in _BACK]])
