@@ -75,3 +75,32 @@ def test_same_as_plain_python(spark, drawn, forced):
         got = {k: v for k, v in got.items() if want[k][0]}
         want = {k: v for k, v in want.items() if v[0]}
     assert got == want
+
+
+def test_slices_of_time_change_no_flag(spark):
+    """Rows around the ends of slices, a customer with most rows, rows without customer or time, and repeated rows."""
+    length = scoring.HORIZON_SECONDS
+    at = [k * length + d for k in range(1, 4) for d in (-1200, -1199.5, -60, -59, -30, -29, -3, -2, -1, 0, 0, 1, 2, 30, 31, 58, 1198)]
+    rows = [row(i, float(s), [5.0, 12.0, 99.0][i % 3], ["Delhi", "London"][i % 2], who="C" if i % 9 else None) for i, s in enumerate(at)]
+    rows += [row(900 + k, s, city=c, who="D") for k, (s, c) in enumerate(((length - 0.0, "Delhi"), (2.0 * length, "London"), (5.0 * length - 1, "Delhi"), (6.0 * length, "London")))]
+    rows += [(*row(950, who="E")[:3], None, *row(950)[4:]), row(960, 5.0, who="F"), row(960, 5.0, who="F")]
+    df = spark.createDataFrame(rows, SCHEMA)
+    names = [r.lower() for r in scoring.WEIGHTS]
+    found = {n: sorted(tuple(r) for r in scoring.rule_flags(df, n).select("transaction_id", *names).collect()) for n in (length, 2 * length, 10**9)}
+    assert len(found[length]) == len(rows) and found[length] == found[2 * length] == found[10**9]
+    want = brute([r for r in rows if r[3] is not None])
+    timed = scoring.fraud_scores(scoring.rule_flags(df.filter("transaction_timestamp IS NOT NULL"), length)).collect()
+    assert {r.transaction_id: (r.fraud_score, r.fraud_reason) for r in timed} == want
+    assert {"T901", "T903"} & {r[0] for r in found[length] if r[1 + names.index("impossible_travel")]} == {"T901"}  # 1200 s and 1201 s apart
+
+
+def test_a_hot_customer_is_dealt_to_many_tasks(spark):
+    rows = spark.range(3000).select(F.concat(F.lit("T"), "id").alias("transaction_id"), F.when(F.col("id") % 3 > 0, F.concat(F.lit("C"), "id")).otherwise("hot").alias("customer_id"), F.col("id").alias("seq"), F.timestamp_seconds(F.col("id") * 600).alias("transaction_timestamp"), F.lit(9.0).alias("amount"), F.lit("Pune").alias("city"))
+    plan = scoring.look_back_flags(rows.repartition("customer_id")).filter("customer_id = 'hot'")
+    with_adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        shares = [r["count"] for r in plan.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", with_adaptive)
+    assert sum(shares) == 1000 and len(shares) == 4 and max(shares) < 500

@@ -272,16 +272,23 @@ r AS (SELECT transaction_id, seq,
 _RULES = [r.lower() for r in scoring.WEIGHTS]
 
 
-def _to_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _timed(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = views.transactions(spark, sf_dir).withColumn("seq", F.substring("transaction_id", 4, 19).cast("long"))
-    t = t.withColumn("transaction_timestamp", F.timestamp_micros(F.expr(f"unix_micros(transaction_timestamp) div {_COMPRESS}"))).withColumn("amount", F.col("amount") * F.when(F.col("seq") % 50 == 0, 1000).otherwise(1))
+    return t.withColumn("transaction_timestamp", F.timestamp_micros(F.expr(f"unix_micros(transaction_timestamp) div {_COMPRESS}"))).withColumn("amount", F.col("amount") * F.when(F.col("seq") % 50 == 0, 1000).otherwise(1))
+
+
+def _looked_up(t: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
     c = views.customers(spark, sf_dir).select("customer_id", "trusted_device_id")
     m = views.merchants(spark, sf_dir).select("merchant_id", "merchant_risk", "is_blacklisted")
     return t.join(c, "customer_id", "left").join(m, "merchant_id", "left")
 
 
+def _to_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _looked_up(_timed(spark, sf_dir), spark, sf_dir)
+
+
 def _flags(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return scoring.rule_flags(_to_score(spark, sf_dir))
+    return scoring.row_flags(_looked_up(scoring.look_back_flags(_timed(spark, sf_dir)), spark, sf_dir))
 
 
 for _rule in _RULES:
