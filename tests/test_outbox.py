@@ -1,0 +1,111 @@
+"""Mails that executors send: what arrives, what the journal says, and what a replay sends again."""
+
+import json
+import uuid
+from collections import Counter
+from dataclasses import dataclass
+from pathlib import Path
+
+import pytest
+
+from pyspark.sql import functions as F
+
+from vigilake.streaming import outbox
+
+MAILS = "mail_id string, mail_to string, mail_subject string, mail_body string, alerts long"
+
+
+@dataclass(frozen=True)
+class Folder:
+    """Writes each mail to a file; fails for some recipients while a file named `down` is there."""
+
+    path: str
+    failing: frozenset = frozenset()
+
+    def send(self, to, subject, body):
+        if to in self.failing and Path(self.path, "down").exists():
+            raise OSError("down")
+        Path(self.path, uuid.uuid4().hex + ".json").write_text(json.dumps([to, subject, body]))
+
+    def got(self):
+        return [tuple(json.loads(p.read_text())) for p in Path(self.path).glob("*.json")]
+
+
+@pytest.fixture
+def folder(tmp_path):
+    (tmp_path / "mails").mkdir()
+    return Folder(str(tmp_path / "mails"), frozenset(["bad@x"]))
+
+
+def mails(spark, *rows):
+    return spark.createDataFrame([(i, to, f"s{i}", f"b{i}", 1) for i, to in rows], MAILS)
+
+
+def outcomes(box):
+    return Counter((r.mail_id, r.outcome) for r in box.journal().collect())
+
+
+def test_outcomes_and_replays(spark, tmp_path, folder):
+    box = outbox.Outbox(spark, str(tmp_path / "box"), folder, connections=3, wave=2)
+    assert box.journal().count() == 0 == box.counters().count()
+    Path(folder.path, "down").touch()
+    batch = mails(spark, *[(f"A{i}", f"c{i}@x") for i in range(7)], ("A3", "c3@x"), ("B", "bad@x"), ("N", None), ("E", ""))
+    box.send(batch, 0)
+    assert Counter(to for to, _, _ in folder.got()) == Counter(f"c{i}@x" for i in range(7))
+    assert ("c5@x", "sA5", "bA5") in folder.got()
+    want = {(f"A{i}", "sent"): 1 for i in range(7)} | {("A3", "skipped"): 1, ("B", "failed"): 1, ("N", "skipped"): 1, ("E", "skipped"): 1}
+    assert outcomes(box) == want
+    # The batch comes again, to another driver: what failed is tried again, nothing else.
+    Path(folder.path, "down").unlink()
+    again = outbox.Outbox(spark, str(tmp_path / "box"), folder)
+    again.send(batch, 0)
+    assert len(folder.got()) == 8 and outcomes(again) == want | {("B", "sent"): 1}
+    # Ids of another batch are other mails; an empty batch sends nothing.
+    again.send(mails(spark, ("A0", "c0@x")), 1)
+    again.send(mails(spark), 2)
+    assert sorted(tuple(r) for r in again.counters().collect()) == [(0, 8, 1, 3), (1, 1, 0, 0)]
+
+
+def test_a_crash_sends_one_wave_again_at_most(spark, tmp_path, folder, monkeypatch):
+    box = outbox.Outbox(spark, str(tmp_path / "box"), folder, wave=5)
+    batch = mails(spark, *[(f"A{i}", f"c{i}@x") for i in range(40)])
+    jobs, real = [], outbox.partial
+
+    def crash(*given):
+        jobs.append(given)
+        if len(jobs) == 4:
+            raise RuntimeError("the driver is gone")
+        return real(*given)
+
+    monkeypatch.setattr(outbox, "partial", crash)
+    with pytest.raises(RuntimeError):
+        box.send(batch, 7)
+    sent = len(folder.got())
+    assert 0 < sent < 40 and sent == box.journal().count()
+    monkeypatch.setattr(outbox, "partial", real)
+    box.send(batch, 7)
+    assert Counter(to for to, _, _ in folder.got()) == Counter(f"c{i}@x" for i in range(40))
+
+
+def alerts(spark, n):
+    columns = {c: F.lit("x") for c in ("customer_name", "customer_email", "currency", "merchant_name", "city", "country")}
+    rows = spark.range(n, numPartitions=5).select(F.concat(F.lit("<"), F.lpad(F.col("id").cast("string"), 4, "0")).alias("alert_id"), F.timestamp_seconds(F.when(F.col("id") % 3 == 0, 50).otherwise(F.col("id") * 7 % 100)).alias("transaction_timestamp"))
+    return rows.withColumns(columns | {"transaction_amount": F.lit(9.0), "transaction_limit": F.lit(1.0)})
+
+
+def test_digest_lists_every_alert_once_newest_first(spark, tmp_path, folder):
+    """A third of the alerts have one time."""
+    box = outbox.Outbox(spark, str(tmp_path / "box"), folder, connections=2, wave=20)
+    write = box.digest("ops@x", mail_rows=10)
+    batch = alerts(spark, 97)
+    write(batch, 0)
+    write(batch.repartition(3), 0)  # a replay, its rows dealt otherwise
+    got = sorted(folder.got(), key=lambda m: int(m[1].split("(")[1].split(" ")[0]))
+    assert [(to, s) for to, s, _ in got] == [("ops@x", f"97 high-value transaction alerts ({k} of 10)") for k in range(1, 11)]
+    assert [b.count("<tr>") - 1 for _, _, b in got] == [10] * 9 + [7]
+    want = [r.alert_id for r in batch.orderBy(F.desc("transaction_timestamp"), "alert_id").collect()]
+    assert [f"<{c.split('<')[0]}" for _, _, b in got for c in b.replace("&lt;", "\0").split("\0")[1:]] == want
+    assert {r.alerts for r in box.journal().collect()} == {10, 7} and not list(Path(tmp_path, "box", "sorted").glob("[0-9]*"))
+    write(alerts(spark, 0), 1)
+    write(alerts(spark, 1), 2)
+    assert len(folder.got()) == 11 and any(s == "1 high-value transaction alert" for _, s, _ in folder.got())

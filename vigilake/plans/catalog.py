@@ -17,7 +17,7 @@ from vigilake.operators import expectations as E
 from vigilake.plans import medallion, pipeline, registry, reports, simulate, simulate_sql, views
 from vigilake.session import scratch_path
 from vigilake.sources import files
-from vigilake.streaming import replay, sinks
+from vigilake.streaming import outbox, replay, sinks
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -647,10 +647,10 @@ _SENT = f"SELECT * FROM ({_FRAUD.format(at=_AT, c='half')}) WHERE customer_email
 
 @query(f"WITH {_T}, {_C}, {_W}, half AS (SELECT * FROM c WHERE risk_score < 50) SELECT customer_email AS mail_to, 'Card alert: ' || risk_level || ' risk, ' || alert_id AS mail_subject FROM ({_SENT})")
 def customer_mails(spark, sf_dir):
-    """One mail for each alert whose customer is known, though all batches come twice."""
-    notifier = sinks.MemoryNotifier()
-    _sent(spark, _fraud(spark, sf_dir, known="risk_score < 50"), sinks.mail_sink(notifier, ledger=scratch_path(spark, "ledger"), every=1000), times=2)
-    return spark.createDataFrame([(to, subject) for to, subject, _ in notifier.sent], "mail_to string, mail_subject string")
+    """One mail for each alert whose customer is known, though all batches come twice; executors send them."""
+    box = outbox.Outbox(spark, scratch_path(spark, "outbox"), sinks.MemoryNotifier())
+    _sent(spark, _fraud(spark, sf_dir, known="risk_score < 50"), box.mails(), times=2)
+    return box.journal().filter("outcome = 'sent'").select("mail_to", "mail_subject")
 
 
 @query(f"WITH {_T}, {_C}, {_W}, half AS (SELECT * FROM c WHERE risk_score < 50), a AS ({_FRAUD.format(at=_AT, c='half')}) SELECT count(*) FILTER (customer_email IS NOT NULL AND NOT bad) AS sent, count(*) FILTER (customer_email IS NOT NULL AND bad) AS failed, count(*) FILTER (customer_email IS NULL) AS skipped FROM (SELECT *, customer_email IN (SELECT min(email) FROM half) AS bad FROM a)")
@@ -658,10 +658,20 @@ def mail_counters(spark, sf_dir):
     """One address fails; customers without one are skipped."""
     known = views.customers(spark, sf_dir).filter("risk_score < 50")
     bad = known.agg(F.min("email")).first()[0]
-    write = sinks.mail_sink(sinks.MemoryNotifier(failing=frozenset([bad])))
-    _sent(spark, _fraud(spark, sf_dir, known="risk_score < 50"), write)
-    c = write.counters
-    return spark.createDataFrame([(c.sent, c.failed, c.skipped)], "sent long, failed long, skipped long")
+    box = outbox.Outbox(spark, scratch_path(spark, "outbox"), sinks.MemoryNotifier(failing=frozenset([bad])))
+    _sent(spark, _fraud(spark, sf_dir, known="risk_score < 50"), box.mails())
+    return box.counters().agg(*[F.sum(o).alias(o) for o in ("sent", "failed", "skipped")])
+
+
+@query(
+    f"""WITH {_T}, {_C}, n AS (SELECT count(*) AS n, (count(*) + 499) // 500 AS pages FROM ({_HIGH.format(at=_AT)}) GROUP BY CAST(right(transaction_id, 1) AS INTEGER) % 3), p AS (SELECT *, unnest(range(1, pages + 1)) AS page FROM n)
+SELECT n || ' high-value transaction alert' || CASE WHEN n = 1 THEN '' ELSE 's' END || CASE WHEN pages > 1 THEN ' (' || page || ' of ' || pages || ')' ELSE '' END AS subject, least(500, n - 500 * (page - 1)) AS listed FROM p"""
+)
+def digest_pages(spark, sf_dir):
+    """Mails of 500 alerts at most for each micro-batch, composed and sent by executors, though all batches come twice."""
+    box = outbox.Outbox(spark, scratch_path(spark, "outbox"), sinks.MemoryNotifier())
+    _sent(spark, _high(spark, sf_dir), box.digest("ops@example.com", mail_rows=500), times=2)
+    return box.journal().filter("outcome = 'sent'").select(F.col("mail_subject").alias("subject"), F.col("alerts").alias("listed"))
 
 
 from vigilake.plans import stream_catalog  # noqa: E402, F401  registers its queries here
