@@ -1,7 +1,12 @@
 """Hard negatives against plain Python over all pairs."""
 
 import math
+import subprocess
+import sys
+from pathlib import Path
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -77,3 +82,15 @@ def test_large_numbers(spark):
     assert run(spark, rows, F.col("id") == 0, schema) == expected(rows, lambda i: i == 0) != []
     with pytest.raises(Exception, match="64 bits"):
         run(spark, [(i, [1e12], i % 2) for i in range(4)], F.col("id") == 0, schema)
+
+
+def test_a_tile_is_added_in_a_fresh_worker(tmp_path):
+    """A worker that has got a tile, but imported nothing beyond the module: pyarrow alone does not bring pyarrow.compute."""
+    strips = {"nth": [0, None], "strip": [np.array([6], "<i2").tobytes(), None], "ids": [None, np.array([7]).tobytes()], "nths": [None, np.array([1]).tobytes()]}
+    rest = {"names": pa.array([None, [5]], pa.list_(pa.int64())), "labels": pa.array([4, None], pa.int64()), "windows": pa.array([None, None], pa.list_(pa.int64())), "id": pa.array([9, None], pa.int64())}
+    tile = pa.table(strips | rest)
+    with pa.ipc.new_stream(str(tmp_path / "tile"), tile.schema) as out:
+        out.write_table(tile)
+    code = "import sys, pyarrow as pa; from vigilake.llm import negatives; print([x.tolist() for x in negatives._added(pa.ipc.open_stream(sys.argv[1]).read_all())[1:]])"
+    done = subprocess.run([sys.executable, "-c", code, str(tmp_path / "tile")], capture_output=True, text=True, cwd=Path(__file__).parents[2])
+    assert done.stdout.strip() == "[[[6]], [7], [1], [[False]]]", done.stderr

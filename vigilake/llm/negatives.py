@@ -13,6 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -95,12 +96,12 @@ def _multiplier(chunk: int):
 
 def _added(table: pa.Table) -> tuple[list[dict], np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """A tile: its anchors, int64 scores, the columns' ids and numbers, and where anchor and column share the label."""
-    head = next(r for r in table.filter(pa.compute.is_valid(table.column("ids"))).to_pylist())
+    head = next(r for r in table.filter(pc.is_valid(table.column("ids"))).to_pylist())
     ids, nths = np.frombuffer(head["ids"], np.int64), np.frombuffer(head["nths"], np.int64)
-    anchors = sorted(table.filter(pa.compute.is_valid(table.column("id"))).drop(["strip", "ids", "names", "nths"]).to_pylist(), key=lambda r: r["nth"])
+    anchors = sorted(table.filter(pc.is_valid(table.column("id"))).drop(["strip", "ids", "names", "nths"]).to_pylist(), key=lambda r: r["nth"])
     at = {r["nth"]: k for k, r in enumerate(anchors)}
     scores = np.zeros((len(anchors), len(ids)), np.int64)
-    strips = table.filter(pa.compute.is_valid(table.column("strip")))
+    strips = table.filter(pc.is_valid(table.column("strip")))
     largest = 0
     for nth, strip in zip(strips.column("nth").to_pylist(), strips.column("strip")):
         part = _wide(strip.as_py(), len(ids))
