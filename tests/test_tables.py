@@ -47,3 +47,17 @@ def test_places_and_names_go_together(spark):
     assert {tuple(r) for r in people.select("city", "state", "country").distinct().collect()} == {(c, s, "India") for c, s in simulate.INDIAN_PLACES} | set(simulate.FOREIGN)
     for r in simulate.merchants(spark).collect():
         assert r.merchant_name.rsplit(" ", 1) == [r.merchant_name.rsplit(" ", 1)[0], str(int(r.merchant_id[3:]))] and r.merchant_name.rsplit(" ", 1)[0] in simulate.SHOPS[r.merchant_category]
+
+
+def test_executors_write_an_unpaced_drip(spark, tmp_path, monkeypatch):
+    """Files come in the order of ids over several ranges, and no text comes to the driver."""
+    rows = spark.range(300, numPartitions=7).selectExpr("concat('WL', lpad(cast((id * 77) % 300 as string), 4, '0')) AS watchlist_id", "'x' AS city").unionByName(spark.createDataFrame([(None, "é")], "watchlist_id string, city string"))
+
+    def refuse(*_):
+        raise AssertionError("rows come to the driver")
+
+    monkeypatch.setattr(type(rows), "toLocalIterator", refuse)
+    assert watchlist.drip(rows, str(tmp_path / "d"), seconds=0, stamp="S", first=5) == 301
+    assert sorted(p.name for p in (tmp_path / "d").iterdir() if p.name[0] != ".") == sorted(f"fraud_watchlist_S_{i}.json" for i in range(5, 306))
+    texts = [(tmp_path / "d" / f"fraud_watchlist_S_{i}.json").read_text() for i in range(5, 306)]
+    assert texts == ['{"city":"é"}\n'] + [f'{{"watchlist_id":"WL{i:04d}","city":"x"}}\n' for i in range(300)]
