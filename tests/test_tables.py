@@ -1,6 +1,7 @@
 """Tables, files one by one, and the simulator's SQL."""
 
 import time
+import uuid
 
 import pytest
 from pyspark.errors import AnalysisException
@@ -11,6 +12,7 @@ from vigilake.config import SimulatorSettings
 from vigilake.operators import watchlist
 from vigilake.plans import medallion, registry, simulate, views
 from vigilake.sources import files
+from vigilake.streaming import replay
 
 
 def test_batch_tables(spark):
@@ -61,3 +63,12 @@ def test_executors_write_an_unpaced_drip(spark, tmp_path, monkeypatch):
     assert sorted(p.name for p in (tmp_path / "d").iterdir() if p.name[0] != ".") == sorted(f"fraud_watchlist_S_{i}.json" for i in range(5, 306))
     texts = [(tmp_path / "d" / f"fraud_watchlist_S_{i}.json").read_text() for i in range(5, 306)]
     assert texts == ['{"city":"é"}\n'] + [f'{{"watchlist_id":"WL{i:04d}","city":"x"}}\n' for i in range(300)]
+
+
+def test_a_stream_of_many_files_lists_them_in_few_tasks(spark, tmp_path):
+    rows = spark.range(60).selectExpr("format_string('WL%04d', id) AS watchlist_id")
+    watchlist.drip(rows, str(tmp_path / "d"), seconds=0)
+    got = replay.to_table(spark, files.json_stream(spark, str(tmp_path / "d"), rows.schema), f"listed_{uuid.uuid4().hex}")
+    assert got.count() == 60
+    stages = spark.sparkContext._jsc.sc().statusStore().stageList(None, False, False, spark.sparkContext._gateway.new_array(spark.sparkContext._jvm.double, 0), None)
+    assert max(stages.apply(i).numTasks() for i in range(min(8, stages.size()))) < 60

@@ -16,15 +16,24 @@ from vigilake.session import scratch_path
 PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 
 
+#: Tasks that look up a batch's files, where there are more than a few.
+LISTING = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+
+
 @contextmanager
-def rocksdb(spark: SparkSession) -> Iterator[None]:
-    """For queries that start inside: state that may be larger than memory, and that has timers and lists."""
-    before = spark.conf.get(PROVIDER)
-    spark.conf.set(PROVIDER, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+def _set(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+    """A setting for what is done inside."""
+    before = spark.conf.get(key)
+    spark.conf.set(key, value)
     try:
         yield
     finally:
-        spark.conf.set(PROVIDER, before)
+        spark.conf.set(key, before)
+
+
+def rocksdb(spark: SparkSession):
+    """For queries that start inside: state that may be larger than memory, and that has timers and lists."""
+    return _set(spark, PROVIDER, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
 
 
 Write = Callable[[DataFrame, int], None]
@@ -99,7 +108,8 @@ def drain(spark: SparkSession, tables: dict[str, DataFrame], plan: Callable[...,
 def to_table(spark: SparkSession, source: DataFrame, name: str) -> DataFrame:
     """A stream, taken until its end, into a table below the scratch folder; what the table holds then. The catalog has it, by that name, only while it is written."""
     root = scratch_path(spark, name)
-    query = source.writeStream.option("checkpointLocation", f"{root}/checkpoint").option("path", f"{root}/table").outputMode("append").trigger(availableNow=True).toTable(name)
-    query.awaitTermination()
+    with _set(spark, LISTING, str(spark.sparkContext.defaultParallelism)):  # a source lists its batches with the session that made it; else each file is a task
+        query = source.writeStream.option("checkpointLocation", f"{root}/checkpoint").option("path", f"{root}/table").outputMode("append").trigger(availableNow=True).toTable(name)
+        query.awaitTermination()
     spark.sql(f"DROP TABLE {name}")  # its files stay
     return spark.read.schema(source.schema).parquet(f"{root}/table")
