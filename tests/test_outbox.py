@@ -10,6 +10,7 @@ import pytest
 
 from pyspark.sql import functions as F
 
+from vigilake.plans import catalog
 from vigilake.streaming import outbox
 
 MAILS = "mail_id string, mail_to string, mail_subject string, mail_body string, alerts long"
@@ -109,3 +110,32 @@ def test_digest_lists_every_alert_once_newest_first(spark, tmp_path, folder):
     write(alerts(spark, 0), 1)
     write(alerts(spark, 1), 2)
     assert len(folder.got()) == 11 and any(s == "1 high-value transaction alert" for _, s, _ in folder.got())
+
+
+def test_a_mail_of_many_pieces_is_one_job_of_executors(spark, tmp_path, folder, monkeypatch):
+    """A digest of 2,501 alerts in one mail: three pieces in order, one wave although a wave is of ten alerts."""
+    box = outbox.Outbox(spark, str(tmp_path / "box"), folder, wave=10)
+    jobs, real = [], outbox.partial
+    monkeypatch.setattr(outbox, "partial", lambda *given: jobs.append(given) or real(*given))
+    batch = alerts(spark, 2501)
+    box.digest("ops@x", mail_rows=1 << 40)(batch, 0)
+    ((to, subject, body),) = folder.got()
+    want = [r.alert_id for r in batch.orderBy(F.desc("transaction_timestamp"), "alert_id").collect()]
+    assert (to, subject, len(jobs)) == ("ops@x", "2501 high-value transaction alerts", 1)
+    assert [f"<{c.split('<')[0]}" for c in body.replace("&lt;", "\0").split("\0")[1:]] == want
+    assert [r.alerts for r in box.journal().collect()] == [2501]
+
+
+def test_alerts_are_joined_once_for_all_turns(spark, tmp_path):
+    """Each turn reads what was joined, however often a batch comes."""
+    counted = spark.sparkContext.accumulator(0)
+
+    def run(batches):
+        for b in batches:
+            counted.add(b.num_rows)
+            yield b
+
+    rows = spark.range(30, numPartitions=2).selectExpr("cast(id as string) AS transaction_id").mapInArrow(run, "transaction_id string")
+    got = []
+    catalog._sent(spark, rows, lambda batch, k: got.append(batch.count()), times=2)
+    assert sum(got) == 60 and counted.value == 30

@@ -26,6 +26,8 @@ log = logging.getLogger(__name__)
 #: alerts: how many a mail tells of. outcome: sent, failed or skipped (no address, or sent already).
 JOURNAL = "mail_id string, mail_to string, mail_subject string, alerts long, outcome string"
 _COLUMNS = ["mail_id", "mail_to", "mail_subject", "alerts", "outcome"]
+#: Rows of a digest that are put together at a time.
+PIECE = 1000
 _PLACES = (1 << 33) - 1  # monotonically_increasing_id() counts a partition's rows in its low 33 bits
 
 
@@ -84,11 +86,15 @@ class Outbox:
             total = parts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
             before = parts.select("part", (F.sum("n").over(W.orderBy("part")) - F.col("n")).alias("before"))
             number = F.col("before") + F.col("place")
-            listed = rows.join(F.broadcast(before), "part").groupBy(F.floor(number / mail_rows).alias("page")).agg(F.array_sort(F.collect_list(F.struct(number.alias("at"), "row"))).alias("rows"))
+            # Rows meet in pieces of a mail first, so that a mail of any length is put together from a few texts.
+            placed = rows.join(F.broadcast(before), "part").select(number.alias("at"), "row")
+            pieces = placed.groupBy(F.expr(f"at div {mail_rows}").alias("page"), F.expr(f"at % {mail_rows} div {PIECE}").alias("piece")).agg(F.array_sort(F.collect_list(F.struct("at", "row"))).alias("rows"))
+            pieces = pieces.select("page", "piece", F.size("rows").cast("long").alias("n"), F.array_join(F.transform("rows", lambda r: r["row"]), "").alias("text"))
+            listed = pieces.groupBy("page").agg(F.array_sort(F.collect_list(F.struct("piece", "text"))).alias("pieces"), F.sum("n").alias("n"))
             mails = -(-total // mail_rows)
             subject = [F.lit(render.digest_subject(total))] + ([F.lit(" ("), F.col("page") + 1, F.lit(f" of {mails})")] if mails > 1 else [])
-            body = F.concat(F.lit(f"<table>{render.DIGEST_HEAD}"), F.array_join(F.transform("rows", lambda r: r["row"]), ""), F.lit("</table>"))
-            self.send(listed.select(F.concat_ws("-", F.lit("DIGEST"), F.lit(batch_id), "page").alias("mail_id"), F.lit(recipient).alias("mail_to"), F.concat(*subject).alias("mail_subject"), body.alias("mail_body"), F.size("rows").cast("long").alias("alerts")), batch_id)
+            body = F.concat(F.lit(f"<table>{render.DIGEST_HEAD}"), F.array_join(F.transform("pieces", lambda r: r["text"]), ""), F.lit("</table>"))
+            self.send(listed.select(F.concat_ws("-", F.lit("DIGEST"), F.lit(batch_id), "page").alias("mail_id"), F.lit(recipient).alias("mail_to"), F.concat(*subject).alias("mail_subject"), body.alias("mail_body"), F.col("n").alias("alerts")), batch_id)
             storage.delete(spark, staged)
 
         return write
@@ -99,7 +105,8 @@ class Outbox:
         done = mails.sparkSession.read.schema(JOURNAL).parquet(at).filter("outcome <> 'failed'").select("mail_id").distinct()
         left = mails.join(done, "mail_id", "left_anti").persist()
         try:
-            waves = -(-(left.agg(F.sum("alerts")).first()[0] or 0) // self.wave)
+            alerts, n_mails = left.agg(F.coalesce(F.sum("alerts"), F.lit(0)), F.count(F.lit(1))).first()
+            waves = min(-(-alerts // self.wave), n_mails)
             for k in range(waves):
                 due = left.filter(F.pmod(F.xxhash64("mail_id"), F.lit(waves)) == k)
                 sent = due.repartition(self.connections, "mail_id").sortWithinPartitions("mail_id").mapInPandas(partial(_deliver, self.notifier), JOURNAL)
