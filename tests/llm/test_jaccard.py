@@ -92,3 +92,33 @@ def test_shared_keys_are_never_lost(spark, monkeypatch, size):
     copies = len(sets) - len({s.tobytes() for s in sets})
     assert copies and len(got) < 0.7 * len(owners)
     assert jaccard.shared_bits(docs.limit(0), 0).any() == False  # noqa: E712
+
+
+def test_parities_differ_in_no_more_bits_than_sets_in_shingles():
+    r = np.random.default_rng(5)
+    for n in [0, 1, 2, 5, 40, 400, 3000] * 20:
+        a = np.unique(r.integers(0, 1 << 64, n, np.uint64))
+        b = np.unique(np.concatenate((r.permutation(a)[int(r.integers(0, n + 1)) :], r.integers(0, 1 << 64, int(r.integers(0, n + 1)), np.uint64))))
+        bits = sum(int(x).bit_count() for x in (jaccard.parities(a) ^ jaccard.parities(b)).view(np.uint64))
+        assert bits <= len(np.setxor1d(a, b))
+
+
+def test_crowd_that_is_not_similar_makes_few_candidates(spark, monkeypatch):
+    """Copies of one text at a similarity of some 0.6 to one another: hardly any pair is verified, the similar ones all are linked."""
+    r = np.random.default_rng(7)
+    base = [f"b{x}" for x in range(150)]
+    texts = {}
+    for i in range(400):
+        copy = list(base)
+        for at in r.choice(150, 7, replace=False):
+            copy[at] = f"c{r.integers(0, 1 << 40)}"
+        texts[i] = " ".join(copy)
+    for i in range(20):
+        texts[1000 + i] = texts[i] + " more"
+    verified = []
+    similar = jaccard._similar
+    monkeypatch.setattr(jaccard, "_similar", lambda pairs, own: verified.append(pairs.count()) or similar(pairs, own))
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(3)
+    root, links = brute(texts)
+    assert {x.doc_id: x.component_id for x in jaccard.near_duplicates(df).collect()} == root
+    assert 20 <= len(links) and sum(verified) < 4 * len(texts)

@@ -7,8 +7,9 @@ there are hangs on the size: sizes go in classes that grow by a quarter, and eac
 own class and the next greater one, and for those with the next smaller one.
 
 Pairs that share a key are told apart by their sets' 128-bit SimHash first: sets of LARGE shingles and more that are
-similar differ in some 19 bits, and a pair is let go above FAR, seven deviations on. The others are verified by their
-sets. A bucket's hub is the set that meets most others in all of its buckets, as what near copies were copied from does.
+similar differ in some 19 bits, and a pair is let go above FAR, seven deviations on. So is one whose parities say that the
+sets differ too much: shingles are dealt to 64 * PARITIES bits, and sets that differ in n of them differ in n bits at most.
+The others are verified by their sets. A bucket's hub is the set that meets most others in all of its buckets, as what near copies were copied from does.
 Each set is held against the first hub of its buckets, STARS times, each time one that it is not connected to yet. Then, in
 buckets that are still not connected, all that lie apart are held against each other. In one of more than CROWD sets, only
 those take part whose crowded keys are as many as similar sets must share: others meet their like in smaller buckets. Such
@@ -44,6 +45,9 @@ REMEMBERED = 1 << 20
 FILTER_BITS, RANGE, PACKED = 27, 2_000_000, 5
 #: Sets of at least LARGE shingles are not compared if their SimHashes differ in more than FAR of 128 bits.
 LARGE, FAR = 16, 48
+#: Words of 64 bits, each of which tells whether a set has an odd number of the shingles dealt to it.
+PARITIES = 8
+_ODD = [f"odd{i}" for i in range(PARITIES)]
 #: Sets of a bucket that are all compared if need be, and rounds of comparisons with hubs before.
 CROWD, STARS = 64, 2
 _LEAST = [1]
@@ -92,6 +96,12 @@ def sketch(grams: np.ndarray) -> tuple[int, int]:
     return tuple(np.packbits(ones * 2 > len(grams)).view(np.int64).tolist())
 
 
+def parities(grams: np.ndarray) -> np.ndarray:
+    """PARITIES signed numbers; those of two sets differ in no more bits than the sets have shingles that the other lacks."""
+    odd = np.bincount(((grams >> np.uint64(16)) & np.uint64(64 * PARITIES - 1)).astype(np.int64), minlength=64 * PARITIES) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def shingle_sets(texts: list[str | None], shingle: int = SHINGLE) -> list[np.ndarray]:
     """For each text, the sorted distinct hashes of its shingles (of all its words, if it has fewer than that)."""
     grams, sizes = hash_shingles(*hash_words(texts, SPACE), shingle)
@@ -131,7 +141,7 @@ def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """doc_id, fp (hash of the set of shingles), size, must (must_share()), lo, hi (sketch()), for each row of docs (doc_id, text)."""
+    """doc_id, fp (hash of the set of shingles), size, must (must_share()), lo, hi (sketch()), odd0 and so on (parities()), for each row of docs (doc_id, text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         some = _Sets(shingle)
@@ -139,9 +149,10 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
             fps, sets = some.of(b.column(1))
             lo, hi = zip(*map(sketch, sets))
             sizes = [len(x) for x in sets]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps), pa.array(sizes, pa.int32()), pa.array(map(must_share, sets), pa.int32()), pa.array(lo, pa.int64()), pa.array(hi, pa.int64())], ["doc_id", "fp", "size", "must", "lo", "hi"])
+            odd = [pa.array(x) for x in np.array([parities(x) for x in sets]).T]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps), pa.array(sizes, pa.int32()), pa.array(map(must_share, sets), pa.int32()), pa.array(lo, pa.int64()), pa.array(hi, pa.int64()), *odd], ["doc_id", "fp", "size", "must", "lo", "hi", *_ODD])
 
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, fp long, size int, must int, lo long, hi long")
+    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, fp long, size int, must int, lo long, hi long, " + ", ".join(f"{x} long" for x in _ODD))
 
 
 def _ranges(keys: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
@@ -228,12 +239,12 @@ def _own_sets(docs: DataFrame, fps: DataFrame, shingle: int) -> DataFrame:
     return materialize(every.join(F.broadcast(fps) if few else fps, "fp", "left_semi").dropDuplicates(["fp"]), "own_sets")
 
 
-#: Whether sets p and q (size, lo, hi) may be similar.
-MAY = f"5 * least(p.size, q.size) >= 4 * greatest(p.size, q.size) AND (least(p.size, q.size) < {LARGE} OR bit_count(p.lo ^ q.lo) + bit_count(p.hi ^ q.hi) <= {FAR})"
+#: Whether sets p and q (size, lo, hi, parities) may be similar.
+MAY = f"9 * ({' + '.join(f'bit_count(p.{x} ^ q.{x})' for x in _ODD)}) <= p.size + q.size AND 5 * least(p.size, q.size) >= 4 * greatest(p.size, q.size) AND (least(p.size, q.size) < {LARGE} OR bit_count(p.lo ^ q.lo) + bit_count(p.hi ^ q.hi) <= {FAR})"
 
 
 def _maybe(pairs: DataFrame, known: DataFrame) -> DataFrame:
-    """Those of the pairs a, b whose sizes and sketches allow a similarity of 0.8; a table."""
+    """Those of the pairs a, b whose sizes, sketches and parities allow a similarity of 0.8; a table."""
     both = pairs.join(known.alias("p"), F.col("a") == F.col("p.fp")).join(known.alias("q"), F.col("b") == F.col("q.fp"))
     return materialize(both.filter(MAY).select("a", "b"), "candidates")
 
@@ -254,7 +265,7 @@ def _split(rows: DataFrame, roots: DataFrame) -> DataFrame:
 
 
 def _meet(rows: DataFrame, where: str) -> DataFrame:
-    """a, b: pairs of rows (fp, root, size, lo, hi) that are not connected and may be similar, where the condition on p and q holds."""
+    """a, b: pairs of rows (fp, root, size, lo, hi, parities) that are not connected and may be similar, where the condition on p and q holds."""
     met = rows.alias("p").join(rows.alias("q"), F.expr(f"{where} AND p.root > q.root AND {MAY}"))
     return met.select(F.col("p.fp").alias("a"), F.col("q.fp").alias("b"))
 
@@ -266,7 +277,7 @@ def _ends(pairs: DataFrame) -> DataFrame:
 def links(docs: DataFrame, known: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """a, b: links enough to connect all different sets of docs' texts (by their hashes) of a similarity of 0.8 or more.
 
-    known: fp, size, must, lo, hi, a row for each set. Texts are never written: their sets are hashed anew where they are
+    known: fp, size, must, lo, hi, parities, a row for each set. Texts are never written: their sets are hashed anew where they are
     needed, and what is shuffled is a few bytes of each key, to find those that several sets may share, and then those keys."""
     shingles = known.agg(F.sum(F.col("size").cast("long"))).first()[0] or 0
     rows = materialize(_dealt(docs, shared_bits(docs, shingles // 2, shingle), shingle), "rows")
@@ -320,7 +331,7 @@ def links(docs: DataFrame, known: DataFrame, shingle: int = SHINGLE) -> DataFram
     crowd = materialize(crowd.select("key", "fp", "hub").join(deltas.drop("new"), ["fp", "hub"]), "crowd")
     # As many new shingles of a set as similar ones may lack, and one more.
     few = F.slice("new", F.lit(1), F.expr("least(n_new, cast(size / 4 as int) + 1)"))
-    news = materialize(deltas.select("hub", F.explode(few).alias("key"), "fp", "root", "size", "lo", "hi"), "news")
+    news = materialize(deltas.select("hub", F.explode(few).alias("key"), "fp", "root", "size", "lo", "hi", *_ODD), "news")
     apart = "9 * (p.n_new + q.n_new + abs(p.n_gone - q.n_gone)) <= p.size + q.size"
     rest = _meet(calm, "p.key = q.key").unionByName(_meet(crowd, f"p.key = q.key AND {apart}")).unionByName(_meet(news, "p.hub = q.hub AND p.key = q.key"))
     rest = materialize(rest.distinct(), "rest")
@@ -339,5 +350,5 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     and link to one another. Repeated rows stay; a null doc_id is linked but names no component unless all of one are null."""
     docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     rows = materialize(fingerprints(docs, shingle), "fingerprints")
-    known = materialize(rows.select("fp", "size", "must", "lo", "hi").dropDuplicates(["fp"]), "known")
+    known = materialize(rows.select("fp", "size", "must", "lo", "hi", *_ODD).dropDuplicates(["fp"]), "known")
     return name_components(rows, links(docs, known, shingle))
