@@ -205,6 +205,31 @@ def test_scores_in_event_time(spark):
     assert kept.count() == 0
 
 
+def test_customers_of_a_group_are_scored_apart(spark):
+    """Two customers whose rows are mixed share one group, one set of state calls and one row of state."""
+    rows = scored_rows(30) + scored_rows(30, "B")
+    turns = [{"t": spark.createDataFrame(rows[k::2], SCORED)} for k in range(2)] + [{"t": spark.createDataFrame(scored_rows(1, "Z", at(9)), SCORED)}]
+    run = replay.in_turns(spark, {"t": turns[0]["t"].schema}, lambda t: stateful.score_stream(t, delay="5 minutes", groups=1), turns)
+    want = scoring.fraud_scores(scoring.rule_flags(spark.createDataFrame(rows, SCORED)))
+    names = sorted(want.columns)
+    assert sorted(map(str, run.out().select(names).collect())) == sorted(map(str, want.select(names).collect()))
+    kept = spark.read.format("statestore").option("stateVarName", "past").load(run.checkpoint)
+    assert kept.count() == 1
+
+
+def test_state_has_few_parts(spark):
+    before = spark.conf.get(replay.PARTS)
+    spark.conf.set(replay.PARTS, "50")
+    try:
+        t = spark.createDataFrame([(at(m),) for m in range(10)], "transaction_timestamp timestamp")
+        run = replay.in_turns(spark, {"t": t.schema}, lambda x: windows.per_minute(x, watermark="1 minute"), [{"t": t}])
+        assert spark.conf.get(replay.PARTS) == "50"
+    finally:
+        spark.conf.set(replay.PARTS, before)
+    assert run.query.recentProgress[-1]["stateOperators"][0]["numShufflePartitions"] == replay.PARTS_A_CORE * spark.sparkContext.defaultParallelism
+    assert run.out().count() == 8
+
+
 def test_measures_count_each_batch_once(spark, tmp_path):
     from vigilake.operators import expectations as E
     from vigilake.streaming import keyed, measures

@@ -13,6 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 from vigilake import storage
 from vigilake.session import scratch_path
 
+PARTS = "spark.sql.shuffle.partitions"
 PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 
 
@@ -31,6 +32,19 @@ def _set(spark: SparkSession, key: str, value: str) -> Iterator[None]:
         spark.conf.set(key, before)
 
 
+#: Tasks, and parts of a stream's state, that a core gets.
+PARTS_A_CORE = 2
+
+
+def few_parts(spark: SparkSession):
+    """For streams that start inside: state in a few parts a core, where the session would have it in more.
+
+    Each part is a store that is opened and committed in each micro-batch whether it has rows or not. The number is kept with the
+    checkpoint from the first batch on; parts grow with the rows a core has."""
+    given = int(spark.conf.get(PARTS))
+    return _set(spark, PARTS, str(min(given, PARTS_A_CORE * spark.sparkContext.defaultParallelism)))
+
+
 def rocksdb(spark: SparkSession):
     """For queries that start inside: state that may be larger than memory, and that has timers and lists."""
     return _set(spark, PROVIDER, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
@@ -58,7 +72,8 @@ class Replay:
         writer = self.frame.writeStream.outputMode(self.mode).option("checkpointLocation", self.checkpoint).trigger(processingTime="0 seconds")
         writer = writer.queryName(self.name) if self.name else writer
         writer = writer.foreachBatch(self.write) if self.write else writer.format("parquet").option("path", f"{self.root}/out")
-        self.query = writer.start()
+        with few_parts(self.spark):
+            self.query = writer.start()
 
     def arrive(self, turn: dict[str, DataFrame]) -> None:
         """Rows of some inputs come in; the query takes them, if it runs."""

@@ -1,6 +1,6 @@
 """Scoring a stream: the state of a customer is the times and cities of the last transactions.
 
-In event time a customer's rows wait until the watermark has passed them, and are then taken in order of time and seq, so that
+In event time customers are dealt to groups, and their rows wait until the watermark has passed them, and are then taken in order of time and seq, so that
 the result is that of the batch version whatever order they come in; late ones are dropped by the watermark. A customer who
 goes quiet has no state once the watermark is further on than any rule looks back, which changes no result. Without a
 delay rows are scored as they come: in order within a batch, and equal to the batch version where time does not run back
@@ -58,63 +58,68 @@ class _History(StatefulProcessor):
 
 
 class _InOrder(StatefulProcessor):
-    """Rows wait in `open` until a timer of the watermark; `past` has the last rows that were taken. A state call is a trip to the JVM, so each is made once."""
+    """The customers of a group: rows wait in `open` until a timer of the watermark; `past` has each one's last rows that were taken.
+
+    A state call is a trip to the JVM, so each is made once for all customers of a group."""
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.past = handle.getValueState("past", "rows array<struct<us:bigint,city:string>>")
-        self.open = handle.getListState("open", "us long, seq long, city string, amount double, row string")
+        self.past = handle.getValueState("past", "rows array<struct<customer:string,us:bigint,city:string>>")
+        self.open = handle.getListState("open", "customer string, us long, seq long, city string, amount double, row string")
 
     def _wake(self, us: int) -> None:
         self.handle.registerTimer(-(-us // 1000))
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        came = [(r.us, r.seq, r.city, r.amount, r.row) for r in rows]
+        came = [(r.customer_id, r.us, r.seq, r.city, r.amount, r.row) for r in rows]
         if came:
             self.open.appendList(came)
-            self._wake(min(r[0] for r in came))
+            self._wake(min(r[1] for r in came))
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         until = timerValues.getCurrentWatermarkInMs() * 1000
         waiting = list(self.open.get())
-        due = sorted((r for r in waiting if r[0] <= until), key=lambda r: (r[0], r[1] is not None, r[1] or 0))
-        if waiting and not due:
-            return  # a timer whose rows went with an earlier one
+        due = sorted((r for r in waiting if r[1] <= until), key=lambda r: (r[1], r[2] is not None, r[2] or 0))
         found = self.past.get()
-        past = [(us, city) for us, city in found[0]] if found else []
-        if due:
-            for us, _, city, amount, row in due:
-                yield Row(row=row, **dict(zip(_BACK, _look_back(past, us, city, amount))))
-                past = [*past, (us, city)][-LOOK_BACK:]
-            self.past.update((past,))
-            if len(due) < len(waiting):
-                rest = [r for r in waiting if r[0] > until]
-                self.open.put(rest)
-                self._wake(min(r[0] for r in rest))
-            else:
-                self.open.clear()
-                self._wake(past[-1][0] + HORIZON_US + 1)
-        elif past and until > past[-1][0] + HORIZON_US:
+        past: dict[str, list[tuple[int, str | None]]] = {}
+        for customer, us, city in found[0] if found else []:
+            past.setdefault(customer, []).append((us, city))
+        for customer, us, _, city, amount, row in due:
+            own = past.get(customer, [])
+            yield Row(row=row, **dict(zip(_BACK, _look_back(own, us, city, amount))))
+            past[customer] = [*own, (us, city)][-LOOK_BACK:]
+        kept = {c: own for c, own in past.items() if until <= own[-1][0] + HORIZON_US}
+        if not due and len(kept) == len(past):
+            return  # a timer whose rows went with an earlier one
+        if kept:
+            self.past.update(([(c, us, city) for c, own in kept.items() for us, city in own],))
+        elif found:
             self.past.clear()
+        rest = [r for r in waiting if r[1] > until]
+        if due:
+            self.open.put(rest) if rest else self.open.clear()
+        if wake := [r[1] for r in rest] + [own[-1][0] + HORIZON_US + 1 for own in kept.values()]:
+            self._wake(min(wake))
 
     def close(self) -> None:
         pass
 
 
-def score_stream(transactions: DataFrame, forced=None, seed: int = 42, delay: str | None = None) -> DataFrame:
+def score_stream(transactions: DataFrame, forced=None, seed: int = 42, delay: str | None = None, groups: int = 4096) -> DataFrame:
     """Scores of a stream that has the columns rule_flags() needs (customer and merchant already looked up).
 
     delay: rows are scored in event time, and may come that much out of order; each comes out once the watermark has
-    passed it. Rows without customer or time are left out: there is no history to hold them against. State needs the
+    passed it. groups: into so many customers are dealt then, to be handled group by group: what a batch costs in trips to the
+    state grows with them, not with customers, and a task holds the open rows of one. Rows without customer or time are left out: there is no history to hold them against. State needs the
     RocksDB provider (spark.sql.streaming.stateStore.providerClass)."""
     plain = transactions.filter("customer_id IS NOT NULL AND transaction_timestamp IS NOT NULL")
     timed = plain.withColumn("us", F.unix_micros("transaction_timestamp"))
     if delay:
         # The row itself waits as text; what the rules need stands beside it.
         as_text = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "ignoreNullFields": "false"}
-        rows = timed.withWatermark("transaction_timestamp", delay).select("customer_id", "transaction_timestamp", "us", F.col("seq").cast("long").alias("seq"), "city", F.col("amount").cast("double").alias("amount"), F.to_json(F.struct(*plain.columns), as_text).alias("row"))
-        taken = rows.groupBy("customer_id").transformWithState(_InOrder(), "row string, " + ", ".join(f"{c} boolean" for c in _BACK), "Append", "EventTime")
+        rows = timed.withWatermark("transaction_timestamp", delay).select(F.pmod(F.xxhash64("customer_id"), F.lit(groups)).alias("group"), "customer_id", "transaction_timestamp", "us", F.col("seq").cast("long").alias("seq"), "city", F.col("amount").cast("double").alias("amount"), F.to_json(F.struct(*plain.columns), as_text).alias("row"))
+        taken = rows.groupBy("group").transformWithState(_InOrder(), "row string, " + ", ".join(f"{c} boolean" for c in _BACK), "Append", "EventTime")
         flagged = taken.select(F.inline(F.array(F.from_json("row", plain.schema, as_text))), *_BACK)
     else:
         schema = T.StructType([*timed.schema.fields, *[T.StructField(c, T.BooleanType()) for c in _BACK]])
