@@ -22,6 +22,7 @@ from pyspark.sql.streaming import StreamingQuery
 from vigilake import storage
 from vigilake.plans.registry import Dataset, Registry
 from vigilake.sources.snapshots import Snapshots
+from vigilake.streaming import replay
 
 log = logging.getLogger(__name__)
 
@@ -135,7 +136,8 @@ class Pipeline:
         """Starts all queries and the supervisor; or, if not continuous, runs each one, after those it reads, to the end of what is there."""
         self._stopping.clear()
         for name, start in self._starts.items():
-            self.queries[name] = start(not self.settings.continuous)
+            with replay.few_parts(self.spark):
+                self.queries[name] = start(not self.settings.continuous)
             if not self.settings.continuous:
                 self.queries[name].awaitTermination()
                 self._refresh(name)
