@@ -122,3 +122,25 @@ def test_crowd_that_is_not_similar_makes_few_candidates(spark, monkeypatch):
     root, links = brute(texts)
     assert {x.doc_id: x.component_id for x in jaccard.near_duplicates(df).collect()} == root
     assert 20 <= len(links) and sum(verified) < 4 * len(texts)
+
+
+def test_simhash_blocks_link_what_is_close_before_sets_are_dealt(spark, monkeypatch):
+    """No key of the sets passes the filter, so all links come by blocks of fingerprints: those of similar sets at up to four bits."""
+    r = np.random.default_rng(8)
+    word = lambda n: [f"w{x}" for x in r.integers(0, 9000, n)]
+    texts = {}
+    for n in (40, 200, 600):
+        for _ in range(6):
+            base = word(n)
+            for k in (0, 1, 1, 2, 3):
+                copy = list(base)
+                for at in r.integers(0, n, k):
+                    copy[at] = "changed"
+                texts[len(texts)] = " ".join(copy)
+    value = {i: jaccard.sketch(x)[0] for i, x in enumerate(jaccard.shingle_sets([*texts.values()]))}
+    links = brute(texts)[1]
+    close = [(a, b) for a, b in links if ((value[a] ^ value[b]) & (1 << 64) - 1).bit_count() <= 4]
+    assert 30 < len(close) < len(links)
+    monkeypatch.setattr(jaccard, "shared_bits", lambda *given: np.zeros(1 << (jaccard.FILTER_BITS - 3), np.uint8))
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(3)
+    assert {x.doc_id: x.component_id for x in jaccard.near_duplicates(df).collect()} == classes(close, set(texts))

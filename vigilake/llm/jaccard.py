@@ -1,6 +1,10 @@
 """Near-duplicates by word shingles: all documents whose sets of SHINGLE-word shingles have a Jaccard similarity of
 at least 0.8 are linked.
 
+First come operator 2's candidates: 64-bit SimHashes of the sets, pigeonhole blocks, a join on blocks, the Hamming distance.
+Pairs at MAX_BITS or fewer are verified by their sets, and what they connect is not compared again. Similar sets may be further
+apart than that (at 0.8 by 10 of 64 bits on average), so an exact way for the rest follows, by blocks of the sets themselves.
+
 Sets of sizes a and b that are so similar differ in at most (a + b) / 9 shingles. Shingles are dealt by their hash
 to more parts than that, so some parts at least are equal in both; the hash of a part is a join key. How many parts
 there are hangs on the size: sizes go in classes that grow by a quarter, and each set gives keys for the pairs with its
@@ -10,7 +14,7 @@ Pairs that share a key are told apart by their sets' 128-bit SimHash first: sets
 similar differ in some 19 bits, and a pair is let go above FAR, seven deviations on. So is one whose parities say that the
 sets differ too much: shingles are dealt to 64 * PARITIES bits, and sets that differ in n of them differ in n bits at most.
 The others are verified by their sets. A bucket's hub is the set that meets most others in all of its buckets, as what near copies were copied from does.
-Each set is held against the first hub of its buckets, STARS times, each time one that it is not connected to yet. Then, in
+Each set is held against the first hub of its buckets that it is not connected to yet, STARS times. Then, in
 buckets that are still not connected, all that lie apart are held against each other. In one of more than CROWD sets, only
 those take part whose crowded keys are as many as similar sets must share: others meet their like in smaller buckets. Such
 sets are told apart by what they have that a hub of hubs has not: either two of them share a shingle of that, which is a key
@@ -33,7 +37,8 @@ from xxhash import xxh64_intdigest
 
 from vigilake.llm.common import drop, materialize
 from vigilake.llm.graph import components
-from vigilake.llm.simhash import name_components
+from vigilake.llm.simhash import MAX_BITS, name_components
+from vigilake.llm.simhash import links as near_values
 from vigilake.llm.word_hash import MIX, SPACE, hash_shingles, hash_words, mix
 
 SHINGLE = 5
@@ -48,8 +53,8 @@ LARGE, FAR = 16, 48
 #: Words of 64 bits, each of which tells whether a set has an odd number of the shingles dealt to it.
 PARITIES = 8
 _ODD = [f"odd{i}" for i in range(PARITIES)]
-#: Sets of a bucket that are all compared if need be, and rounds of comparisons with hubs before.
-CROWD, STARS = 64, 2
+#: Sets of a bucket that are all compared if need be, and rounds of comparisons with hubs before, behind the one by SimHash.
+CROWD, STARS = 64, 1
 _LEAST = [1]
 while _LEAST[-1] < 1 << 40:
     _LEAST.append(_LEAST[-1] * 5 // 4 + 1)
@@ -209,7 +214,7 @@ def shared_bits(docs: DataFrame, n_keys: int, shingle: int = SHINGLE) -> np.ndar
 
 
 def _dealt(docs: DataFrame, shared: np.ndarray, shingle: int) -> DataFrame:
-    """key, fp: the part keys of each set that may be another's too; rows may repeat."""
+    """key, fp: the part keys of each set that may be another's too; rows may repeat. given: the broadcast that its tasks read."""
     given = docs.sparkSession.sparkContext.broadcast(shared)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -222,11 +227,13 @@ def _dealt(docs: DataFrame, shared: np.ndarray, shingle: int) -> DataFrame:
             maybe = (bits[(place >> np.uint64(3)).astype(np.int64)] >> (place & np.uint64(7)).astype(np.uint8)) & 1 > 0
             yield pa.RecordBatch.from_arrays([pa.array(every[maybe].view(np.int64)), pa.array(owner[maybe])], ["key", "fp"])
 
-    return docs.select("text").mapInArrow(run, "key long, fp long")
+    out = docs.select("text").mapInArrow(run, "key long, fp long")
+    out.given = given
+    return out
 
 
-def _own_sets(docs: DataFrame, fps: DataFrame, shingle: int) -> DataFrame:
-    """fp, grams: the sets that fps (fp) names, one row each."""
+def _own_sets(docs: DataFrame, pairs: DataFrame, shingle: int) -> DataFrame:
+    """fp, grams: the sets that pairs (a, b; a table) name, one row each."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sets = _Sets(shingle)
@@ -234,7 +241,8 @@ def _own_sets(docs: DataFrame, fps: DataFrame, shingle: int) -> DataFrame:
             found, grams = sets.first(b.column(0))
             yield pa.RecordBatch.from_arrays([pa.array(found), _lists(grams)], ["fp", "grams"])
 
-    few = fps.count() < BROADCAST
+    fps = pairs.select(F.explode(F.array("a", "b")).alias("fp")).distinct()
+    few = 2 * pairs.count() < BROADCAST
     every = docs.select("text").mapInArrow(run, "fp long, grams array<long>")
     return materialize(every.join(F.broadcast(fps) if few else fps, "fp", "left_semi").dropDuplicates(["fp"]), "own_sets")
 
@@ -270,8 +278,15 @@ def _meet(rows: DataFrame, where: str) -> DataFrame:
     return met.select(F.col("p.fp").alias("a"), F.col("q.fp").alias("b"))
 
 
-def _ends(pairs: DataFrame) -> DataFrame:
-    return materialize(pairs.select(F.explode(F.array("a", "b")).alias("fp")).distinct(), "ends")
+def by_simhash(known: DataFrame, bits: int = MAX_BITS) -> DataFrame:
+    """a, b: pairs of sets (fp) whose 64-bit SimHashes (lo) are linked by operator 2's blocks: those at `bits` or fewer bits, or enough
+    of them to connect all of these. A value of several sets stands for the least one, to which the others are paired."""
+    sets = known.filter("size > 0")
+    values = materialize(sets.groupBy("lo").agg(F.min("fp").alias("first"), F.count(F.lit(1)).alias("n")), "values")
+    same = sets.join(values.filter("n > 1"), "lo").filter("fp <> first").select(F.col("first").alias("a"), F.col("fp").alias("b"))
+    ends = [values.select(F.col("lo").alias(n), F.col("first").alias(f"first_{n}")) for n in ("a", "b")]
+    close = near_values(values.select(F.col("lo").alias("fp")), bits).join(ends[0], "a").join(ends[1], "b").select(F.col("first_a").alias("a"), F.col("first_b").alias("b"))
+    return same.unionByName(close)
 
 
 def links(docs: DataFrame, known: DataFrame, shingle: int = SHINGLE) -> DataFrame:
@@ -279,8 +294,19 @@ def links(docs: DataFrame, known: DataFrame, shingle: int = SHINGLE) -> DataFram
 
     known: fp, size, must, lo, hi, parities, a row for each set. Texts are never written: their sets are hashed anew where they are
     needed, and what is shuffled is a few bytes of each key, to find those that several sets may share, and then those keys."""
+
+    def verified(pairs: DataFrame) -> DataFrame:
+        own = _own_sets(docs, pairs, shingle)
+        some = _similar(pairs, own)
+        drop(own)
+        return some
+
+    found = verified(_maybe(by_simhash(known), known))
+    roots = materialize(components(found), "roots")
     shingles = known.agg(F.sum(F.col("size").cast("long"))).first()[0] or 0
-    rows = materialize(_dealt(docs, shared_bits(docs, shingles // 2, shingle), shingle), "rows")
+    dealt = _dealt(docs, shared_bits(docs, shingles // 2, shingle), shingle)
+    rows = materialize(dealt, "rows")
+    dealt.given.destroy()
     of = rows.groupBy("key").agg(F.min("fp").alias("low"), F.max("fp").alias("high"), F.count(F.lit(1)).alias("n")).filter("low < high")
     shared = materialize(rows.join(materialize(of.select("key", "n"), "sizes"), "key"), "buckets")
     drop(rows)
@@ -290,19 +316,14 @@ def links(docs: DataFrame, known: DataFrame, shingle: int = SHINGLE) -> DataFram
     drop(shared)
     shared = materialize(scored.join(hubs, "key").select("key", "fp", "n", "hub"), "buckets")
     drop(scored)
-    found, roots, named = None, None, shared.filter("fp <> hub.fp")
     for _ in range(STARS):
         # One pair a set: with the first hub that it is not connected to.
-        star = named.groupBy("fp").agg(F.max("hub").alias("hub")).select(F.least("hub.fp", "fp").alias("a"), F.greatest("hub.fp", "fp").alias("b"))
-        star = _maybe(star.distinct(), known)
-        own = _own_sets(docs, _ends(star), shingle)
-        some = _similar(star, own)
-        drop(own)
-        found = some if found is None else materialize(found.unionByName(some), "found")
-        roots = materialize(components(found), "roots")
         ends = [roots.select(F.col("node").alias(n), F.col("root").alias(f"root_{n}")) for n in ("fp", "hub_fp")]
-        named = shared.withColumn("hub_fp", F.col("hub.fp")).join(ends[0], "fp", "left").join(ends[1], "hub_fp", "left")
+        named = shared.withColumn("hub_fp", F.col("hub.fp")).filter("fp <> hub_fp").join(ends[0], "fp", "left").join(ends[1], "hub_fp", "left")
         named = named.filter(F.coalesce("root_fp", "fp") != F.coalesce("root_hub_fp", "hub_fp"))
+        star = named.groupBy("fp").agg(F.max("hub").alias("hub")).select(F.least("hub.fp", "fp").alias("a"), F.greatest("hub.fp", "fp").alias("b"))
+        found = materialize(found.unionByName(verified(_maybe(star.distinct(), known))), "found")
+        roots = materialize(components(found), "roots")
     # Sets that crowded buckets can't be spared for: they may have no smaller one in common with their like.
     crowded = shared.filter(F.col("n") > CROWD).groupBy("fp").agg(F.count(F.lit(1)).alias("keys"))
     stuck = materialize(crowded.join(known, "fp").filter("keys >= must").select("fp"), "stuck")
@@ -322,7 +343,7 @@ def links(docs: DataFrame, known: DataFrame, shingle: int = SHINGLE) -> DataFram
     drop(shared)
     # Two sets of a crowded bucket have new shingles in common, that a hub lacks, or differ in all of both's new ones.
     of_hub = materialize(crowd.select("fp", "hub").distinct(), "of_hub")
-    own = _own_sets(docs, materialize(of_hub.select(F.explode(F.array("fp", "hub")).alias("fp")).distinct(), "ends"), shingle)
+    own = _own_sets(docs, of_hub.select(F.col("fp").alias("a"), F.col("hub").alias("b")), shingle)
     both = of_hub.join(own.withColumnRenamed("grams", "x"), "fp").join(own.select(F.col("fp").alias("hub"), F.col("grams").alias("y")), "hub")
     new = F.sort_array(F.array_except("x", "y"))
     deltas = both.select("fp", "hub", new.alias("new"), F.size(F.array_except("y", "x")).alias("n_gone")).join(known, "fp").withColumn("n_new", F.size("new"))
@@ -337,9 +358,7 @@ def links(docs: DataFrame, known: DataFrame, shingle: int = SHINGLE) -> DataFram
     rest = materialize(rest.distinct(), "rest")
     drop(crowd, news, deltas)
     if rest.take(1):
-        own = _own_sets(docs, _ends(rest), shingle)
-        found = materialize(found.unionByName(_similar(rest, own)), "linked")
-        drop(own)
+        found = materialize(found.unionByName(verified(rest)), "linked")
     return found
 
 
