@@ -6,7 +6,7 @@ import uuid
 from collections.abc import Callable, Iterable, Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
@@ -50,6 +50,21 @@ def rocksdb(spark: SparkSession):
     return _set(spark, PROVIDER, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
 
 
+#: Files that a task keeps open at once; where there are as many as folders, rows needn't be sorted by folder.
+WRITERS = "spark.sql.maxConcurrentOutputFileWriters"
+
+
+def staged(rows: DataFrame, turn: Column, turns: int) -> list[str]:
+    """Folders with the rows of each turn, for Replay.arrive(): all are made in one pass over rows. turn: a row's turn, from 0, or explode() of several."""
+    spark, root = rows.sparkSession, scratch_path(rows.sparkSession, "turns")
+    with _set(spark, WRITERS, str(turns + 1)):
+        rows.withColumn("__turn", turn).write.partitionBy("__turn").parquet(root)
+    folders = [f"{root}/__turn={k}" for k in range(turns)]
+    for f in folders:
+        storage.make_folder(spark, f)
+    return folders
+
+
 Write = Callable[[DataFrame, int], None]
 
 
@@ -75,12 +90,14 @@ class Replay:
         with few_parts(self.spark):
             self.query = writer.start()
 
-    def arrive(self, turn: dict[str, DataFrame]) -> None:
-        """Rows of some inputs come in; the query takes them, if it runs."""
+    def arrive(self, turn: dict[str, DataFrame | str]) -> None:
+        """Rows of some inputs (or folders of staged()) come in, when all of them are written; the query takes them, if it runs."""
+        ready = {n: rows if isinstance(rows, str) else f"{self.root}/arriving/{uuid.uuid4().hex}" for n, rows in turn.items()}
         for n, rows in turn.items():
-            staged = f"{self.root}/arriving/{uuid.uuid4().hex}"
-            rows.write.parquet(staged)
-            storage.move(self.spark, staged, f"{self.root}/in/{n}/{uuid.uuid4().hex}")
+            if not isinstance(rows, str):
+                rows.write.parquet(ready[n])
+        for n, path in ready.items():
+            storage.move(self.spark, path, f"{self.root}/in/{n}/{uuid.uuid4().hex}")
         if self.query and self.query.isActive:
             self.query.processAllAvailable()
 
@@ -98,7 +115,7 @@ class Replay:
         return self.spark.read.schema(self.frame.schema).parquet(f"{self.root}/out")
 
 
-def in_turns(spark: SparkSession, schemas: dict[str, T.StructType], plan: Callable[..., DataFrame], turns: Iterable[dict[str, DataFrame]], stops: tuple[int, ...] = (), **given) -> Replay:
+def in_turns(spark: SparkSession, schemas: dict[str, T.StructType], plan: Callable[..., DataFrame], turns: Iterable[dict[str, DataFrame | str]], stops: tuple[int, ...] = (), **given) -> Replay:
     """The plan over all turns, one after the other; it is stopped and started again after those of the numbers in stops (from 1)."""
     run = Replay(spark, schemas, plan, **given)
     run.start()
