@@ -175,11 +175,11 @@ def stream_fraud_card_bounded(spark, sf_dir):
     t, w, known = views.transactions(spark, sf_dir), c._silver_watchlist(spark, sf_dir), views.customers(spark, sf_dir)
     low, high = t.agg(F.unix_micros(F.min("transaction_timestamp")), F.unix_micros(F.max("transaction_timestamp"))).first()
 
-    def turn(rows: DataFrame, time: str, key: str, k: int) -> DataFrame:
+    def dealt(rows: DataFrame, time: str, key: str) -> list[str]:
         place = F.floor((F.unix_micros(time) + F.pmod(F.xxhash64(key), F.lit(_DAY_US)) - low) * 4 / (high - low + 1))
-        return rows.filter(F.coalesce(F.greatest(F.lit(0), F.least(F.lit(3), place)), F.lit(0)) == k)
+        return replay.staged(rows, F.coalesce(F.greatest(F.lit(0), F.least(F.lit(3), place)), F.lit(0)), 4)
 
-    turns = [{"t": turn(t, "transaction_timestamp", "transaction_id", k), "w": turn(w, "effective_from", "watchlist_id", k)} for k in range(4)]
+    turns = [{"t": a, "w": b} for a, b in zip(dealt(t, "transaction_timestamp", "transaction_id"), dealt(w, "effective_from", "watchlist_id"))]
     plan = lambda t, w: alerts.card_matches(t, w, retention="10 DAY", watermark="2 days", salts=8)
     matches = replay.in_turns(spark, {"t": t.schema, "w": w.schema}, plan, turns, stops=(3,)).out()
     return alerts.as_card_alerts(matches, known, c._now())
