@@ -94,6 +94,30 @@ def test_shared_keys_are_never_lost(spark, monkeypatch, size):
     assert jaccard.shared_bits(docs.limit(0), 0).any() == False  # noqa: E712
 
 
+@pytest.mark.parametrize("least", [16, 3])
+def test_driver_gets_few_bits_of_few_keys(spark, monkeypatch, least):
+    """The filter that the driver gets and broadcasts is in proportion to the keys up to its limit, and loses no shared key at any size."""
+    monkeypatch.setattr(jaccard, "LEAST_BITS", least)
+    texts = [" ".join(f"w{i}-{k}" for k in range(40)) + end for i in range(8) for end in ("", " more")]
+    keys = [set(jaccard.part_keys(x).tolist()) for x in jaccard.shingle_sets(texts)]
+    shared = set().union(*(a & b for i, a in enumerate(keys) for b in keys[:i]))
+    docs, n = spark.createDataFrame([(x,) for x in texts], "text string").repartition(3), len(set().union(*keys))
+    bits = jaccard.shared_bits(docs, n)
+    assert shared and 8 * bits.nbytes <= max(1 << least, 32 * n)
+    assert shared <= {r.key & (1 << 64) - 1 for r in jaccard._dealt(docs, bits, 5).collect()}
+    assert jaccard.filter_bits(1 << 40) == jaccard.FILTER_BITS
+
+
+def test_tables_of_crowds_are_made_for_crowds_only(spark, monkeypatch):
+    """Pairs to verify come from a few sets: what only crowded buckets need isn't computed, and the result is brute force's."""
+    names, made = [], jaccard.materialize
+    monkeypatch.setattr(jaccard, "materialize", lambda df, name: names.append(name) or made(df, name))
+    texts = {i: " ".join(f"w{i // 3}-{k}" for k in range(60)) + f" end{i % 3}" for i in range(30)}
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(3)
+    assert {x.doc_id: x.component_id for x in jaccard.near_duplicates(df).collect()} == brute(texts)[0]
+    assert "similar" in names and not {"stuck", "top", "crowd", "deltas", "news"} & set(names)
+
+
 def test_parities_differ_in_no_more_bits_than_sets_in_shingles():
     r = np.random.default_rng(5)
     for n in [0, 1, 2, 5, 40, 400, 3000] * 20:

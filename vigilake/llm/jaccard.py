@@ -46,8 +46,8 @@ SHINGLE = 5
 BROADCAST = 4_000_000
 #: Fingerprints a Python task remembers, to give each set once.
 REMEMBERED = 1 << 20
-#: First bits of a key by which a filter knows it (16 MB); keys of a range, and bytes of a key that are shuffled to count it.
-FILTER_BITS, RANGE, PACKED = 27, 2_000_000, 5
+#: First bits of a key by which a filter knows it, at most (16 MB) and at least; keys of a range, and bytes of a key that are shuffled to count it.
+FILTER_BITS, LEAST_BITS, RANGE, PACKED = 27, 16, 2_000_000, 5
 #: Sets of at least LARGE shingles are not compared if their SimHashes differ in more than FAR of 128 bits.
 LARGE, FAR = 16, 48
 #: Words of 64 bits, each of which tells whether a set has an odd number of the shingles dealt to it.
@@ -165,13 +165,18 @@ def _ranges(keys: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
     return keys >> np.uint64(64 - bits) if bits else np.zeros(len(keys), np.uint64), (keys >> np.uint64(64 - bits - 8 * PACKED)) & np.uint64((1 << 8 * PACKED) - 1)
 
 
+def filter_bits(n_keys: int) -> int:
+    """First bits of a key by which a filter of so many keys knows it: 16 to 32 values a key, up to FILTER_BITS."""
+    return min(FILTER_BITS, max(LEAST_BITS, n_keys.bit_length() + 4))
+
+
 def shared_bits(docs: DataFrame, n_keys: int, shingle: int = SHINGLE) -> np.ndarray:
-    """A bit for each value of a key's first FILTER_BITS bits: whether keys like that are in more than one set.
+    """A bit for each value of a key's first filter_bits() bits: whether keys like that are in more than one set.
 
     Keys are shuffled as PACKED bytes each, in ranges of some RANGE keys; those that a task has more than once go twice.
-    What comes back of a range is its part of the bits, so the driver gets 2^FILTER_BITS bits, however many keys there are. Keys
-    that are alike in range and bytes, and copies of a set from two tasks, count as shared: that costs rows, but loses none."""
-    bits = min(20, max(0, (n_keys // RANGE).bit_length()))
+    What comes back of a range is its part of the bits, so the driver gets few bytes for few keys, and 2^FILTER_BITS bits however many
+    there are. Keys that are alike in range and bytes, and copies of a set from two tasks, count as shared: that costs rows, but loses none."""
+    bits, first = min(20, max(0, (n_keys // RANGE).bit_length())), filter_bits(n_keys)
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sets, held, n = _Sets(shingle), [], 0
@@ -201,12 +206,12 @@ def shared_bits(docs: DataFrame, n_keys: int, shingle: int = SHINGLE) -> np.ndar
         low[:, :PACKED] = body
         low = np.sort(low.view("<u8").ravel())
         some = np.unique(low[1:][low[1:] == low[:-1]])
-        out = np.zeros(1 << (FILTER_BITS - bits), bool)
-        out[(some >> np.uint64(8 * PACKED - FILTER_BITS + bits)).astype(np.int64)] = True
+        out = np.zeros(1 << (first - bits), bool)
+        out[(some >> np.uint64(8 * PACKED - first + bits)).astype(np.int64)] = True
         return pa.table([pa.array([key[0].as_py()], pa.int32()), pa.array([np.packbits(out, bitorder="little").tobytes()], pa.binary())], ["range", "bits"])
 
     dealt = docs.select("text").mapInArrow(deal, "range int, body binary")
-    out = np.zeros(1 << (FILTER_BITS - 3), np.uint8)
+    out = np.zeros(1 << (first - 3), np.uint8)
     size = len(out) >> bits
     for r in materialize(dealt.groupBy("range").applyInArrow(shared, "range int, bits binary"), "shared").toLocalIterator():
         out[r.range * size : (r.range + 1) * size] = np.frombuffer(r.bits, np.uint8)
@@ -215,7 +220,7 @@ def shared_bits(docs: DataFrame, n_keys: int, shingle: int = SHINGLE) -> np.ndar
 
 def _dealt(docs: DataFrame, shared: np.ndarray, shingle: int) -> DataFrame:
     """key, fp: the part keys of each set that may be another's too; rows may repeat. given: the broadcast that its tasks read."""
-    given = docs.sparkSession.sparkContext.broadcast(shared)
+    given, first = docs.sparkSession.sparkContext.broadcast(shared), (8 * len(shared)).bit_length() - 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sets, bits = _Sets(shingle), given.value
@@ -223,7 +228,7 @@ def _dealt(docs: DataFrame, shared: np.ndarray, shingle: int) -> DataFrame:
             fps, found = sets.first(b.column(0))
             keys = [part_keys(x) for x in found]
             owner, every = np.repeat(fps, [len(x) for x in keys]), np.concatenate([np.empty(0, np.uint64), *keys])
-            place = every >> np.uint64(64 - FILTER_BITS)
+            place = every >> np.uint64(64 - first)
             maybe = (bits[(place >> np.uint64(3)).astype(np.int64)] >> (place & np.uint64(7)).astype(np.uint8)) & 1 > 0
             yield pa.RecordBatch.from_arrays([pa.array(every[maybe].view(np.int64)), pa.array(owner[maybe])], ["key", "fp"])
 
@@ -232,8 +237,8 @@ def _dealt(docs: DataFrame, shared: np.ndarray, shingle: int) -> DataFrame:
     return out
 
 
-def _own_sets(docs: DataFrame, pairs: DataFrame, shingle: int) -> DataFrame:
-    """fp, grams: the sets that pairs (a, b; a table) name, one row each."""
+def _own_sets(docs: DataFrame, pairs: DataFrame, n_pairs: int, shingle: int) -> DataFrame:
+    """fp, grams: the sets that pairs (a, b) name, one row each."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sets = _Sets(shingle)
@@ -242,7 +247,7 @@ def _own_sets(docs: DataFrame, pairs: DataFrame, shingle: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(found), _lists(grams)], ["fp", "grams"])
 
     fps = pairs.select(F.explode(F.array("a", "b")).alias("fp")).distinct()
-    few = 2 * pairs.count() < BROADCAST
+    few = 2 * n_pairs < BROADCAST
     every = docs.select("text").mapInArrow(run, "fp long, grams array<long>")
     return materialize(every.join(F.broadcast(fps) if few else fps, "fp", "left_semi").dropDuplicates(["fp"]), "own_sets")
 
@@ -289,6 +294,40 @@ def by_simhash(known: DataFrame, bits: int = MAX_BITS) -> DataFrame:
     return same.unionByName(close)
 
 
+def _in_crowds(docs: DataFrame, known: DataFrame, shared: DataFrame, roots: DataFrame, shingle: int) -> tuple[DataFrame, list[DataFrame]]:
+    """a, b: pairs to verify from buckets (shared: key, fp, n, hub) of more than CROWD sets; the tables that this reads."""
+    # Sets that crowded buckets can't be spared for: they may have no smaller one in common with their like.
+    crowded = shared.filter(F.col("n") > CROWD).groupBy("fp").agg(F.count(F.lit(1)).alias("keys"))
+    stuck = materialize(crowded.join(known, "fp").filter("keys >= must").select("fp"), "stuck")
+    # The hub of a hub's hub, and so on: one that the buckets of a crowd have in common. Any set would do.
+    top = materialize(shared.groupBy("fp").agg(F.max("hub").alias("hub")).select("fp", F.col("hub.fp").alias("top")), "top")
+    for _ in range(2):
+        top = materialize(top.join(top.select(F.col("fp").alias("top"), F.col("top").alias("next")), "top").select("fp", F.col("next").alias("top")), "top")
+    crowd = shared.filter(F.col("n") > CROWD).join(stuck, "fp", "left_semi").select("key", "fp", F.col("hub.fp").alias("bucket_hub"))
+    crowd = crowd.join(top.select(F.col("fp").alias("bucket_hub"), F.col("top").alias("hub")), "bucket_hub").select("key", "fp", "hub")
+    crowd = materialize(crowd, "crowd")
+    same = components(crowd.groupBy("fp").agg(F.min("hub").alias("a"), F.max("hub").alias("b")))
+    crowd = materialize(crowd.join(materialize(same, "same").withColumnRenamed("node", "hub"), "hub", "left").withColumn("root", F.coalesce("root", "hub")), "crowd")
+    used = crowd.groupBy("root", "hub").agg(F.count(F.lit(1)).alias("uses")).groupBy("root").agg(F.max(F.struct("uses", "hub")).alias("most"))
+    crowd = crowd.join(materialize(used.select("root", F.col("most.hub").alias("main")), "main"), "root").select("key", "fp", F.col("main").alias("hub"))
+    crowd = _split(crowd, roots)
+    # Two sets of a crowded bucket have new shingles in common, that a hub lacks, or differ in all of both's new ones.
+    of_hub = materialize(crowd.select("fp", "hub").distinct(), "of_hub")
+    own = _own_sets(docs, of_hub.select(F.col("fp").alias("a"), F.col("hub").alias("b")), of_hub.count(), shingle)
+    both = of_hub.join(own.withColumnRenamed("grams", "x"), "fp").join(own.select(F.col("fp").alias("hub"), F.col("grams").alias("y")), "hub")
+    new = F.sort_array(F.array_except("x", "y"))
+    deltas = both.select("fp", "hub", new.alias("new"), F.size(F.array_except("y", "x")).alias("n_gone")).join(known, "fp").withColumn("n_new", F.size("new"))
+    deltas = materialize(deltas.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp")), "deltas")
+    drop(own)
+    crowd = materialize(crowd.select("key", "fp", "hub").join(deltas.drop("new"), ["fp", "hub"]), "crowd")
+    # As many new shingles of a set as similar ones may lack, and one more.
+    few = F.slice("new", F.lit(1), F.expr("least(n_new, cast(size / 4 as int) + 1)"))
+    news = materialize(deltas.select("hub", F.explode(few).alias("key"), "fp", "root", "size", "lo", "hi", *_ODD), "news")
+    apart = "9 * (p.n_new + q.n_new + abs(p.n_gone - q.n_gone)) <= p.size + q.size"
+    pairs = _meet(crowd, f"p.key = q.key AND {apart}").unionByName(_meet(news, "p.hub = q.hub AND p.key = q.key"))
+    return pairs, [crowd, news, deltas]
+
+
 def links(docs: DataFrame, known: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """a, b: links enough to connect all different sets of docs' texts (by their hashes) of a similarity of 0.8 or more.
 
@@ -296,7 +335,10 @@ def links(docs: DataFrame, known: DataFrame, shingle: int = SHINGLE) -> DataFram
     needed, and what is shuffled is a few bytes of each key, to find those that several sets may share, and then those keys."""
 
     def verified(pairs: DataFrame) -> DataFrame:
-        own = _own_sets(docs, pairs, shingle)
+        n = pairs.count()
+        if not n:
+            return pairs
+        own = _own_sets(docs, pairs, n, shingle)
         some = _similar(pairs, own)
         drop(own)
         return some
@@ -324,39 +366,13 @@ def links(docs: DataFrame, known: DataFrame, shingle: int = SHINGLE) -> DataFram
         star = named.groupBy("fp").agg(F.max("hub").alias("hub")).select(F.least("hub.fp", "fp").alias("a"), F.greatest("hub.fp", "fp").alias("b"))
         found = materialize(found.unionByName(verified(_maybe(star.distinct(), known))), "found")
         roots = materialize(components(found), "roots")
-    # Sets that crowded buckets can't be spared for: they may have no smaller one in common with their like.
-    crowded = shared.filter(F.col("n") > CROWD).groupBy("fp").agg(F.count(F.lit(1)).alias("keys"))
-    stuck = materialize(crowded.join(known, "fp").filter("keys >= must").select("fp"), "stuck")
-    # The hub of a hub's hub, and so on: one that the buckets of a crowd have in common. Any set would do.
-    top = materialize(shared.groupBy("fp").agg(F.max("hub").alias("hub")).select("fp", F.col("hub.fp").alias("top")), "top")
-    for _ in range(2):
-        top = materialize(top.join(top.select(F.col("fp").alias("top"), F.col("top").alias("next")), "top").select("fp", F.col("next").alias("top")), "top")
-    crowd = shared.filter(F.col("n") > CROWD).join(stuck, "fp", "left_semi").select("key", "fp", F.col("hub.fp").alias("bucket_hub"))
-    crowd = crowd.join(top.select(F.col("fp").alias("bucket_hub"), F.col("top").alias("hub")), "bucket_hub").select("key", "fp", "hub")
-    crowd = materialize(crowd, "crowd")
-    same = components(crowd.groupBy("fp").agg(F.min("hub").alias("a"), F.max("hub").alias("b")))
-    crowd = materialize(crowd.join(materialize(same, "same").withColumnRenamed("node", "hub"), "hub", "left").withColumn("root", F.coalesce("root", "hub")), "crowd")
-    used = crowd.groupBy("root", "hub").agg(F.count(F.lit(1)).alias("uses")).groupBy("root").agg(F.max(F.struct("uses", "hub")).alias("most"))
-    crowd = crowd.join(materialize(used.select("root", F.col("most.hub").alias("main")), "main"), "root").select("key", "fp", F.col("main").alias("hub"))
     calm = _split(shared.filter(F.col("n") <= CROWD).select("key", "fp"), roots).join(known, "fp")
-    crowd = _split(crowd, roots)
-    drop(shared)
-    # Two sets of a crowded bucket have new shingles in common, that a hub lacks, or differ in all of both's new ones.
-    of_hub = materialize(crowd.select("fp", "hub").distinct(), "of_hub")
-    own = _own_sets(docs, of_hub.select(F.col("fp").alias("a"), F.col("hub").alias("b")), shingle)
-    both = of_hub.join(own.withColumnRenamed("grams", "x"), "fp").join(own.select(F.col("fp").alias("hub"), F.col("grams").alias("y")), "hub")
-    new = F.sort_array(F.array_except("x", "y"))
-    deltas = both.select("fp", "hub", new.alias("new"), F.size(F.array_except("y", "x")).alias("n_gone")).join(known, "fp").withColumn("n_new", F.size("new"))
-    deltas = materialize(deltas.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp")), "deltas")
-    drop(own)
-    crowd = materialize(crowd.select("key", "fp", "hub").join(deltas.drop("new"), ["fp", "hub"]), "crowd")
-    # As many new shingles of a set as similar ones may lack, and one more.
-    few = F.slice("new", F.lit(1), F.expr("least(n_new, cast(size / 4 as int) + 1)"))
-    news = materialize(deltas.select("hub", F.explode(few).alias("key"), "fp", "root", "size", "lo", "hi", *_ODD), "news")
-    apart = "9 * (p.n_new + q.n_new + abs(p.n_gone - q.n_gone)) <= p.size + q.size"
-    rest = _meet(calm, "p.key = q.key").unionByName(_meet(crowd, f"p.key = q.key AND {apart}")).unionByName(_meet(news, "p.hub = q.hub AND p.key = q.key"))
+    rest, left = _meet(calm, "p.key = q.key"), []
+    if shared.filter(F.col("n") > CROWD).take(1):
+        pairs, left = _in_crowds(docs, known, shared, roots, shingle)
+        rest = rest.unionByName(pairs)
     rest = materialize(rest.distinct(), "rest")
-    drop(crowd, news, deltas)
+    drop(shared, *left)
     if rest.take(1):
         found = materialize(found.unionByName(verified(rest)), "linked")
     return found
