@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from vigilake import storage
+from vigilake.plans import medallion, views
 from vigilake.plans.pipeline import Pipeline, Settings
 from vigilake.plans.registry import Registry
 from vigilake.sources.snapshots import Snapshots
@@ -122,3 +123,61 @@ def test_failures(spark, tmp_path):
     assert turns.count(1) == 4 and not any(q.isActive for q in line.queries.values())
     with pytest.raises(Exception, match="sink is down"):
         line.drain(5)
+
+
+def test_pairs(spark, tmp_path):
+    """Rows of two streams meet whichever comes first, over a restart; a batch that comes again, or was half kept, changes nothing."""
+    r = Registry()
+
+    @r.table("met", ("numbers", "words"), ("names",), pairs=lambda a, b: a.join(b, "k").select("k", "n", "word"), keeps=(("k", "n"), ("word", "k")))
+    def _(found, names):
+        return found.join(names, "k", "left")
+
+    shapes = {"numbers": NUMBERS + ", other int", "words": "k string, word string", "names": "k string, name string"}
+    inputs = {n: (str(tmp_path / n), schema(spark, s)) for n, s in shapes.items()}
+    add = lambda n, *rows: spark.createDataFrame(rows, shapes[n]).coalesce(1).write.mode("append").parquet(str(tmp_path / n))
+    add("names", ("a", "A"))
+    line = Pipeline(spark, r, settings(tmp_path), inputs)
+    line.run()
+    for turn in ([("numbers", ("a", 1, 0), ("b", 2, 0), (None, 3, 0))], [("words", ("a", "x"), ("a", "y"), (None, "z"))], [("numbers", ("a", 4, 0))], [("words", ("b", "z"))], [("numbers", ("c", 5, 0))]):
+        for n, *rows in turn:
+            add(n, *rows)
+        line.drain()
+        if turn[0][0] == "words":
+            line.stop()
+            line = Pipeline(spark, r, settings(tmp_path), inputs)
+            line.run()
+    line.stop()
+    want = [("a", 1, "x", "A"), ("a", 1, "y", "A"), ("a", 4, "x", "A"), ("a", 4, "y", "A"), ("b", 2, "z", None)]
+    rows = lambda: sorted(tuple(x[c] for c in ("k", "n", "word", "name")) for x in line.table("met").collect())
+    assert rows() == want
+    d = r.datasets["met"]
+    assert sorted(tuple(x) for x in d.whole([line.table(n) for n in ("numbers", "words", "names")]).select("k", "n", "word", "name").collect()) == want
+    last = [(("e", 6), None, "left"), (None, ("z", "e"), "right")]
+    batch = spark.createDataFrame(last, "left struct<k:string,n:bigint>, right struct<word:string,k:string>, __side string")
+    write = line._paired(d, batch.schema)
+    write(batch.filter("__side = 'left'"), 9)  # kept, then lost before its pairs were there
+    storage.delete(spark, f"{line._path('met')}/batch-{9:09d}")
+    for _ in range(2):
+        write(batch, 9)
+    assert rows() == sorted([*want, ("e", 6, "z", None)])
+    with pytest.raises(ValueError, match="pairs"):
+        Registry().table("x", ("a",), pairs=lambda a, b: a)(lambda a: a)
+
+
+def test_cards_of_old_transactions(spark, tmp_path):
+    """The later half of the transactions comes first, and the alerts are those of the batch; no row is held as state, of which executors keep all in memory."""
+    given, sf_dir = {}, "/root/testdata/sf0.001"
+    given["transaction_messages"], given["customer_profiles"] = views.messages(spark, sf_dir), views.customers(spark, sf_dir)
+    given["watchlist_files"] = views.watchlist(spark, sf_dir).withColumn("source_file", F.lit("f"))
+    line = Pipeline(spark, medallion.build(), settings(tmp_path), {n: (str(tmp_path / "in" / n), df.schema) for n, df in given.items()})
+    arrive = lambda n, where: given[n].filter(where).coalesce(1).write.mode("append").parquet(str(tmp_path / "in" / n))
+    line.run()
+    for name, where in (("customer_profiles", "true"), ("watchlist_files", "true"), ("transaction_messages", "timestamp >= '2024-01-16'"), ("transaction_messages", "timestamp < '2024-01-16'")):
+        arrive(name, where)
+        line.drain()
+    line.stop()
+    want = line.registry.run_batch(given)["fraud_card_alerts"]
+    ids = lambda df: sorted(x.alert_id for x in df.select("alert_id").collect())
+    assert ids(line.table("fraud_card_alerts")) == ids(want) and want.count() > 50
+    assert not storage.exists(spark, f"{line.settings.storage}/checkpoints/fraud_card_alerts/state")

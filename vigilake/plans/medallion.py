@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from vigilake import schemas
 from vigilake.operators import alerts, refine, windows
 from vigilake.plans.registry import Registry
 
@@ -38,10 +39,7 @@ def build() -> Registry:
     def _(transactions: DataFrame, customers: DataFrame) -> DataFrame:
         return alerts.high_value_alerts(transactions, customers)
 
-    def matches(transactions: DataFrame, watchlist: DataFrame) -> DataFrame:
-        return alerts.card_matches(transactions, watchlist, watermark=WATERMARK)
-
-    @r.table("fraud_card_alerts", ("silver_transactions", "silver_watchlist"), ("silver_customers",), comment="Transactions of listed cards", over=matches)
+    @r.table("fraud_card_alerts", ("silver_transactions", "silver_watchlist"), ("silver_customers",), comment="Transactions of listed cards", pairs=alerts.card_matches, keeps=(tuple(schemas.TRANSACTION.names), tuple(schemas.WATCHLIST.names)))
     def _(matched: DataFrame, customers: DataFrame) -> DataFrame:
         return alerts.as_card_alerts(matched, customers)
 

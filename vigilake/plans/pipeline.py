@@ -3,6 +3,8 @@
 Schemas come from the plans, so a pipeline starts before there are any data. A dataset without static inputs appends to its
 table through Spark's file sink. One with static inputs reads those anew in each micro-batch, as they are by then, and each
 micro-batch is a folder of its table, named by its number, which appears at once: one that is run again is not written twice.
+One with pairs keeps what its two streams brought as files, by micro-batch: what comes on one side meets all that has come on
+the other, in joins that may spill, so that an executor's memory doesn't grow with what is kept.
 Tables are read with Pipeline.table(), or by their names in the target database."""
 
 from __future__ import annotations
@@ -16,6 +18,7 @@ from dataclasses import dataclass, fields
 
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
@@ -54,6 +57,15 @@ class Settings:
 
 Input = tuple[str, T.StructType] | Snapshots
 
+#: Columns, and folders, of what pairs keep: a row stands in the column of its side.
+SIDES, SIDE, BATCH = ("left", "right"), "__side", "__batch"
+
+
+def _either(left: DataFrame, right: DataFrame) -> DataFrame:
+    """One stream of both."""
+    ours, theirs = F.struct(*left.columns), F.struct(*right.columns)
+    return left.select(ours.alias("left"), F.lit(None).cast(right.schema).alias("right"), F.lit("left").alias(SIDE)).union(right.select(F.lit(None).cast(left.schema).alias("left"), theirs.alias("right"), F.lit("right").alias(SIDE)))
+
 
 class Pipeline:
     """inputs: parquet folders with their schemas, which may still be empty, or (static ones only) Snapshots."""
@@ -94,7 +106,14 @@ class Pipeline:
         """Every dataset's plan and schema, from those of what it reads."""
         for d in self.registry.order():
             frames = [self._stream(x) for x in d.streams]
-            if d.statics:
+            if d.pairs:
+                stream = _either(*d.kept(frames))
+                empty = [self.spark.createDataFrame([], self.schemas[x]) for x in d.streams + d.statics]
+                self.schemas[d.name] = d.whole(empty).schema
+                if storage.exists(self.spark, f"{self._checkpoint(d.name)}/state"):
+                    raise ValueError(f"{d.name}: its checkpoint has rows of the streams as state; pairs begin with a new one")
+                self._starts[d.name] = self._starter(d.name, stream, self._paired(d, stream.schema))
+            elif d.statics:
                 stream = d.over(*frames) if d.over else frames[0]
                 self.schemas[d.name] = d.build(self.spark.createDataFrame([], stream.schema), *[self.spark.createDataFrame([], self.schemas[x]) for x in d.statics]).schema
                 self._starts[d.name] = self._starter(d.name, stream, self._batches(d))
@@ -121,9 +140,42 @@ class Pipeline:
 
         return write
 
+    def _paired(self, d: Dataset, schema: T.StructType) -> Callable[[DataFrame, int], None]:
+        root = f"{self.settings.storage}/kept/{d.name}"
+        for side in SIDES:
+            storage.make_folder(self.spark, f"{root}/{side}")
+
+        def kept(side: str, which: str) -> DataFrame:
+            """Of the session that made the pipeline, not of the stream: the joins are adaptive and have its number of parts."""
+            rows = self.spark.read.schema(T.StructType([f for f in schema if f.name in SIDES]).add(BATCH, "long")).parquet(f"{root}/{side}")
+            return rows.filter(f"{BATCH} {which}").select(f"{side}.*")
+
+        def write(batch: DataFrame, batch_id: int) -> None:
+            spark, done = batch.sparkSession, f"{self._path(d.name)}/batch-{batch_id:09d}"
+            if storage.exists(spark, done):
+                return
+            arrived, staged = (f"{self.settings.storage}/{x}/{d.name}/batch-{batch_id:09d}" for x in ("arrived", "staged"))
+            with replay.writers(spark, len(SIDES)):
+                batch.write.mode("overwrite").partitionBy(SIDE).parquet(arrived)
+            for side in SIDES:
+                target = f"{root}/{side}/{BATCH}={batch_id}"
+                if storage.exists(spark, f"{arrived}/{SIDE}={side}") and not storage.exists(spark, target):  # it may have been moved before a failure
+                    storage.move(spark, f"{arrived}/{SIDE}={side}", target)
+            storage.delete(spark, arrived)
+            found = d.pairs(kept("left", f"= {batch_id}"), kept("right", f"<= {batch_id}"))
+            if storage.exists(spark, f"{root}/right/{BATCH}={batch_id}"):
+                found = found.union(d.pairs(kept("left", f"< {batch_id}"), kept("right", f"= {batch_id}")))
+            d.build(found, *[self.table(x) for x in d.statics]).write.mode("overwrite").parquet(staged)
+            storage.move(spark, staged, done)
+
+        return write
+
+    def _checkpoint(self, name: str) -> str:
+        return f"{self.settings.storage}/checkpoints/{name}"
+
     def _starter(self, name: str, frame: DataFrame, write: Callable[[DataFrame, int], None] | None) -> Callable[[bool], StreamingQuery]:
         def start(once: bool) -> StreamingQuery:
-            writer = frame.writeStream.queryName(f"{self.settings.name}-{name}").option("checkpointLocation", f"{self.settings.storage}/checkpoints/{name}").outputMode("append")
+            writer = frame.writeStream.queryName(f"{self.settings.name}-{name}").option("checkpointLocation", self._checkpoint(name)).outputMode("append")
             writer = writer.trigger(availableNow=True) if once else writer.trigger(processingTime=self.settings.every)
             writer = writer.foreachBatch(write) if write else writer.format("parquet").option("path", self._path(name))
             return writer.start()

@@ -18,7 +18,9 @@ class Dataset:
     """streams: inputs read as streams; statics: inputs that each micro-batch reads anew, as they are by then.
 
     build takes streams, then statics. With statics and more than one stream, `over` makes one stream of them first (where
-    state lives); build then takes its micro-batches, which it must treat row by row."""
+    state lives); build then takes its micro-batches, which it must treat row by row. Of two streams, `pairs` makes rows that
+    each come from one row of either, however far apart these arrive: what has arrived is kept in files and not in memory.
+    keeps: for pairs, the columns of each stream that are kept; all if none are named."""
 
     name: str
     build: Callable[..., DataFrame]
@@ -26,16 +28,26 @@ class Dataset:
     statics: tuple[str, ...] = ()
     comment: str = ""
     over: Callable[..., DataFrame] | None = None
+    pairs: Callable[[DataFrame, DataFrame], DataFrame] | None = None
+    keeps: tuple[tuple[str, ...], tuple[str, ...]] | None = None
 
     def __post_init__(self):
-        if self.statics and self.over is None and len(self.streams) != 1:
-            raise ValueError(f"{self.name}: with statics, several streams need `over`")
+        if self.pairs and (self.over or len(self.streams) != 2):
+            raise ValueError(f"{self.name}: `pairs` needs two streams, and no `over`")
+        if self.statics and self.over is None and self.pairs is None and len(self.streams) != 1:
+            raise ValueError(f"{self.name}: with statics, several streams need `over` or `pairs`")
 
     def whole(self, frames: list[DataFrame]) -> DataFrame:
         """Over whole inputs: streams, then statics."""
         streams, statics = frames[: len(self.streams)], frames[len(self.streams) :]
+        if self.pairs:
+            return self.build(self.pairs(*self.kept(streams)), *statics)
         return self.build(*([self.over(*streams)] if self.over else streams), *statics)
 
+    def kept(self, streams: list[DataFrame]) -> list[DataFrame]:
+        """The streams of pairs with the columns that are kept."""
+        return [s.select(*names) for s, names in zip(streams, self.keeps)] if self.keeps else streams
+
 
 @dataclass(frozen=True)
 class Sink:
@@ -51,13 +63,13 @@ class Registry:
     datasets: dict[str, Dataset] = field(default_factory=dict)
     sinks: dict[str, Sink] = field(default_factory=dict)
 
-    def table(self, name: str, streams: tuple[str, ...], statics: tuple[str, ...] = (), comment: str = "", over: Callable[..., DataFrame] | None = None):
-        """Registers the decorated function as a dataset."""
+    def table(self, name: str, streams: tuple[str, ...], statics: tuple[str, ...] = (), comment: str = "", **given):
+        """Registers the decorated function as a dataset; given: over, or pairs and keeps."""
 
         def register(build: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
             if name in self.datasets:
                 raise ValueError(f"dataset {name} is already registered")
-            self.datasets[name] = Dataset(name, build, tuple(streams), tuple(statics), comment, over)
+            self.datasets[name] = Dataset(name, build, tuple(streams), tuple(statics), comment, **given)
             return build
 
         return register

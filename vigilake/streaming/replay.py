@@ -54,10 +54,15 @@ def rocksdb(spark: SparkSession):
 WRITERS = "spark.sql.maxConcurrentOutputFileWriters"
 
 
+def writers(spark: SparkSession, folders: int):
+    """For rows that are written to so many folders inside: they aren't sorted by folder."""
+    return _set(spark, WRITERS, str(folders + 1))
+
+
 def staged(rows: DataFrame, turn: Column, turns: int) -> list[str]:
     """Folders with the rows of each turn, for Replay.arrive(): all are made in one pass over rows. turn: a row's turn, from 0, or explode() of several."""
     spark, root = rows.sparkSession, scratch_path(rows.sparkSession, "turns")
-    with _set(spark, WRITERS, str(turns + 1)):
+    with writers(spark, turns):
         rows.withColumn("__turn", turn).write.partitionBy("__turn").parquet(root)
     folders = [f"{root}/__turn={k}" for k in range(turns)]
     for f in folders:
