@@ -45,6 +45,13 @@ def few_parts(spark: SparkSession):
     return _set(spark, PARTS, str(min(given, PARTS_A_CORE * spark.sparkContext.defaultParallelism)))
 
 
+@contextmanager
+def as_batch(spark: SparkSession, parts: str) -> Iterator[None]:
+    """For what a micro-batch does inside, in its stream's session, without state: shuffles have so many parts and are adaptive."""
+    with _set(spark, PARTS, parts), _set(spark, "spark.sql.adaptive.enabled", "true"):
+        yield
+
+
 def rocksdb(spark: SparkSession):
     """For queries that start inside: state that may be larger than memory, and that has timers and lists."""
     return _set(spark, PROVIDER, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
